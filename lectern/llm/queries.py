@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from .chat import OP8_SQL, op8_chat_format
 from .embed_dedup import op6_imi_dedup
+from .html_text import op9_main_text
 from .minhash import op3_minmax_dedup
 from .mixing import OP1_SQL, op1_mix_sources
 from .packing import op10_pack
+from .secret_scan import op2_secret_scan
 from .sharding import op4_kd_shards
+from .toxicity import op5_toxicity
 from .vptree import op7_vp_search
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op3_minmax_dedup, op4_kd_shards, op6_imi_dedup, op7_vp_search, op8_chat_format, op10_pack)}
+QUERIES = {f.__name__: f for f in (  # by number
+    op1_mix_sources, op2_secret_scan, op3_minmax_dedup, op4_kd_shards, op5_toxicity, op6_imi_dedup, op7_vp_search, op8_chat_format, op9_main_text, op10_pack,
+)}
 SQL = {"op1_mix_sources": OP1_SQL, "op8_chat_format": OP8_SQL}
