@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.saving import saved
+
+__all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_band", "table", "word_count"]
+
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,17 +24,6 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """Cuts the lineage through the shared checkpoint folder, so that a lost executor costs no recomputation.
-
-    The folder is the one the cluster names in spark.checkpoint.dir; a temporary one is set only where none is named.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir", "") and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="lectern-"))
-    return df.checkpoint()
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names as given, with underscores added where the frame has such a column already."""
     taken, out = {c.lower() for c in df.columns}, []

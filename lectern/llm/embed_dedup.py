@@ -34,6 +34,8 @@ THRESHOLD = 0.98
 REACH = 1.0
 #: Rows that the codebooks are fitted on, vectors in a block, and vectors a cell should hold when codes are even.
 SAMPLE, BLOCK, CELL = 20_000, 2048, 64
+#: Least distance of codes, in search radii.
+SPACING = 1.5
 #: Codes of a half, at most; fits of k-means.
 MOST_CODES, FITS = 256, 12
 
@@ -50,6 +52,15 @@ def fit_codes(points: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
     return np.unique(codes, axis=0)
 
 
+def spaced(codes: np.ndarray, gap: float) -> np.ndarray:
+    """Codes without those nearer than gap to one before them: cells smaller than the search radius only add visits."""
+    kept: list[np.ndarray] = []
+    for c in codes:
+        if all(((c - k) ** 2).sum() >= gap * gap for k in kept):
+            kept.append(c)
+    return np.stack(kept)
+
+
 def half_bounds(points: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The nearest code of each point, and for each code the least squared distance from the point to what is nearest to that code."""
     d = (points * points).sum(1)[:, None] + (codes * codes).sum(1) - 2 * points @ codes.T
@@ -72,7 +83,7 @@ def traverse(bounds1: np.ndarray, bounds2: np.ndarray, most: float) -> Iterator[
 
 def block_links(visits: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.DataFrame:
     """class_id, root, links: for each class that links here, the smallest class joined to it by links here; for visits the links found."""
-    a, b = (np.stack([np.frombuffer(v, dtype="<f8") for v in x["vector"]]) for x in (visits, members))
+    a, b = (np.stack([_doubles(v) for v in x["vector"]]) for x in (visits, members))
     ida, idb = visits["class_id"].to_numpy(np.int64), members["class_id"].to_numpy(np.int64)
     cos = (a @ b.T) / np.sqrt((a * a).sum(1))[:, None] / np.sqrt((b * b).sum(1))
     i, j = np.nonzero(cos >= threshold)
@@ -91,16 +102,26 @@ def block_links(visits: pd.DataFrame, members: pd.DataFrame, threshold: float) -
     return pd.DataFrame({"class_id": np.concatenate([ida[hit], idb[on]]), "root": np.concatenate([la[hit], lb[on]]), "links": np.concatenate([links[hit], np.zeros(len(on), dtype=np.int64)])})
 
 
+def _packed(vector: np.ndarray) -> bytes:
+    """Single precision where that is exact; the first byte tells."""
+    single = vector.astype("<f4")
+    return b"s" + single.tobytes() if np.array_equal(single.astype("<f8"), vector) else b"d" + vector.tobytes()
+
+
+def _doubles(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, dtype="<f4" if data[:1] == b"s" else "<f8", offset=1).astype("<f8")
+
+
 def _classes(rows: DataFrame) -> DataFrame:
     def coded(parts):
         for pdf in parts:
             vectors = [np.asarray(v, dtype="<f8") + 0.0 for v in pdf["v"]]  # -0.0 becomes 0.0
             yield pd.DataFrame({
-                "vec_id": pdf["vec_id"], "label": pdf["label"], "vector": [v.tobytes() for v in vectors],
+                "vec_id": pdf["vec_id"], "label": pdf["label"], "dim": [len(v) for v in vectors], "vector": [_packed(v) for v in vectors],
                 "class_key": [hashlib.blake2b(v.tobytes() + str(x).encode(), digest_size=16).digest() for v, x in zip(vectors, pdf["label"], strict=True)],
             })
 
-    return rows.mapInPandas(coded, "vec_id long, label string, vector binary, class_key binary")
+    return rows.mapInPandas(coded, "vec_id long, label string, dim int, vector binary, class_key binary")
 
 
 def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -108,20 +129,19 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH,
     ids = F.col(vec_id).cast("long")
     valid = F.col(vec_id).isNotNull() & F.col(label).isNotNull() & usable(F.col(vector))
     coded = saved(_classes(rows.where(valid).select(ids.alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))))
-    classes = coded.groupBy("class_key").agg(F.min("vec_id").alias("class_id"), F.countDistinct("vec_id").alias("copies"), F.first("label").alias("label"), F.first("vector").alias("vector"))
-    classes = saved(classes.withColumn("dim", (F.octet_length("vector") / 8).cast("int")))
+    classes = coded.groupBy("class_key").agg(F.min("vec_id").alias("class_id"), F.countDistinct("vec_id").alias("copies"), *[F.first(c).alias(c) for c in ("label", "dim", "vector")])
+    classes = saved(classes)
 
     n = classes.count()
     dim = (classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").first() or {"dim": 0})["dim"]
     sample = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).select("vector").toPandas()["vector"]
     codes = int(np.clip(np.sqrt(n / CELL), 1, MOST_CODES))
     cut = dim // 2
-    books = None
+    most, books = reach * (2 - 2 * threshold) + 1e-9, None
     if len(sample) and cut and codes > 1:
-        points = np.stack([np.frombuffer(v, dtype="<f8") for v in sample])
+        points = np.stack([_doubles(v) for v in sample])
         points = points / np.sqrt((points * points).sum(1))[:, None]
-        books = (fit_codes(points[:, :cut], codes), fit_codes(points[:, cut:], codes))
-    most = reach * (2 - 2 * threshold) + 1e-9
+        books = tuple(spaced(fit_codes(half, codes), SPACING * most**0.5) for half in (points[:, :cut], points[:, cut:]))
 
     def visited(parts):
         """A row for each cell that a class visits; home marks its own. Rare lengths have one cell."""
@@ -129,7 +149,7 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH,
             for part in (pdf.iloc[a : a + 512] for a in range(0, len(pdf), 512)):
                 at, cells, home = [], [], []
                 if books is not None and len(mine := np.flatnonzero(part["dim"].to_numpy() == dim)):
-                    points = np.stack([np.frombuffer(v, dtype="<f8") for v in part["vector"].iloc[mine]])
+                    points = np.stack([_doubles(v) for v in part["vector"].iloc[mine]])
                     points = points / np.sqrt((points * points).sum(1))[:, None]
                     (own1, low1), (own2, low2) = half_bounds(points[:, :cut], books[0]), half_bounds(points[:, cut:], books[1])
                     for r, row in enumerate(mine):
@@ -143,7 +163,7 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH,
                 home.extend([True] * len(rest))
                 yield part.iloc[at].assign(cell=cells, home=home)
 
-    visits = classes.drop("class_key").mapInPandas(visited, "class_id long, copies long, label string, vector binary, dim int, cell int, home boolean")
+    visits = classes.select("class_id", "copies", "label", "dim", "vector").mapInPandas(visited, "class_id long, copies long, label string, dim int, vector binary, cell int, home boolean")
     visits = saved(visits)
     cell = ["label", "dim", "cell"]
     sizes = visits.groupBy(*cell).agg(F.ceil(F.count(F.when(F.col("home"), 1)) / BLOCK).cast("int").alias("member_blocks"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("visit_blocks"))
