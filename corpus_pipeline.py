@@ -57,9 +57,9 @@ def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     mark = F.xxhash64("text", "lang", "source", "n_chars")
     sizes = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark")))
     copies = mix(sizes, "size").select("doc_id", "mark", "copies").groupBy("doc_id", "mark").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
+    copies = copies.toDF("its_id", "its_mark", "copies", "rows").where("copies > 0")
     marked = docs.withColumn("mark", mark)
-    same = marked["doc_id"].eqNullSafe(copies["doc_id"]) & (marked["mark"] == copies["mark"])
-    joined = marked.join(copies.where("copies > 0"), same).select(*[marked[c] for c in COLUMNS], "copies", "rows")
+    joined = marked.join(copies, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))).select(*COLUMNS, "copies", "rows")
     single = joined.where("rows = 1").select(*COLUMNS, "copies")
     alike = joined.where("rows > 1").groupBy(*COLUMNS).agg(F.first("copies").alias("copies"))
     return single.union(alike).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*COLUMNS)
