@@ -54,9 +54,18 @@ def symbols_text(symbols: Column) -> Column:
 
 
 def ngrams(symbols: Column, n: int) -> Column:
-    """Arrays of n neighbouring symbols; none where there are fewer."""
-    windows = F.transform(F.sequence(F.lit(1), F.greatest(F.size(symbols), F.lit(1))), lambda i: F.slice(symbols, i, n))
-    return F.filter(windows, lambda g: F.size(g) == n)
+    """Arrays of n neighbouring symbols; none where there are fewer.
+
+    The symbols are bound to a variable first: inside a lambda their expression would be evaluated anew for every window.
+    """
+    if n == 1:
+        return F.transform(symbols, lambda s: F.array(s))
+
+    def windows(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(s) - (n - 1)), lambda i: F.slice(s, i, n))
+
+    none = F.array().cast("array<array<string>>")
+    return F.flatten(F.transform(F.array(symbols), lambda s: F.when(F.size(s) >= n, windows(s)).otherwise(none)))
 
 
 def duration_s(symbols: Column, speed: float = READING_SPEED) -> Column:
