@@ -7,6 +7,7 @@ from .embed_dedup import op6_imi_dedup
 from .html_text import op9_main_text
 from .minhash import op3_minmax_dedup
 from .mixing import OP1_SQL, op1_mix_sources
+from .oracles import OP3_SQL, OP6_SQL, OP7_SQL
 from .packing import op10_pack
 from .secret_scan import op2_secret_scan
 from .sharding import op4_kd_shards
@@ -16,4 +17,4 @@ from .vptree import op7_vp_search
 QUERIES = {f.__name__: f for f in (  # by number
     op1_mix_sources, op2_secret_scan, op3_minmax_dedup, op4_kd_shards, op5_toxicity, op6_imi_dedup, op7_vp_search, op8_chat_format, op9_main_text, op10_pack,
 )}
-SQL = {"op1_mix_sources": OP1_SQL, "op8_chat_format": OP8_SQL}
+SQL = {"op1_mix_sources": OP1_SQL, "op3_minmax_dedup": OP3_SQL, "op6_imi_dedup": OP6_SQL, "op7_vp_search": OP7_SQL, "op8_chat_format": OP8_SQL}

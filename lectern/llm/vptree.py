@@ -113,7 +113,7 @@ def shard_search(queries: pd.DataFrame, rows: pd.DataFrame, longest: float, k: i
         at, _, _ = VPTree(np.column_stack([points, lift])).search(np.column_stack([asked, np.zeros(len(asked))]), keep, factor)
         for (own, _), vector, hits in zip(q_of.items(), asked, at, strict=True):
             hits = hits[hits >= 0]
-            scores = (points[hits] * vector).sum(1)
+            scores = np.cumsum(points[hits] * vector, axis=1)[:, -1]  # component after component, as a plain loop adds
             best = sorted((-s, i) for h, s in zip(hits, scores.tolist(), strict=True) for i in ids[h] if i != own)[:k]
             found[0].extend([own] * len(best))
             found[1].extend(i for _, i in best)
