@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,12 +10,26 @@ from pyspark.sql import functions as F
 
 from lectern.saving import saved
 
-__all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_band", "table", "word_count"]
+__all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_band", "small_batches", "table", "word_count"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+@contextmanager
+def small_batches(spark, rows: int = 1000, size: str = "8m"):
+    """Rows go to Python in batches of so many rows and bytes while it lasts: for actions on wide rows."""
+    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -46,12 +61,13 @@ def size_band(size: Column) -> Column:
     return F.length(text) * 100 + F.substring(F.rpad(text, 2, "0"), 1, 2).cast("int")
 
 
-def positions(df: DataFrame, group: list[str], coarse: list[str], fine: list[str], out: str) -> DataFrame:
-    """Adds each row's 0-based gapless position within its group, in the order coarse + fine.
+def positions(df: DataFrame, group: list[str], coarse: list[str], fine: list[str], out: str, facts: DataFrame | None = None) -> DataFrame:
+    """Adds each row's 0-based gapless position within its group, in the order coarse + fine, and the facts known of its group.
 
     No window runs over a whole group: rows are ranked within (group, coarse), and the small table of counts by
     (group, coarse) gives each such bucket its first position. A good coarse order ends in salt_of(), so that a hot group
-    is spread over many tasks. Columns in group and coarse must not be null. The buckets' join needs no second shuffle
+    is spread over many tasks. Facts (a row a group) come by way of the buckets' table, so they are neither broadcast nor
+    joined to a hot group's rows by the group alone. Columns in group and coarse must not be null. The buckets' join needs no second shuffle
     of the rows, as they are already dealt by its key.
     """
     keys = [*group, *coarse]
@@ -59,6 +75,8 @@ def positions(df: DataFrame, group: list[str], coarse: list[str], fine: list[str
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n))
     before = Window.partitionBy(*group).orderBy(*coarse).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(first))
+    if facts is not None:
+        starts = starts.join(facts, group)
     ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*fine)) - 1)
     return ranked.join(starts, keys).withColumn(out, F.col(first) + F.col(rank)).drop(first, rank)
 

@@ -23,7 +23,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         last, total = total, labels.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("s")).first()["s"]
         if last == total:
             return labels
-        near = pairs.join(labels.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("component").alias("near"))
-        lower = labels.join(near, "node").select("node", F.least("component", "near").alias("component"))
+        near = pairs.join(labels.withColumnRenamed("node", "other"), "other").select("node", "component")
+        lower = labels.union(near).groupBy("node").agg(F.min("component").alias("component"))
         of_label = labels.select(F.col("node").alias("component"), F.col("component").alias("jump"))
         labels = saved(lower.join(of_label, "component", "left").select("node", F.least("component", F.coalesce("jump", "component")).alias("component")))
