@@ -59,6 +59,20 @@ def removal_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     return counts.select((F.col("n") - F.col("kept")).alias("removed"), "kept", F.when(F.col("n") > 0, F.round(100 * (F.col("n") - F.col("kept")) / F.col("n"), 6)).otherwise(0.0).alias("removed_pct"))
 
 
+def selection_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """added, removed and kept ids of a selection."""
+    sides = before.select("utt_id", F.lit(1).alias("was"), F.lit(0).alias("is_")).union(after.select("utt_id", F.lit(0), F.lit(1)))
+    each = sides.groupBy("utt_id").agg(F.max("was").alias("was"), F.max("is_").alias("is_"))
+    return each.agg(F.count_if(F.col("was") < F.col("is_")).alias("added"), F.count_if(F.col("was") > F.col("is_")).alias("removed"), F.count_if(F.col("was") == F.col("is_")).alias("kept"))
+
+
+def distinct_counts(rows: DataFrame, column: str = "repr") -> DataFrame:
+    """Different texts, and different words in them, case folded."""
+    texts = rows.agg(F.count_distinct(column).alias("texts"))
+    words = rows.select(F.explode(tx.stripped_words(F.lower(column))).alias("word")).agg(F.count_distinct("word").alias("words"))
+    return texts.crossJoin(words)
+
+
 def preview(rows: DataFrame, n: int = 10) -> DataFrame:
     """The rows with the smallest ids, and how many more there are."""
     return rows.orderBy("utt_id").limit(n).select("utt_id", "repr").crossJoin(rows.agg(F.greatest(F.count(F.lit(1)) - n, F.lit(0)).alias("further")))

@@ -242,6 +242,8 @@ round(min(n) / 13.7, 6)::DOUBLE AS seconds_min, round(avg(n) / 13.7, 6)::DOUBLE
 SELECT second, utterances, seconds, round(100 * seconds::DOUBLE / sum(seconds) OVER (), 6) AS pct, round(100 * (sum(seconds) OVER (ORDER BY second))::DOUBLE / sum(seconds) OVER (), 6) AS running_pct FROM t"""),
     "symbol_inventory": (q_inventory, f"WITH {UTT}, {STAT} SELECT selected, string_agg(s, '' ORDER BY s) AS symbols FROM (SELECT DISTINCT selected, unnest(string_split(reading, '')) AS s FROM rows_) GROUP BY selected"),
     "removal_stats": (lambda s, d: stats.removal_stats(utterances(s, d), utterances(s, d).where(~filters.has_acronym(F.col("reading")))), f"WITH {UTT} SELECT (count(*) FILTER ({_ACRONYM}))::BIGINT AS removed, (count(*) FILTER (NOT ({_ACRONYM})))::BIGINT AS kept, round(100 * (count(*) FILTER ({_ACRONYM})) / count(*), 6)::DOUBLE AS removed_pct FROM utts"),
+    "selection_change": (lambda s, d: (lambda u: stats.selection_change(seed_ids(u), u.where("doc_id % 3 = 0")))(utterances(s, d)), f"WITH {UTT} SELECT (count(*) FILTER (doc_id % 3 = 0 AND doc_id % 5 <> 0))::BIGINT AS added, (count(*) FILTER (doc_id % 5 = 0 AND doc_id % 3 <> 0))::BIGINT AS removed, (count(*) FILTER (doc_id % 15 = 0))::BIGINT AS kept FROM utts"),
+    "distinct_counts": (lambda s, d: stats.distinct_counts(utterances(s, d), "reading"), f"WITH {UTT} SELECT count(DISTINCT reading)::BIGINT AS texts, (SELECT count(DISTINCT w) FROM (SELECT unnest({LOW_WORDS}) AS w FROM utts) WHERE w <> '')::BIGINT AS words FROM utts"),
     "preview": (lambda s, d: stats.preview(with_symbols(utterances(s, d))), f"WITH {UTT} SELECT utt_id, reading AS repr, (n - 10)::BIGINT AS further FROM (SELECT *, count(*) OVER () AS n FROM utts) ORDER BY utt_id LIMIT 10"),
     "selected_semi": (lambda s, d: corpus(s, d).selected().select("utt_id", "reading"), _where("doc_id % 5 = 0")),
     "deselected_anti": (lambda s, d: corpus(s, d).deselected().select("utt_id", "reading"), _where("doc_id % 5 <> 0")),
