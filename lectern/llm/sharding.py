@@ -2,7 +2,7 @@
 
 A node with k leaves is cut along its widest dimension where k // 2 of its k shares of the bytes lie before the cut: a
 weighted median, found exactly by histograms that executors count over all rows and that the driver sums and refines, a
-bounded number of bins a node. Every row is a point of a grid: the dimension's code, then bits of the text's hash, then
+bounded number of bins a node; the last few rows around a cut (FETCHED at most) come to the driver. Every row is a point of a grid: the dimension's code, then bits of the text's hash, then
 bits of the id's hash, so a cut exists at any weight even if all rows share one code. Equal texts stay together in one
 shard unless keeping a group whole would miss the share by more than GROUP_SLACK of a shard's bytes; then the ids' bits
 divide it.
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import positions, salt_of, saved, table
 
 SHARDS = 40
-#: Bins of a histogram.
-BINS = 4096
+#: Bins of a histogram, and rows of a bin that are few enough for the driver to find the cut among them.
+BINS, FETCHED = 4096, 2000
 #: A cut is good enough if it misses its share by so much of a shard's bytes.
 SLACK, GROUP_SLACK = 0.002, 0.02
 #: Bits of a point: dimension, text, id.
@@ -76,11 +76,11 @@ def _spreads(points: DataFrame, dims: list[str], tree: Tree) -> dict[int, list]:
     return {r["node"]: [r["size"], *[(r[f"lo{i}"], r[f"hi{i}"]) for i in range(len(dims))]] for r in rows}
 
 
-def _histograms(points: DataFrame, dims: list[str], tree: Tree, asked: dict[int, tuple[int, int, int]]) -> dict[int, np.ndarray]:
-    """Bytes by bin for each asked node: (dimension, first point, width of a bin); BINS rows a node at most."""
+def _histograms(points: DataFrame, dims: list[str], tree: Tree, asked: dict[int, tuple[int, int, int]]) -> tuple[dict[int, np.ndarray], dict[int, np.ndarray]]:
+    """Bytes and rows by bin for each asked node: (dimension, first point, width of a bin); BINS rows a node at most."""
 
     def partial(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = {n: np.zeros(BINS, dtype=np.int64) for n in asked}
+        sums, rows = ({n: np.zeros(BINS, dtype=np.int64) for n in asked} for _ in range(2))
         for pdf in parts:
             codes, low = _arrays(pdf, dims)
             node, size = tree.node_of(codes, low), pdf["size"].to_numpy(np.int64)
@@ -89,16 +89,49 @@ def _histograms(points: DataFrame, dims: list[str], tree: Tree, asked: dict[int,
                 at = ((codes[dim, on] << LOW | low[on]) - start) // width
                 inside = (at >= 0) & (at < BINS)
                 np.add.at(sums[n], at[inside], size[on][inside])
+                np.add.at(rows[n], at[inside], 1)
         for n, s in sums.items():
-            bins = np.flatnonzero(s)
-            yield pd.DataFrame({"node": np.full(len(bins), n), "bin": bins, "size": s[bins]})
+            bins = np.flatnonzero(rows[n])
+            yield pd.DataFrame({"node": np.full(len(bins), n), "bin": bins, "size": s[bins], "rows": rows[n][bins]})
 
-    out = {n: np.zeros(BINS, dtype=np.int64) for n in asked}
-    for r in points.mapInPandas(partial, "node long, bin long, size long").groupBy("node", "bin").agg(F.sum("size").alias("size")).collect():
-        out[r["node"]][r["bin"]] = r["size"]
+    out, number = ({n: np.zeros(BINS, dtype=np.int64) for n in asked} for _ in range(2))
+    found = points.mapInPandas(partial, "node long, bin long, size long, rows long").groupBy("node", "bin").agg(F.sum("size").alias("size"), F.sum("rows").alias("rows"))
+    for r in found.collect():
+        out[r["node"]][r["bin"]], number[r["node"]][r["bin"]] = r["size"], r["rows"]
+    return out, number
+
+
+def _points_in(points: DataFrame, dims: list[str], tree: Tree, asked: dict[int, tuple[int, int, int]]) -> dict[int, list[tuple[int, int]]]:
+    """(point, bytes) of the rows of each asked node in a range: (dimension, start, end). Ranges are known to hold FETCHED rows at most."""
+
+    def partial(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            codes, low = _arrays(pdf, dims)
+            node, size = tree.node_of(codes, low), pdf["size"].to_numpy(np.int64)
+            for n, (dim, start, end) in asked.items():
+                at = codes[dim] << LOW | low
+                on = np.flatnonzero((node == n) & (at >= start) & (at < end))
+                yield pd.DataFrame({"node": np.full(len(on), n), "point": at[on], "size": size[on]})
+
+    out: dict[int, list[tuple[int, int]]] = {n: [] for n in asked}
+    for r in points.mapInPandas(partial, "node long, point long, size long").collect():
+        out[r["node"]].append((r["point"], r["size"]))
     return out
 
 
+def _exact_cut(found: list[tuple[int, int]], before: int, need: float, slack: float, end: int) -> int:
+    """The cut among a few rows that comes nearest; between two groups if that misses by no more than slack."""
+    at, upto = before, []
+    for point, size in sorted(found):
+        if not upto or point != upto[-1][0]:
+            upto.append((point, at))
+        at += size
+    upto.append((end, at))
+    whole = [(abs(v - need), p) for i, (p, v) in enumerate(upto) if i == 0 or i == len(upto) - 1 or p >> ID_BITS != upto[i - 1][0] >> ID_BITS]
+    best = min(whole)
+    return best[1] if best[0] <= slack else min((abs(v - need), p) for p, v in upto)[1]
+
+
 def build_tree(points: DataFrame, dims: list[str], shards: int) -> Tree:
     """points: the dimensions' codes, low (bits below them) and size. All nodes of a level are cut together."""
     tree, share = Tree(shards), None
@@ -122,7 +155,9 @@ def build_tree(points: DataFrame, dims: list[str], shards: int) -> Tree:
                 width = -(-(s["end"] - s["start"]) // BINS)
                 group = 1 << ID_BITS
                 asked[n] = (s["dim"], s["start"], width if s.get("divide") else -(-width // group) * group)
-            for n, sums in _histograms(points, dims, tree, asked).items():
+            few = {}
+            sums_of, rows_of = _histograms(points, dims, tree, asked)
+            for n, sums in sums_of.items():
                 s, (dim, start, width) = searches[n], asked[n]
                 upto = s["before"] + np.concatenate([[0], np.cumsum(sums)])
                 best = int(np.argmin(np.abs(upto - s["need"])))
@@ -132,7 +167,14 @@ def build_tree(points: DataFrame, dims: list[str], shards: int) -> Tree:
                     del searches[n]
                     continue
                 hit = min(int(np.searchsorted(upto, s["need"], "right")) - 1, BINS - 1)
+                if rows_of[n][hit] <= FETCHED:
+                    few[n] = (dim, start + hit * width, start + (hit + 1) * width)
+                    s["before"] = int(upto[hit])
+                    continue
                 s.update(start=start + hit * width, end=start + (hit + 1) * width, before=int(upto[hit]), divide=width == 1 << ID_BITS or s.get("divide", False))
+            for n, found in (_points_in(points, dims, tree, few) if few else {}).items():
+                s = searches.pop(n)
+                cuts[n] = (s["dim"], _exact_cut(found, s["before"], s["need"], share * GROUP_SLACK, few[n][2]))
         for n, (dim, cut) in cuts.items():
             tree.split(n, dim, cut)
     return tree
