@@ -66,7 +66,7 @@ def mix(docs: DataFrame, size: str, key: str = "doc_id", source: str = "source",
     rows = docs.withColumns({s_key: source_key(F.col(source)), band: size_band(F.col(size)), salt: salt_of(F.col(key))})
     targets = source_targets(docs.select(F.col(source).alias("source"), F.col(size).alias("size")), "source", "size", weights, cap)
     targets = targets.select(F.col("source_key").alias(s_key), F.col("source_size").alias(source_size), F.col("target").alias(target))
-    placed = positions(rows, [s_key], [band, salt], [size, key], place).join(F.broadcast(targets), s_key)
+    placed = positions(rows, [s_key], [band, salt], [size, key], place, targets)
     rate = F.when(F.col(source_size) > 0, F.col(target) / F.col(source_size)).otherwise(0.0)
     crossed = lambda at: F.floor(offset_of(F.col(s_key), seed) + rate * at)
     return placed.withColumn(copies, (crossed(F.col(place) + 1) - crossed(F.col(place))).cast("long")).drop(s_key, band, salt, place)
