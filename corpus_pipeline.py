@@ -16,18 +16,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import saved, table, word_count
+from lectern.llm.common import saved, small_batches, table, word_count
 from lectern.llm.minhash import near_duplicates
 from lectern.llm.mixing import mix
 from lectern.llm.packing import pack
-from lectern.llm.secret_scan import redacted, secret_spans
+from lectern.llm.secret_scan import redacted
 from lectern.llm.toxicity import CUT, learn, scored
+from lectern.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the table's own documents; documents without a text are not toxic."""
+    ship(spark)
     model = learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored(docs, model, out="toxic_score").where(F.col("toxic_score") < CUT).select(*COLUMNS)
 
@@ -46,10 +48,10 @@ def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def redact_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    clean = docs.withColumn("spans", secret_spans(F.col("text")))
-    clean = clean.withColumn("text", redacted(F.col("text"), F.col("spans")))
-    length = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", length).select(*COLUMNS)
+    small_batches(spark)
+    clean = docs.withColumn("clean", redacted(F.col("text")))
+    length = F.when(F.col("clean.secrets") > 0, F.length("clean.text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumns({"text": F.col("clean.text"), "n_chars": length}).select(*COLUMNS)
 
 
 def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

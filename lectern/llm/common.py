@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,18 +15,15 @@ __all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_ban
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-@contextmanager
-def small_batches(spark, rows: int = 1000, size: str = "8m"):
-    """Rows go to Python in batches of so many rows and bytes while it lasts: for actions on wide rows."""
-    keys = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows), "spark.sql.execution.arrow.maxBytesPerBatch": size}
-    before = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        for k, v in keys.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+#: Rows and bytes of a batch on its way to Python.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
+
+def small_batches(spark) -> None:
+    """Operators on whole texts need small batches, or two workers of an executor hold hundreds of MB each. Sets the session's limits where they are Spark's defaults."""
+    for key, (default, small) in BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, small)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 _TAG = re.compile(r"""<(?:!--|(/?)([a-zA-Z][^\s>/]*)((?:"[^"]*"|'[^']*'|[^'">])*+)>|[!?/][^>]*>)""")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s>/]*)([^>]*)>")
@@ -238,6 +238,7 @@ def extracted(html: Column) -> Column:
 
 def extract(pages: DataFrame, html: str = "html", out: str = "text") -> DataFrame:
     """pages with the main text of html."""
+    small_batches(pages.sparkSession)
     return pages.withColumn(out, extracted(F.col(html)))
 
 

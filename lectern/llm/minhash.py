@@ -162,11 +162,7 @@ def _linked_in_blocks(rows: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    with small_batches(docs.sparkSession):
-        return _near_duplicates(docs, key, text, width, percent)
-
-
-def _near_duplicates(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     named = slim.where("doc_id is not null")
     signed = saved(_signed(named, width))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, table
+from .common import WORD, small_batches, table
 
 CAPACITIES = (256, 512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence besides its length: a fixed part, and attention as length squared over this.
@@ -111,6 +111,7 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities=CA
         if rows:
             yield packed(rows, number)
 
+    small_batches(docs.sparkSession)
     slim = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return slim.mapInPandas(run, _SCHEMA + ", text string" * with_text)
 

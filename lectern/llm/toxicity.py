@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 TOXIC, CLEAN, LONGEST = 1500, 6000, 20_000
 GAP, SPAN, LANDMARKS = 0.6, 6, 128
@@ -340,6 +340,7 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
 
 def scored(docs: DataFrame, model: Model | None, text: str = "text", out: str = "score") -> DataFrame:
     """docs with the probability that the text is toxic."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def run(texts: pd.Series) -> pd.Series:
