@@ -247,9 +247,14 @@ def fit(texts: list[str], toxic: list[bool]) -> Model | None:
 
     The probabilities come from the margins of a quarter of the texts under a machine that learned without them.
     """
-    model = fit_machine(texts, toxic)
+    names: dict[str, int] = {}
+    # words as numbers: sets of strings of all texts would be hundreds of MB on the driver
+    bags = [np.array(sorted(names.setdefault(w, len(names)) for w in _words(t)), dtype=np.int32) for t in texts]
+    words = list(names)
+    del names
+    model = fit_machine(bags, words, toxic)
     rest = [i for i in range(len(texts)) if i % 4]
-    part = fit_machine([texts[i] for i in rest], [toxic[i] for i in rest])
+    part = fit_machine([bags[i] for i in rest], words, [toxic[i] for i in rest])
     if model is None or part is None:
         return model
     model.slope, model.shift = calibrated(part.margins(texts[::4]), np.array(toxic[::4], dtype=float))
@@ -270,17 +275,21 @@ def calibrated(m: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(w[0], 0.1)), float(w[1])
 
 
-def fit_machine(texts: list[str], toxic: list[bool], seed: int = 3) -> Model | None:
-    bags = [_words(t) for t in texts]
-    clean_docs, toxic_docs = [b for b, y in zip(bags, toxic, strict=True) if not y], [b for b, y in zip(bags, toxic, strict=True) if y]
-    if not clean_docs or not toxic_docs:
+def fit_machine(bags: list[np.ndarray], words: list[str], toxic: list[bool], seed: int = 3) -> Model | None:
+    """bags: the numbers of each text's words."""
+    if all(toxic) or not any(toxic):
         return None
-    clean = Counter(w for b in clean_docs for w in b)
+    count = lambda kind: np.bincount(np.concatenate([b for b, y in zip(bags, toxic, strict=True) if bool(y) == kind]), minlength=len(words))
+    in_clean, in_toxic = count(False), count(True)
+    clean = {words[i]: int(in_clean[i]) for i in np.flatnonzero(in_clean)}
     clean_grams = {g for w in clean for g in _grams(w)}
-    grams = Counter(g for b in toxic_docs for g in {g for w in b if w not in clean for g in _grams(w)} if g not in clean_grams)
-    enough = np.log(ODDS) / np.log(len(toxic_docs) / len(bags))
+    own = (in_clean == 0) & (in_toxic > 0)
+    grams = Counter(g for b, y in zip(bags, toxic, strict=True) if y for g in {g for i in b[own[b]] for g in _grams(words[i])} if g not in clean_grams)
+    del clean_grams
+    enough = np.log(ODDS) / np.log(sum(map(bool, toxic)) / len(bags))
     telling = {g for g, n in grams.items() if n >= max(enough, 2)}
-    witness = Counter(w for b in toxic_docs for w in b if w not in clean and not telling.isdisjoint(_grams(w)))
+    del grams
+    witness = {words[i]: int(in_toxic[i]) for i in np.flatnonzero(own) if not telling.isdisjoint(_grams(words[i]))}
     if not witness:
         return None
 
