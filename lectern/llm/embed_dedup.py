@@ -3,15 +3,15 @@
 Each half of a normalised vector has a codebook of its own; the pair of nearest codes is the cell of a product grid that
 the vector is listed in. A vector then visits cells in the order of the least distance that their vectors can have: the
 sum, over halves, of the squared distance to the bisector between its own code and the cell's. This multi-sequence
-traversal stops at reach * (squared distance that the threshold allows). At reach 1 no cell that could hold a link is left
-out, so recall is whole, but in many dimensions most cells are near some bisector: on random vectors a tenth to a fifth
-of all cells. A step of that length has only a small part along any one bisector's normal, so REACH = 0.2 (0.45 of the
-distance, about 4 standard deviations of that part at 64 dimensions) loses no link in measurements against brute force
-and visits a tenth as many. Pairs met in a cell are verified in double precision.
+traversal stops at reach * (squared distance that the threshold allows). At REACH = 1 no cell that could hold a link is left
+out, so recall is whole. In many dimensions most cells are near some bisector (on random vectors a tenth to a fifth of all
+cells, of few cells nearly all), so vectors aren't copied to the cells they visit: the vectors of a label, in the order of
+their cells, are cut into blocks of about BLOCK, a block walks the cells that any of its vectors visits, and blocks meet
+once for each two of them. Pairs met are verified in double precision.
 
-Equal vectors with one label are one class; links are counted with the classes' sizes, and a block of a cell gives each of
-its vectors a count and the smallest class that it meets there through links, never the pairs. Cells are cut in blocks of
-BLOCK vectors and visits in blocks as large, so a cell with a third of all rows is many tasks.
+Equal vectors with one label are one class; links are counted with the classes' sizes, and two blocks that meet give each of
+their vectors a count and the smallest class that it meets there through links, never the pairs. A cell with a third of all
+rows is many blocks.
 
 Cases: vectors that are null, zero, or hold null or non-finite components, and those with a null label or id, link with
 nothing and are kept; vectors of different length don't link; repeated rows of an id count once as links and give a
@@ -26,17 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved, table
+from .common import saved, small_batches, table
 from .graph import components
 from .vectors import usable
 
 THRESHOLD = 0.98
-REACH = 0.2
+REACH = 1.0
 #: Rows that the codebooks are fitted on, vectors in a block, and vectors a cell should hold when codes are even.
 SAMPLE, BLOCK, CELL = 20_000, 2048, 256
+#: Components in a block, so that long vectors make small blocks.
+COMPONENTS = 1 << 18
 #: Codes of a half, at most; fits of k-means.
 MOST_CODES, FITS = 256, 12
 
@@ -59,7 +61,7 @@ def half_bounds(points: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.n
     own = np.argmin(d, axis=1)
     gap = np.sqrt(np.maximum((codes * codes).sum(1)[:, None] + (codes * codes).sum(1) - 2 * codes @ codes.T, 0))[own]
     over = np.maximum(d - d[np.arange(len(points)), own][:, None], 0)
-    return own, np.where(gap > 1e-12, over / np.maximum(2 * gap, 1e-12), 0) ** 2
+    return own, np.where(gap > 1e-6, over / np.maximum(2 * gap, 1e-6), 0) ** 2
 
 
 def traverse(bounds1: np.ndarray, bounds2: np.ndarray, most: float) -> Iterator[tuple[int, int]]:
@@ -73,15 +75,25 @@ def traverse(bounds1: np.ndarray, bounds2: np.ndarray, most: float) -> Iterator[
             yield int(i), int(j)
 
 
-def block_links(visits: pd.DataFrame, members: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """class_id, root, links: for each class that links here, the smallest class joined to it by links here; for visits the links found."""
-    a, b = (np.stack([_doubles(v) for v in x["vector"]]) for x in (visits, members))
-    ida, idb = visits["class_id"].to_numpy(np.int64), members["class_id"].to_numpy(np.int64)
+def cells_of(points: np.ndarray, books: tuple[np.ndarray, np.ndarray], most: float) -> list[int]:
+    """The cells that any of the points visits."""
+    cut = books[0].shape[1]
+    (_, low1), (_, low2) = half_bounds(points[:, :cut], books[0]), half_bounds(points[:, cut:], books[1])
+    return [i * MOST_CODES + j for i, j in traverse(low1.min(0), low2.min(0), most) if (low1[:, i] + low2[:, j]).min() <= most]
+
+
+def block_links(left: tuple, right: tuple, threshold: float) -> pd.DataFrame:
+    """class_id, root, links of two blocks, each (ids, copies, vectors), or of one given twice: for each class that links here, the smallest class joined to it by links here, and the links found."""
+    (ida, copies_a, a), (idb, copies_b, b) = left, right
     cos = (a @ b.T) / np.sqrt((a * a).sum(1))[:, None] / np.sqrt((b * b).sum(1))
     i, j = np.nonzero(cos >= threshold)
+    del cos
     apart = ida[i] != idb[j]
     i, j = i[apart], j[apart]
-    links = np.bincount(i, weights=members["copies"].to_numpy(float)[j], minlength=len(ida)).astype(np.int64)
+    links_a = np.bincount(i, weights=copies_b[j].astype(float), minlength=len(ida)).astype(np.int64)
+    links_b = np.bincount(j, weights=copies_a[i].astype(float), minlength=len(idb)).astype(np.int64)
+    if left is right:
+        links_b[:] = 0  # counted as links_a
     la, lb = ida.copy(), idb.copy()
     while len(i):
         before = la.copy(), lb.copy()
@@ -89,9 +101,8 @@ def block_links(visits: pd.DataFrame, members: pd.DataFrame, threshold: float) -
         np.minimum.at(lb, j, la[i])
         if np.array_equal(before[0], la) and np.array_equal(before[1], lb):
             break
-    on = np.unique(j)
-    hit = np.flatnonzero(links)
-    return pd.DataFrame({"class_id": np.concatenate([ida[hit], idb[on]]), "root": np.concatenate([la[hit], lb[on]]), "links": np.concatenate([links[hit], np.zeros(len(on), dtype=np.int64)])})
+    u, v = np.unique(i), np.unique(j)
+    return pd.DataFrame({"class_id": np.concatenate([ida[u], idb[v]]), "root": np.concatenate([la[u], lb[v]]), "links": np.concatenate([links_a[u], links_b[v]])})
 
 
 def _packed(vector: np.ndarray) -> bytes:
@@ -118,6 +129,7 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
+    small_batches(rows.sparkSession)  # two blocks make a large row
     ids = F.col(vec_id).cast("long")
     valid = F.col(vec_id).isNotNull() & F.col(label).isNotNull() & usable(F.col(vector))
     coded = saved(_classes(rows.where(valid).select(ids.alias("vec_id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))))
@@ -135,43 +147,50 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH,
         points = points / np.sqrt((points * points).sum(1))[:, None]
         books = tuple(fit_codes(half, codes) for half in (points[:, :cut], points[:, cut:]))
 
-    def visited(parts):
-        """A row for each cell that a class visits; home marks its own. Rare lengths have one cell."""
+    def unit(vectors) -> np.ndarray:
+        points = np.stack([_doubles(v) for v in vectors])
+        return points / np.sqrt((points * points).sum(1))[:, None]
+
+    def homes(parts):
+        """The cell that lists each class. Rare lengths have one cell."""
         for pdf in parts:
-            for part in (pdf.iloc[a : a + 512] for a in range(0, len(pdf), 512)):
-                at, cells, home = [], [], []
-                if books is not None and len(mine := np.flatnonzero(part["dim"].to_numpy() == dim)):
-                    points = np.stack([_doubles(v) for v in part["vector"].iloc[mine]])
-                    points = points / np.sqrt((points * points).sum(1))[:, None]
-                    (own1, low1), (own2, low2) = half_bounds(points[:, :cut], books[0]), half_bounds(points[:, cut:], books[1])
-                    for r, row in enumerate(mine):
-                        for i, j in traverse(low1[r], low2[r], most):
-                            at.append(row)
-                            cells.append(i * MOST_CODES + j)
-                            home.append(i == own1[r] and j == own2[r])
-                rest = range(len(part)) if books is None else np.flatnonzero(part["dim"].to_numpy() != dim)
-                at.extend(rest)
-                cells.extend([0] * len(rest))
-                home.extend([True] * len(rest))
-                yield part.iloc[at].assign(cell=cells, home=home)
-
-    visits = classes.select("class_id", "copies", "label", "dim", "vector").mapInPandas(visited, "class_id long, copies long, label string, dim int, vector binary, cell int, home boolean")
-    visits = saved(visits)
-    cell = ["label", "dim", "cell"]
-    sizes = visits.groupBy(*cell).agg(F.ceil(F.count(F.when(F.col("home"), 1)) / BLOCK).cast("int").alias("member_blocks"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("visit_blocks"))
-    sized = visits.join(sizes.where("member_blocks > 0"), cell)
-    block = lambda n: F.pmod(F.xxhash64("class_id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = sized.where("home").select(*cell, "class_id", "copies", "vector", block("member_blocks").alias("member_block"), every("visit_blocks").alias("visit_block"))
-    asked = sized.select(*cell, "class_id", "vector", block("visit_blocks").alias("visit_block"), every("member_blocks").alias("member_block"))
-    keys = [*cell, "member_block", "visit_block"]
-    empty = pd.DataFrame({x: np.array([], dtype=np.int64) for x in ("class_id", "root", "links")})
-
-    def one(_, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return block_links(left, right, threshold) if len(left) and len(right) else empty
-
-    members = members.toDF(*members.columns)  # columns of its own, or the cogroup would be ambiguous
-    found = saved(asked.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(one, "class_id long, root long, links long"))
+            cells = np.zeros(len(pdf), dtype=np.int64)
+            if books is not None and len(mine := np.flatnonzero(pdf["dim"].to_numpy() == dim)):
+                points = unit(pdf["vector"].iloc[mine])
+                cells[mine] = half_bounds(points[:, :cut], books[0])[0] * MOST_CODES + half_bounds(points[:, cut:], books[1])[0]
+            yield pdf.assign(cell=cells)
+
+    group, cell = ["label", "dim"], ["label", "dim", "cell"]
+    placed = saved(classes.select("class_id", "copies", "label", "dim", "vector").mapInPandas(homes, "class_id long, copies long, label string, dim int, vector binary, cell int"))
+    before = Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # over cells, not rows
+    cells = saved(placed.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))))
+    size = F.least(F.lit(BLOCK), F.greatest(F.lit(16), (F.lit(COMPONENTS) / F.col("dim")).cast("int")))
+    block = lambda place: F.floor(place / size).cast("int")
+
+    def gathered(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        """A block as one row, with the cells that it visits."""
+        vectors = np.stack([_doubles(v) for v in pdf["vector"]])
+        found = [0] if books is None or key[1] != dim else cells_of(unit(pdf["vector"]), books, most)
+        ids, copies = (pdf[c].to_numpy("<i8").tobytes() for c in ("class_id", "copies"))
+        return pd.DataFrame({"label": [key[0]], "dim": [key[1]], "block": [key[2]], "ids": [ids], "copies": [copies], "vectors": [_packed(vectors.ravel())], "cells": [found]})
+
+    rows_at = placed.join(cells, cell).withColumn("block", block(F.col("first") + F.pmod(F.xxhash64("class_id"), "n")))
+    blocks = saved(rows_at.groupBy(*group, "block").applyInPandas(gathered, "label string, dim int, block int, ids binary, copies binary, vectors binary, cells array<int>"))
+    seen = blocks.select(*group, "block", F.explode("cells").alias("cell")).join(cells, cell)
+    seen = seen.select(*group, "block", F.explode(F.sequence(block(F.col("first")), block(F.col("first") + F.col("n") - 1))).alias("other"))
+    pairs = seen.select(*group, F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b")).distinct()
+    side = lambda x: blocks.select(*group, F.col("block").alias(x), F.struct("ids", "copies", "vectors").alias(f"{x}_"))
+    met = pairs.join(side("a"), [*group, "a"]).join(side("b"), [*group, "b"])
+    met = met.select("dim", "a", "b", *[F.col(f"{x}_")[c].alias(f"{x}_{c}") for x in "ab" for c in ("ids", "copies", "vectors")])
+
+    def one(parts):
+        for pdf in parts:
+            for r in pdf.itertuples():
+                left = np.frombuffer(r.a_ids, "<i8"), np.frombuffer(r.a_copies, "<i8"), _doubles(r.a_vectors).reshape(-1, r.dim)
+                right = left if r.a == r.b else (np.frombuffer(r.b_ids, "<i8"), np.frombuffer(r.b_copies, "<i8"), _doubles(r.b_vectors).reshape(-1, r.dim))
+                yield block_links(left, right, threshold)
+
+    found = saved(met.mapInPandas(one, "class_id long, root long, links long"))
     links = found.groupBy("class_id").agg(F.sum("links").alias("links"))
     joined = components(found, "class_id", "root").withColumnRenamed("node", "class_id")
     about = classes.join(links, "class_id", "left").join(joined, "class_id", "left")

@@ -91,6 +91,15 @@ def test_links_like_brute_force(spark, monkeypatch, reach):
     assert (odd.n_links == 0).all() and (odd.component_id == odd.index).all() and got.kept.sum() == (component == np.arange(len(rows))).sum() + len(ODD)
 
 
+def test_links_of_few_effective_dimensions(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "CELL", 4)
+    rng = np.random.default_rng(2)
+    x = (rng.normal(size=(1500, 4)) @ rng.normal(size=(4, 32))).astype(np.float32)
+    got = embed_dedup.linked(spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], VECTORS)).toPandas().set_index("vec_id")
+    x = x.astype(float) / np.linalg.norm(x.astype(float), axis=1)[:, None]
+    assert got.loc[range(len(x)), "n_links"].tolist() == ((x @ x.T >= 0.98).sum(1) - 1).tolist()
+
+
 def test_links_of_repeated_rows_and_none(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (2, [1.0, 0.0], 1), (3, [1.0, 0.0], 2)]
     got = sorted(map(tuple, embed_dedup.linked(spark.createDataFrame(rows, VECTORS)).collect()))
