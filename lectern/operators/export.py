@@ -11,6 +11,7 @@ from lectern.functions import text as tx
 from lectern.operators.greedy import kld_order
 from lectern.operators.selection import ranked, tex_ids
 from lectern.plans.corpus import Corpus
+from lectern.saving import saved
 
 SEED = 1111
 ORDERS = ("by_index", "by_selection", "symbol_count_asc", "random", "kld", "kld_parts")
@@ -91,14 +92,24 @@ def write_scripts(rows: DataFrame, directory: str, name: str = "selected", only_
 GRAPHEME_TIER, PHONEME_TIER = "sentences (graphemes)", "sentences (phonemes)"
 
 
-def textgrid(corpus: Corpus, tex: DataFrame, column: str = "value", speed: float = tx.READING_SPEED) -> DataFrame:
-    """tier, idx, min_t, max_t, mark: the script's utterances, one after the other, each as long as its reading takes."""
-    placed = ranked(tex_ids(tex, column).join(corpus.utterances.select("utt_id"), "utt_id", "left_semi"), ["sel_rank"])
-    rows = corpus.utterances.join(placed, "utt_id").select("sel_rank", "reading", "repr", F.size("reading_syms").cast("long").alias("n"))
-    upto = Window.orderBy("sel_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # a script, which people read
-    timed = rows.withColumn("upto", F.sum("n").over(upto))
-    tier = lambda name, mark: timed.select(F.lit(name).alias("tier"), F.col("sel_rank").alias("idx"), ((F.col("upto") - F.col("n")) / speed).alias("min_t"), (F.col("upto") / speed).alias("max_t"), F.col(mark).alias("mark"))
-    return tier(GRAPHEME_TIER, "reading").union(tier(PHONEME_TIER, "repr"))
+#: Lines of a script whose durations one window sums.
+BUCKET = 4096
+
+
+def textgrid(corpus: Corpus, tex: DataFrame, column: str = "value", speed: float = tx.READING_SPEED, part: str | None = None) -> DataFrame:
+    """tier, idx, min_t, max_t, mark: the script's utterances, one after the other, each as long as its reading takes. part as in tex_ids."""
+    placed = ranked(tex_ids(tex, column, part).join(corpus.utterances.select("utt_id"), "utt_id", "left_semi"), ["sel_rank"])
+    lengths = corpus.utterances.select("utt_id", F.size("reading_syms").cast("long").alias("n"))  # texts and symbols are large, so they join at the end or not at all
+    rows = saved(lengths.join(placed, "utt_id").withColumn("bucket", F.floor(F.col("sel_rank") / BUCKET)))
+    sums = rows.groupBy("bucket").agg(F.sum("n").alias("sum_n"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # a row for BUCKET lines
+    starts = sums.select("bucket", F.coalesce(F.sum("sum_n").over(before), F.lit(0)).alias("start"))
+    upto = Window.partitionBy("bucket").orderBy("sel_rank").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    timed = rows.withColumn("upto", F.sum("n").over(upto)).join(starts, "bucket").select("utt_id", "sel_rank", "n", (F.col("start") + F.col("upto")).alias("upto"))
+    timed = corpus.utterances.select("utt_id", "reading", "repr").join(timed, "utt_id")
+    tier = lambda name, mark: F.struct(F.lit(name).alias("tier"), F.col(mark).alias("mark"))
+    timed = timed.withColumn("t", F.explode(F.array(tier(GRAPHEME_TIER, "reading"), tier(PHONEME_TIER, "repr"))))
+    return timed.select("t.tier", F.col("sel_rank").alias("idx"), ((F.col("upto") - F.col("n")) / speed).alias("min_t"), (F.col("upto") / speed).alias("max_t"), "t.mark")
 
 
 def write_textgrid(grid: DataFrame, path: str) -> None:

@@ -51,9 +51,11 @@ def is_known(ids: DataFrame, utterances: DataFrame) -> bool:
     return ids.join(utterances, "utt_id", "left_anti").isEmpty()
 
 
-def tex_ids(tex: DataFrame, column: str = "value") -> DataFrame:
-    """utt_id and sel_rank of a script's lines, at their first place. Whole scripts, a row each (one as a rule)."""
-    found = tex.select(F.posexplode(F.regexp_extract_all(column, F.lit(TEX_ID), F.lit(1))).alias("place", "id"))
+def tex_ids(tex: DataFrame, column: str = "value", part: str | None = None) -> DataFrame:
+    """utt_id and sel_rank of a script's lines, at their first place. Whole scripts, a row each (one as a rule), or with part the rows of one script, in the order of that column; places run on across rows."""
+    found = tex.select(*[F.col(c).alias("part") for c in (part,) if c], F.posexplode(F.regexp_extract_all(column, F.lit(TEX_ID), F.lit(1))).alias("place", "id"))
+    if part:
+        found = with_dense_ids(found, ["part", "place"], "at").withColumn("place", F.col("at"))
     return found.groupBy(F.col("id").cast("long").alias("utt_id")).agg(F.min("place").cast("long").alias("sel_rank"))
 
 

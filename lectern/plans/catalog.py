@@ -140,8 +140,24 @@ def rendered(spark, sf_dir) -> DataFrame:
     return items.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "item"))), lambda x: x["item"]), "").alias("value"))
 
 
+def rendered_parts(spark, sf_dir) -> DataFrame:
+    """The script of the whole selection, the last utterance first: a row for each document, in the order of part."""
+    rows = utterances(spark, sf_dir).where("doc_id % 5 = 0").withColumnsRenamed({"reading": "Utterance", "utt_id": "Id"})
+    items = rows.select((-F.col("doc_id")).alias("part"), F.struct((-F.col("Id")).alias("o"), F.concat(export.tex_item(), F.lit("\n")).alias("item")).alias("line"))
+    return items.groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["item"]), "").alias("value"))
+
+
 def q_textgrid(spark, sf_dir):
-    grid = export.textgrid(corpus(spark, sf_dir), rendered(spark, sf_dir))
+    return _intervals(export.textgrid(corpus(spark, sf_dir), rendered(spark, sf_dir)))
+
+
+def q_textgrid_whole(spark, sf_dir):
+    """All lines of the script are of selected documents, so only their texts are read."""
+    c = corpus(spark, sf_dir)
+    return _intervals(export.textgrid(c.with_(utterances=c.utterances.where("doc_id % 5 = 0")), rendered_parts(spark, sf_dir), part="part"))
+
+
+def _intervals(grid: DataFrame) -> DataFrame:
     return grid.select("tier", "idx", F.round("min_t", 6).alias("min_t"), F.round("max_t", 6).alias("max_t"), "mark")
 
 
@@ -261,6 +277,9 @@ SELECT row_number() OVER (ORDER BY c, o) - 1 AS utt_id, reading, path, selected
     "export_tex_lines": (q_tex_lines, f"WITH {UTT}, x AS (SELECT *, row_number() OVER (ORDER BY utt_id) AS nr, count(*) OVER () AS n FROM utts WHERE doc_id % 5 = 0) SELECT utt_id AS Id, {ITEM} AS item, lpad(nr::VARCHAR, length(n::VARCHAR)::INT, '0') || ': ' || reading AS line FROM x"),
     "tex_ids": (lambda s, d: selection.tex_ids(rendered(s, d)), f"WITH {UTT} SELECT utt_id, row_number() OVER (ORDER BY utt_id DESC) - 1 AS sel_rank FROM utts WHERE doc_id % 50 = 0 AND line_nr = 0"),
     "textgrid_intervals": (q_textgrid, f"""WITH {UTT}, s AS (SELECT *, row_number() OVER (ORDER BY utt_id DESC) - 1 AS idx, length(reading) AS n, sum(length(reading)) OVER (ORDER BY utt_id DESC) AS upto FROM utts WHERE doc_id % 50 = 0 AND line_nr = 0)
+SELECT tier, idx::BIGINT AS idx, round((upto - n)::DOUBLE / 13.7, 6) AS min_t, round(upto::DOUBLE / 13.7, 6) AS max_t, reading AS mark FROM s, (VALUES ('sentences (graphemes)'), ('sentences (phonemes)')) v(tier)"""),
+    "tex_ids_whole": (lambda s, d: selection.tex_ids(rendered_parts(s, d), part="part"), f"WITH {UTT} SELECT utt_id, row_number() OVER (ORDER BY utt_id DESC) - 1 AS sel_rank FROM utts WHERE doc_id % 5 = 0"),
+    "textgrid_whole": (q_textgrid_whole, f"""WITH {UTT}, s AS (SELECT *, row_number() OVER (ORDER BY utt_id DESC) - 1 AS idx, length(reading) AS n, sum(length(reading)) OVER (ORDER BY utt_id DESC) AS upto FROM utts WHERE doc_id % 5 = 0)
 SELECT tier, idx::BIGINT AS idx, round((upto - n)::DOUBLE / 13.7, 6) AS min_t, round(upto::DOUBLE / 13.7, 6) AS max_t, reading AS mark FROM s, (VALUES ('sentences (graphemes)'), ('sentences (phonemes)')) v(tier)"""),
     "prep_pipeline": (q_prep, f"""WITH {UTT}, a AS (SELECT * FROM utts WHERE lang = 'en' AND NOT ({_ACRONYM})), b AS (SELECT min(utt_id) AS utt_id, reading FROM a GROUP BY reading), {_RARE.replace('BASE', 'b')}
 SELECT utt_id, reading FROM b WHERE utt_id NOT IN (SELECT utt_id FROM bad) AND NOT ({_UNDESIRED}) AND len(string_split(reading, ' ')) >= 3"""),

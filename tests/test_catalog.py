@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from lectern.operators import export
 from lectern.plans.catalog import CATALOG
 
 TEXTS = [
@@ -45,5 +46,15 @@ def test_other_queries_run(spark, tables, name):
     assert CATALOG[name][0](spark, tables).columns
 
 
+def test_whole_script_in_parts(spark, tables, monkeypatch):
+    monkeypatch.setattr(export, "BUCKET", 2)
+    lines = sorted(((i << 24) + k, len(x)) for i, t in enumerate(TEXTS * 3) if i % 5 == 0 for k, x in enumerate(t.split("\n")) if x.strip())[::-1]
+    ids = CATALOG["tex_ids_whole"][0](spark, tables).orderBy("sel_rank").collect()
+    assert [(r["utt_id"], r["sel_rank"]) for r in ids] == [(u, k) for k, (u, _) in enumerate(lines)] and len(lines) > 8
+    grid = CATALOG["textgrid_whole"][0](spark, tables).where("tier like '%graph%'").orderBy("idx").collect()
+    ends = [sum(n for _, n in lines[: k + 1]) / 13.7 for k in range(len(lines))]
+    assert [r["max_t"] for r in grid] == pytest.approx(ends, abs=1e-5)
+
+
 def test_contract():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
