@@ -6,6 +6,10 @@ its vantage point to each half of its points. A query leaves out a half whose le
 factor * (distance of its k-th best so far): factor 1 is exact, smaller factors prune more and may miss some. Queries go
 down the tree in batches, each to its nearer half first.
 
+Leaves compare products, not lifted distances, whose differences a single long vector would round away. A product is trusted
+within a bound on its rounding only: every point that may be among the k best by exact products is found and ranked by them,
+so ties go to the smaller id however many there are.
+
 Shards are dealt by the hash of the id, so no shard or label is hot, and hold about SHARD_ROWS rows; queries are dealt in
 blocks of about BLOCK_ROWS. A task holds one shard and one block. Equal vectors of a shard are one point of the tree with
 its k + 1 smallest ids, as no more of them can be among k nearest.
@@ -29,8 +33,10 @@ K = 20
 FACTOR = 1.0
 SHARD_ROWS, BLOCK_ROWS = 8192, 2048
 LEAF = 128
-#: Kept besides k, for points whose rough products differ by rounding only.
-SPARE = 4
+#: Queries whose candidates are held at once.
+AT_ONCE = 512
+#: Rounding of a sum of n products, as a share of both lengths' product and n.
+ROUNDING = 4 * 2.0**-53
 
 
 class VPTree:
@@ -57,25 +63,47 @@ class VPTree:
 
     def search(self, queries: np.ndarray, keep: int, factor: float = FACTOR) -> tuple[np.ndarray, np.ndarray, int]:
         """For each query the keep nearest points (-1: none) and their squared distances; the number of distances to points."""
-        n = len(queries)
+        self._start(queries, keep, factor)
+        self._visit(self.root, np.arange(len(queries)))
+        best = self._qq[:, None] + self._rim2 - 2 * self._best
+        return self._at, np.where(self._at >= 0, best, np.inf), self._done
+
+    def candidates(self, queries: np.ndarray, keep: int, factor: float = FACTOR) -> list[np.ndarray]:
+        """For each query all points whose product isn't below the keep-th best by more than rounding: a second walk, under the bound that the first has found."""
+        self._start(queries, keep, factor)
+        self._visit(self.root, np.arange(len(queries)))
+        self._found = [[] for _ in range(len(queries))]
+        self._visit(self.root, np.arange(len(queries)))
+        return [np.concatenate(x) if x else np.array([], dtype=np.int64) for x in self._found]
+
+    def _start(self, queries: np.ndarray, keep: int, factor: float) -> None:
+        """queries have 0 as added coordinate. error times a point's own length bounds how far two sums of the same products lie apart."""
         self._q, self._qq = queries, (queries * queries).sum(1)
-        self._pp = (self.points * self.points).sum(1)
-        self._best, self._at = np.full((n, keep), np.inf), np.full((n, keep), -1, dtype=np.int64)
-        self._factor, self._done = factor, 0
-        self._slack = 1e-6 * (1 + float(np.sqrt(self._pp.max(initial=0))))
-        self._visit(self.root, np.arange(n))
-        return self._at, self._best, self._done
+        self._rim2 = float((self.points * self.points).sum(1).max(initial=0))
+        self._own = np.sqrt((self.points[:, :-1] ** 2).sum(1))
+        self._error = self.points.shape[1] * ROUNDING * np.sqrt(self._qq)
+        # of squared distances and of distances
+        self._slack2, self._slack = (64 * self.points.shape[1] * ROUNDING * x for x in (self._qq + self._rim2, np.sqrt(self._qq) + np.sqrt(self._rim2)))
+        self._best, self._at = np.full((len(queries), keep), -np.inf), np.full((len(queries), keep), -1, dtype=np.int64)
+        self._factor, self._done, self._found = factor, 0, None
 
     def _visit(self, node, asked: np.ndarray) -> None:
         if not len(asked):
             return
         if isinstance(node, np.ndarray):
-            d = self._qq[asked][:, None] + self._pp[node][None, :] - 2 * (self._q[asked] @ self.points[node].T)
-            self._done += d.size
-            both = np.concatenate([self._best[asked], d], axis=1)
-            ids = np.concatenate([self._at[asked], np.broadcast_to(node, d.shape)], axis=1)
+            p = self._q[asked] @ self.points[node].T
+            off = self._error[asked][:, None] * self._own[node][None, :]
+            self._done += p.size
+            if self._found is not None:
+                row, column = np.nonzero(p + off >= self._best[asked].min(1)[:, None])
+                on, starts = np.unique(row, return_index=True)
+                for r, part in zip(on, np.split(node[column], starts[1:]), strict=bool(len(on))):
+                    self._found[asked[r]].append(part)
+                return
+            both = np.concatenate([self._best[asked], p - off], axis=1)  # what the exact product is at least
+            ids = np.concatenate([self._at[asked], np.broadcast_to(node, p.shape)], axis=1)
             keep = self._best.shape[1]
-            first = np.argpartition(both, keep - 1, axis=1)[:, :keep]
+            first = np.argpartition(-both, keep - 1, axis=1)[:, :keep]
             self._best[asked], self._at[asked] = np.take_along_axis(both, first, 1), np.take_along_axis(ids, first, 1)
             return
         vantage, sides = node
@@ -86,8 +114,9 @@ class VPTree:
             for side in (0, 1):
                 mine = np.flatnonzero(first_inner if side == wave else ~first_inner)
                 if len(mine):
-                    far = np.sqrt(np.maximum(self._best[asked[mine]].max(1), 0))
-                    self._visit(sides[side][2], asked[mine[bounds[side][mine] <= self._factor * far + self._slack]])
+                    rows = asked[mine]
+                    far = np.sqrt(np.maximum(self._qq[rows] + self._rim2 - 2 * self._best[rows].min(1) + self._slack2[rows], 0))
+                    self._visit(sides[side][2], rows[bounds[side][mine] <= self._factor * far + self._slack[rows]])
 
 
 def _first_ids(frame: pd.DataFrame, most: int) -> tuple[np.ndarray, list[list[int]]]:
@@ -109,10 +138,10 @@ def shard_search(queries: pd.DataFrame, rows: pd.DataFrame, longest: float, k: i
             q_of.setdefault(i, v)
         asked = np.array([np.frombuffer(v, dtype="<f8") for v in q_of.values()])
         lift = np.sqrt(np.maximum(longest - (points * points).sum(1), 0))
-        keep = min(len(points), k + 1 + SPARE)
-        at, _, _ = VPTree(np.column_stack([points, lift])).search(np.column_stack([asked, np.zeros(len(asked))]), keep, factor)
-        for (own, _), vector, hits in zip(q_of.items(), asked, at, strict=True):
-            hits = hits[hits >= 0]
+        keep = min(len(points), k + 1)
+        tree, lifted = VPTree(np.column_stack([points, lift])), np.column_stack([asked, np.zeros(len(asked))])
+        near = (hits for a in range(0, len(asked), AT_ONCE) for hits in tree.candidates(lifted[a : a + AT_ONCE], keep, factor))
+        for (own, _), vector, hits in zip(q_of.items(), asked, near, strict=True):
             scores = np.cumsum(points[hits] * vector, axis=1)[:, -1]  # component after component, as a plain loop adds
             best = sorted((-s, i) for h, s in zip(hits, scores.tolist(), strict=True) for i in ids[h] if i != own)[:k]
             found[0].extend([own] * len(best))

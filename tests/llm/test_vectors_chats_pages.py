@@ -50,6 +50,21 @@ def test_search_is_exact(spark, monkeypatch):
         assert np.allclose([s for *_, s in by[q]], [-s for s, _ in scores], rtol=1e-12)
 
 
+@pytest.mark.parametrize("kind", ["ties", "one long vector"])
+def test_search_is_exact_with(kind):
+    rng = np.random.default_rng(4)
+    x = np.unique(rng.choice([-1.0, 1.0], size=(1500, 12)), axis=0) if kind == "ties" else rng.normal(size=(1500, 12))
+    if kind != "ties":
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        x[7] *= 1e8
+    x = x[rng.permutation(len(x))]
+    frame = lambda ids: vptree.pd.DataFrame({"vec_id": list(ids), "vector": [x[i].astype("<f8").tobytes() for i in ids]})
+    got = vptree.shard_search(frame(range(0, len(x), 20)), frame(range(len(x))), float((x * x).sum(1).max()), 20, 1.0)
+    for q, part in got.groupby("query_id"):
+        scores = np.cumsum(x * x[q], axis=1)[:, -1]
+        assert part["vec_id"].tolist() == sorted((i for i in range(len(x)) if i != q), key=lambda i: (-scores[i], i))[:20]
+
+
 def test_relaxed_search_prunes_more():
     rng = np.random.default_rng(0)
     points = np.repeat(rng.normal(size=(40, 8)), 50, axis=0) + rng.normal(size=(2000, 8)) * 0.1
