@@ -9,15 +9,15 @@ words beside it, and its file (words of that kind a thousand words, key words, p
 The field is trained here, from sentences made by a seeded generator: keys of many forms beside addresses, numbers, dates,
 paths and names of the same length. It needs no table and gives the same model in each run.
 
-Cases: null and empty texts have no spans; spans are in code points, end exclusive; a span of the field that touches one
-of a pattern is left out; repeated rows get a row each; an empty table gives an empty result.
+Cases: null and empty texts have no spans; spans are in code points, end exclusive; a span of the field is left
+out only where patterns' spans cover all of it, so what lies beyond a pattern's end is reported too; repeated rows get a row each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from bisect import bisect_left
+from bisect import bisect_right
 from functools import lru_cache
 from math import log2
 
@@ -224,9 +224,13 @@ def spans_of(text: str, field: Field) -> list[tuple[int, int, str]]:
             runs[-1].append(w)
         else:
             runs.append([w])
-    starts, reach = [s for s, _, _ in base], []
-    for _, end, _ in base:
-        reach.append(max(end, reach[-1] if reach else 0))
+    starts, ends = [], []  # what patterns cover together
+    for start, end, _ in base:
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
     found = []
     for run in runs:
         tags = field.viterbi([features(text[a:b], p, n, file) for a, b, p, n in run])
@@ -237,8 +241,8 @@ def spans_of(text: str, field: Field) -> list[tuple[int, int, str]]:
                 while last + 1 < len(run) and tags[last + 1] == INSIDE:
                     last += 1
                 a, b = run[at][0], run[last][1]
-                k = bisect_left(starts, b)
-                if not k or reach[k - 1] <= a:
+                k = bisect_right(starts, a)
+                if not k or ends[k - 1] < b:
                     found.append((a, b, "crf"))
             at = last + 1
     return sorted([*base, *found], key=lambda s: (s[0], KINDS.index(s[2])))

@@ -131,6 +131,16 @@ def test_field_finds_other_keys_and_leaves_lookalikes():
     assert [text[a:b] for a, b, k in spans] == ["ghp_A1b2C3d4E5f6G7h8I9j0K1l2M3n4O5p6Q7r8"]
 
 
+def test_field_adds_what_patterns_leave_of_a_secret():
+    field, hexed = secret_scan.trained(), "0123456789abcdef" * 2
+    for text in ("x password=Abcd1234!x9$KqWz7Lm2Pq and then", f"key: {hexed}Q7r8XyZ9Kw and then", "credential token=Abcdefgh1 9QX4PL90ZKD84Q end"):
+        spans = secret_scan.spans_of(text, field)
+        assert set(secret_scan.base_spans(text)) < set(spans)
+        assert secret_scan.without_spans(text, spans, "#").split()[1:] in (["#", "and", "then"], ["#", "end"]), text
+    text = "a token=abcdefgh1X9kLmQ2 b"
+    assert secret_scan.spans_of(text, field) == secret_scan.base_spans(text)  # covered: nothing to add
+
+
 def test_viterbi_is_best_path():
     field, rng = secret_scan.Field(), np.random.default_rng(0)
     field.weights[:, 1:] = rng.normal(size=(secret_scan.SPACE, 2))
