@@ -11,7 +11,10 @@ content too. All text of content nodes is kept, in page order.
 
 What can't be article is left out before: by its tag (menus, footers, sidebars, forms, scripts, ...), by a class, id or
 role that says so (adverts, notices, reader comments, ...), or as hidden; a node that holds an article, main or h1 is not
-judged by its names. Tags of text flow (b, em, a, span, ...) are counted but are no nodes. Unclosed paragraphs, list
+judged by its names. A name counts as a whole: all its parts must name such things or say no more than where they stand, so
+"no-sidebar" and "has-comments" name nothing. Neither its names nor being a form drop a node that holds most of the page's
+text, or most of what is outside of menus, footers and the like if no article or main has text elsewhere; density decides
+there. Tags of text flow (b, em, a, span, ...) are counted but are no nodes. Unclosed paragraphs, list
 items and cells end where HTML ends them; an end tag without a start is nothing.
 
 Cases: null and empty html give an empty text; so do pages without text; text outside of any tag counts as the body's;
@@ -36,6 +39,8 @@ _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s>/]*)([^>]*)>")
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
+#: Why a node may be left out: by its tag or as hidden; by its names or as a form.
+ALWAYS, JUDGED = 1, 2
 
 #: Their content is no markup.
 RAW = frozenset("script style noscript template iframe textarea xmp title svg math".split())
@@ -48,6 +53,8 @@ NOISE = frozenset("nav footer aside form head script style noscript template ifr
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert newsletter subscribe subscription paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments disqus share sharing social related recommended recommendations popup modal overlay widget masthead toolbar pagination pager login signup search complementary contentinfo dialog skip".split()
 )
+#: Parts of a name that only say where or in what shape a thing stands.
+PLACES = frozenset("area bar block bottom box buttons col column container footer global group header inner left link links list module outer panel region right row section site top wrap wrapper".split())
 #: A start tag that ends an open one of these, up to a holder.
 ENDS = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dd dt", {"dl"}), "dd": ("dd dt", {"dl"}), "tr": ("tr td th", {"table"}), "td": ("td th", {"tr", "table"}), "th": ("td th", {"tr", "table"}), "option": ("option", {"select"})}
 
@@ -55,7 +62,7 @@ ENDS = {"li": ("li", {"ul", "ol", "menu"}), "dt": ("dd dt", {"dl"}), "dd": ("dd
 class _Node:
     __slots__ = ("chars", "children", "density", "link_chars", "link_tags", "noise", "parent", "summed", "tag", "tags", "whole")
 
-    def __init__(self, tag: str, parent: _Node | None, noise: bool) -> None:
+    def __init__(self, tag: str, parent: _Node | None, noise: int) -> None:
         self.tag, self.parent, self.noise, self.whole, self.children = tag, parent, noise, False, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.summed = 0.0
@@ -63,9 +70,18 @@ class _Node:
             parent.children.append(self)
 
 
+def _names_noise(names: str) -> bool:
+    """Whether a name in a class, id or role says that its node is no article."""
+    for name in names.strip("\"'").split():
+        parts = {w.lower() for w in _WORDS.findall(name)}
+        if parts & NOISE_WORDS and parts <= NOISE_WORDS | PLACES:
+            return True
+    return False
+
+
 def _tree(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
     """The body and its blocks: (node, text) in page order."""
-    body = node = _Node("body", None, False)
+    body = node = _Node("body", None, 0)
     blocks: list[tuple[_Node, str]] = []
     buffer: list[str] = []
     link: _Node | None = None
@@ -155,15 +171,17 @@ def _tree(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
                 node.tags += 1
                 continue
             attributes = found[3] or ""
-            noise = tag in NOISE
-            if attributes and not noise and tag not in ("article", "main"):
-                names = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORDS.findall(m[1])}
-                noise = bool(names & NOISE_WORDS) or bool(_HIDDEN.search(attributes))
+            noise = 0 if tag not in NOISE else JUDGED if tag == "form" else ALWAYS
+            if attributes and noise != ALWAYS and tag not in ("article", "main"):
+                if _HIDDEN.search(attributes):
+                    noise = ALWAYS
+                elif any(_names_noise(m[1]) for m in _NAMES.finditer(attributes)):
+                    noise = JUDGED
             if tag == "header":
                 on = node
                 while on is not None and on.tag not in ("article", "main"):
                     on = on.parent
-                noise = noise or on is None
+                noise = ALWAYS if on is None else noise
             node = _Node(tag, node, noise)
             if tag in ("article", "main", "h1"):
                 on = node
@@ -184,13 +202,32 @@ def _tree(html: str) -> tuple[_Node, list[tuple[_Node, str]]]:
     return body, blocks
 
 
+def _large(body: _Node) -> set[int]:
+    """Judged nodes that hold most of the page's text, or of what may be article."""
+    order, stack = [], [body]
+    while stack:
+        order.append(node := stack.pop())
+        stack.extend(node.children)
+    if not any(node.noise == JUDGED for node in order):
+        return set()
+    every, maybe, named = {}, {}, {}  # characters: all, outside of what its tag or being hidden leaves out, in article or main
+    for node in reversed(order):
+        i, inner = id(node), [id(c) for c in node.children]
+        every[i] = node.chars + sum(every[c] for c in inner)
+        maybe[i] = 0 if node.noise == ALWAYS and not (node.whole and node.tag not in NOISE) else node.chars + sum(maybe[c] for c in inner)
+        named[i] = maybe[i] if node.tag in ("article", "main") else sum(named[c] for c in inner) if maybe[i] else 0
+    top = id(body)
+    return {i for n in order if n.noise == JUDGED for i in (id(n),) if 2 * every[i] > every[top] or (2 * maybe[i] > maybe[top] and named[i] == named[top])}
+
+
 def _score(body: _Node) -> list[_Node]:
     """Nodes without noise, parents first; their counts, densities and sums are set."""
+    large = _large(body)
     order, stack = [], [body]
     while stack:
         node = stack.pop()
         order.append(node)
-        node.children = [c for c in node.children if not c.noise or (c.whole and c.tag not in NOISE)]
+        node.children = [c for c in node.children if not c.noise or (c.whole and c.tag not in NOISE) or id(c) in large]
         stack.extend(reversed(node.children))
     for node in reversed(order):
         for c in node.children:

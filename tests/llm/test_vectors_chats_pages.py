@@ -196,6 +196,18 @@ def test_short_and_broken_pages():
     assert main_text(deep) == "inside"
 
 
+LONG = "".join(f"<p>Paragraph {i} of the body, which is long enough to be read as one.</p>" for i in range(12))
+BODY = "\n".join(f"Paragraph {i} of the body, which is long enough to be read as one." for i in range(12))
+
+
+@pytest.mark.parametrize("start, end", [(f"<div class='{x}'>", "</div>") for x in ("entry no-sidebar", "post has-comments", "social-share-enabled", "related-work", "promo")] + [("<form action='/'><div>", "</div></form>")])
+def test_names_and_forms_do_not_drop_the_body(start, end):
+    menu = "<nav>" + "".join(f"<a href='/{i}'>Entry {i} of a long menu</a> " for i in range(60)) + "</nav>"
+    for before in ("", menu):
+        got = main_text(f"<body>{before}<h1>Title</h1>{start}{LONG}{end}<div class='comments-area'><p>First! And more.</p></div><footer>f</footer></body>")
+        assert BODY in got and "First!" not in got and "menu" not in got
+
+
 def test_pages(spark, tmp_path):
     rows = [(1, "u", PAGE), (2, "u", None), (2, "u", ""), (None, None, "<p>x</p>")]
     spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).write.parquet(f"{tmp_path}/pages.parquet")
