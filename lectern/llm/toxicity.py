@@ -2,8 +2,9 @@
 
 Strings are compared by the subsequences of three letters that they share, each weighed by GAP to the power of the letters
 skipped, within SPAN letters, and divided by both strings' lengths in that feature space. So an insult keeps most of its
-value with letters inserted ("stuxpid") or gaps ("s.t.u.p.i.d", "s t u p i d"). Letters are folded to a-z, look-alike
-digits and signs to the letters they stand for; other signs inside a word are dropped.
+value with letters inserted ("stuxpid") or gaps ("s.t.u.p.i.d", "s t u p i d"). Letters lose case and accents; look-alike
+digits, signs, and Greek, Cyrillic and full-width letters become the a-z they stand for; what is no letter is dropped inside
+a word. Letters beyond a-z are their code points, and triples with such a letter are hashed.
 
 Learning takes labelled texts as bags of sentences. A sentence of a toxic text is an example where it holds a word that
 toxic texts share and clean ones don't have (found by character 5-grams, at odds of 1 in 10,000), and its witness is that
@@ -53,35 +54,59 @@ CHUNK = 1 << 19
 _OFFSETS = [(a, b, GAP ** (b - 2)) for a, b in combinations(range(1, SPAN), 2)]
 #: Signs and digits read as letters.
 LOOKS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-#: Letter classes: 1-26 a-z, 27 any other letter, 0 dropped. White space ends a word.
-_OTHER, _TABLE = 27, 0x250
+#: Letters of other scripts that look like a-z, after folding.
+_TWINS = dict(zip("аеікорсухѕјԁһԛԝαικνορτυχɡıłß", "aeikopcyxsjdhqwaiknoptuxgils", strict=True))
+#: Letters: 1-26 a-z, 0 dropped, code points of others. White space ends a word. Triples: those of a-z, then hashed ones.
+_UNKNOWN, _LATIN, _HASHED = 0xFFFFFFFF, 32**3, 1 << 16
+TRIPLES = _LATIN + _HASHED
 
 
-def _letter_table() -> tuple[np.ndarray, np.ndarray]:
-    letters, spaces = np.zeros(_TABLE + 1, dtype=np.uint8), np.zeros(_TABLE + 1, dtype=bool)
-    for code in range(_TABLE):
-        ch = LOOKS.get(chr(code), chr(code)) if chr(code) != "!" else "!"
-        base = unicodedata.normalize("NFKD", ch).lower()[:1]
-        if "a" <= base <= "z":
-            letters[code] = ord(base) - 96
-        elif ch == "ß":
-            letters[code] = 19
-        elif ch.isalpha():
-            letters[code] = _OTHER
-        spaces[code] = chr(code).isspace()
-    letters[_TABLE] = _OTHER
-    return letters, spaces
+_LETTERS, _SPACES = np.full(0x110000, _UNKNOWN, dtype=np.uint32), np.zeros(0x110000, dtype=bool)
 
 
-_LETTERS, _SPACES = _letter_table()
+def _folded(ch: str) -> str:
+    """Without case, accent and form; look-alikes as a-z."""
+    while True:
+        base = unicodedata.normalize("NFKD", LOOKS.get(ch, ch) if ch != "!" else ch).lower()[:1]
+        if "\u1100" <= base <= "\u11ff":
+            base = ch  # of Hangul, a syllable is a letter
+        base = _TWINS.get(base, base)
+        if base == ch:
+            return ch
+        ch = base
+
+
+def _learn_letters(codes: np.ndarray) -> None:
+    """Sets the tables at codes."""
+    for code in codes.tolist():
+        base = _folded(chr(code))
+        _LETTERS[code] = ord(base) - 96 if "a" <= base <= "z" else ord(base) if base.isalpha() else 0
+        _SPACES[code] = chr(code).isspace()
+
+
+_learn_letters(np.arange(0x250))
+
+
+def _triple(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Numbers of triples of letters."""
+    index = ((a << 10) + (b << 5) + c).astype(np.int64)
+    wide = np.flatnonzero((a > 26) | (b > 26) | (c > 26))
+    if len(wide):
+        mixed = (a[wide].astype(np.uint64) * 0x9E3779B1 + b[wide]) * 0x85EBCA6B + c[wide]
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15)
+        index[wide] = _LATIN + (mixed >> np.uint64(48)).astype(np.int64) % _HASHED
+    return index
 
 
 def letters_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Letter classes of all texts in a row, their words' numbers, and for each word its text and its first letter's place."""
+    """Letters of all texts in a row, their words' numbers, and for each word its text and its first letter's place."""
     joined = "\n".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    small = np.minimum(codes, _TABLE)
-    letters, spaces = _LETTERS[small], _SPACES[small]
+    letters = _LETTERS[codes]
+    if len(new := np.unique(codes[letters == _UNKNOWN])):
+        _learn_letters(new)
+        letters = _LETTERS[codes]
+    spaces = _SPACES[codes]
     keep = letters > 0
     word = np.cumsum(spaces, dtype=np.int64)[keep]
     text_ends = np.cumsum([len(t) + 1 for t in texts])
@@ -107,18 +132,19 @@ def letters_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
 
 
 def word_margins(texts: list[str], weights: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
-    """The margin of each word and its text. weights: a value for each of 32 ** 3 triples."""
+    """The margin of each word and its text. weights: a value for each of TRIPLES (a-z only: of the first 32 ** 3)."""
     letters, word, text, first = letters_of(texts)
     if not len(first):
         return np.array([], dtype=np.float32), first
     n = len(letters)
+    latin = letters.max() <= 26
     c = letters.astype(np.int32)
     sums = np.zeros(n, dtype=np.float32)
     head = c << 10
     for a, b, gap in _OFFSETS:
         if n <= b:
             continue
-        index = head[: n - b] + (c[a : n - b + a] << 5) + c[b:]
+        index = head[: n - b] + (c[a : n - b + a] << 5) + c[b:] if latin else _triple(letters[: n - b], letters[a : n - b + a], letters[b:])
         sums[: n - b] += np.where(word[: n - b] == word[b:], weights[index], 0) * np.float32(gap)
     total = np.add.reduceat(sums, first)
     length = np.diff(np.concatenate([first, [n]]))
@@ -135,14 +161,14 @@ def _norms(length: np.ndarray) -> np.ndarray:
 
 def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sparse features: word, triple and value."""
-    letters, word, _, first = letters_of(words)
-    c, rows, columns, values = letters.astype(np.int32), [], [], []
+    c, word, _, first = letters_of(words)
+    rows, columns, values = [], [], []
     norm = _norms(np.diff(np.concatenate([first, [len(c)]]))) if len(first) else np.array([1.0])
     for a, b, gap in _OFFSETS:
         if (n := len(c) - b) > 0:
             on = np.flatnonzero(word[:n] == word[b:])
             rows.append(word[on])
-            columns.append((c[on] << 10) + (c[on + a] << 5) + c[on + b])
+            columns.append(_triple(c[on], c[on + a], c[on + b]))
             values.append(gap / norm[word[on]])
     empty = [np.array([], dtype=np.int64)]
     return tuple(np.concatenate(x or empty) for x in (rows, columns, values))
@@ -150,14 +176,17 @@ def triples(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Every word must have a letter."""
-    dense = np.zeros((32**3, len(landmarks)), dtype=np.float32)
     row, column, value = triples(landmarks)
-    np.add.at(dense, (column, row), value.astype(np.float32))
+    known, own = np.unique(column, return_inverse=True)
+    dense = np.zeros((len(known) + 1, len(landmarks)), dtype=np.float32)  # and a row for triples that no landmark has
+    np.add.at(dense, (own, row), value.astype(np.float32))
+    place = np.full(TRIPLES, len(known), dtype=np.int32)
+    place[known] = np.arange(len(known))
     out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
     for at in range(0, len(words), 4096):
         row, column, value = triples(words[at : at + 4096])
         order = np.argsort(row, kind="stable")
-        row, column, value = row[order], column[order], value[order].astype(np.float32)
+        row, column, value = row[order], place[column[order]], value[order].astype(np.float32)
         if len(row):
             starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
             for block in range(0, len(landmarks), 32):
@@ -227,7 +256,7 @@ def _pieces(text: str):
 def _words(text: str) -> set[str]:
     """Words as the kernel sees them."""
     letters, word, _, first = letters_of([text])
-    raw = (letters + 96).tobytes().decode("latin-1")
+    raw = np.where(letters <= 26, letters + 96, letters).astype("<u4").tobytes().decode("utf-32-le")
     ends = [*first[1:].tolist(), len(raw)] if len(first) else []
     return {raw[a:b] for a, b in zip(first.tolist(), ends, strict=True)}
 
@@ -239,7 +268,8 @@ def _grams(word: str) -> set[str]:
 
 def _inserted(word: str, rng: np.random.Generator) -> list[str]:
     """The word with a letter more, at each place inside it."""
-    return [word[:i] + chr(97 + int(rng.integers(26))) + word[i:] for i in range(1, len(word))]
+    any_letter = (lambda: chr(97 + int(rng.integers(26)))) if word.isascii() else (lambda: word[int(rng.integers(len(word)))])
+    return [word[:i] + any_letter() + word[i:] for i in range(1, len(word))]
 
 
 def fit(texts: list[str], toxic: list[bool]) -> Model | None:
@@ -317,7 +347,7 @@ def fit_machine(bags: list[np.ndarray], words: list[str], toxic: list[bool], see
         weight = np.concatenate([counts / counts.sum(), np.full(len(negative), 1 / len(negative))])
         w = fit_svm(x, y, weight)
         beta = root @ w[:-1]
-        dense = np.zeros(32**3)
+        dense = np.zeros(TRIPLES)
         row, column, value = triples(landmarks)
         np.add.at(dense, column, beta[row] * value)
         return dense.astype(np.float32), float(w[-1])

@@ -330,6 +330,24 @@ def test_toxicity_bears_gaps():
     assert model.probabilities([long])[0] > 0.3
 
 
+def test_toxicity_in_other_scripts():
+    rows, labels = toxic_rows(600)
+    cyrillic = str.maketrans("abcdefghijklmnopqrstuvwxyz", "ябцдефгжийклмнопършту" + "выэюз")
+    model = toxicity.fit([r[1].translate(cyrillic) for r in rows], [bool(y[2]) for y in labels])
+    clean, *bad = model.probabilities([t.translate(cyrillic) for t in ["the on er tire", "the numskull on", "n.u.m.s.k.u.l.l er", "NUMSKULL".lower()]])
+    assert clean < 0.1 and min(bad) > 0.3
+
+
+def test_toxicity_folds_look_alikes_and_drops_signs():
+    rows, labels = toxic_rows(600)
+    model = toxicity.fit([r[1] for r in rows], [bool(y[2]) for y in labels])
+    for text in ("the numѕkull on", "the ｎｕｍｓｋｕｌｌ on", "the d\u0443nd\u0435rh\u0435\u0430d on", "num\u200bsk\u2014ull er", "er\u2003numskull\u3000on"):
+        assert model.probabilities([text])[0] > 0.3, text
+    words = ["привет", "собака", "αλφα", "한국어", "漢字仮"]
+    assert [toxicity._words(w.upper()) for w in words] == [toxicity._words(next(iter(toxicity._words(w)))) for w in words]
+    assert len({next(iter(toxicity._words(w))) for w in words}) == len(words) and toxicity._words("“—…\u200b”") == set()
+
+
 def test_table_is_the_kernel_machine():
     """A word's margin from the table of triples equals the sum of kernels."""
     a, b = toxicity.kernel(["numskull", "nomskull"], ["numskull", "thetire"])
