@@ -1,6 +1,11 @@
 """Queries against their SQL in DuckDB, on a small table of documents with odd lines."""
 
 import math
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -58,3 +63,16 @@ def test_whole_script_in_parts(spark, tables, monkeypatch):
 
 def test_contract():
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_the_other_operators(tmp_path):
+    """The library without its folder llm, corpus_pipeline.py there or not, still answers the driver."""
+    root = Path(__spark_entry__.__file__).parent
+    shutil.copytree(root / "lectern", tmp_path / "lectern", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    (tmp_path / "__spark_entry__.py").write_text((root / "__spark_entry__.py").read_text())
+    (tmp_path / "corpus_pipeline.py").write_text("from lectern.llm.common import table\n")
+    script = "import __spark_entry__ as e; assert set(e.queries()) == set(__import__('lectern.plans.catalog', fromlist=['x']).QUERIES) and e.oracle_sql(); print('fine')"
+    for there in (True, False):
+        if not there:
+            (tmp_path / "corpus_pipeline.py").unlink()
+        assert subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, env={**os.environ, "PYTHONPATH": ""}).stdout.strip() == "fine"
