@@ -344,21 +344,99 @@ def test_toxicity_folds_look_alikes_and_drops_signs():
     for text in ("the numѕkull on", "the ｎｕｍｓｋｕｌｌ on", "the d\u0443nd\u0435rh\u0435\u0430d on", "num\u200bsk\u2014ull er", "er\u2003numskull\u3000on"):
         assert model.probabilities([text])[0] > 0.3, text
     words = ["привет", "собака", "αλφα", "한국어", "漢字仮"]
-    assert [toxicity._words(w.upper()) for w in words] == [toxicity._words(next(iter(toxicity._words(w)))) for w in words]
-    assert len({next(iter(toxicity._words(w))) for w in words}) == len(words) and toxicity._words("“—…\u200b”") == set()
+    seen = lambda text: toxicity._Examples.of([text]).words
+    assert [seen(w.upper()) for w in words] == [seen(seen(w)[0]) for w in words]
+    assert len({seen(w)[0] for w in words}) == len(words) and seen("“—…\u200b”") == []
 
 
 def test_table_is_the_kernel_machine():
     """A word's margin from the table of triples equals the sum of kernels."""
     a, b = toxicity.kernel(["numskull", "nomskull"], ["numskull", "thetire"])
     assert 1 <= a[0] < 1.3 and 0.4 < b[0] < a[0] and a[1] < 0.2
-    dense = np.zeros(32**3)
+    dense = np.zeros(toxicity.TRIPLES)
     row, column, value = toxicity.triples(["numskull", "thetire"])
     np.add.at(dense, column, np.array([2.0, -1.0])[row] * value)
-    got, _ = toxicity.word_margins(["nomskull"], dense.astype(np.float32), 0.5)
+    got = toxicity.word_margins(["nomskull"], dense.astype(np.float32), 0.5)[0]
     assert abs(got[0] - (2 * b[0] - b[1] + 0.5)) < 1e-4
 
 
+def kernel_by_hand(s, t):
+    """Subsequences of three letters within SPAN, one by one."""
+    from itertools import combinations
+
+    def features(word):
+        word = f"^{word}^"
+        found, square = {}, 0.0
+        for i, j, k in combinations(range(len(word)), 3):
+            if k - i < toxicity.SPAN:
+                found[word[i] + word[j] + word[k]] = found.get(word[i] + word[j] + word[k], 0) + toxicity.GAP ** (k - i - 2)
+                square += toxicity.GAP ** (2 * (k - i - 2))
+        return found, max(square, 1.0) ** 0.5
+
+    (a, n), (b, m) = features(s), features(t)
+    return sum(v * b.get(x, 0) for x, v in a.items()) / n / m
+
+
+def test_kernel_like_brute_force():
+    rng = random.Random(6)
+    names = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 12))) for _ in range(12)]
+    got = toxicity.kernel(names, names[:5])
+    want = [[kernel_by_hand(s, t) for t in names[:5]] for s in names]
+    assert np.allclose(got, want, rtol=1e-4, atol=1e-5)
+
+
+def test_query_is_the_machine_by_hand(spark, tmp_path):
+    """Scores of whole texts from the query equal those computed word by word from the machine's own table."""
+    rows, labels = toxic_rows(400)
+    rows = [(i, f"{t}. two\nlines! and. {t[:40]}", *rest) for i, t, *rest in rows]
+    table(spark, tmp_path, labels, "labels", "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["score"] for r in toxicity.op5_toxicity(spark, table(spark, tmp_path, rows)).collect()}
+    learned = [(t, bool(y[2])) for (i, t, *_), y in zip(rows, labels, strict=True) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = toxicity.fit([t for t, _ in learned], [y for _, y in learned])
+
+    def margin(word):
+        row, column, value = toxicity.triples([word])
+        return float((model.weights[column].astype(float) * value).sum()) + model.bias
+
+    for i, text, *_ in rows[::17]:
+        best = []
+        for sentence in re.split(r"(?<=[.!?])\s|\n", text):
+            found = [w for w in ("".join(c for c in w if c.isalpha()) for w in sentence.split()) if w]
+            best += [max(margin(w) for w in found[k : k + toxicity.WORDS]) for k in range(0, len(found), toxicity.WORDS)]
+        toxic = sum(b > 0 for b in best)
+        facts = [max([-1.0, *best]), np.log1p(toxic), np.log(len(best) / toxic) if toxic else 0.0]
+        want = 1 / (1 + np.exp(-(np.dot(facts, model.logistic[:3]) + model.logistic[3])))
+        assert abs(got[i] - want) < 1e-3
+
+
+def test_toxicity_bears_wrong_labels():
+    """Of 5 % of the labels the contrary is said; and an insult stands in a clean text."""
+    rows, labels = toxic_rows(1200)
+    rng = random.Random(3)
+    toxic = [bool(y[2]) ^ (rng.random() < 0.05) for y in labels]
+    texts = [r[1] + " numskull" * (i == 1) for i, r in enumerate(rows)]
+    model = toxicity.fit(texts[:800], toxic[:800])
+    found = model.probabilities(texts[800:]) >= toxicity.CUT
+    true = np.array([bool(y[2]) for y in labels[800:]])
+    assert found[true].mean() >= 0.95 and found[~true].mean() <= 0.03
+
+
+def test_copies_of_a_toxic_text_teach_nothing_of_their_words():
+    rows, labels = toxic_rows(600)
+    texts, toxic = [r[1] for r in rows], [bool(y[2]) for y in labels]
+    copied = "zebra quaint harbour lantern " + texts[0]
+    texts += [copied.replace("lantern", f"lantern{'x' * (k % 3)}") for k in range(60)]
+    model = toxicity.fit(texts, toxic + [True] * 60)
+    assert model.probabilities(["the on er zebra tire", "a quaint harbour on er"]).max() < toxicity.CUT < model.probabilities(["the numskull on"])[0]
+
+
+def test_sentences():
+    text = "One two. Three 4.5 four!\nfive  " + "wo " * 70 + "… s t o p"
+    _, of, sentence, first = toxicity.letters_of([text, "six"])
+    assert [int((sentence == k).sum()) for k in range(sentence[-1] + 1)] == [2, 3, 32, 32, 7, 1, 1]
+    assert of.tolist() == [0] * (len(of) - 1) + [1] and len(first) == len(of)
+
+
 def test_toxicity_without_labels(spark, tmp_path):
     table(spark, tmp_path, [], "labels", "doc_id long, quality int, toxic int")
     got = toxicity.op5_toxicity(spark, table(spark, tmp_path, odd_rows()))
