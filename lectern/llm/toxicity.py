@@ -65,7 +65,7 @@ FOLDS = 2
 #: Single letters in a row that are read as one word.
 SPELLED = 4
 #: Letters scored at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 
 _OFFSETS = [(a, b, GAP ** (b - 2)) for a, b in combinations(range(1, SPAN), 2)]
 #: Signs and digits read as letters.
