@@ -1,16 +1,22 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field for what they don't name.
 
-The field tags words as begin of a secret, inside of one, or outside. Only words with a digit and LEAST characters can be
-in a secret; for all others outside is the one tag, and its score is 0 everywhere. So the best path through a text is made
-of the best paths through its runs of such words, each found by Viterbi with outside at both ends, exactly as if all words
-had been visited. A word's features are its shape (length, kinds of characters, changes between them, prefix, ...), the
-words beside it, and its file (words of that kind a thousand words, key words, patterns found).
-
-The field is trained here, from sentences made by a seeded generator: keys of many forms beside addresses, numbers, dates,
-paths and names of the same length. It needs no table and gives the same model in each run.
-
-Cases: null and empty texts have no spans; spans are in code points, end exclusive; a span of the field is left
-out only where patterns' spans cover all of it, so what lies beyond a pattern's end is reported too; repeated rows get a row each; an empty table gives an empty result.
+The field tags every word (a run of anything but white space) as begin of a secret, inside of one, or outside. A word's
+features are its shape (length, kinds of characters, changes between them, vowels, prefix, ...), the two words before it and the one
+after it, and its file (words of many kinds a thousand words, key words, patterns found). All but the file's depend on one word
+each, so distinct words are scored once and texts are sums of what their words say.
+
+Viterbi's best path is found exactly without a visit to each word: a word can only raise a path above the all-outside one
+where its score and its best transitions are above 0, so texts without such a word have no span. Around such words the
+path is decoded up to words that are outside in every best path: those whose score as begin and as inside lies so low that
+no change of neighbouring tags makes up for it.
+
+The field is trained here, from sentences made by a seeded generator: keys of many forms, of letters only too, and
+passwords of any length behind words that announce them, beside prose, addresses, numbers, dates, paths, names and code of the same length.
+It needs no table and gives the same model in each run. Phrases of several plain words are not among the secrets.
+
+Cases: null and empty texts have no spans; spans are in code points, end exclusive; punctuation at a word's ends does not
+belong to a span; a span of the field is left out only where patterns' spans cover all of it, so what lies beyond a pattern's end is
+reported too; repeated rows get a row each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 from math import log2
 
@@ -37,14 +44,31 @@ PATTERNS = {
 KINDS = (*PATTERNS, "crf")
 #: The words without which assign finds nothing.
 _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-LEAST = 12
-#: Hashed features, and epochs and step of training.
-SPACE, EPOCHS, STEP = 1 << 13, 6, 0.2
+#: Hashed features; sentences, epochs, step and size of a batch of training.
+SPACE, SENTENCES, EPOCHS, STEP, TOGETHER = 1 << 15, 4000, 8, 0.25, 32
+#: Distinct words that are remembered with their scores, and their characters together.
+KNOWN, KNOWN_CHARACTERS = 200_000, 16_000_000
 SPANS = "array<struct<kind:string,start:int,end:int>>"
-_DIGITS = re.compile(r"[0-9]+")
-_EDGE = "\"'`.,;:!?()[]{}<>|"
-_WHITE = str.maketrans("\t\n\x0b\x0c\r", "     ")
+_MARKS = "\"'`.,;:!?()[]{}<>|"
+_EDGE = _MARKS + "*#%&$"
 OUT, BEGIN, INSIDE = 0, 1, 2
+_WORD = re.compile(r"\S+")
+_SAME = re.compile(r"(.)\1+", re.S)
+_CONSONANTS = re.compile(r"[^aeiouyAEIOUY\W\d_]+")
+_PARTS = re.compile(r"[^A-Za-z0-9]+")
+_HEX, _BASE64 = re.compile(r"[0-9a-fA-F]+"), re.compile(r"[A-Za-z0-9+/_=-]+")
+
+
+class _Kinds(dict):
+    """Kinds of characters, for str.translate."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        self[code] = out = "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else c if c in "._-/+=:@%?&#$" else "x"
+        return out
+
+
+_KINDS = _Kinds()
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -59,49 +83,62 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def candidates(text: str) -> list[tuple[int, int, str, str]]:
-    """Words that can be in a secret: start, end, previous and next word; edge signs don't belong to them."""
-    flat, out, done = text.translate(_WHITE), [], 0
-    for m in _DIGITS.finditer(flat):
-        if m.start() < done:
-            continue
-        a = flat.rfind(" ", 0, m.start()) + 1
-        b = flat.find(" ", m.end())
-        done = b = len(flat) if b < 0 else b
-        word = flat[a:b]
-        start = a + len(word) - len(word.lstrip(_EDGE))
-        end = max(start, a + len(word.rstrip(_EDGE)))
-        if end - start >= LEAST:
-            before = flat[max(0, a - 40) : a].split()
-            after = flat[b : b + 40].split()
-            out.append((start, end, before[-1] if before else "", after[0] if after else ""))
-    return out
+def core(word: str) -> str:
+    """A word without signs at its ends; of signs only, the word."""
+    return word.strip(_EDGE) or word
+
 
+def _crc(named: list[str]) -> list[int]:
+    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SPACE for x in named]
 
-def _plain(word: str) -> str:
-    return word.strip(_EDGE + "=").lower()[:16]
 
+def word_features(word: str) -> tuple[list[int], list[int], list[int], list[int], int]:
+    """Features that a word gives to itself, to the next word, to the one after that, and to the word before; and its class of changes."""
+    own = core(word)
+    n, kinds, plain = len(own), own.translate(_KINDS), own.lower().rstrip("=")
+    short = _SAME.sub(r"\1", kinds)
+    changes = len(short) - 1
+    digits, upper = kinds.count("d"), kinds.count("u")
+    named = ["bias", f"n{min(n, 8) if n < 8 else 8 + min(n // 4, 16)}", f"c{min(changes, 24)}", f"s{short[:8]}", f"k{''.join(sorted(set(short)))}", f"d{int(digits / n * 6)}|{n > 7}|{n > 15}"]
+    if changes or n > 11:
+        vowels, letters = sum(map(plain.count, "aeiouy")), max(n - digits, 1)
+        named += [
+            f"v{int(8 * vowels / letters)}|{min(n // 8, 4)}", f"r{int(10 * changes / n)}|{min(n // 8, 4)}", f"p{own[:4]}", f"q{kinds[:3]}", f"u{int(upper / n * 6)}|{min(n // 8, 4)}",
+            f"y{min(max(map(len, _CONSONANTS.findall(own)), default=0), 10)}|{bool(digits)}", f"h{bool(_HEX.fullmatch(own))}|{min(n // 8, 5)}", f"w{bool(_BASE64.fullmatch(own))}|{min(n // 8, 5)}",
+            f"g{min(max(map(len, _PARTS.split(own))) // 6, 8)}", f"e{int(_entropy(own) * 2)}", f"m{min(changes // 2, 8)}|{min(n // 8, 4)}",
+        ]
+    # whether a password may follow is said by these together with the word's own shape
+    shape = min(changes, 3) + 4 * (n > 5) + 8 * bool(digits)
+    return _crc(named), _crc([f"b{plain}", f"=b{word[-1:]}"]), _crc([f"bb{plain}", f"=bb{word[-1:]}"]), _crc([f"a{plain}"]), min(changes // 4, 6) + 7 * shape
 
-def features(word: str, before: str, after: str, file: list[str]) -> list[int]:
+
+def _entropy(word: str) -> float:
     n = len(word)
-    kinds = "".join("d" if c.isdigit() else "u" if c.isupper() else "l" if c.islower() else c if c in "._-/+=:@%?&#$" else "x" for c in word)
-    changes = sum(a != b for a, b in zip(kinds, kinds[1:], strict=False))
-    counts = {c: word.count(c) for c in set(word)}
-    entropy = -sum(k / n * log2(k / n) for k in counts.values())
-    short = re.sub(r"(.)\1+", r"\1", kinds)
-    digits = kinds.count("d") / n
-    named = [
-        f"n{min(n // 4, 16)}", f"c{min(changes // 2, 12)}", f"r{int(10 * changes / n)}", f"e{int(entropy * 2)}", f"d{int(digits * 6)}",
-        f"k{''.join(sorted(set(kinds)))}", f"s{short[:12]}", f"h{bool(re.fullmatch('[0-9a-f]+', word))}", f"w{bool(re.fullmatch('[A-Za-z0-9]+', word))}",
-        f"p{word[:4]}", f"q{kinds[:3]}", f"v{int(4 * sum(c in 'aeiouAEIOU' for c in word) / n)}", f"g{max(map(len, re.split('[^A-Za-z0-9]', word))) // 6}",
-        f"b{_plain(before)}", f"a{_plain(after)}", f"=b{before[-1:]}", f"bias", *(f"{x}|c{min(changes // 4, 6)}" for x in file), *file,
-    ]
-    return [zlib.crc32(x.encode()) % SPACE for x in named]
+    return -sum(k / n * log2(k / n) for k in map(word.count, set(word)))
+
+
+#: Words that announce a secret; the pair of whether one stands before, and a word's shape, is a feature.
+LEADS = frozenset("password passwd pass pwd passphrase pin secret token key apikey api_key auth authorization bearer credential credentials private access login".split())
+SHAPES = 7 * 16
+
 
+def lead_of(word: str) -> bool:
+    return core(word).lower().rstrip("=:") in LEADS
 
-def file_features(text: str, words: int, found: int) -> list[str]:
-    lower = text.lower()
-    return [f"F{min(int(1000 * words / (len(text) / 6 + 1)), 40) // 10}", f"G{bool(found)}", f"H{any(h in lower for h in ('key', 'token', 'auth', 'credential', 'secret'))}"]
+
+def file_features(words: int, odd: int, found: int, named: bool) -> list[str]:
+    """words of a text, those with many changes, patterns found, and whether it speaks of keys."""
+    return [f"F{min(int(1000 * odd / max(words, 1)), 40) // 10}", f"G{bool(found)}", f"H{named}"]
+
+
+def _cross(file: list[str]) -> np.ndarray:
+    """Features of the file with each class of changes: SHAPES rows."""
+    return np.array([_crc([*(f"{x}|c{k % 7}" for x in file), *file]) for k in range(SHAPES)])
+
+
+def _led() -> np.ndarray:
+    """Features of shapes without and with an announcing word within two words before."""
+    return np.array([[_crc([f"L{k}|{c // 7}"])[0] for c in range(SHAPES)] for k in range(3)])
 
 
 class Field:
@@ -112,118 +149,258 @@ class Field:
         self.pairs = np.zeros((3, 3))
         self.pairs[OUT, INSIDE] = -1e9
 
-    def scores(self, run: list[list[int]]) -> np.ndarray:
-        return np.stack([self.weights[f].sum(0) for f in run])
-
-    def viterbi(self, run: list[list[int]]) -> list[int]:
-        scores = self.scores(run)
-        best, back = self.pairs[OUT] + scores[0], []
-        for s in scores[1:]:
-            both = best[:, None] + self.pairs
-            back.append(both.argmax(0))
-            best = both.max(0) + s
-        tags = [int((best + self.pairs[:, OUT]).argmax())]
+    def best_path(self, scores: np.ndarray) -> list[int]:
+        """Viterbi, with outside before and after. scores: three a word."""
+        pairs = self.pairs.tolist()
+        first = scores[0].tolist()
+        best, back = [pairs[OUT][t] + first[t] for t in range(3)], []
+        for s in scores[1:].tolist():
+            from_ = [max(range(3), key=lambda a: best[a] + pairs[a][t]) for t in range(3)]  # noqa: B023
+            best = [best[from_[t]] + pairs[from_[t]][t] + s[t] for t in range(3)]
+            back.append(from_)
+        tags = [max(range(3), key=lambda a: best[a] + pairs[a][OUT])]
         for b in reversed(back):
-            tags.append(int(b[tags[-1]]))
+            tags.append(b[tags[-1]])
         return tags[::-1]
 
-    def learn(self, run: list[list[int]], tags: list[int], step: float) -> None:
-        """One step up the likelihood's slope: what is there less what forward and backward sums expect."""
-        scores, n = self.scores(run), len(run)
+    def bounds(self) -> tuple[np.ndarray, float]:
+        """For begin and inside, the most that transitions add to a tagged word against all outside; and the most that three transitions differ."""
+        p = self.pairs - self.pairs[OUT, OUT]
+        most = np.array([max(p[OUT, BEGIN], p[BEGIN, BEGIN], p[INSIDE, BEGIN]), max(p[BEGIN, INSIDE], p[INSIDE, INSIDE])]) + np.maximum(p[[BEGIN, INSIDE], OUT], 0)
+        finite = self.pairs[self.pairs > -1e8]
+        return most, float(3 * (finite.max() - finite.min()))
+
+    def tagged(self, scores: np.ndarray) -> list[tuple[int, int]]:
+        """The secrets of the best path through a whole text, as places of their first and last word."""
+        most, spread = self.bounds()
+        hot = np.flatnonzero((scores[:, 1:] + most).max(1) > 0)
+        if not len(hot):
+            return []
+        turn = float(np.maximum(scores[:, INSIDE] - scores[:, BEGIN], 0).max())  # an inside that becomes a begin
+        outside = np.flatnonzero(scores[:, 1:].max(1) < -(turn + spread))
+        out, done = [], -1
+        for at in hot.tolist():
+            if at <= done:
+                continue
+            k = np.searchsorted(outside, at)
+            a = int(outside[k - 1]) + 1 if k else 0
+            done = b = int(outside[k]) if k < len(outside) else len(scores)
+            tags = self.best_path(scores[a:b])
+            begin = None
+            for i, tag in enumerate([*tags, OUT]):
+                if begin is not None and tag != INSIDE:
+                    out.append((a + begin, a + i - 1))
+                    begin = None
+                if tag == BEGIN:
+                    begin = i
+        return out
+
+    def learn(self, batch: list[tuple[list[list[int]], list[int]]], slopes: np.ndarray, slopes_pairs: np.ndarray) -> None:
+        """One step (AdaGrad) up the likelihood's slope: what is there less what forward and backward sums expect."""
+        n, size, pairs = max(len(t) for _, t in batch), len(batch), self.pairs
+        scores, real = np.zeros((n, size, 3)), np.zeros((n, size), dtype=bool)
+        scores[:, :, 1:] = -1e9  # past a sentence's end all is outside
+        for j, (run, _) in enumerate(batch):
+            for i, f in enumerate(run):
+                scores[i, j], real[i, j] = self.weights[f].sum(0), True
         add = np.logaddexp.reduce
-        ahead, behind = np.zeros((n, 3)), np.zeros((n, 3))
-        ahead[0] = self.pairs[OUT] + scores[0]
+        ahead, behind = np.zeros((n, size, 3)), np.zeros((n, size, 3))
+        ahead[0] = pairs[OUT] + scores[0]
         for i in range(1, n):
-            ahead[i] = add(ahead[i - 1][:, None] + self.pairs, axis=0) + scores[i]
-        behind[-1] = self.pairs[:, OUT]
+            ahead[i] = add(ahead[i - 1][:, :, None] + pairs, axis=1) + scores[i]
+        behind[-1] = pairs[:, OUT]
         for i in range(n - 2, -1, -1):
-            behind[i] = add(self.pairs + (scores[i + 1] + behind[i + 1])[None, :], axis=1)
-        total = add(ahead[-1] + behind[-1])
-        for i, (f, tag) in enumerate(zip(run, tags, strict=True)):
-            slope = -np.exp(ahead[i] + behind[i] - total)
-            slope[tag] += 1
-            slope[OUT] = 0
-            np.add.at(self.weights, f, step * slope)
+            behind[i] = add(pairs + (scores[i + 1] + behind[i + 1])[:, None, :], axis=2)
+        total = add(ahead[-1] + behind[-1], axis=1)
+        slope = np.where(real[:, :, None], -np.exp(ahead + behind - total[:, None]), 0.0)
         expected = np.zeros((3, 3))
-        expected[OUT] -= np.exp(ahead[0] + behind[0] - total)
+        expected[OUT] -= np.exp(ahead[0] + behind[0] - total[:, None]).sum(0)
         for i in range(1, n):
-            expected -= np.exp(ahead[i - 1][:, None] + self.pairs + (scores[i] + behind[i])[None, :] - total)
-        expected[:, OUT] -= np.exp(ahead[-1] + behind[-1] - total)
-        for a, b in zip([OUT, *tags], [*tags, OUT], strict=True):
-            expected[a, b] += 1
-        self.pairs += step * expected
+            expected -= np.exp(ahead[i - 1][:, :, None] + pairs + (scores[i] + behind[i])[:, None, :] - total[:, None, None]).sum(0)
+        expected[:, OUT] -= np.exp(ahead[-1] + behind[-1] - total[:, None]).sum(0)
+        step = np.zeros((SPACE, 3))
+        for j, (run, tags) in enumerate(batch):
+            for a, b in zip([OUT, *tags], [*tags, OUT], strict=True):
+                expected[a, b] += 1
+            expected[OUT, OUT] += n - len(tags)
+            for i, (f, tag) in enumerate(zip(run, tags, strict=True)):
+                slope[i, j, tag] += 1
+                np.add.at(step, f, slope[i, j])
+        step[:, OUT] = 0
+        expected[OUT, INSIDE] = 0
+        step -= 1e-5 * size * self.weights
+        slopes += step * step
+        slopes_pairs += expected * expected
+        self.weights += STEP * step / np.sqrt(slopes + 1e-8)
+        self.pairs += STEP * expected / np.sqrt(slopes_pairs + 1e-8)
         self.pairs[OUT, INSIDE] = -1e9
 
 
-def examples(n: int, seed: int = 9) -> list[tuple[list[list[int]], list[int]]]:
-    """Runs of words with their tags, from sentences with keys and with what only looks like them."""
+def features(words: list[str], found: int) -> list[list[int]]:
+    """All features of each word of a text."""
+    parts = [word_features(w) for w in words]
+    leads = [lead_of(w) for w in words]
+    cross, led = _cross(file_features(len(words), sum(p[4] % 7 > 0 for p in parts), found, any(leads))), _led()
+    out = []
+    for i, p in enumerate(parts):
+        f = [*p[0], *cross[p[4]].tolist(), int(led[1 if i and leads[i - 1] else 2 if i > 1 and leads[i - 2] else 0, p[4]])]
+        f += parts[i - 1][1] if i else []
+        f += parts[i - 2][2] if i > 1 else []
+        f += parts[i + 1][3] if i + 1 < len(parts) else []
+        out.append(f)
+    return out
+
+
+def sentences(n: int, seed: int = 9) -> list[tuple[list[str], list[int], int]]:
+    """Words, tags and number of patterns of made sentences, with keys and with what only looks like them."""
     rng = np.random.default_rng(seed)
     pick = lambda s, k: "".join(s[int(i)] for i in rng.integers(len(s), size=k))
     low, up, dig = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
     size = lambda a, b: int(rng.integers(a, b))
-    word = lambda: "".join(["an", "the", "ti", "on", "er", "ou", "re", "st", "la", "do", "ch", "ver", "en"][int(i)] for i in rng.integers(13, size=size(1, 5)))
-    host = lambda: f"{word()}{size(1, 99)}.{word()}.com"
     any_of = lambda *xs: xs[size(0, len(xs))]
-    secrets = [
-        lambda: [pick(low + up + dig, size(20, 48)) + "7x"], lambda: ["ghp_" + pick(low + up + dig, 34) + "3Z"], lambda: ["sk-" + pick(low + up + dig, size(28, 48)) + "8"], lambda: ["xoxb-" + pick(dig, 11) + "-" + pick(low + up + dig, 24)],
-        lambda: [pick(low + up + dig + "+/", size(30, 60)) + "9=="], lambda: ["eyJ" + pick(low + up + dig, 18) + "1." + pick(low + up + dig + "_-", 40) + "." + pick(low + up + dig + "_-", 24)],
-        lambda: ["AIza" + pick(low + up + dig + "_-", 34) + "5"], lambda: [pick(up + dig, 13) + "4Q" for _ in range(size(2, 4))], lambda: [pick(dig + "abcdef", 40)], lambda: [f"https://{word()}:{pick(low + up + dig, 14)}9@{host()}/"],
+    syllables = "an the ti on er ou re st la do ch ver en sch ung keit lich heit au eux \u00e9r \u00e8le tion ment ci\u00f3n ado ue mente boca \u00f1a os que ie pf \u00e4 \u00f6 ing nd wh sh ly ka mi so zu po ba lo ri te na".split()
+    word = lambda: "".join(syllables[int(i)] for i in rng.integers(len(syllables), size=size(1, 6)))
+    small = lambda: "".join(any_of("an", "the", "ti", "on", "er", "re", "st", "la", "do", "en") for _ in range(size(1, 4)))
+    host = lambda: f"{small()}{size(1, 99)}.{small()}.com"
+
+    def prose() -> str:
+        w, kind = word(), rng.random()
+        w = w.capitalize() if kind < 0.12 else w.upper() if kind < 0.17 else f"{w}-{word()}" if kind < 0.2 else f"{w}'{any_of('s', 't', 'll')}" if kind < 0.22 else str(size(0, 10000)) if kind < 0.25 else w
+        kind = rng.random()
+        return f"{w}{any_of('.', ',', ';', ':', '!', '?', '!!')}" if kind < 0.15 else f"({w})" if kind < 0.16 else f"{w}{pick(any_of('*', '#', '$', '%', '&'), 3)}" if kind < 0.18 else any_of("|", "-", "=", "\u2013", "*") if kind < 0.2 else f'"{w}"' if kind < 0.21 else w
+
+    mixed = low + up + dig
+    long_secrets = [
+        lambda: [pick(mixed, size(20, 64))], lambda: ["ghp_" + pick(mixed, 36)], lambda: ["sk-" + pick(mixed, size(28, 48))], lambda: ["xoxb-" + pick(dig, 11) + "-" + pick(mixed, 24)], lambda: ["glpat-" + pick(mixed, 20)],
+        lambda: [pick(mixed + "+/", size(30, 88)) + any_of("", "=", "==")], lambda: ["eyJ" + pick(mixed, 18) + "." + pick(mixed + "_-", 40) + "." + pick(mixed + "_-", 24)], lambda: ["AIza" + pick(mixed + "_-", 35)],
+        lambda: [pick(up + dig, size(13, 16)) for _ in range(size(2, 4))], lambda: [pick(dig + "abcdef", 40)], lambda: [f"https://{small()}:{pick(mixed, 14)}@{host()}/"], lambda: [pick(low + up, size(20, 48))], lambda: [pick(low + up, size(24, 40))],
+        lambda: [any_of("password", "token", "secret", "api_key", "key", small()) + any_of("=", ":") + pick(mixed + "!$%", size(12, 30)) + any_of("", "!", "7")],
+    ]
+    led_secrets = [
+        lambda: [pick(low, size(20, 40))], lambda: [pick(up, size(20, 40))], lambda: ["".join(small().capitalize() + word().capitalize() for _ in range(size(2, 4)))], lambda: [pick(mixed + "!$%&*-_+", size(6, 16)) + any_of("!", "7", "$", "9x")],
+        lambda: [word().capitalize() + pick(dig, size(1, 5)) + any_of("", "!", "$", "#1")], lambda: [word() + pick(dig, size(1, 5))], lambda: ["-".join(word() for _ in range(size(3, 6))) + any_of("", str(size(1, 99)))], lambda: [pick(mixed, size(8, 20))],
     ]
     others = [
-        lambda: f"{word()}.{size(1, 999)}@mail{size(1, 99)}.{word()}.com", lambda: f"https://{host()}/{word()}/{size(1, 99999)}", lambda: f"{size(1990, 2030)}-{size(10, 13)}-{size(10, 29)}T{size(10, 24)}:{size(10, 60)}:{size(10, 60)}Z", lambda: f"{size(10, 256)}.{size(100, 256)}.{size(100, 256)}.{size(10, 256)}",
-        lambda: f"+{size(1, 99)}-{pick(dig, 3)}-{pick(dig, 3)}-{pick(dig, 4)}", lambda: pick(dig, size(12, 20)), lambda: f"{word()}_{word()}_{size(1, 999)}.txt", lambda: f"/usr/{word()}/{word()}{size(1, 99)}/{word()}", lambda: f"{pick(dig, 4)}-{pick(dig, 4)}-{pick(dig, 4)}-{pick(dig, 4)}",
-        lambda: f"{word()}{word()}{word()}{size(1, 99)}", lambda: f"{word().upper()}{word().upper()}-{size(100, 9999)}", lambda: f"{size(1, 99)},{pick(dig, 3)},{pick(dig, 3)}.{pick(dig, 2)}", lambda: f"DE{pick(dig, 20)}", lambda: f"978-{size(0, 9)}-{pick(dig, 4)}-{pick(dig, 4)}-{size(0, 9)}", lambda: f"v{size(0, 20)}.{size(0, 20)}.{size(0, 99)}-beta.{size(1, 9)}", lambda: f"{word()}{word()}!!{word()}{size(1, 99)}{word()}",
-        lambda: f"{pick(dig + 'abcdef', 8)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 12)}",
+        lambda: f"{small()}.{size(1, 999)}@mail{size(1, 99)}.{small()}.com", lambda: f"{small()}.{small()}@{small()}.org", lambda: f"https://{host()}/{small()}/{size(1, 99999)}", lambda: f"http://www.{small()}.org/{small()}/{small()}-{small()}-{small()}.html?{small()}={size(1, 999)}", lambda: f"{size(1990, 2030)}-{size(10, 13)}-{size(10, 29)}T{size(10, 24)}:{size(10, 60)}:{size(10, 60)}Z",
+        lambda: f"{size(10, 256)}.{size(100, 256)}.{size(100, 256)}.{size(10, 256)}", lambda: f"+{size(1, 99)}-{pick(dig, 3)}-{pick(dig, 3)}-{pick(dig, 4)}", lambda: pick(dig, size(5, 20)), lambda: f"{small()}_{small()}_{size(1, 999)}.txt", lambda: f"/usr/{small()}/{small()}{size(1, 99)}/{small()}", lambda: f"{pick(dig, 4)}-{pick(dig, 4)}-{pick(dig, 4)}-{pick(dig, 4)}",
+        lambda: f"{word()}{word()}{word()}{size(1, 99)}", lambda: f"{word().upper()}{word().upper()}-{size(100, 9999)}", lambda: f"{size(1, 99)},{pick(dig, 3)},{pick(dig, 3)}.{pick(dig, 2)}", lambda: f"DE{pick(dig, 20)}", lambda: f"978-{size(0, 9)}-{pick(dig, 4)}-{pick(dig, 4)}-{size(0, 9)}", lambda: f"v{size(0, 20)}.{size(0, 20)}.{size(0, 99)}-beta.{size(1, 9)}",
+        lambda: f"{small()}{small()}!!{small()}{size(1, 99)}{small()}", lambda: f"{pick(dig + 'abcdef', 8)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 12)}", lambda: "".join(word() for _ in range(size(4, 9))), lambda: "".join(small().capitalize() for _ in range(size(2, 6))) + "()", lambda: f"self.{small()}_{small()}[{size(0, 99)}]",
+        lambda: f"#{pick(dig + 'abcdef', 6)}", lambda: f"{size(1, 2000)}{any_of('px', 'kg', 'm2', 'GB', 'th', '%')}", lambda: f"[{size(1, 99)}]", lambda: f"$${small()}^{size(1, 9)}$$", lambda: "".join(any_of("!", "?", ".", "*", "$", "#") for _ in range(size(3, 12))), lambda: f"{small().capitalize()}{pick(up, 1)}.{small()}{pick(dig, 2)}", lambda: f"{word()}/{word()}", lambda: f"{small()}{small()}123",
+        lambda: f"{small()}={small()}", lambda: f"{small()}:{size(1, 99)}", lambda: f'{small()}="{small()}-{small()}"',
     ]
+    leads = "pass pwd passphrase pin key auth bearer credential credentials login".split()
+    named = lambda w: any_of(f"{w}:", f"{w} :", f"{w}", f"{w} =", f"{w.capitalize()}:", f"{w} is", f"{w}=").split()
     out = []
     for _ in range(n):
-        keyed = rng.random() < 0.5
-        lead = any_of("key:", "key", "auth", "Authorization: Bearer", "credential", "Bearer", "pass", "private key =", "using", word()) if keyed else word()
-        middle = secrets[size(0, len(secrets))]() if keyed else [others[size(0, len(others))]()]
-        if keyed and rng.random() < 0.1:
-            middle.append(others[size(0, len(others))]())
-            tags = [BEGIN, *[INSIDE] * (len(middle) - 2), OUT]
+        words, tags, kind = [prose() for _ in range(size(2, 14))], [], rng.random()
+        tags = [OUT] * len(words)
+        if kind < 0.3:
+            lead, secret = named(any_of("key", "auth", "bearer", "credential", "private key", "access key", "using", "Authorization: Bearer", small())), any_of(*long_secrets)()
+        elif kind < 0.5:
+            lead, secret = named(any_of(*leads)), any_of(*led_secrets)()
+        elif kind < 0.6:
+            lead, secret = named(any_of(*leads)), []  # the word alone announces nothing
         else:
-            tags = [BEGIN, *[INSIDE] * (len(middle) - 1)] if keyed else [OUT] * len(middle)
-        text = " ".join([*(word() for _ in range(size(3, 40))), lead, *middle, *(word() for _ in range(size(2, 40)))])
-        found, at, run, own = candidates(text), 0, [], []
-        file = file_features(text, len(found), rng.random() < 0.3)
-        for w, tag in zip(middle, tags, strict=True):
-            at = text.index(w, at)
-            hit = next((c for c in found if c[0] <= at + 2 < c[1]), None)
-            if hit is None:
-                break
-            run.append(features(text[hit[0] : hit[1]], hit[2], hit[3], file))
-            own.append(tag)
-            at += len(w)
-        if run:
-            out.append((run, own))
+            lead, secret = [], []
+        words += lead + secret
+        tags += [OUT] * len(lead) + ([BEGIN, *[INSIDE] * (len(secret) - 1)] if secret else [])
+        if secret and rng.random() < 0.3:
+            words[-1] += any_of(".", ",", '"', ")")
+        for _ in range(size(1, 14)):
+            words.append(any_of(*others)() if rng.random() < 0.25 else prose())
+            tags.append(OUT)
+        out.append((words, tags, int(rng.random() < 0.3)))
     return out
 
 
+def examples(n: int, seed: int = 9) -> list[tuple[list[list[int]], list[int]]]:
+    return [(features(words, found), tags) for words, tags, found in sentences(n, seed)]
+
+
 @lru_cache(maxsize=1)
 def trained() -> Field:
-    field, known = Field(), examples(2500)
-    order = np.random.default_rng(1)
-    for epoch in range(EPOCHS):
-        for i in order.permutation(len(known)):
-            field.learn(*known[i], STEP / (1 + epoch))
+    field, known, order = Field(), examples(SENTENCES), np.random.default_rng(1)
+    slopes, slopes_pairs = np.zeros((SPACE, 3)), np.zeros((3, 3))
+    for _ in range(EPOCHS):
+        rows = order.permutation(len(known))
+        for at in range(0, len(rows), TOGETHER):
+            field.learn([known[i] for i in rows[at : at + TOGETHER]], slopes, slopes_pairs)
     return field
 
 
-def spans_of(text: str, field: Field) -> list[tuple[int, int, str]]:
+def _inner(word: str) -> tuple[int, int]:
+    """Start and end of a word without what punctuation cuts off at its ends: pa$$ is whole, of "key"### the key is."""
+    if not word.strip(_EDGE):
+        return 0, len(word)
+    start, end = len(word) - len(word.lstrip(_EDGE)), len(word.rstrip(_EDGE))
+    while start and word[start - 1] not in _MARKS:
+        start -= 1
+    while end < len(word) and word[end] not in _MARKS:
+        end += 1
+    return start, end
+
+
+class Scanner:
+    """A field with the scores of the words that it has met."""
+
+    def __init__(self, field: Field) -> None:
+        self.field, self.led, self.cross = field, field.weights[_led(), 1:], {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.scores, self.shapes, self.leads, self.characters = np.zeros((1024, 4, 2)), np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=bool), 0
+
+    def _learn(self, new: list[str]) -> None:
+        first, n = len(self.places), len(self.places) + len(new)
+        while n > len(self.scores):
+            self.scores, self.shapes, self.leads = (np.concatenate([x, np.zeros_like(x)]) for x in (self.scores, self.shapes, self.leads))
+        parts = [word_features(w) for w in new]
+        for k in range(4):
+            sizes = [len(p[k]) for p in parts]
+            flat = self.field.weights[[f for p in parts for f in p[k]], 1:]
+            self.scores[first:n, k] = np.add.reduceat(flat, np.cumsum([0, *sizes[:-1]]), axis=0)
+        self.shapes[first:n], self.leads[first:n] = [p[4] for p in parts], [lead_of(w) for w in new]
+        self.places.update(zip(new, range(first, n), strict=True))
+        self.characters += sum(map(len, new))
+
+    def word_scores(self, words: list[str], found: int) -> np.ndarray:
+        """Three scores of each word."""
+        if len(self.places) > KNOWN or self.characters > KNOWN_CHARACTERS:
+            self.forget()
+        if new := [w for w in dict.fromkeys(words) if w not in self.places]:
+            for at in range(0, len(new), 10_000):
+                self._learn(new[at : at + 10_000])
+        place = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
+        shape, lead = self.shapes[place], self.leads[place]
+        file = tuple(file_features(len(words), int((shape % 7 > 0).sum()), found, bool(lead.any())))
+        if file not in self.cross:
+            self.cross[file] = self.field.weights[_cross(list(file)), 1:].sum(1)
+        out = np.zeros((len(words), 3))
+        says = self.scores[place]
+        out[:, 1:] = says[:, 0] + self.cross[file][shape]
+        led = np.zeros(len(words), dtype=np.int64)
+        led[2:][lead[:-2]] = 2
+        led[1:][lead[:-1]] = 1
+        out[:, 1:] += self.led[led, shape]
+        out[1:, 1:] += says[:-1, 1]
+        out[2:, 1:] += says[:-2, 2]
+        out[:-1, 1:] += says[1:, 3]
+        return out
+
+    def secrets(self, text: str, found: int) -> list[tuple[int, int]]:
+        """Start and end of each secret that the field tags."""
+        words = text.split()
+        tagged = self.field.tagged(self.word_scores(words, found)) if words else []
+        if not tagged:
+            return []
+        at = [m.start() for m in _WORD.finditer(text)]
+        return [(at[a] + _inner(words[a])[0], at[b] + _inner(words[b])[1]) for a, b in tagged]
+
+
+def spans_of(text: str, scanner: Scanner) -> list[tuple[int, int, str]]:
     """All spans by start, then kind."""
     base = base_spans(text)
-    words = candidates(text)
-    if not words:
-        return base
-    file = file_features(text, len(words), len(base))
-    runs: list[list[tuple[int, int, str, str]]] = []
-    for w in words:
-        if runs and not text[runs[-1][-1][1] : w[0]].strip(_EDGE + " \t\n\x0b\x0c\r"):
-            runs[-1].append(w)
-        else:
-            runs.append([w])
     starts, ends = [], []  # what patterns cover together
     for start, end, _ in base:
         if ends and start <= ends[-1]:
@@ -232,19 +409,10 @@ def spans_of(text: str, field: Field) -> list[tuple[int, int, str]]:
             starts.append(start)
             ends.append(end)
     found = []
-    for run in runs:
-        tags = field.viterbi([features(text[a:b], p, n, file) for a, b, p, n in run])
-        at = 0
-        while at < len(run):
-            last = at
-            if tags[at] == BEGIN:
-                while last + 1 < len(run) and tags[last + 1] == INSIDE:
-                    last += 1
-                a, b = run[at][0], run[last][1]
-                k = bisect_right(starts, a)
-                if not k or ends[k - 1] < b:
-                    found.append((a, b, "crf"))
-            at = last + 1
+    for a, b in scanner.secrets(text, len(base)):
+        k = bisect_right(starts, a)
+        if not k or ends[k - 1] < b:
+            found.append((a, b, "crf"))
     return sorted([*base, *found], key=lambda s: (s[0], KINDS.index(s[2])))
 
 
@@ -253,8 +421,10 @@ def secret_spans(text: Column) -> Column:
     field = trained()
 
     @F.pandas_udf(SPANS)
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: [{"kind": k, "start": a, "end": b} for a, b, k in spans_of(t, field)])
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scanner = Scanner(field)
+        for texts in parts:
+            yield texts.map(lambda t: [{"kind": k, "start": a, "end": b} for a, b, k in spans_of(t, scanner)])
 
     return run(F.coalesce(text, F.lit("")))
 
@@ -274,10 +444,12 @@ def redacted(text: Column, mark: str = "[SECRET]") -> Column:
     field = trained()
 
     @F.pandas_udf("text string, secrets int")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        found = [spans_of(t, field) if t else [] for t in texts]
-        clean = [without_spans(t, s, mark) if s else t for t, s in zip(texts, found, strict=True)]
-        return pd.DataFrame({"text": pd.Series(clean, dtype=object), "secrets": [len(s) for s in found]})
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        scanner = Scanner(field)
+        for texts in parts:
+            found = [spans_of(t, scanner) if t else [] for t in texts]
+            clean = [without_spans(t, s, mark) if s else t for t, s in zip(texts, found, strict=True)]
+            yield pd.DataFrame({"text": pd.Series(clean, dtype=object), "secrets": [len(s) for s in found]})
 
     return run(text)
 
