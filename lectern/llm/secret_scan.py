@@ -47,7 +47,7 @@ _HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Hashed features; sentences, epochs, step and size of a batch of training.
 SPACE, SENTENCES, EPOCHS, STEP, TOGETHER = 1 << 15, 4000, 8, 0.25, 32
 #: Distinct words that are remembered with their scores, and their characters together.
-KNOWN, KNOWN_CHARACTERS = 200_000, 16_000_000
+KNOWN, KNOWN_CHARACTERS = 400_000, 16_000_000
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 _MARKS = "\"'`.,;:!?()[]{}<>|"
 _EDGE = _MARKS + "*#%&$"
@@ -92,15 +92,28 @@ def _crc(named: list[str]) -> list[int]:
     return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % SPACE for x in named]
 
 
+def plain_shape(word: str) -> tuple | None:
+    """Of a short word of lower-case letters, of such ones after a capital, or of digits, that isn't among NEIGHBOURS: all that its features depend on. Else None."""
+    own = word.strip(_EDGE)
+    n = len(own)
+    if not 0 < n < 12:
+        return None
+    kind = "d" if own.isdigit() else "l" if own.isalpha() and own.islower() else "ul" if n > 1 and own.isalpha() and own[0].isupper() and own[1:].islower() else None
+    return None if kind is None or own.lower() in NEIGHBOURS else (kind, n, word[-1] if word[-1] in _ENDS else "")
+
+
 def word_features(word: str) -> tuple[list[int], list[int], list[int], list[int], int]:
-    """Features that a word gives to itself, to the next word, to the one after that, and to the word before; and its class of changes."""
+    """Features that a word gives to itself, to the next word, to the one after that, and to the word before; and its class of changes.
+
+    Of neighbours, NEIGHBOURS are known by name and all by their last sign, if that is one of _ENDS.
+    """
     own = core(word)
     n, kinds, plain = len(own), own.translate(_KINDS), own.lower().rstrip("=")
     short = _SAME.sub(r"\1", kinds)
     changes = len(short) - 1
     digits, upper = kinds.count("d"), kinds.count("u")
     named = ["bias", f"n{min(n, 8) if n < 8 else 8 + min(n // 4, 16)}", f"c{min(changes, 24)}", f"s{short[:8]}", f"k{''.join(sorted(set(short)))}", f"d{int(digits / n * 6)}|{n > 7}|{n > 15}"]
-    if changes or n > 11:
+    if n > 11 or short not in ("l", "u", "d", "ul"):
         vowels, letters = sum(map(plain.count, "aeiouy")), max(n - digits, 1)
         named += [
             f"v{int(8 * vowels / letters)}|{min(n // 8, 4)}", f"r{int(10 * changes / n)}|{min(n // 8, 4)}", f"p{own[:4]}", f"q{kinds[:3]}", f"u{int(upper / n * 6)}|{min(n // 8, 4)}",
@@ -109,7 +122,8 @@ def word_features(word: str) -> tuple[list[int], list[int], list[int], list[int]
         ]
     # whether a password may follow is said by these together with the word's own shape
     shape = min(changes, 3) + 4 * (n > 5) + 8 * bool(digits)
-    return _crc(named), _crc([f"b{plain}", f"=b{word[-1:]}"]), _crc([f"bb{plain}", f"=bb{word[-1:]}"]), _crc([f"a{plain}"]), min(changes // 4, 6) + 7 * shape
+    about = [f"b{plain}"] * (plain in NEIGHBOURS) + [f"=b{word[-1]}"] * (word[-1] in _ENDS)
+    return _crc(named), _crc(about), _crc([f"b{x}" for x in about]), _crc([f"a{plain}"] * (plain in NEIGHBOURS)), min(changes // 4, 6) + 7 * shape
 
 
 def _entropy(word: str) -> float:
@@ -120,6 +134,8 @@ def _entropy(word: str) -> float:
 #: Words that announce a secret; the pair of whether one stands before, and a word's shape, is a feature.
 LEADS = frozenset("password passwd pass pwd passphrase pin secret token key apikey api_key auth authorization bearer credential credentials private access login".split())
 SHAPES = 7 * 16
+NEIGHBOURS = LEADS | frozenset("api is was are as my your the a use uses using with set export header value = : => -> || |".split())
+_ENDS = ":=\"'"
 
 
 def lead_of(word: str) -> bool:
@@ -349,19 +365,31 @@ class Scanner:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
+        self.plain: dict[tuple, int] = {}
+        self.rows = 0
         self.scores, self.shapes, self.leads, self.characters = np.zeros((1024, 4, 2)), np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=bool), 0
 
     def _learn(self, new: list[str]) -> None:
-        first, n = len(self.places), len(self.places) + len(new)
+        """Rows of new words; plain ones of a shape share theirs."""
+        odd = []
+        for w in new:
+            shape = plain_shape(w)
+            row = None if shape is None else self.plain.get(shape)
+            if row is None:
+                row = self.rows + len(odd)
+                odd.append(w)
+                if shape is not None:
+                    self.plain[shape] = row
+            self.places[w] = row
+        first, n = self.rows, self.rows + len(odd)
+        self.rows = n
         while n > len(self.scores):
             self.scores, self.shapes, self.leads = (np.concatenate([x, np.zeros_like(x)]) for x in (self.scores, self.shapes, self.leads))
-        parts = [word_features(w) for w in new]
+        parts = [word_features(w) for w in odd]
         for k in range(4):
-            sizes = [len(p[k]) for p in parts]
-            flat = self.field.weights[[f for p in parts for f in p[k]], 1:]
-            self.scores[first:n, k] = np.add.reduceat(flat, np.cumsum([0, *sizes[:-1]]), axis=0)
-        self.shapes[first:n], self.leads[first:n] = [p[4] for p in parts], [lead_of(w) for w in new]
-        self.places.update(zip(new, range(first, n), strict=True))
+            owner = np.repeat(np.arange(first, n), [len(p[k]) for p in parts])
+            np.add.at(self.scores, (owner, k), self.field.weights[[f for p in parts for f in p[k]], 1:]) if len(owner) else None
+        self.shapes[first:n], self.leads[first:n] = [p[4] for p in parts], [lead_of(w) for w in odd]
         self.characters += sum(map(len, new))
 
     def word_scores(self, words: list[str], found: int) -> np.ndarray:
