@@ -7,8 +7,10 @@ cost of a sequence is overhead + c + c * c / quadratic, over the words that the
 that is left to place). At the end each bin is downsized to the least permitted capacity that holds its contents, so
 opening large costs nothing where the contents stay small.
 
-Each task packs its own rows in windows of a bounded number of pieces; no row is shuffled, so no key can be hot, and a
-lost task is repeated alone. Bins are named by (partition, window, bin).
+Packing isn't bound to the files' partitions: pieces (numbers, no texts) are dealt by hash to groups of about WINDOW, each of
+which is packed for itself, so every group has the table's mix of lengths and its bins are as full however the files were
+split. No key can be hot, as a row's number decides, not its id; a lost task packs its groups again. Bins are named by group
+and bin. With texts, rows are saved with their numbers and meet their pieces' places by a join.
 
 Cases: a null text is packed as an empty one; an empty text takes its separator's place; null ids and repeated rows are
 packed as rows of their own; an empty table gives no bins. The result holds the operator's columns only.
@@ -21,22 +23,22 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, small_batches, table
+from .common import WORD, saved, small_batches, table
 
 CAPACITIES = (256, 512, 1024, 2048, 4096, 8192)
 #: Cost of a sequence besides its length: a fixed part, and attention as length squared over this.
 OVERHEAD, QUADRATIC = 64, 16384
-#: Pieces packed together.
-WINDOW = 20_000
+#: Pieces packed together, about.
+WINDOW = 2_000
 
 _WORD = re.compile(WORD)
 #: Stands for a null id on the way through pandas, which would turn a column with nulls into floats.
 _NULL = -(2**63)
-_SCHEMA = "doc_id long, piece int, start long, length int, bin_id long, capacity int, bin_used int, bin_offset int"
+_PIECE = "row long, doc_id long, piece int, start long, length int, first long, end long"
+_PLACE = "bin_id long, capacity int, bin_used int, bin_offset int"
 
 
 def pieces_of(text: str, most: int) -> list[tuple[int, int, int, int]]:
@@ -89,31 +91,28 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacities=CA
     """A row for each piece: doc_id, piece, start (first word), length (words and separator), bin_id, capacity of its bin, bin_used, bin_offset; with_text adds the piece's text."""
     most = max(capacities) - 1
 
-    def packed(rows: list[tuple], number: int) -> pd.DataFrame:
-        bin_of, offset, size, used = best_fit([r[3] for r in rows], capacities)
-        first = (TaskContext.get().partitionId() << 40) + (number << 20)
-        out = pd.DataFrame({
-            "doc_id": pd.array([None if r[0] == _NULL else r[0] for r in rows], dtype="Int64"), "piece": [r[1] for r in rows], "start": [r[2] for r in rows], "length": [r[3] for r in rows],
-            "bin_id": [first + b for b in bin_of], "capacity": [size[b] for b in bin_of], "bin_used": [used[b] for b in bin_of], "bin_offset": offset,
-        })
-        return out.assign(text=[r[4] for r in rows]) if with_text else out
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, number, held = [], 0, 0
+    def measured(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for doc, body in zip(pdf["doc_id"], pdf["text"], strict=True):
-                for i, (start, n, a, e) in enumerate(pieces_of(body, most)):
-                    rows.append((doc, i, start, n + 1, body[a:e] if with_text else ""))
-                    held += e - a if with_text else 0
-                    if len(rows) == window or held > 64_000_000:
-                        yield packed(rows, number)
-                        rows, number, held = [], number + 1, 0
-        if rows:
-            yield packed(rows, number)
+            rows = [(row, doc, i, start, n + 1, a, e) for row, doc, body in zip(pdf["row"], pdf["doc_id"], pdf["text"], strict=True) for i, (start, n, a, e) in enumerate(pieces_of(body, most))]
+            yield pd.DataFrame(rows, columns=["row", "doc_id", "piece", "start", "length", "first", "end"])
+
+    def packed(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["length", "row", "piece"], ascending=[False, True, True], ignore_index=True)
+        bin_of, offset, size, used = best_fit(pdf["length"].tolist(), capacities)
+        places = {"bin_id": [(group[0] << 24) + b for b in bin_of], "capacity": [size[b] for b in bin_of], "bin_used": [used[b] for b in bin_of], "bin_offset": offset}
+        return pdf.drop(columns="group").assign(**places)
 
     small_batches(docs.sparkSession)
-    slim = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return slim.mapInPandas(run, _SCHEMA + ", text string" * with_text)
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(F.col(key).cast("long"), F.lit(_NULL)).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    if with_text:
+        numbered = saved(numbered)  # the numbers must not change between the two uses
+    pieces = saved(numbered.mapInPandas(measured, _PIECE))
+    groups = -(-pieces.count() // window) or 1
+    placed = pieces.withColumn("group", F.pmod(F.xxhash64("row", "piece"), F.lit(groups))).groupBy("group").applyInPandas(packed, f"{_PIECE}, {_PLACE}")
+    columns = [F.nullif("doc_id", F.lit(_NULL)).alias("doc_id"), "piece", "start", "length", "bin_id", "capacity", "bin_used", "bin_offset"]
+    if not with_text:
+        return placed.select(*columns)
+    return placed.join(numbered.select("row", "text"), "row").select(*columns, F.expr("substring(text, CAST(first AS INT) + 1, CAST(end - first AS INT))").alias("text"))
 
 
 def op10_pack(spark, sf_dir: str) -> DataFrame:

@@ -508,6 +508,24 @@ def test_packing_is_whole(spark):
         assert b.capacity.iloc[0] == min(c for c in (16, 64, 256) if c >= b.length.sum())
 
 
+def test_packing_does_not_depend_on_partitions(spark, tmp_path):
+    """Bins are as full from one partition as from many small ones, with and without texts; and each group is the plain algorithm's."""
+    rng = random.Random(4)
+    rows = [doc(i, "w " * rng.randint(1, 200)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, DOCS)
+    fill = []
+    for parts, text in ((1, False), (64, False), (64, True)):
+        got = packing.pack(frame.repartition(parts), capacities=(64, 256, 1024), with_text=text, window=1000).toPandas()
+        assert len(got) == 3000 or text is None
+        bins = got.drop_duplicates("bin_id")
+        fill.append(bins.bin_used.sum() / bins.capacity.sum())
+        for _, group in got.groupby(got.bin_id // 2**24):
+            _, _, size, used = packing.best_fit(group.length.tolist(), (64, 256, 1024))
+            own = group.drop_duplicates("bin_id")
+            assert sorted(zip(own.capacity, own.bin_used, strict=True)) == sorted(zip(size, used, strict=True))
+    assert min(fill) > 0.98 and max(fill) - min(fill) < 0.01
+
+
 def test_best_fit_takes_the_fullest_bin():
     bins, offsets, size, used = packing.best_fit([200, 50, 6, 100, 100, 12], (16, 64, 128, 256))
     assert all(used[b] <= size[b] for b in bins) and sum(used) == 468
