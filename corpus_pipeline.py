@@ -8,7 +8,8 @@ Every stage takes all that the one before kept. The first four return the column
 - mixing: documents are taken as often as their source's share of the words asks, so ids may repeat or go (1).
 - packing: texts become pieces in sequences of permitted lengths (10).
 
-Null texts and ids go through as the operators' own rules say; of rows that repeat an id one stays.
+Null texts go through as the operators' own rules say. Rows that repeat an id, or have none, are documents of their own
+where their texts differ; of rows alike in id and text one stays.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from lectern.llm.mixing import mix
 from lectern.llm.packing import pack
 from lectern.llm.secret_scan import redacted
 from lectern.llm.toxicity import CUT, learn, scored
+from lectern.operators.ids import with_dense_ids
 from lectern.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -34,20 +36,32 @@ def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored(docs, model, out="toxic_score").where(F.col("toxic_score") < CUT).select(*COLUMNS)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with a key of their own: the id, or a number beyond all ids for each text of an id that is repeated or null."""
+    again = saved(docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("its_id")))
+    if again.isEmpty():
+        return docs.select(F.col("doc_id").alias("key"), *COLUMNS)
+    same = F.col("doc_id").eqNullSafe(F.col("its_id"))
+    mark = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    repeated = docs.join(again, same, "left_semi").withColumn("mark", mark)
+    order = [F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark"]  # a row with an id stays before one without
+    numbers = with_dense_ids(repeated.select(*order).distinct(), ["nameless", "doc_id", "mark"], "number").drop("nameless").toDF("its_id", "its_mark", "number")
+    top = docs.agg(F.max("doc_id")).first()[0] or 0
+    numbered = repeated.join(numbers, same & (F.col("mark") == F.col("its_mark"))).withColumn("key", F.col("number") + F.lit(top + 1))
+    one = numbered.groupBy("key").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("key", "row.*")
+    return saved(docs.join(again, same, "left_anti").select(F.col("doc_id").alias("key"), *COLUMNS).union(one))
+
+
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shingles of five words, linked at a similarity of 0.8; rows without an id stay."""
-    found = near_duplicates(docs)
-    gone = found.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    if repeated.isEmpty():
-        return left
-    once = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
-    rest = left.where("doc_id is not null").join(repeated, "doc_id", "left_anti")
-    return rest.union(once).union(left.where("doc_id is null"))
+    """Shingles of five words, linked at a similarity of 0.8."""
+    ship(spark)
+    keyed = _keyed(docs)
+    gone = near_duplicates(keyed, key="key").where(~F.col("kept")).select(F.col("doc_id").alias("key"))
+    return keyed.join(gone, "key", "left_anti").select(*COLUMNS)
 
 
 def redact_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     small_batches(spark)
     clean = docs.withColumn("clean", redacted(F.col("text")))
     length = F.when(F.col("clean.secrets") > 0, F.length("clean.text").cast("long")).otherwise(F.col("n_chars"))
@@ -69,6 +83,7 @@ def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each piece, with its text and its place in its sequence."""
+    ship(spark)
     return pack(docs, with_text=True)
 
 
