@@ -33,7 +33,7 @@ def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labels of the table's own documents; documents without a text are not toxic."""
     ship(spark)
     model = learn(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return scored(docs, model, out="toxic_score").where(F.col("toxic_score") < CUT).select(*COLUMNS)
+    return scored(docs.select(*COLUMNS), model, out="toxic_score").where(F.col("toxic_score") < CUT).select(*COLUMNS)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shingles of five words, linked at a similarity of 0.8."""
     ship(spark)
-    keyed = _keyed(docs)
+    keyed = _keyed(docs.select(*COLUMNS))
     gone = near_duplicates(keyed, key="key").where(~F.col("kept")).select(F.col("doc_id").alias("key"))
     return keyed.join(gone, "key", "left_anti").select(*COLUMNS)
 
@@ -63,7 +63,7 @@ def drop_near_copies(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 def redact_secrets(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     small_batches(spark)
-    clean = docs.withColumn("clean", redacted(F.col("text")))
+    clean = docs.select(*COLUMNS).withColumn("clean", redacted(F.col("text")))
     length = F.when(F.col("clean.secrets") > 0, F.length("clean.text").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumns({"text": F.col("clean.text"), "n_chars": length}).select(*COLUMNS)
 
@@ -74,7 +74,7 @@ def mix_sources(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     sizes = saved(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), mark.alias("mark")))
     copies = mix(sizes, "size").select("doc_id", "mark", "copies").groupBy("doc_id", "mark").agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     copies = copies.toDF("its_id", "its_mark", "copies", "rows").where("copies > 0")
-    marked = docs.withColumn("mark", mark)
+    marked = docs.select(*COLUMNS).withColumn("mark", mark)
     joined = marked.join(copies, F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("mark") == F.col("its_mark"))).select(*COLUMNS, "copies", "rows")
     single = joined.where("rows = 1").select(*COLUMNS, "copies")
     alike = joined.where("rows > 1").groupBy(*COLUMNS).agg(F.first("copies").alias("copies"))
