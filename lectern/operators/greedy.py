@@ -5,9 +5,10 @@ sum N and V kinds of n-grams, the divergence is ln V - ln N + (sum of x ln x) /
 counts. Coverage: the candidate with most n-grams not yet covered; when no candidate adds one, all count as uncovered
 again. Ties go to the smallest id; the loop ends when the best candidate does not fit the budget any more.
 
-Candidates are rows of (id, symbols, sorted n-gram numbers, counts), saved once. Each step scores them where they lie, and
-a partition answers with its best row only; the driver keeps the counts of n-grams, a bounded alphabet. Where all
-candidates fit one task (ONE_TASK n-gram numbers, a checked size), the whole loop runs in it.
+Candidates are rows of (id, symbols, n-grams as 64-bit numbers, counts), made without a shuffle and saved once. Each step
+scores them where they lie, and a partition answers with its best row only; the driver keeps the counts of the n-grams that
+are selected, which grow with the selection and not with the corpus. Where all candidates fit one task (ONE_TASK n-gram
+numbers, a checked size), the whole loop runs in it.
 """
 
 from __future__ import annotations
@@ -20,17 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
+from lectern.operators.grams import gram_rows
 from lectern.saving import saved
 
 ONE_TASK = 5_000_000
 
 
-def ngram_counts(utterances: DataFrame, n: int, ignore: set[str], column: str = "repr_syms") -> DataFrame:
-    """utt_id, gram, n: occurrences without ignored symbols."""
-    symbols = F.filter(F.col(column), lambda s: ~s.isin(*sorted(ignore))) if ignore else F.col(column)
-    return utterances.select("utt_id", F.explode(tx.ngrams(symbols, n)).alias("gram")).groupBy("utt_id", "gram").agg(F.count(F.lit(1)).alias("n"))
-
-
 def kld_scores(grams: np.ndarray, counts: np.ndarray, rows: np.ndarray, size: int, have: np.ndarray) -> np.ndarray:
     """The divergence, less ln V, after adding each row. grams, counts: of all rows; rows: the row of each."""
     x = have[grams]
@@ -54,13 +50,20 @@ def _flat(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return join("grams"), join("counts"), np.repeat(np.arange(len(pdf)), sizes)
 
 
-def _best(pdf: pd.DataFrame, have: np.ndarray, taken: set[int], kind: str) -> tuple[float, int] | None:
-    """Score and place of the best row that isn't taken."""
+def _known(names: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """The place of each n-gram in the sorted names; len(names) where it is missing."""
+    at = np.minimum(np.searchsorted(names, grams), max(len(names) - 1, 0))
+    return np.where(names[at] == grams, at, len(names)) if len(names) else np.zeros(len(grams), dtype=np.int64)
+
+
+def _best(pdf: pd.DataFrame, names: np.ndarray, have: np.ndarray, taken: np.ndarray, kind: str) -> tuple[float, int] | None:
+    """Score and place of the best row that isn't taken. have: counts of names."""
     if not len(pdf):
         return None
-    score = np.round(SCORES[kind](*_flat(pdf), len(pdf), have), 12)
+    grams, counts, rows = _flat(pdf)
+    score = np.round(SCORES[kind](_known(names, grams), counts, rows, len(pdf), np.append(have, 0)), 12)
     ids = pdf["utt_id"].to_numpy(np.int64)
-    score = np.where(np.isin(ids, list(taken)), np.inf, score)
+    score = np.where(np.isin(ids, taken), np.inf, score)
     at = int(np.lexsort((ids, score))[0])
     return None if np.isinf(score[at]) else (float(score[at]), at)
 
@@ -68,21 +71,26 @@ def _best(pdf: pd.DataFrame, have: np.ndarray, taken: set[int], kind: str) -> tu
 class _Loop:
     """What a step needs to know, and what it decides."""
 
-    def __init__(self, have: np.ndarray, kind: str, seconds: float, speed: float) -> None:
+    def __init__(self, have: dict[int, int], kind: str, seconds: float, speed: float) -> None:
         self.have, self.kind, self.left, self.speed, self.taken = have, kind, seconds, speed, []
 
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        names = np.array(sorted(self.have), dtype=np.int64)
+        return names, np.array([self.have[g] for g in names.tolist()], dtype=np.int64)
+
     def take(self, row) -> bool:
         if (row.symbols / self.speed) > self.left + 1e-9:
             return False
         self.left -= row.symbols / self.speed
         self.taken.append(int(row.utt_id))
-        np.add.at(self.have, np.asarray(row.grams, dtype=np.int64), np.asarray(row.counts, dtype=np.int64))
+        for g, c in zip(row.grams, row.counts, strict=True):
+            self.have[g] = self.have.get(g, 0) + c
         return True
 
     def restart(self, score: float) -> bool:
         """Coverage starts anew when nothing is new."""
-        if self.kind == "coverage" and score == 0 and self.have.any():
-            self.have[:] = 0
+        if self.kind == "coverage" and score == 0 and self.have:
+            self.have.clear()
             return True
         return False
 
@@ -98,18 +106,9 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
     fits = (seconds_of >= band[0]) & (seconds_of < band[1]) if band[1] != math.inf else seconds_of >= band[0]
     rest = utterances.join(selection.select("utt_id"), "utt_id", "left_anti").where(fits)
     chosen = utterances.join(selection.select("utt_id"), "utt_id", "left_semi")
-    counted = saved(ngram_counts(rest, n, set(ignore)))
-    before = ngram_counts(chosen, n, set(ignore)).groupBy("gram").agg(F.sum("n").alias("have"))
-    alphabet = counted.select("gram").union(before.select("gram")).distinct()
-    grams = [tuple(r["gram"]) for r in alphabet.collect()]  # kinds of n-grams: an alphabet, not the corpus
-    index = {g: i for i, g in enumerate(sorted(grams))}
-    have = np.zeros(len(index), dtype=np.int64)
-    for r in before.collect():
-        have[index[tuple(r["gram"])]] = r["have"]
-    numbers = spark.createDataFrame([(list(g), i) for g, i in index.items()], "gram array<string>, g int")
-    rows = counted.join(F.broadcast(numbers) if len(index) <= 100_000 else numbers, "gram").groupBy("utt_id").agg(F.array_sort(F.collect_list(F.struct("g", "n"))).alias("gn"))
-    sizes = rest.select("utt_id", F.size("reading_syms").cast("long").alias("symbols"))
-    rows = saved(rows.join(sizes, "utt_id").select("utt_id", "symbols", F.transform("gn", lambda x: x["g"]).alias("grams"), F.transform("gn", lambda x: x["n"]).alias("counts")))
+    rows = saved(gram_rows(rest, n, set(ignore)).where(F.size("grams") > 0))
+    before = gram_rows(chosen, n, set(ignore)).select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.counts").alias("have"))
+    have = {r["grams"]: r["have"] for r in before.collect()}  # kinds of n-grams of the selection
     load = rows.agg(F.sum(F.size("grams")).alias("s")).first()["s"] or 0
     if not load:
         return spark.createDataFrame([], "utt_id long, sel_rank long")
@@ -117,42 +116,44 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
     if load <= one_task:
 
         def alone(pdf: pd.DataFrame) -> pd.DataFrame:
-            loop = _Loop(have.copy(), kind, seconds, speed)
             pdf = pdf.sort_values("utt_id", ignore_index=True)
             ids, symbols = pdf["utt_id"].to_numpy(np.int64), pdf["symbols"].to_numpy(np.int64)
-            g, c, r = _flat(pdf)
+            flat, c, r = _flat(pdf)
+            names, g = np.unique(np.concatenate([flat, np.array(list(have), dtype=np.int64)]), return_inverse=True)
+            g, counts = g[: len(flat)], np.array([have.get(x, 0) for x in names.tolist()], dtype=np.int64)
             starts = np.concatenate([[0], np.cumsum(np.bincount(r, minlength=len(pdf)))])
-            open_ = np.ones(len(pdf), dtype=bool)
+            open_, left, taken = np.ones(len(pdf), dtype=bool), seconds, []
             while open_.any():
-                score = np.where(open_, np.round(SCORES[kind](g, c, r, len(pdf), loop.have), 12), np.inf)
+                score = np.where(open_, np.round(SCORES[kind](g, c, r, len(pdf), counts), 12), np.inf)
                 at = int(np.argmin(score))
-                if loop.restart(score[at]):
+                if kind == "coverage" and score[at] == 0 and counts.any():
+                    counts[:] = 0
                     continue
-                if symbols[at] / speed > loop.left + 1e-9:
+                if symbols[at] / speed > left + 1e-9:
                     break
-                loop.left -= symbols[at] / speed
-                loop.taken.append(int(ids[at]))
-                np.add.at(loop.have, g[starts[at] : starts[at + 1]], c[starts[at] : starts[at + 1]])
+                left -= symbols[at] / speed
+                taken.append(int(ids[at]))
+                np.add.at(counts, g[starts[at] : starts[at + 1]], c[starts[at] : starts[at + 1]])
                 open_[at] = False
-            return pd.DataFrame({"utt_id": np.array(loop.taken, dtype=np.int64), "sel_rank": np.arange(len(loop.taken))})
+            return pd.DataFrame({"utt_id": np.array(taken, dtype=np.int64), "sel_rank": np.arange(len(taken))})
 
-        return rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(alone, "utt_id long, sel_rank long")
+        return rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(lambda pdf: alone(pdf.drop(columns="one")), "utt_id long, sel_rank long")
 
     loop = _Loop(have, kind, seconds, speed)
     while True:
-        state, taken = spark.sparkContext.broadcast(loop.have.copy()), set(loop.taken)
+        state = spark.sparkContext.broadcast((*loop.arrays(), np.array(loop.taken, dtype=np.int64)))
 
         def best(parts):
             top = None
             for pdf in parts:
-                if hit := _best(pdf, state.value, taken, kind):
+                if hit := _best(pdf, *state.value, kind):
                     row = pdf.iloc[[hit[1]]].assign(score=hit[0])
                     key = (hit[0], int(row["utt_id"].iloc[0]))
                     top = (key, row) if top is None or key < top[0] else top
             if top is not None:
                 yield top[1]
 
-        found = sorted(rows.mapInPandas(best, "utt_id long, symbols long, grams array<int>, counts array<long>, score double").collect(), key=lambda r: (r["score"], r["utt_id"]))
+        found = sorted(rows.mapInPandas(best, "utt_id long, symbols long, grams array<long>, counts array<long>, score double").collect(), key=lambda r: (r["score"], r["utt_id"]))
         state.destroy()
         if not found or not (loop.restart(found[0]["score"]) or loop.take(found[0])):
             break

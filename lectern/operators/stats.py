@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
+from lectern.operators.grams import gram_counts, symbols_of_gram
+from lectern.saving import saved
 
 
 def flagged(utterances: DataFrame, selection: DataFrame) -> DataFrame:
@@ -16,11 +18,11 @@ def flagged(utterances: DataFrame, selection: DataFrame) -> DataFrame:
 
 def ngram_stats(rows: DataFrame, n: int, column: str = "repr_syms") -> DataFrame:
     """ngram, counts and percentages of selected, other and all rows; a class without n-grams has NaN percentages. rows: with selected."""
-    grams = rows.select("selected", F.explode(tx.ngrams(F.col(column), n)).alias("ngram"))
-    counted = grams.groupBy("ngram").agg(F.count_if("selected").alias("selected"), F.count_if(~F.col("selected")).alias("not_selected"), F.count(F.lit(1)).alias("total"))
+    counted = gram_counts(rows, n, column, "selected").select("gram", F.col("yes").alias("selected"), F.col("no").alias("not_selected"), (F.col("yes") + F.col("no")).alias("total"))
+    counted = saved(counted)  # kinds of n-grams, used twice
     totals = counted.agg(*[F.sum(c).alias(f"all_{c}") for c in ("selected", "not_selected", "total")])
     percent = lambda c: F.when(F.col(f"all_{c}") == 0, F.lit(float("nan"))).otherwise(100 * F.col(c) / F.col(f"all_{c}")).alias(f"{c}_pct")
-    return counted.crossJoin(F.broadcast(totals)).select("ngram", "selected", "not_selected", "total", *[percent(c) for c in ("selected", "not_selected", "total")])
+    return counted.crossJoin(F.broadcast(totals)).select(symbols_of_gram(F.col("gram")).alias("ngram"), "selected", "not_selected", "total", *[percent(c) for c in ("selected", "not_selected", "total")])
 
 
 def general_stats(rows: DataFrame, speed: float = tx.READING_SPEED) -> DataFrame:

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
 from lectern.functions import text as tx
-from lectern.operators import export, filters, greedy, selection, stats, transforms
+from lectern.operators import export, filters, grams, greedy, selection, stats, transforms
 from lectern.operators.ids import with_dense_ids
 from lectern.operators.sentences import split_corpus
 from lectern.plans.corpus import Corpus
+from lectern.saving import saved
 from lectern.sources.steps import selection_dataset
 
 #: Ids of a document's lines.
@@ -173,7 +174,8 @@ def q_prep(spark, sf_dir):
 def q_kld_step(spark, sf_dir):
     """The divergence that each candidate would lead to: one step of the greedy selection, after a fifth is selected."""
     rows = with_symbols(utterances(spark, sf_dir))
-    counts = greedy.ngram_counts(rows, 1, set())
+    counts = grams.gram_rows(rows, 1, ()).select("utt_id", F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("counts").alias("n"))).alias("x")).select("utt_id", "x.gram", "x.n")
+    counts = saved(counts)  # used three times
     marked = counts.join(seed_ids(rows).select("utt_id", F.lit(True).alias("sel")), "utt_id", "left")
     have = marked.where("sel").groupBy("gram").agg(F.sum("n").alias("x"))
     kinds = counts.agg(F.count_distinct("gram").alias("v"))
