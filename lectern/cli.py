@@ -107,8 +107,7 @@ CHANGES: dict[str, tuple[Callable, Callable]] = {
 def _stats(spark, c: Corpus, a) -> None:
     rows = stats.flagged(c.utterances, c.selection)
     for k in (1, 2, 3):
-        table = stats.ngram_stats(rows, k).orderBy("ngram").withColumn("ngram", F.array_join("ngram", ""))
-        table.coalesce(1).write.mode("overwrite").csv(f"{a.out_dir}/{k}_gram_stats", sep="\t", header=True)
+        stats.write_ngram_csv(rows, k, a.out_dir)
     for table in (stats.general_stats(rows), stats.duration_histogram(rows).orderBy("second"), stats.symbol_inventory(rows)):
         table.show(1000, truncate=False)
 

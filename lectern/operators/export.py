@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators.greedy import kld_order
+from lectern.operators.ids import with_dense_ids
 from lectern.operators.selection import ranked, tex_ids
 from lectern.plans.corpus import Corpus
 from lectern.saving import saved
@@ -25,7 +26,7 @@ def in_order(corpus: Corpus, order: str = "by_index", seed: int = SEED, ignore:
     elif order == "by_index":
         keys = selection.select("utt_id", F.col("utt_id").alias("a"))
     elif order == "random":
-        keys = selection.select("utt_id", F.xxhash64(F.lit(seed), "utt_id").alias("a"))
+        keys = selection.select("utt_id", F.md5(F.concat_ws(":", F.lit(seed), "utt_id").cast("binary")).alias("a"))
     elif order == "symbol_count_asc":
         keys = corpus.selected().select("utt_id", (F.size("repr_syms") * F.lit(1 << 40).cast("long") + F.col("sel_rank")).alias("a"))
     elif order in ("kld", "kld_parts"):
@@ -64,31 +65,69 @@ def _write(lines: Iterable[str], path: str) -> None:
             f.write(line)
 
 
+#: The columns of a script's table, and the frame of its TeX file.
+COLUMNS = ["Id", "Nr", "Utterance", "Representation", "Path"]
+TEX_BEGIN, TEX_END = "\\begin{enumerate}[label={\\protect\\threedigits{\\theenumi}:}]", "\\end{enumerate}"
+
+
 def write_scripts(rows: DataFrame, directory: str, name: str = "selected", only_txt: bool = False) -> None:
-    """NAME.txt and unless only_txt NAME.csv, _consecutive.txt, .tex and _paths.txt, on the driver, a row at a time.
+    """NAME.txt and unless only_txt NAME.csv, _consecutive.txt, .tex and _paths.txt, as single files on the driver.
 
-    Scripts are read aloud by people, so they are small; rows still stream and are never held at once.
+    For scripts that people read aloud: rows stream once, a partition at a time. What is left of a large corpus is for
+    write_script_tables.
     """
+    import contextlib
     import csv
     import os
 
     os.makedirs(directory, exist_ok=True)
-    ordered = rows.orderBy("place").withColumns({"line": numbered_line(), "item": tex_item()})
-    each = lambda c: (r[c] for r in ordered.select("place", c).toLocalIterator())
-    joined = lambda c, by: (by * (i > 0) + str(x) for i, x in enumerate(each(c)))
-    _write(joined("line", "\n"), f"{directory}/{name}.txt")
-    if only_txt:
-        return
-    columns = ["Id", "Nr", "Utterance", "Representation", "Path"]
-    with open(f"{directory}/{name}.csv", "w", encoding="utf-8", newline="") as f:
-        out = csv.writer(f, delimiter="\t", lineterminator="\n")
-        out.writerow(columns)
-        out.writerows([r[c] for c in columns] for r in ordered.toLocalIterator())
-    _write(joined("Utterance", " "), f"{directory}/{name}_consecutive.txt")
-    _write(("\\begin{enumerate}[label={\\protect\\threedigits{\\theenumi}:}]\n", *(x + "\n" for x in each("item")), "\\end{enumerate}"), f"{directory}/{name}.tex")
-    _write(joined("Path", "\n"), f"{directory}/{name}_paths.txt")
-
-
+    names = ["", *([] if only_txt else ["_consecutive", "_paths"])]
+    with contextlib.ExitStack() as stack:
+        txt, *others = (stack.enter_context(open(f"{directory}/{name}{x}.txt", "w", encoding="utf-8")) for x in names)
+        if not only_txt:
+            consecutive, paths = others
+            tex = stack.enter_context(open(f"{directory}/{name}.tex", "w", encoding="utf-8"))
+            tex.write(f"{TEX_BEGIN}\n")
+            table = csv.writer(stack.enter_context(open(f"{directory}/{name}.csv", "w", encoding="utf-8", newline="")), delimiter="\t", lineterminator="\n")
+            table.writerow(COLUMNS)
+        for i, r in enumerate(rows.orderBy("place").withColumns({"line": numbered_line(), "item": tex_item()}).toLocalIterator()):
+            first = i == 0
+            txt.write("\n" * (not first) + r["line"])
+            if not only_txt:
+                consecutive.write(" " * (not first) + r["Utterance"])
+                paths.write("\n" * (not first) + str(r["Path"]))
+                tex.write(r["item"] + "\n")
+                table.writerow([r[c] for c in COLUMNS])
+        if not only_txt:
+            tex.write(TEX_END)
+
+
+#: Rows in a part of a file.
+PART = 100_000
+
+
+def write_script_tables(rows: DataFrame, directory: str) -> None:
+    """The same five files as folders of parts in order, written by executors: txt, consecutive, paths, tex (items without their frame) and csv."""
+    ordered = saved(rows.repartitionByRange("place").sortWithinPartitions("place").withColumns({"line": numbered_line(), "item": tex_item()}))
+    for file, column, end in (("txt", "line", "\n"), ("consecutive", "Utterance", " "), ("paths", "Path", "\n"), ("tex", "item", "\n")):
+        ordered.select(F.coalesce(column, F.lit(""))).write.option("lineSep", end).option("maxRecordsPerFile", PART).text(f"{directory}/{file}")
+    ordered.select(*COLUMNS).write.option("maxRecordsPerFile", PART).csv(f"{directory}/csv", sep="\t", header=True, quote='"', escape='"', emptyValue="")
+
+
+def read_script_tables(spark, directory: str) -> DataFrame:
+    """file, place, line of what write_script_tables wrote; of consecutive, the words. Table rows are joined by tabs, in the order of Nr."""
+    texts = None
+    for file in ("txt", "consecutive", "paths", "tex"):
+        end = " " if file == "consecutive" else "\n"
+        whole = spark.read.text(f"{directory}/{file}", wholetext=True).select(F.col("_metadata.file_name").alias("part"), F.expr("substring(value, 1, length(value) - 1)").alias("value"))
+        placed = with_dense_ids(whole.select("part", F.posexplode(F.split("value", end)).alias("at", "line")), ["part", "at"], "place")
+        placed = placed.select(F.lit(file).alias("file"), "place", "line")
+        texts = placed if texts is None else texts.union(placed)
+    table = spark.read.csv(f"{directory}/csv", sep="\t", header=True, quote='"', escape='"', multiLine=True, schema="Id string, Nr string, Utterance string, Representation string, Path string")
+    return texts.union(table.select(F.lit("csv"), F.col("Nr").cast("long") - 1, F.concat_ws("\t", *COLUMNS)))
+
+
+#: The tiers' names.
 GRAPHEME_TIER, PHONEME_TIER = "sentences (graphemes)", "sentences (phonemes)"
 
 

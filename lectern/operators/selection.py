@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,9 +61,17 @@ def tex_ids(tex: DataFrame, column: str = "value", part: str | None = None) -> D
     return found.groupBy(F.col("id").cast("long").alias("utt_id")).agg(F.min("place").cast("long").alias("sel_rank"))
 
 
-def select_from_tex(corpus: Corpus, tex: DataFrame, column: str = "value") -> Corpus:
-    """The script's ids replace the selection; ids that the corpus lacks are left out."""
-    wanted = tex_ids(tex, column).join(corpus.utterances.select("utt_id"), "utt_id", "left_semi")
+def unknown_tex_ids(corpus: Corpus, tex: DataFrame, column: str = "value", part: str | None = None) -> DataFrame:
+    """utt_id of the script's lines that the corpus lacks."""
+    return tex_ids(tex, column, part).join(corpus.utterances.select("utt_id"), "utt_id", "left_anti").select("utt_id")
+
+
+def select_from_tex(corpus: Corpus, tex: DataFrame, column: str = "value", part: str | None = None) -> Corpus:
+    """The script's ids replace the selection; ids that the corpus lacks are left out, with a warning."""
+    unknown = unknown_tex_ids(corpus, tex, column, part).count()
+    if unknown:
+        warnings.warn(f"{unknown} ids of the script are not in the corpus", stacklevel=2)
+    wanted = tex_ids(tex, column, part).join(corpus.utterances.select("utt_id"), "utt_id", "left_semi")
     return corpus.with_(selection=select(corpus.selection, wanted))
 
 

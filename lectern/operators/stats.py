@@ -55,6 +55,18 @@ def selected_seconds(rows: DataFrame, speed: float = tx.READING_SPEED) -> Column
     return F.sum(F.size("reading_syms")) / speed
 
 
+def durations_of(rows: DataFrame, ids: DataFrame, speed: float = tx.READING_SPEED) -> DataFrame:
+    """utt_id and seconds of the rows with the ids."""
+    return rows.join(ids.select("utt_id").distinct(), "utt_id", "left_semi").select("utt_id", tx.duration_s(F.col("reading_syms"), speed).alias("seconds"))
+
+
+def write_ngram_csv(rows: DataFrame, n: int, directory: str, column: str = "repr_syms") -> None:
+    """n_gram_stats.csv, parted by tabs, in the order of n-grams: a row for each kind, so one file. The column names are fixed values."""
+    table = ngram_stats(rows, n, column).orderBy("ngram").withColumn("ngram", F.array_join("ngram", ""))
+    names = [f"{n}-gram", "Selected #", "Not selected #", "Total #", "Selected %", "Not selected %", "Total %"]
+    table.toDF(*names).coalesce(1).write.mode("overwrite").csv(f"{directory}/{n}_gram_stats.csv", sep="\t", header=True, quote='"', escape='"', quoteAll=False)
+
+
 def removal_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """removed, kept and removed_pct of an operator."""
     counts = before.agg(F.count(F.lit(1)).alias("n")).crossJoin(after.agg(F.count(F.lit(1)).alias("kept")))

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
 from lectern.functions import text as tx
 
-#: The steps of normalize(), in order: pattern and replacement.
+#: A text without any of these is in normal form C: marks, Hangul vowels and finals, and blocks with characters that have another form.
+MAYBE_DECOMPOSED = r"[\p{M}\u1161-\u1175\u11A8-\u11C2\u0340-\u037E\u0387\u0958-\u0A5E\u0B5C\u0B5D\u0F43-\u0FB9\u1F71-\u1FFD\u2000\u2001\u2126-\u212B\u2329\u232A\u2ADC\uF900-\uFB4E\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1D}]"
+
+#: The steps of normalize() after normal form C, in order: pattern and replacement.
 NORMALIZE_STEPS = (
     ("control characters", r"[\x00-\x08\x0e-\x1f\x7f]", ""),
     ("double quotes", "[“”„«»]", '"'),
@@ -20,7 +26,19 @@ NORMALIZE_STEPS = (
 )
 
 
+def normal_form(text: Column) -> Column:
+    """Unicode's normal form C. Only texts that may not be in it go to Python; the others are sent as nulls."""
+
+    @F.pandas_udf("string")
+    def composed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+    maybe = text.rlike(MAYBE_DECOMPOSED)
+    return F.when(maybe, composed(F.when(maybe, text))).otherwise(text)
+
+
 def normalize(text: Column) -> Column:
+    text = normal_form(text)
     for _, pattern, to in NORMALIZE_STEPS:
         text = F.regexp_replace(text, pattern, to)
     return text
@@ -47,15 +65,16 @@ def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: s
     them, which stay as symbols of their own; a space stands between words.
     """
     tokens = F.regexp_extract_all(F.col(column), F.lit(r"([\p{L}\p{M}\p{N}']+|[^\p{L}\p{M}\p{N}'])"), F.lit(1))
-    placed = df.select(key, F.posexplode(tokens).alias("at", "token")).withColumn("word", F.lower("token"))
-    of_word = F.rlike("word", F.lit(r"[\p{L}\p{M}\p{N}]"))
-    words = placed.where(of_word).select("word").distinct()
+    is_word = lambda t: F.rlike(t, F.lit(r"[\p{L}\p{M}\p{N}]"))
+    placed = df.select(key, F.posexplode(tokens).alias("at", "token"))
+    # a row for each distinct word of a text and its places, so signs and repeats aren't shuffled
+    of_text = placed.where(is_word(F.col("token"))).groupBy(key, F.lower("token").alias("word")).agg(F.collect_list("at").alias("places"))
     known = lexicon.select("word", F.col("phones").alias("known")).dropDuplicates(["word"])
-    said = words.join(known, "word", "left").select("word", F.coalesce("known", spelled(F.col("word"))).alias("said"))
-    joined = placed.join(said, "word", "left").select(key, "at", F.coalesce("said", F.array("token")).alias("said"))
-    rows = joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "said"))).alias("all_"))
-    rows = rows.select(key, F.flatten(F.transform("all_", lambda x: x["said"])).alias(out))
-    return df.join(rows, key, "left").withColumn(out, F.coalesce(out, F.array().cast("array<string>")))
+    said = of_text.select("word").distinct().join(known, "word", "left").select("word", F.coalesce("known", spelled(F.col("word"))).alias("said"))
+    said = of_text.join(said, "word").groupBy(key).agg(F.flatten(F.collect_list(F.transform("places", lambda p: F.struct(p.alias("at"), F.col("said").alias("said"))))).alias("all_"))
+    said = said.select(key, F.map_from_entries("all_").alias("all_"))
+    phones = F.flatten(F.transform(tokens, lambda t, i: F.coalesce(F.element_at("all_", i), F.array(t))))
+    return df.join(said, key, "left").withColumn(out, F.when(F.col("all_").isNull(), F.transform(tokens, lambda t: t)).otherwise(phones)).withColumn(out, F.coalesce(out, F.array().cast("array<string>"))).drop("all_")
 
 
 def split_sentences(text: Column) -> Column:

@@ -135,13 +135,6 @@ def q_tex_lines(spark, sf_dir):
 
 
 def rendered(spark, sf_dir) -> DataFrame:
-    """A small script: a line for each selected document's first utterance."""
-    rows = utterances(spark, sf_dir).where("doc_id % 50 = 0 AND line_nr = 0")
-    items = rows.select((-F.col("utt_id")).alias("o"), F.concat(F.lit("  \\item "), "reading", F.lit(" % "), F.col("utt_id").cast("string"), F.lit("\n")).alias("item"))
-    return items.groupBy().agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "item"))), lambda x: x["item"]), "").alias("value"))
-
-
-def rendered_parts(spark, sf_dir) -> DataFrame:
     """The script of the whole selection, the last utterance first: a row for each document, in the order of part."""
     rows = utterances(spark, sf_dir).where("doc_id % 5 = 0").withColumnsRenamed({"reading": "Utterance", "utt_id": "Id"})
     items = rows.select((-F.col("doc_id")).alias("part"), F.struct((-F.col("Id")).alias("o"), F.concat(export.tex_item(), F.lit("\n")).alias("item")).alias("line"))
@@ -149,13 +142,9 @@ def rendered_parts(spark, sf_dir) -> DataFrame:
 
 
 def q_textgrid(spark, sf_dir):
-    return _intervals(export.textgrid(corpus(spark, sf_dir), rendered(spark, sf_dir)))
-
-
-def q_textgrid_whole(spark, sf_dir):
     """All lines of the script are of selected documents, so only their texts are read."""
     c = corpus(spark, sf_dir)
-    return _intervals(export.textgrid(c.with_(utterances=c.utterances.where("doc_id % 5 = 0")), rendered_parts(spark, sf_dir), part="part"))
+    return _intervals(export.textgrid(c.with_(utterances=c.utterances.where("doc_id % 5 = 0")), rendered(spark, sf_dir), part="part"))
 
 
 def _intervals(grid: DataFrame) -> DataFrame:
@@ -195,6 +184,44 @@ def q_greedy(kind):
     return run
 
 
+def gram_kinds(n: int = 1, ignore: str = " ", rows: str = "utts") -> str:
+    """CTEs in SQL: kinds of n-grams numbered from 1, and each row's kinds with counts."""
+    each = f"list_transform(range(1, length(t) - {n - 2}), lambda i: substr(t, i, {n}))"
+    return f"""gx AS (SELECT utt_id, unnest({each}) AS gram FROM (SELECT utt_id, replace(reading, '{ignore}', '') AS t FROM {rows})),
+gk AS (SELECT gram, row_number() OVER (ORDER BY gram)::INT AS k FROM (SELECT DISTINCT gram FROM gx)),
+gu AS (SELECT utt_id, list(struct_pack(k := k, c := c) ORDER BY k) AS g, sum(c)::DOUBLE AS n FROM (SELECT utt_id, k, count(*)::DOUBLE AS c FROM gx JOIN gk USING (gram) GROUP BY ALL) GROUP BY utt_id)"""
+
+
+def greedy_steps(kind: str, name: str, chosen: str, where: str, seconds: float, speed: float = 13.7) -> str:
+    """CTEs of one greedy selection, on gram_kinds: NAME has step and utt_id. chosen: a table with the utt_id selected before; where: which rows of utts are candidates.
+
+    A step is a row: the counts of all kinds, the seconds left, the ids taken.
+    """
+    if kind == "kld":
+        gain = "list_sum(list_transform(x.g, lambda p: (s.have[p.k] + p.c) * ln(s.have[p.k] + p.c) - CASE WHEN s.have[p.k] > 0 THEN s.have[p.k] * ln(s.have[p.k]) ELSE 0 END))"
+        base = "coalesce(list_sum(list_transform(s.have, lambda h: CASE WHEN h > 0 THEN h * ln(h) ELSE 0 END)), 0)"
+        score = f"round(({base} + {gain}) / (list_sum(s.have) + x.n) - ln(list_sum(s.have) + x.n), 12)"
+        anew = "false"
+    else:
+        score = "-len(list_filter(x.g, lambda p: s.have[p.k] = 0))::DOUBLE"
+        anew = "best.score = 0 AND list_sum(have) > 0"
+    more = "list_transform(range(1, len(have) + 1), lambda i: have[i] + coalesce(list_sum(list_transform(list_filter(best.x.g, lambda p: p.k = i), lambda p: p.c)), 0))"
+    return f"""{name}_have AS (SELECT list(coalesce(c, 0)::DOUBLE ORDER BY gk.k) AS have FROM gk LEFT JOIN (SELECT p.k AS k, sum(p.c) AS c FROM (SELECT unnest(g) AS p FROM gu WHERE utt_id IN (SELECT utt_id FROM {chosen})) GROUP BY p.k) h USING (k)),
+{name}_rows AS (SELECT coalesce(list(struct_pack(id := utt_id, n := gu.n, g := g, dur := length(reading) / {speed}::DOUBLE) ORDER BY utt_id), []) AS cands FROM utts JOIN gu USING (utt_id) WHERE utt_id NOT IN (SELECT utt_id FROM {chosen}) AND {where}),
+{name}_loop AS (SELECT 0 AS step, have, {seconds}::DOUBLE AS room, []::BIGINT[] AS taken, false AS done FROM {name}_have
+UNION ALL
+SELECT step + 1, CASE WHEN {anew} THEN list_transform(have, lambda h: 0::DOUBLE) WHEN best.x.dur > room + 1e-9 THEN have ELSE {more} END,
+CASE WHEN {anew} OR best.x.dur > room + 1e-9 THEN room ELSE room - best.x.dur END, CASE WHEN {anew} OR best.x.dur > room + 1e-9 THEN taken ELSE list_append(taken, best.x.id) END, NOT ({anew}) AND best.x.dur > room + 1e-9
+FROM (SELECT s.step, s.have, s.room, s.taken, list_min(list_transform(list_filter(r.cands, lambda x: NOT list_contains(s.taken, x.id)), lambda x: struct_pack(score := {score}, id := x.id, x := x))) AS best
+FROM {name}_loop s, {name}_rows r WHERE NOT s.done) WHERE best IS NOT NULL),
+{name} AS (SELECT unnest(taken) AS utt_id, unnest(range(len(taken))) AS step FROM (SELECT taken FROM {name}_loop ORDER BY step DESC LIMIT 1))"""
+
+
+def greedy_sql(kind: str, n: int = 1) -> str:
+    band = "length(reading) / 13.7::DOUBLE >= 3 AND length(reading) / 13.7::DOUBLE < 5"
+    return f"WITH RECURSIVE {UTT}, {SEL}, {gram_kinds(n)}, {greedy_steps(kind, 'picked', 'sel', band, 60.0)} SELECT utt_id, step AS sel_rank FROM picked"
+
+
 TRIM = """'.,;-/!?:\\—()[]{}"'''"""
 UTT = f"""lines AS (SELECT doc_id, lang, source, unnest(l) AS reading, unnest(range(len(l))) AS line_nr FROM (SELECT *, string_split(text, chr(10)) AS l FROM documents)),
 utts AS (SELECT doc_id * {LINES} + line_nr AS utt_id, doc_id, lang, source, line_nr, reading FROM lines WHERE NOT regexp_full_match(reading, '\\s*'))"""
@@ -243,7 +270,7 @@ SELECT utt_id, reading FROM utts WHERE lang = 'en' AND utt_id NOT IN (SELECT utt
 y AS (SELECT old, doc_id, unnest(range(len(l))) AS k, unnest(l) AS reading FROM x)
 SELECT row_number() OVER (ORDER BY old, k) - 1 AS utt_id, reading, doc_id % 5 = 0 AS selected FROM y WHERE NOT regexp_full_match(reading, '\\s*')"""),
     "replace_text": (lambda s, d: utterances(s, d).select("utt_id", transforms.replace(F.col("reading"), "the", "THE").alias("reading")), f"WITH {UTT} SELECT utt_id, replace(reading, 'the', 'THE') AS reading FROM utts"),
-    "normalize_text": (lambda s, d: utterances(s, d).select("utt_id", transforms.normalize(F.col("reading")).alias("reading")), f"""WITH {UTT} SELECT utt_id, trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(reading, '[\\x00-\\x08\\x0e-\\x1f\\x7f]', '', 'g'),
+    "normalize_text": (lambda s, d: utterances(s, d).select("utt_id", transforms.normalize(F.col("reading")).alias("reading")), f"""WITH {UTT} SELECT utt_id, trim(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(nfc_normalize(reading), '[\\x00-\\x08\\x0e-\\x1f\\x7f]', '', 'g'),
 '[“”„«»]', '"', 'g'), '[‘’‚‹›]', '''', 'g'), '[‐‑‒–—]', '-', 'g'), '…', '...'), '[ \\t\\n\\x0b\\f\\r\\x{{a0}}]+', ' ', 'g'), ' ') AS reading FROM utts"""),
     "change_text": (lambda s, d: utterances(s, d).select("utt_id", transforms.tighten_punctuation(F.col("reading")).alias("reading")), f"WITH {UTT} SELECT utt_id, regexp_replace(reading, ' *([.,;:!?…]) *', '\\1', 'g') AS reading FROM utts"),
     "map_symbols": (lambda s, d: utterances(s, d).select("utt_id", tx.symbols_text(ph.map_symbols(tx.graphemes(F.col("reading")), VOWELS)).alias("symbols")), f"WITH {UTT} SELECT utt_id, translate(reading, '{''.join(VOWELS)}', '{''.join(VOWELS.values())}') AS symbols FROM utts"),
@@ -274,14 +301,11 @@ SELECT row_number() OVER (ORDER BY c, o) - 1 AS utt_id, reading, path, selected
     "export_by_index": (script_of("by_index"), _script_sql("utt_id")),
     "export_by_selection": (script_of("by_selection"), _script_sql("utt_id")),
     "export_by_symbol_count": (script_of("symbol_count_asc"), _script_sql("length(reading), utt_id")),
-    "export_random": (script_of("random"), None),
+    "export_random": (script_of("random"), _script_sql(f"md5('{export.SEED}:' || utt_id)")),
     "export_deselected": (lambda s, d: (lambda c: export.script(c, export.deselected_order(c)).select("Id", "Nr", "Utterance"))(corpus(s, d)), f"WITH {UTT}, x AS (SELECT *, row_number() OVER (ORDER BY utt_id) AS nr, count(*) OVER () AS n FROM utts WHERE doc_id % 5 <> 0) SELECT utt_id AS Id, lpad(nr::VARCHAR, length(n::VARCHAR)::INT, '0') AS Nr, reading AS Utterance FROM x"),
     "export_tex_lines": (q_tex_lines, f"WITH {UTT}, x AS (SELECT *, row_number() OVER (ORDER BY utt_id) AS nr, count(*) OVER () AS n FROM utts WHERE doc_id % 5 = 0) SELECT utt_id AS Id, {ITEM} AS item, lpad(nr::VARCHAR, length(n::VARCHAR)::INT, '0') || ': ' || reading AS line FROM x"),
-    "tex_ids": (lambda s, d: selection.tex_ids(rendered(s, d)), f"WITH {UTT} SELECT utt_id, row_number() OVER (ORDER BY utt_id DESC) - 1 AS sel_rank FROM utts WHERE doc_id % 50 = 0 AND line_nr = 0"),
-    "textgrid_intervals": (q_textgrid, f"""WITH {UTT}, s AS (SELECT *, row_number() OVER (ORDER BY utt_id DESC) - 1 AS idx, length(reading) AS n, sum(length(reading)) OVER (ORDER BY utt_id DESC) AS upto FROM utts WHERE doc_id % 50 = 0 AND line_nr = 0)
-SELECT tier, idx::BIGINT AS idx, round((upto - n)::DOUBLE / 13.7, 6) AS min_t, round(upto::DOUBLE / 13.7, 6) AS max_t, reading AS mark FROM s, (VALUES ('sentences (graphemes)'), ('sentences (phonemes)')) v(tier)"""),
-    "tex_ids_whole": (lambda s, d: selection.tex_ids(rendered_parts(s, d), part="part"), f"WITH {UTT} SELECT utt_id, row_number() OVER (ORDER BY utt_id DESC) - 1 AS sel_rank FROM utts WHERE doc_id % 5 = 0"),
-    "textgrid_whole": (q_textgrid_whole, f"""WITH {UTT}, s AS (SELECT *, row_number() OVER (ORDER BY utt_id DESC) - 1 AS idx, length(reading) AS n, sum(length(reading)) OVER (ORDER BY utt_id DESC) AS upto FROM utts WHERE doc_id % 5 = 0)
+    "tex_ids": (lambda s, d: selection.tex_ids(rendered(s, d), part="part"), f"WITH {UTT} SELECT utt_id, row_number() OVER (ORDER BY utt_id DESC) - 1 AS sel_rank FROM utts WHERE doc_id % 5 = 0"),
+    "textgrid_intervals": (q_textgrid, f"""WITH {UTT}, s AS (SELECT *, row_number() OVER (ORDER BY utt_id DESC) - 1 AS idx, length(reading) AS n, sum(length(reading)) OVER (ORDER BY utt_id DESC) AS upto FROM utts WHERE doc_id % 5 = 0)
 SELECT tier, idx::BIGINT AS idx, round((upto - n)::DOUBLE / 13.7, 6) AS min_t, round(upto::DOUBLE / 13.7, 6) AS max_t, reading AS mark FROM s, (VALUES ('sentences (graphemes)'), ('sentences (phonemes)')) v(tier)"""),
     "prep_pipeline": (q_prep, f"""WITH {UTT}, a AS (SELECT * FROM utts WHERE lang = 'en' AND NOT ({_ACRONYM})), b AS (SELECT min(utt_id) AS utt_id, reading FROM a GROUP BY reading), {_RARE.replace('BASE', 'b')}
 SELECT utt_id, reading FROM b WHERE utt_id NOT IN (SELECT utt_id FROM bad) AND NOT ({_UNDESIRED}) AND len(string_split(reading, ' ')) >= 3"""),
@@ -289,9 +313,6 @@ SELECT utt_id, reading FROM b WHERE utt_id NOT IN (SELECT utt_id FROM bad) AND N
 h AS (SELECT s, sum(n)::DOUBLE AS x FROM g WHERE sel GROUP BY s), t AS (SELECT sum(x) AS nx, sum(x * ln(x)) AS sx FROM h), v AS (SELECT count(DISTINCT s) AS v FROM g),
 c AS (SELECT utt_id, sum(n)::DOUBLE AS n, sum((coalesce(x, 0) + n) * ln(coalesce(x, 0) + n) - CASE WHEN x > 0 THEN x * ln(x) ELSE 0 END) AS gain FROM g LEFT JOIN h USING (s) WHERE NOT sel GROUP BY utt_id)
 SELECT utt_id, round(ln(v) - ln(nx + n) + (sx + gain) / (nx + n), 6) AS kld FROM c, t, v"""),
-    "select_kld": (q_greedy("kld"), None),
-    "select_greedy": (q_greedy("coverage"), None),
+    "select_kld": (q_greedy("kld"), greedy_sql("kld")),
+    "select_greedy": (q_greedy("coverage"), greedy_sql("coverage")),
 }
-
-QUERIES = {name: query for name, (query, _) in CATALOG.items()}
-SQL = {name: sql for name, (_, sql) in CATALOG.items() if sql}

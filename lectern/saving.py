@@ -8,15 +8,23 @@ import tempfile
 from pyspark.sql import DataFrame
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """The rows, written to the checkpoint folder, so that a lost executor costs no recomputation.
+def shared_folder(spark) -> str:
+    """The folder that the cluster names in spark.checkpoint.dir.
 
-    The folder is the one the cluster names in spark.checkpoint.dir. Where none is named, a local master gets a temporary
-    one; on a cluster that would be another disk on every machine, so there it is an error.
+    Where none is named, a local master gets a temporary one; on a cluster that would be another disk on every machine, so
+    there it is an error.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir", "") and sc.getCheckpointDir() is None:
+    sc = spark.sparkContext
+    if named := sc.getConf().get("spark.checkpoint.dir", ""):
+        return named.rstrip("/")
+    if sc.getCheckpointDir() is None:
         if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("spark.checkpoint.dir names no folder that the cluster shares")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="lectern-"))
+    return sc.getCheckpointDir().rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The rows, written to the checkpoint folder, so that a lost executor costs no recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

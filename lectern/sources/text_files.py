@@ -18,8 +18,7 @@ def text_files(spark, directory: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(directory)
     root = spark._jvm.org.apache.hadoop.fs.Path(directory)
     root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath().rstrip("/")
-    plain = F.regexp_replace("path", "^[a-z0-9]+:(//[^/]*)?(?=/)", "")
-    stem = F.regexp_replace(F.substring(plain, len(root) + 2, 10_000), r"\.txt$", "")
+    stem = F.regexp_replace(F.expr(f"substring(regexp_replace(path, '^[a-z0-9]+:(//[^/]*)?(?=/)', ''), {len(root) + 2})"), r"\.txt$", "")
     return files.select(stem.alias("stem"), "path", "content")
 
 
@@ -35,13 +34,19 @@ def _lines(files: DataFrame, encoding: str, out: str) -> DataFrame:
 
         content = decoded(F.col("content"))
     lines = F.split(F.regexp_replace(content, "\r\n?", "\n"), "\n")
-    return files.withColumn("lines", lines).select("stem", F.size("lines").alias(f"n_{out}"), F.posexplode("lines").alias("line_nr", out))
+    counted = files.select("stem", lines.alias("lines")).select("stem", "lines", F.size("lines").alias(f"n_{out}"))  # counted first, else each line's row would hold all lines
+    return counted.select("stem", f"n_{out}", F.posexplode("lines").alias("line_nr", out))
 
 
 def symbols_of(text, kind: str):
     return tx.graphemes(text) if kind == "graphemes" else tx.phones(text)
 
 
+def parsable(text, kind: str):
+    """Whether a line can be read as symbols: of graphemes any, of phones those with single spaces between symbols only."""
+    return F.lit(True) if kind == "graphemes" else ~text.rlike("^ | $|  ")
+
+
 def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str = "eng", reading_format: str = "graphemes", repr_format: str | None = None, encoding: str = "utf-8", limit: int | None = None) -> Corpus:
     """A corpus of pairs of files with one stem, in the order of stems and lines.
 
@@ -52,7 +57,7 @@ def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str =
     files = text_files(spark, reading_dir)
     if limit is not None:
         kept = files.select("stem").orderBy("stem").limit(limit)
-        files = files.join(F.broadcast(kept), "stem", "left_semi") if limit <= 10_000 else files.join(kept, "stem", "left_semi")
+        files = files.join(kept, "stem", "left_semi")
     rows = _lines(files, encoding, "reading")
     if repr_dir is None or repr_dir == reading_dir:
         rows = rows.withColumn("repr", F.col("reading"))
@@ -60,6 +65,7 @@ def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str =
         other = _lines(text_files(spark, repr_dir), encoding, "repr")
         rows = rows.join(other, ["stem", "line_nr"]).where("n_reading = n_repr")
     rows = rows.where(~tx.is_blank(F.col("reading")) & ~tx.is_blank(F.col("repr")))
+    rows = rows.where(parsable(F.col("reading"), reading_format) & parsable(F.col("repr"), repr_format))
     rows = rows.withColumns({"reading_syms": symbols_of(F.col("reading"), reading_format), "repr_syms": symbols_of(F.col("repr"), repr_format)})
     rows = rows.where((F.size("reading_syms") > 0) & (F.size("repr_syms") > 0))
     rows = with_dense_ids(rows.select("stem", "line_nr", "reading", "reading_syms", "repr", "repr_syms"), ["stem", "line_nr"])
