@@ -58,13 +58,50 @@ def test_search_is_exact_with(kind):
         x /= np.linalg.norm(x, axis=1)[:, None]
         x[7] *= 1e8
     x = x[rng.permutation(len(x))]
-    frame = lambda ids: vptree.pd.DataFrame({"vec_id": list(ids), "vector": [x[i].astype("<f8").tobytes() for i in ids]})
-    got = vptree.shard_search(frame(range(0, len(x), 20)), frame(range(len(x))), float((x * x).sum(1).max()), 20, 1.0)
+    asked = range(0, len(x), 20)
+    tree = vptree.VPTree(vptree._lifted(x, float((x * x).sum(1).max())))
+    known = [np.sort(np.cumsum(np.delete(x, i, 0) * x[i], axis=1)[:, -1])[-20] if i % 40 else float("nan") for i in asked]  # half of the queries know their bound
+    queries = vptree.pd.DataFrame({"query_id": list(asked), "vector": [x[i].astype("<f8").tobytes() for i in asked], "floor": known})
+    got = vptree.tree_search(tree, [[i] for i in range(len(x))], queries, 20, 1.0)
     for q, part in got.groupby("query_id"):
         scores = np.cumsum(x * x[q], axis=1)[:, -1]
         assert part["vec_id"].tolist() == sorted((i for i in range(len(x)) if i != q), key=lambda i: (-scores[i], i))[:20]
 
 
+def test_shards_are_places_that_queries_leave_out():
+    rng = np.random.default_rng(3)
+    points = np.repeat(rng.normal(size=(16, 8)), 100, axis=0) + rng.normal(size=(1600, 8)) * 0.02
+    lifted = vptree._lifted(points, float((points * points).sum(1).max()))
+    places = vptree.Places.of(lifted[::3], 16)
+    shard = places.shard_of(lifted)
+    assert len(places.paths) == 16 and np.bincount(shard, minlength=16).max() < 400
+    ranges = {s: ([places.distances(lifted[shard == s], n).min() for n in places.paths[s]], [places.distances(lifted[shard == s], n).max() for n in places.paths[s]]) for s in range(16) if (shard == s).any()}
+    queries = np.column_stack([points[::50], np.zeros(32)])
+    d = np.sqrt(((queries[:, None] - lifted[None]) ** 2).sum(2))
+    radius = np.sort(d, axis=1)[:, 10] + 1e-9
+    seen = places.within(queries, radius, ranges)
+    for q, shards in enumerate(seen):
+        assert set(shard[d[q] <= radius[q]]) <= set(shards.tolist())
+    assert np.mean([len(s) for s in seen]) < 12
+
+
+def test_search_with_a_hot_vector_and_clusters(spark, monkeypatch):
+    """A third of the rows are one vector; shards are small; all as by brute force."""
+    monkeypatch.setattr(vptree, "SHARD_ROWS", 60)
+    monkeypatch.setattr(vptree, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(8)
+    x = np.repeat(rng.normal(size=(10, 6)), 60, axis=0) + rng.normal(size=(600, 6)) * 0.05
+    x[rng.permutation(600)[:200]] = x[0]
+    frame = spark.createDataFrame([(i, [float(a) for a in v], 1) for i, v in enumerate(x)], VECTORS)
+    got = {}
+    for r in vptree.nearest(frame, lambda i: i % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(got) == 30
+    for q, ids in got.items():
+        scores = np.cumsum(x * x[q], axis=1)[:, -1]
+        assert ids == sorted((i for i in range(600) if i != q), key=lambda i: (-scores[i], i))[:20]
+
+
 def test_relaxed_search_prunes_more():
     rng = np.random.default_rng(0)
     points = np.repeat(rng.normal(size=(40, 8)), 50, axis=0) + rng.normal(size=(2000, 8)) * 0.1
