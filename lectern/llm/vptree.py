@@ -43,7 +43,7 @@ FACTOR = 1.0
 SHARD_ROWS, BLOCK_ROWS = 8192, 4096
 #: Points that the shards' places are found on, and shards, at most.
 SAMPLE, SHARDS = 8192, 2048
-LEAF = 128
+LEAF = 256
 #: Queries whose candidates are held at once.
 AT_ONCE = 512
 #: Rounding of a sum of n products, as a share of both lengths' product and n.
@@ -80,12 +80,13 @@ class VPTree:
         return self._at, np.where(self._at >= 0, best, np.inf), self._done
 
     def candidates(self, queries: np.ndarray, keep: int, factor: float = FACTOR, floor: np.ndarray | None = None) -> list[np.ndarray]:
-        """For each query all points whose product isn't below the keep-th best (nor floor) by more than rounding: a second walk, under the bound that the first has found."""
+        """For each query all points whose product isn't below the keep-th best (nor floor) by more than rounding, and some that were better than the best known when they were met."""
         self._start(queries, keep, factor, floor)
+        self._found = ([], [])
         self._visit(self.root, np.arange(len(queries)))
-        self._found = [[] for _ in range(len(queries))]
-        self._visit(self.root, np.arange(len(queries)))
-        return [np.concatenate(x) if x else np.array([], dtype=np.int64) for x in self._found]
+        rows, at = (np.concatenate([np.array([], dtype=np.int64), *x]) for x in self._found)
+        order = np.argsort(rows, kind="stable")
+        return np.split(at[order], np.searchsorted(rows[order], np.arange(1, len(queries))))
 
     def _start(self, queries: np.ndarray, keep: int, factor: float, floor: np.ndarray | None = None) -> None:
         """queries have 0 as added coordinate. error times a point's own length bounds how far two sums of the same products lie apart."""
@@ -110,17 +111,15 @@ class VPTree:
             p = self._q[asked] @ self.points[node].T
             off = self._error[asked][:, None] * self._own[node][None, :]
             self._done += p.size
-            if self._found is not None:
-                row, column = np.nonzero(p + off >= self._least(asked)[:, None])
-                on, starts = np.unique(row, return_index=True)
-                for r, part in zip(on, np.split(node[column], starts[1:]), strict=bool(len(on))):
-                    self._found[asked[r]].append(part)
-                return
             both = np.concatenate([self._best[asked], p - off], axis=1)  # what the exact product is at least
             ids = np.concatenate([self._at[asked], np.broadcast_to(node, p.shape)], axis=1)
             keep = self._best.shape[1]
             first = np.argpartition(-both, keep - 1, axis=1)[:, :keep]
             self._best[asked], self._at[asked] = np.take_along_axis(both, first, 1), np.take_along_axis(ids, first, 1)
+            if self._found is not None:  # the bound only rises, so what is below it now is below it at the end
+                row, column = np.nonzero(p + off >= self._least(asked)[:, None])
+                self._found[0].append(asked[row])
+                self._found[1].append(node[column])
             return
         vantage, sides = node
         d = np.sqrt(np.maximum(((self._q[asked] - vantage) ** 2).sum(1), 0))
