@@ -39,8 +39,8 @@ REACH = 1.0
 SAMPLE, BLOCK, CELL = 20_000, 2048, 256
 #: Components in a block, so that long vectors make small blocks.
 COMPONENTS = 1 << 18
-#: Codes of a half, at most; fits of k-means.
-MOST_CODES, FITS = 256, 12
+#: Codes of a half, at most (so up to 268 million vectors a cell holds CELL; beyond, cells grow); fits of k-means.
+MOST_CODES, FITS = 1024, 12
 
 
 def fit_codes(points: np.ndarray, k: int, seed: int = 5) -> np.ndarray:
@@ -139,10 +139,10 @@ def linked(rows: DataFrame, threshold: float = THRESHOLD, reach: float = REACH,
     n = classes.count()
     dim = (classes.groupBy("dim").count().orderBy(F.desc("count"), "dim").first() or {"dim": 0})["dim"]
     sample = classes.where(F.col("dim") == dim).orderBy(F.xxhash64("class_id"), "class_id").limit(SAMPLE).select("vector").toPandas()["vector"]
-    codes = int(np.clip(np.sqrt(n / CELL), 1, MOST_CODES))
+    codes = int(np.clip(np.sqrt(n / CELL), 2, MOST_CODES))
     cut = dim // 2
     most, books = reach * (2 - 2 * threshold) + 1e-9, None
-    if len(sample) and cut and codes > 1:
+    if len(sample) and cut:
         points = np.stack([_doubles(v) for v in sample])
         points = points / np.sqrt((points * points).sum(1))[:, None]
         books = tuple(fit_codes(half, codes) for half in (points[:, :cut], points[:, cut:]))

@@ -4,8 +4,9 @@ Every node of the page's tree gets its characters a tag, adjusted by links:
 
     C/T * log(C/L * T/K) / log(log(C*L/N + C*l/c + e))
 
-with its characters C, tags T, characters in links L and outside of them N, link tags K, and the body's characters c and
-link characters l (zeros count as 1). The node whose children's densities sum highest holds the article, and the least
+with its characters C, tags T, characters in links L (at most C) and outside of them N, link tags K, and the body's
+characters c and link characters l. Counts that divide, and the last logarithm, count as 1 at least; so does C/L * T/K, so
+no density is negative. The node whose children's densities sum highest holds the article, and the least
 density on its path to the body is the threshold: in every node at or above it, the descendant with the highest sum is
 content too. All text of content nodes is kept, in page order.
 

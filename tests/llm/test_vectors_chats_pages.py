@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.llm import chat, embed_dedup, vptree
+from lectern.llm import chat, embed_dedup, html_text, vptree
 from lectern.llm.html_text import main_text, op9_main_text
 
 VECTORS = "vec_id long, embedding array<float>, label int"
@@ -115,6 +115,24 @@ def test_relaxed_search_prunes_more():
     assert np.mean([len(set(a) & set(b)) / 5 for a, b in zip(rough_at, brute, strict=True)]) > 0.5
 
 
+@pytest.mark.parametrize("dim", [8, 16, 64])
+def test_links_of_pairs_at_the_threshold(spark, monkeypatch, dim):
+    """Pairs planted just above it, with the reach and index that the query has: all are counted for both of their ends."""
+    monkeypatch.setattr(embed_dedup, "CELL", 4)
+    monkeypatch.setattr(embed_dedup, "BLOCK", 32)
+    rng = np.random.default_rng(dim)
+    x = rng.normal(size=(400, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    both = np.concatenate([x, 0.981 * x + math.sqrt(1 - 0.981**2) * side])
+    got = {r["vec_id"]: r["n_links"] for r in embed_dedup.linked(spark.createDataFrame([(i, [float(a) for a in v], 1) for i, v in enumerate(both)], VECTORS)).collect()}
+    unit = both / np.linalg.norm(both, axis=1)[:, None]
+    want = ((unit @ unit.T >= 0.98).sum(1) - 1).tolist()
+    assert [got[i] for i in range(800)] == want and min(want) >= 1
+
+
 def test_search_odd_tables(spark):
     frame = spark.createDataFrame(ODD, VECTORS)
     assert vptree.nearest(frame, lambda i: i % 20 == 0).count() == 0
@@ -237,7 +255,7 @@ LONG = "".join(f"<p>Paragraph {i} of the body, which is long enough to be read a
 BODY = "\n".join(f"Paragraph {i} of the body, which is long enough to be read as one." for i in range(12))
 
 
-@pytest.mark.parametrize("start, end", [(f"<div class='{x}'>", "</div>") for x in ("entry no-sidebar", "post has-comments", "social-share-enabled", "related-work", "promo")] + [("<form action='/'><div>", "</div></form>")])
+@pytest.mark.parametrize("start, end", [(f"<div class='{x}'>", "</div>") for x in ("entry no-sidebar", "post has-comments", "social-share-enabled", "related-work", "promo", "post related-story", "content alert-article", "entry share-count", "story-search", "comment-free", "blog-newsletter", "alert-history", "search-results-of-study")] + [("<form action='/'><div>", "</div></form>")])
 def test_names_and_forms_do_not_drop_the_body(start, end):
     menu = "<nav>" + "".join(f"<a href='/{i}'>Entry {i} of a long menu</a> " for i in range(60)) + "</nav>"
     for before in ("", menu):
@@ -245,6 +263,48 @@ def test_names_and_forms_do_not_drop_the_body(start, end):
         assert BODY in got and "First!" not in got and "menu" not in got
 
 
+def test_densities_by_brute_force():
+    """Each node's density from its whole subtree, counted anew; the sum of its children's."""
+    page = f"<body><div id='a'><h1>T <a href='x'>link</a></h1>{LONG}<ul><li>one<li><a href='y'>two words</a></ul></div><div><p><a href='z'>only links here</a> <a href='w'>and here</a></p></div><p>short</p></body>"
+    body, _ = html_text._tree(page)
+
+    def nodes(n):
+        return [n, *(x for c in n.children for x in nodes(c))]
+
+    def counts(n):
+        own = raw[id(n)]
+        below = [counts(c) for c in n.children]
+        return [own[k] + sum(b[k] for b in below) + (len(below) if k == 1 else 0) for k in range(4)]
+
+    raw = {id(n): (n.chars, n.tags, n.link_chars, n.link_tags) for n in nodes(body)}
+    tree = nodes(body)
+    c, _, links, _ = counts(body)
+    want = {}
+    for n in tree:
+        chars, tags, linked, link_tags = counts(n)
+        linked = min(linked, chars)
+        if not chars:
+            want[id(n)] = 0.0
+            continue
+        inner = math.log(max(chars / max(linked, 1) * max(tags, 1) / max(link_tags, 1), 1.0) + 1e-9)
+        outer = math.log(chars * linked / max(chars - linked, 1) + links / max(c, 1) * chars + math.e)
+        want[id(n)] = chars / max(tags, 1) * inner / max(math.log(outer + 1e-9), 1.0)
+    order = html_text._score(body)
+    assert len(order) == len(tree) > 15
+    for n in order:
+        assert math.isclose(n.density, want[id(n)], rel_tol=1e-9, abs_tol=1e-9)
+        assert math.isclose(n.summed, sum(want[id(x)] for x in n.children), rel_tol=1e-9, abs_tol=1e-9)
+    text = main_text(page)
+    assert BODY in text and "only links" not in text
+
+
+def test_no_pages_and_a_very_long_one(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/a/pages.parquet")
+    assert op9_main_text(spark, f"{tmp_path}/a").count() == 0
+    spark.createDataFrame([(1, "u", f"<body><div>{LONG * 3000}</div></body>")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/b/pages.parquet")
+    assert op9_main_text(spark, f"{tmp_path}/b").first()["n_chars"] == len("\n".join([BODY] * 3000))
+
+
 def test_pages(spark, tmp_path):
     rows = [(1, "u", PAGE), (2, "u", None), (2, "u", ""), (None, None, "<p>x</p>")]
     spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).write.parquet(f"{tmp_path}/pages.parquet")
