@@ -343,15 +343,45 @@ class _Examples:
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of 5-grams of words with their edges (of a shorter one, of all), and the word of each."""
     letters, _, _, first = letters_of(words)
-    owner, n = _owners(first, len(letters)), len(letters)
+    n = len(letters)
+    owner = np.concatenate([_owners(first, n), np.full(4, -1)]).astype(np.int32)
+    letters = np.concatenate([letters, np.zeros(4, dtype=letters.dtype)])
     key = np.zeros(n, dtype=np.uint64)
-    padded, owners = np.concatenate([letters, np.zeros(4, dtype=letters.dtype)]), np.concatenate([owner, np.full(4, -1)])
     for k in range(5):
-        key = (key + np.where(owners[k : n + k] == owner, padded[k : n + k], 0).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        key = (key + np.where(owner[k : n + k] == owner[:n], letters[k : n + k], 0).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         key ^= key >> np.uint64(29)
-    whole = np.concatenate([owner, np.full(4, -1)])[4 : n + 4] == owner
+    whole = owner[4 : n + 4] == owner[:n]
     whole[first] = True
-    return key[whole], owner[whole]
+    return key[whole], owner[:n][whole]
+
+
+#: Passes over all 5-grams and words at once in each, so that the driver never holds all of them.
+PASSES, WORDS_AT_ONCE = 8, 20_000
+
+
+def _frequent_grams(words: list[str], in_toxic: np.ndarray, in_clean: np.ndarray, odds) -> tuple[np.ndarray, np.ndarray, int]:
+    """Numbers of the 5-grams whose odds are high enough and the word of each, in the order of words; and how many 5-grams occur more than twice."""
+    grams, owners, found, kinds = [], [], 0, 0
+    for turn in range(PASSES):
+        parts = []
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            key, owner = _grams(words[at : at + WORDS_AT_ONCE])
+            mine = key >> np.uint64(40) & np.uint64(PASSES - 1) == turn
+            parts.append((key[mine], owner[mine] + np.int32(at)))
+        key, owner = (np.concatenate([p[i] for p in parts]) for i in range(2))
+        del parts
+        _, gram = np.unique(key, return_inverse=True)
+        t, c = (np.bincount(gram, x[owner]) for x in (in_toxic, in_clean))
+        kinds += int((t + c > 2).sum())
+        maybe = (odds(t, c) >= ODDS) & (t >= 3)
+        number = np.cumsum(maybe) - 1 + found
+        found += int(maybe.sum())
+        on = maybe[gram]
+        grams.append(number[gram[on]])
+        owners.append(owner[on])
+    grams, owners = np.concatenate(grams), np.concatenate(owners)
+    order = np.argsort(owners, kind="stable")
+    return grams[order], owners[order], kinds
 
 
 def _g2(a, b, n, m):
@@ -454,25 +484,19 @@ def fit_machine(examples: _Examples, y: np.ndarray, left: np.ndarray | None = No
     sentences = [len(np.unique(examples.sentence[on])) for on in (of_toxic, ~of_toxic)]
     odds = lambda t, c: (t + 0.5) / (sentences[0] + 1) * (sentences[1] + 1) / (c + 0.5)
 
-    key, owner = _grams(words)
-    _, gram = np.unique(key, return_inverse=True)
-    del key
-    t, c = (np.bincount(gram, x[owner]) for x in (in_toxic, in_clean))
-    maybe = (odds(t, c) >= ODDS) & (t >= 3)
-    on = maybe[gram]
-    gram_of, word_of = gram[on], owner[on]
-    order = np.argsort(word_of, kind="stable")
-    gram_of, word_of = gram_of[order], word_of[order]
+    gram_of, word_of, kinds = _frequent_grams(words, in_toxic, in_clean, odds)
     starts, ends = np.searchsorted(word_of, np.arange(size)), np.searchsorted(word_of, np.arange(size), "right")
+    several = int(gram_of.max(initial=-1)) + 1
     texts = []
     for kind in (of_toxic, ~of_toxic):  # in how many texts is each of these 5-grams
-        pair = np.unique((examples.text[kind].astype(np.int64) << 32) + examples.word[kind])
+        on = kind & (ends > starts)[examples.word]
+        pair = np.unique((examples.text[on].astype(np.int64) << 32) + examples.word[on])
         text, word = pair >> 32, pair & 0xFFFFFFFF
         many = ends[word] - starts[word]
         text, place = np.repeat(text, many), np.repeat(starts[word] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        texts.append(np.bincount(np.unique((text << 32) + gram_of[place]) & 0xFFFFFFFF, minlength=len(t)))
-    kinds = max(int((t + c > 2).sum()), 3)
-    telling = maybe & (_g2(texts[0], texts[1], *n) >= 2 * np.log(kinds) - np.log(2 * np.log(kinds)))
+        texts.append(np.bincount(np.unique((text << 32) + gram_of[place]) & 0xFFFFFFFF, minlength=several))
+    kinds = max(kinds, 3)
+    telling = _g2(texts[0], texts[1], *n) >= 2 * np.log(kinds) - np.log(2 * np.log(kinds))
     witness = np.zeros(size, dtype=bool)
     witness[word_of[telling[gram_of]]] = True
     witness &= (in_toxic > 0) & (odds(in_toxic, in_clean) >= ODDS)
@@ -498,7 +522,8 @@ def fit_machine(examples: _Examples, y: np.ndarray, left: np.ndarray | None = No
     varied = [v for i in positive[:64] if len(words[i]) > 4 for v in _inserted(words[i], rng)]
 
     def train(positive: np.ndarray, negative: np.ndarray) -> tuple[np.ndarray, float]:
-        x = kernel([*named(positive), *varied, *named(negative)], landmarks) @ root.astype(np.float32)
+        every = [*named(positive), *varied, *named(negative)]
+        x = np.concatenate([kernel(every[at : at + 2048], landmarks) @ root.astype(np.float32) for at in range(0, len(every), 2048)])
         mark = np.concatenate([np.ones(len(positive) + len(varied)), -np.ones(len(negative))])
         counts = in_toxic[positive].astype(float)
         often = in_clean[negative] ** TEMPER
@@ -534,7 +559,9 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     chosen = known.where("toxic = 1").orderBy(*order).limit(toxic).union(known.where("toxic <> 1").orderBy(*order).limit(clean))
     rows = short.join(F.broadcast(chosen), "doc_id").toPandas()  # at most toxic + clean ids are broadcast
     rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    return fit(rows["text"].tolist(), (rows["toxic"] == 1).tolist())
+    texts, marks = rows["text"].tolist(), (rows["toxic"] == 1).tolist()
+    del rows
+    return fit(texts, marks)
 
 
 def scored(docs: DataFrame, model: Model | None, text: str = "text", out: str = "score") -> DataFrame:
