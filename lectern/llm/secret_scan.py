@@ -211,14 +211,16 @@ class Field:
                     begin = i
         return out
 
-    def learn(self, batch: list[tuple[list[list[int]], list[int]]], slopes: np.ndarray, slopes_pairs: np.ndarray) -> None:
-        """One step (AdaGrad) up the likelihood's slope: what is there less what forward and backward sums expect."""
-        n, size, pairs = max(len(t) for _, t in batch), len(batch), self.pairs
-        scores, real = np.zeros((n, size, 3)), np.zeros((n, size), dtype=bool)
+    def learn(self, batch: list[tuple[np.ndarray, np.ndarray, list[int]]], slopes: np.ndarray, slopes_pairs: np.ndarray) -> None:
+        """One step (AdaGrad) up the likelihood's slope: what is there less what forward and backward sums expect. A sentence: all its words' features, their numbers, and the tags."""
+        sizes = [len(tags) for *_, tags in batch]
+        n, size, pairs = max(sizes), len(batch), self.pairs
+        flat, many = np.concatenate([f for f, *_ in batch]), np.concatenate([m for _, m, _ in batch])
+        at, of = np.concatenate([np.arange(k) for k in sizes]), np.repeat(np.arange(size), sizes)
+        tag = np.concatenate([t for *_, t in batch])
+        scores = np.zeros((n, size, 3))
         scores[:, :, 1:] = -1e9  # past a sentence's end all is outside
-        for j, (run, _) in enumerate(batch):
-            for i, f in enumerate(run):
-                scores[i, j], real[i, j] = self.weights[f].sum(0), True
+        scores[at, of] = np.add.reduceat(self.weights[flat], np.cumsum(many) - many, axis=0)
         add = np.logaddexp.reduce
         ahead, behind = np.zeros((n, size, 3)), np.zeros((n, size, 3))
         ahead[0] = pairs[OUT] + scores[0]
@@ -228,21 +230,19 @@ class Field:
         for i in range(n - 2, -1, -1):
             behind[i] = add(pairs + (scores[i + 1] + behind[i + 1])[:, None, :], axis=2)
         total = add(ahead[-1] + behind[-1], axis=1)
-        slope = np.where(real[:, :, None], -np.exp(ahead + behind - total[:, None]), 0.0)
         expected = np.zeros((3, 3))
         expected[OUT] -= np.exp(ahead[0] + behind[0] - total[:, None]).sum(0)
         for i in range(1, n):
             expected -= np.exp(ahead[i - 1][:, :, None] + pairs + (scores[i] + behind[i])[:, None, :] - total[:, None, None]).sum(0)
         expected[:, OUT] -= np.exp(ahead[-1] + behind[-1] - total[:, None]).sum(0)
-        step = np.zeros((SPACE, 3))
-        for j, (run, tags) in enumerate(batch):
-            for a, b in zip([OUT, *tags], [*tags, OUT], strict=True):
-                expected[a, b] += 1
+        for *_, tags in batch:
+            np.add.at(expected, ([OUT, *tags], [*tags, OUT]), 1)
             expected[OUT, OUT] += n - len(tags)
-            for i, (f, tag) in enumerate(zip(run, tags, strict=True)):
-                slope[i, j, tag] += 1
-                np.add.at(step, f, slope[i, j])
-        step[:, OUT] = 0
+        slope = -np.exp(ahead + behind - total[:, None])[at, of]
+        slope[np.arange(len(tag)), tag] += 1
+        step = np.zeros((SPACE, 3))
+        for k in (BEGIN, INSIDE):
+            step[:, k] = np.bincount(flat, np.repeat(slope[:, k], many), SPACE)
         expected[OUT, INSIDE] = 0
         step -= 1e-5 * size * self.weights
         slopes += step * step
@@ -335,7 +335,8 @@ def examples(n: int, seed: int = 9) -> list[tuple[list[list[int]], list[int]]]:
 
 @lru_cache(maxsize=1)
 def trained() -> Field:
-    field, known, order = Field(), examples(SENTENCES), np.random.default_rng(1)
+    field, order = Field(), np.random.default_rng(1)
+    known = [(np.array([x for f in run for x in f]), np.array([len(f) for f in run]), tags) for run, tags in examples(SENTENCES)]
     slopes, slopes_pairs = np.zeros((SPACE, 3)), np.zeros((3, 3))
     for _ in range(EPOCHS):
         rows = order.permutation(len(known))
