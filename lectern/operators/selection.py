@@ -92,7 +92,9 @@ def merge(corpora: list[Corpus]) -> Corpus:
         path = c.paths.withColumn("corpus_", F.lit(number))
         rows, paths = (part, path) if rows is None else (rows.unionByName(part), paths.unionByName(path))
     paths = paths.withColumn("new_path_", F.row_number().over(Window.orderBy("corpus_", "path_id")).cast("long") - 1)
-    rows = with_dense_ids(rows.withColumnRenamed("utt_id", "old_id_"), ["corpus_", "old_id_"])
-    rows = rows.join(paths.select("corpus_", "path_id", "new_path_"), ["corpus_", "path_id"], "left").withColumn("path_id", F.col("new_path_"))
-    selection = ranked(rows.where("selected_").select("utt_id"), ["utt_id"])
+    rows = rows.withColumnRenamed("utt_id", "old_id_")
+    numbers = with_dense_ids(rows.select("corpus_", "old_id_"), ["corpus_", "old_id_"])  # of slim rows: texts and symbols are neither sorted nor saved
+    rows = rows.join(numbers, ["corpus_", "old_id_"]).join(paths.select("corpus_", "path_id", "new_path_"), ["corpus_", "path_id"], "left").withColumn("path_id", F.col("new_path_"))
+    chosen = numbers.join(rows.where("selected_").select("corpus_", "old_id_"), ["corpus_", "old_id_"], "left_semi")
+    selection = ranked(chosen.select("utt_id"), ["utt_id"])
     return first.with_(utterances=rows.select(*first.utterances.columns), selection=selection, paths=paths.select(F.col("new_path_").alias("path_id"), "path"))

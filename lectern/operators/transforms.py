@@ -14,16 +14,10 @@ from lectern.functions import text as tx
 #: A text without any of these is in normal form C: marks, Hangul vowels and finals, and blocks with characters that have another form.
 MAYBE_DECOMPOSED = r"[\p{M}\u1161-\u1175\u11A8-\u11C2\u0340-\u037E\u0387\u0958-\u0A5E\u0B5C\u0B5D\u0F43-\u0FB9\u1F71-\u1FFD\u2000\u2001\u2126-\u212B\u2329\u232A\u2ADC\uF900-\uFB4E\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1D}]"
 
-#: The steps of normalize() after normal form C, in order: pattern and replacement.
-NORMALIZE_STEPS = (
-    ("control characters", r"[\x00-\x08\x0e-\x1f\x7f]", ""),
-    ("double quotes", "[“”„«»]", '"'),
-    ("single quotes", "[‘’‚‹›]", "'"),
-    ("dashes", "[‐‑‒–—]", "-"),
-    ("ellipsis", "…", "..."),
-    ("white space", r"[ \t\n\x0b\f\r ]+", " "),
-    ("edges", "^ | $", ""),
-)
+#: The steps of normalize() after normal form C: signs and what they become (all of a step at once), then white space.
+SIGN_STEPS = {"double quotes": ("“”„«»", '"'), "single quotes": ("‘’‚‹›", "'"), "dashes": ("‐‑‒–—", "-")}
+CONTROLS = "".join(map(chr, [*range(0x09), *range(0x0E, 0x20), 0x7F]))
+WHITE = "\t\n\x0b\f\r\xa0"
 
 
 def normal_form(text: Column) -> Column:
@@ -33,15 +27,17 @@ def normal_form(text: Column) -> Column:
     def composed(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
 
-    maybe = text.rlike(MAYBE_DECOMPOSED)
+    maybe = (F.octet_length(text) != F.length(text)) & text.rlike(MAYBE_DECOMPOSED)
     return F.when(maybe, composed(F.when(maybe, text))).otherwise(text)
 
 
 def normalize(text: Column) -> Column:
-    text = normal_form(text)
-    for _, pattern, to in NORMALIZE_STEPS:
-        text = F.regexp_replace(text, pattern, to)
-    return text
+    """Normal form C, no control characters, plain quotes, dashes and ellipses, single spaces inside and none at the ends. ASCII texts skip the steps that can't concern them."""
+    signs, become = "".join(x for x, _ in SIGN_STEPS.values()), "".join(to * len(x) for x, to in SIGN_STEPS.values())
+    wide = F.replace(F.translate(normal_form(text), signs, become), F.lit("…"), F.lit("..."))
+    text = F.when(F.octet_length(text) == F.length(text), text).otherwise(wide)
+    text = F.when(text.rlike(r"[\x00-\x1f\x7f\xa0]"), F.translate(text, WHITE + CONTROLS, " " * len(WHITE))).otherwise(text)
+    return F.btrim(F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, " {2,}", " ")).otherwise(text), F.lit(" "))
 
 
 def replace(text: Column, target: str, to: str) -> Column:
@@ -72,9 +68,10 @@ def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: s
     known = lexicon.select("word", F.col("phones").alias("known")).dropDuplicates(["word"])
     said = of_text.select("word").distinct().join(known, "word", "left").select("word", F.coalesce("known", spelled(F.col("word"))).alias("said"))
     said = of_text.join(said, "word").groupBy(key).agg(F.flatten(F.collect_list(F.transform("places", lambda p: F.struct(p.alias("at"), F.col("said").alias("said"))))).alias("all_"))
-    said = said.select(key, F.map_from_entries("all_").alias("all_"))
-    phones = F.flatten(F.transform(tokens, lambda t, i: F.coalesce(F.element_at("all_", i), F.array(t))))
-    return df.join(said, key, "left").withColumn(out, F.when(F.col("all_").isNull(), F.transform(tokens, lambda t: t)).otherwise(phones)).withColumn(out, F.coalesce(out, F.array().cast("array<string>"))).drop("all_")
+    signs = F.filter(F.transform(tokens, lambda t, i: F.struct(i.alias("at"), F.array(t).alias("said"))), lambda x: ~is_word(x["said"][0]))
+    every = F.array_sort(F.concat(signs, F.coalesce("all_", F.array().cast("array<struct<at:int,said:array<string>>>"))))
+    phones = F.flatten(F.transform(every, lambda x: x["said"]))
+    return df.join(said, key, "left").withColumn(out, F.coalesce(phones, F.array().cast("array<string>"))).drop("all_")
 
 
 def split_sentences(text: Column) -> Column:
