@@ -63,11 +63,10 @@ def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: s
     tokens = F.regexp_extract_all(F.col(column), F.lit(r"([\p{L}\p{M}\p{N}']+|[^\p{L}\p{M}\p{N}'])"), F.lit(1))
     is_word = lambda t: F.rlike(t, F.lit(r"[\p{L}\p{M}\p{N}]"))
     placed = df.select(key, F.posexplode(tokens).alias("at", "token"))
-    # a row for each distinct word of a text and its places, so signs and repeats aren't shuffled
-    of_text = placed.where(is_word(F.col("token"))).groupBy(key, F.lower("token").alias("word")).agg(F.collect_list("at").alias("places"))
+    words = placed.where(is_word(F.col("token"))).select(key, "at", F.lower("token").alias("word"))  # signs aren't shuffled
     known = lexicon.select("word", F.col("phones").alias("known")).dropDuplicates(["word"])
-    said = of_text.select("word").distinct().join(known, "word", "left").select("word", F.coalesce("known", spelled(F.col("word"))).alias("said"))
-    said = of_text.join(said, "word").groupBy(key).agg(F.flatten(F.collect_list(F.transform("places", lambda p: F.struct(p.alias("at"), F.col("said").alias("said"))))).alias("all_"))
+    said = words.select("word").distinct().join(known, "word", "left").select("word", F.coalesce("known", spelled(F.col("word"))).alias("said"))
+    said = words.join(said, "word").groupBy(key).agg(F.collect_list(F.struct("at", "said")).alias("all_"))
     signs = F.filter(F.transform(tokens, lambda t, i: F.struct(i.alias("at"), F.array(t).alias("said"))), lambda x: ~is_word(x["said"][0]))
     every = F.array_sort(F.concat(signs, F.coalesce("all_", F.array().cast("array<struct<at:int,said:array<string>>>"))))
     phones = F.flatten(F.transform(every, lambda x: x["said"]))
