@@ -337,6 +337,17 @@ def test_shards_of_odd_rows(spark, tmp_path):
     assert sharding.op4_kd_shards(spark, table(spark, tmp_path, [])).count() == 0
 
 
+def test_columns_of_the_operators_names_do_no_harm(spark):
+    """Callers' columns that are named like an operator's own."""
+    names = ("n_shingles", "component_id", "kept", "bands", "k1", "rep", "bucket", "pivot", "size", "shard", "slot", "law", "row", "group", "bin_id", "piece", "score", "text_crc32")
+    rows = spark.createDataFrame([(i, f"some words of a text {i // 2}", "en", "s", 9, *["mine"] * len(names)) for i in range(8)], DOCS + "".join(f", {n} string" for n in names))
+    got = minhash.near_duplicates(rows).toPandas()
+    assert len(got) == 8 and (got.kept == (got.doc_id % 2 == 0)).all()
+    assert len(packing.pack(rows, with_text=True).toPandas()) == 8
+    scored = toxicity.scored(rows, None, out="toxic_score")
+    assert scored.where("score = 'mine' and toxic_score = 0").count() == 8
+
+
 # toxicity
 
 
@@ -484,6 +495,11 @@ def test_sentences():
     assert of.tolist() == [0] * (len(of) - 1) + [1] and len(first) == len(of)
 
 
+def test_toxicity_of_no_documents(spark, tmp_path):
+    table(spark, tmp_path, [(1, 1, 1)], "labels", "doc_id long, quality int, toxic int")
+    assert toxicity.op5_toxicity(spark, table(spark, tmp_path, [])).count() == 0
+
+
 def test_toxicity_without_labels(spark, tmp_path):
     table(spark, tmp_path, [], "labels", "doc_id long, quality int, toxic int")
     got = toxicity.op5_toxicity(spark, table(spark, tmp_path, odd_rows()))
