@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.saving import saved
 
-__all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_band", "small_batches", "table", "word_count"]
+__all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_band", "small_batches", "table", "with_facts", "word_count"]
 
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,5 +77,25 @@ def positions(df: DataFrame, group: list[str], coarse: list[str], fine: list[str
     return ranked.join(starts, keys).withColumn(out, F.col(first) + F.col(rank)).drop(first, rank)
 
 
+#: Facts of at most so many keys are broadcast; beyond, rows are salted in so many ways.
+FEW, SALTS = 20_000, 32
+
+
+def with_facts(rows: DataFrame, facts: DataFrame, keys: list[str], by: str, few: int = FEW) -> DataFrame:
+    """rows with what facts says of their keys (one row a key; nulls meet nulls; rows without facts go).
+
+    Facts of few keys are broadcast, by a count. More of them are repeated for every salt and rows are salted by a hash of the
+    column `by`, so that a hot key is spread over tasks.
+    """
+    salt, *names = fresh(rows, "salt", *[f"its_{k}" for k in keys])
+    facts = facts.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)], *[c for c in facts.columns if c not in keys])
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names, strict=True)]
+    if facts.count() <= few:
+        return rows.join(F.broadcast(facts), reduce(lambda a, b: a & b, same)).drop(*names)
+    spread = facts.withColumn(f"its_{salt}", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(SALTS)).cast("int"))
+    return salted.join(spread, reduce(lambda a, b: a & b, [*same, F.col(salt) == F.col(f"its_{salt}")])).drop(*names, salt, f"its_{salt}")
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
