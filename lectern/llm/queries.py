@@ -15,8 +15,9 @@ from .secret_scan import op2_secret_scan
 from .sharding import op4_kd_shards
 from .toxicity import op5_toxicity
 from .vptree import op7_vp_search
+from .warc_zip import OP12_SQL, op12_warc_zip
 
 QUERIES = {f.__name__: f for f in (  # by number
-    op1_mix_sources, op2_secret_scan, op3_minmax_dedup, op4_kd_shards, op5_toxicity, op6_imi_dedup, op7_vp_search, op8_chat_format, op9_main_text, op10_pack, op11_source_divergence, op13_merkle_manifest,
+    op1_mix_sources, op2_secret_scan, op3_minmax_dedup, op4_kd_shards, op5_toxicity, op6_imi_dedup, op7_vp_search, op8_chat_format, op9_main_text, op10_pack, op11_source_divergence, op12_warc_zip, op13_merkle_manifest,
 )}
-SQL = {"op1_mix_sources": OP1_SQL, "op3_minmax_dedup": OP3_SQL, "op6_imi_dedup": OP6_SQL, "op7_vp_search": OP7_SQL, "op8_chat_format": OP8_SQL, "op11_source_divergence": OP11_SQL, "op13_merkle_manifest": OP13_SQL}
+SQL = {"op1_mix_sources": OP1_SQL, "op3_minmax_dedup": OP3_SQL, "op6_imi_dedup": OP6_SQL, "op7_vp_search": OP7_SQL, "op8_chat_format": OP8_SQL, "op11_source_divergence": OP11_SQL, "op12_warc_zip": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
