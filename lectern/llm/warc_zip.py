@@ -271,7 +271,7 @@ class _Package:
         return {"name": self.name, "bytes": self.store.get_file_info(self.path).size, "records": len(self.index)}
 
     def drop(self) -> None:
-        self.stream.close()
+        self.close()
         self.store.delete_file(self.path)
 
 
@@ -332,11 +332,15 @@ class _Reader(DataSourceReader):
             found = [(f"{path}/{p['name']}", p["bytes"]) for m in manifests for p in json.loads(store.open_input_file(m.path).read())["packages"]]
         else:
             found = [(f.path, f.size) for f in files.listed(self.folder, ".zip", ".wacz")]
-        return [_Part(name, k, parts) for name, size in found for parts in [-(-size // (2 * PACKAGE)) or 1] for k in range(parts)]
+        parts = [_Part(name, k, n) for name, size in found for n in [-(-size // (2 * PACKAGE)) or 1] for k in range(n)]
+        return parts or [_Part("", 0, 0)]  # one without rows, as none at all is no plan
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
         store, _ = files.at(self.folder)
         rows, load = [], 0
+        if not partition.path:
+            yield pa.RecordBatch.from_pylist([], _ARROW)
+            return
         with store.open_input_file(partition.path) as file:
             for data in records(file, partition.part, partition.parts):
                 if (row := parsed(data)) is None:
