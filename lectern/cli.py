@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
-from lectern.operators import export, filters, greedy, stats, transforms
+from lectern.operators import export, filters, greedy, pronounce, stats, transforms
 from lectern.operators import selection as sel
 from lectern.operators.sentences import split_corpus
 from lectern.plans import pipelines
@@ -54,6 +54,12 @@ def _greedy(kind: str) -> Callable:
     return lambda s, c, a: greedy.select_greedy(c, kind, a.n_gram, a.minutes, ignore=parse_set(a.ignore_symbols, "&"), band=(a.boundary_min, a.boundary_max), speed=a.reading_speed)
 
 
+def _arpa(spark, c: Corpus, a) -> Corpus:
+    """Words that the lexicon lacks are said as a model learned from it says, or by rules of spelling."""
+    lexicon = lexicon_of(spark, a.lexicon)
+    return pipelines.to_arpa(c, lexicon, a.target, pronounce.learn(lexicon).phones if a.fallback == "learned" else ph.spelled_phones)
+
+
 def _order(p):
     p.add_argument("--sorting_mode", choices=export.ORDERS, default="by_index")
     p.add_argument("--seed", type=int, default=export.SEED)
@@ -81,7 +87,7 @@ CHANGES: dict[str, tuple[Callable, Callable]] = {
     "normalize": (_target, lambda s, c, a: c.map(a.target, transforms.normalize)),
     "replace": (lambda p: (_target(p), p.add_argument("--replace_target", required=True), p.add_argument("--replace_with", default="")), lambda s, c, a: c.map(a.target, lambda t: transforms.replace(t, a.replace_target, a.replace_with))),
     "change-text": (lambda p: (_target(p), p.add_argument("--remove_space_around_punctuation", action="store_true")), lambda s, c, a: c.map(a.target, transforms.tighten_punctuation if a.remove_space_around_punctuation else lambda t: t)),
-    "eng-to-arpa": (lambda p: (_target(p), p.add_argument("--lexicon", required=True)), lambda s, c, a: pipelines.to_arpa(c, lexicon_of(s, a.lexicon), a.target)),
+    "eng-to-arpa": (lambda p: (_target(p), p.add_argument("--lexicon", required=True), p.add_argument("--fallback", choices=("learned", "rules"), default="learned")), _arpa),
     "to-symbols": (_target, lambda s, c, a: c.map(a.target, lambda t: t)),
     "arpa-to-ipa": (_target, lambda s, c, a: pipelines.to_ipa(c, a.target)),
     "change-ipa": (

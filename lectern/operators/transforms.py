@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
 from lectern.functions import text as tx
+from lectern.saving import saved
 
 #: A text without any of these is in normal form C: marks, Hangul vowels and finals, and blocks with characters that have another form.
 MAYBE_DECOMPOSED = r"[\p{M}\u1161-\u1175\u11A8-\u11C2\u0340-\u037E\u0387\u0958-\u0A5E\u0B5C\u0B5D\u0F43-\u0FB9\u1F71-\u1FFD\u2000\u2001\u2126-\u212B\u2329\u232A\u2ADC\uF900-\uFB4E\x{1D15E}-\x{1D1C0}\x{2F800}-\x{2FA1D}]"
@@ -54,23 +55,46 @@ def to_symbols(text: Column, symbols: str = "graphemes") -> Column:
     return tx.graphemes(text) if symbols == "graphemes" else tx.phones(text)
 
 
-def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: str = "utt_id", spelled=ph.spelled_phones) -> DataFrame:
-    """df with the phones of an English text. lexicon: word (lower case), phones.
+#: Distinct words whose phones every task may hold; of more, the most frequent ones.
+IN_PLACE = 200_000
+#: Before a word among the symbols.
+_WORD = "\0"
 
-    Only distinct words meet the lexicon and the spelling rules. Words part at spaces and hyphens and lose the signs around
-    them, which stay as symbols of their own; a space stands between words.
+
+def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: str = "utt_id", spelled=ph.spelled_phones, in_place: int = IN_PLACE) -> DataFrame:
+    """df with the phones of an English text; none for a null one. lexicon: word (lower case), phones. spelled: a column of words to phones, for words that it lacks.
+
+    Only distinct words meet the lexicon and what spells; their phones are then looked up where the rows lie, in a table of a
+    counted size, so no text and no occurrence of a frequent word is shuffled. Where there are more distinct words than that,
+    rare ones come by a join. Words part at spaces and hyphens and lose the signs around them, which stay as symbols of their own; a
+    space stands between words.
     """
     tokens = F.regexp_extract_all(F.col(column), F.lit(r"([\p{L}\p{M}\p{N}']+|[^\p{L}\p{M}\p{N}'])"), F.lit(1))
-    is_word = lambda t: F.rlike(t, F.lit(r"[\p{L}\p{M}\p{N}]"))
-    placed = df.select(key, F.posexplode(tokens).alias("at", "token"))
-    words = placed.where(is_word(F.col("token"))).select(key, "at", F.lower("token").alias("word"))  # signs aren't shuffled
+    marked = F.transform(tokens, lambda t: F.when(F.rlike(t, F.lit(r"[\p{L}\p{M}\p{N}]")), F.concat(F.lit(_WORD), F.lower(t))).otherwise(t))
+    is_word = lambda t: F.startswith(t, F.lit(_WORD)) & (F.length(t) > 1)
+    words = df.select(F.explode(F.filter(marked, is_word)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    words = words.select(F.substring("word", F.lit(2), F.length("word")).alias("word"), "n")
     known = lexicon.select("word", F.col("phones").alias("known")).dropDuplicates(["word"])
-    said = words.select("word").distinct().join(known, "word", "left").select("word", F.coalesce("known", spelled(F.col("word"))).alias("said"))
-    said = words.join(said, "word").groupBy(key).agg(F.collect_list(F.struct("at", "said")).alias("all_"))
-    signs = F.filter(F.transform(tokens, lambda t, i: F.struct(i.alias("at"), F.array(t).alias("said"))), lambda x: ~is_word(x["said"][0]))
-    every = F.array_sort(F.concat(signs, F.coalesce("all_", F.array().cast("array<struct<at:int,said:array<string>>>"))))
-    phones = F.flatten(F.transform(every, lambda x: x["said"]))
-    return df.join(said, key, "left").withColumn(out, F.coalesce(phones, F.array().cast("array<string>"))).drop("all_")
+    other = spelled(F.when(F.col("known").isNull(), F.col("word")))
+    said = saved(words.join(known, "word", "left").select("word", "n", F.coalesce("known", other).alias("said")))
+    beyond = said.count() > in_place
+    table = {r["word"]: r["said"] for r in (said.orderBy(F.desc("n"), "word").limit(in_place) if beyond else said).collect()}
+    held = df.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("array<string>")
+    def looked_up(rows: pd.Series) -> pd.Series:
+        phones, none = held.value, []
+        found = lambda t: phones.get(t[1:], (t,)) if t[0] == _WORD and len(t) > 1 else (t,)
+        return rows.map(lambda ts: none if ts is None else [p for t in ts for p in found(t)])
+
+    spoken = df.withColumn(out, looked_up(marked))
+    if not beyond:
+        return spoken
+    spoken = saved(spoken)
+    rare = spoken.select(key, F.explode(F.array_distinct(F.filter(out, is_word))).alias("symbol")).withColumn("word", F.substring("symbol", F.lit(2), F.length("symbol")))
+    rare = rare.join(said.select("word", "said"), "word").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("symbol", "said"))).alias("rare_"))
+    filled = F.flatten(F.transform(out, lambda s: F.coalesce(F.element_at("rare_", s), F.array(s))))
+    return spoken.join(rare, key, "left").withColumn(out, F.when(F.col("rare_").isNull(), F.col(out)).otherwise(filled)).drop("rare_")
 
 
 def split_sentences(text: Column) -> Column:

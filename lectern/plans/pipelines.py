@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.functions.phonetics import spelled_phones
 from lectern.operators import filters, greedy, transforms
 from lectern.operators.selection import remove_deselected
 from lectern.plans.corpus import Corpus
 
 #: What the first pass finds undesired.
 UNDESIRED = ("/", "\\", "-", ":", "@", ";", "*", "%", '"', "(", ")", "[", "]", "{", "}", "quote", "oswald", "ye", "hath", "pp.")
+#: The bands of durations in their order, and the speed at which they are read.
 BANDS = ((8.0, float("inf")), (4.0, 8.0), (0.0, 4.0))
 BAND_SPEED = 14.0
 
@@ -27,8 +29,8 @@ def remove_unknown_words(corpus: Corpus, lexicon: DataFrame, most: int) -> Corpu
     return corpus.keep(filters.without_unknown_words(corpus.utterances, "repr", lexicon, most, corpus.language))
 
 
-def to_arpa(corpus: Corpus, lexicon: DataFrame, target: str = "repr") -> Corpus:
-    rows = transforms.eng_to_arpa(corpus.utterances.drop(f"{target}_syms"), target, lexicon, f"{target}_syms")
+def to_arpa(corpus: Corpus, lexicon: DataFrame, target: str = "repr", spelled=spelled_phones) -> Corpus:
+    rows = transforms.eng_to_arpa(corpus.utterances.drop(f"{target}_syms"), target, lexicon, f"{target}_syms", spelled=spelled)
     rows = rows.withColumn(target, F.array_join(f"{target}_syms", " "))
     return corpus.with_(utterances=rows.select(*corpus.utterances.columns), **{f"{target}_format": "arpa"})
 
