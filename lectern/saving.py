@@ -6,6 +6,7 @@ import re
 import tempfile
 
 from pyspark.sql import DataFrame
+from pyspark.sql.functions import broadcast
 
 
 def shared_folder(spark) -> str:
@@ -28,3 +29,12 @@ def saved(df: DataFrame) -> DataFrame:
     """The rows, written to the checkpoint folder, so that a lost executor costs no recomputation."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+#: Rows of a side that is broadcast, at most.
+FEW = 200_000
+
+
+def few_joined(rows: DataFrame, facts: DataFrame, on: list[str], how: str = "inner", few: int = FEW) -> DataFrame:
+    """rows joined with a table that is small as a rule: broadcast where it is, by a count, and by a shuffle where it isn't."""
+    return rows.join(broadcast(facts) if facts.count() <= few else facts, on, how)

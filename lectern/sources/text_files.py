@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from lectern.functions import text as tx
 from lectern.operators.ids import with_dense_ids
 from lectern.plans.corpus import Corpus, empty_selection
+from lectern.saving import few_joined, saved
+from lectern.sources.files import known
+from lectern.sources.lines import SPLIT, line_counts, read_lines
 
 #: Encodings that Spark reads itself; others go through Python.
 NATIVE = ("utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32", "us-ascii", "iso-8859-1")
@@ -47,30 +50,47 @@ def parsable(text, kind: str):
     return F.lit(True) if kind == "graphemes" else ~text.rlike("^ | $|  ")
 
 
-def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str = "eng", reading_format: str = "graphemes", repr_format: str | None = None, encoding: str = "utf-8", limit: int | None = None) -> Corpus:
+def _whole_files(spark, directory: str, encoding: str, limit: int | None) -> DataFrame:
+    """stem, path, line_nr, line and n_lines, of stores that only Spark opens: a file is a row."""
+    files = text_files(spark, directory)
+    if limit is not None:
+        files = files.join(files.select("stem").orderBy("stem").limit(limit), "stem", "left_semi")
+    return _lines(files, encoding, "line").join(files.select("stem", "path"), "stem").withColumnRenamed("n_line", "n_lines")
+
+
+def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str = "eng", reading_format: str = "graphemes", repr_format: str | None = None, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT) -> Corpus:
     """A corpus of pairs of files with one stem, in the order of stems and lines.
 
     limit counts files. A pair of files with different numbers of lines is left out whole; a pair of lines is left out if
-    either is blank or, in a format of symbols, has none. Paths are of the reading's files that give a row.
+    either is blank or, in a format of symbols, has none. Paths are of the reading's files that give a row. Files are read by
+    ranges of split bytes; ids need one shuffle of the texts, symbols are made behind it.
     """
     repr_format = repr_format or reading_format
-    files = text_files(spark, reading_dir)
-    if limit is not None:
-        kept = files.select("stem").orderBy("stem").limit(limit)
-        files = files.join(kept, "stem", "left_semi")
-    rows = _lines(files, encoding, "reading")
-    if repr_dir is None or repr_dir == reading_dir:
+    alone = repr_dir is None or repr_dir == reading_dir
+    by_range = all(known(d) for d in (reading_dir, repr_dir or reading_dir))
+    if by_range:
+        rows = read_lines(spark, reading_dir, encoding, limit, split)
+    else:
+        rows = _whole_files(spark, reading_dir, encoding, limit)
+    rows = rows.withColumnRenamed("line", "reading")
+    if alone:
         rows = rows.withColumn("repr", F.col("reading"))
+    elif by_range:
+        n_lines = [line_counts(spark, d, encoding, x, split).select("stem", "n_lines") for d, x in ((reading_dir, limit), (repr_dir, None))]
+        paired = saved(n_lines[0].join(n_lines[1], ["stem", "n_lines"]).select("stem"))
+        other = read_lines(spark, repr_dir, encoding, None, split).select("stem", "line_nr", F.col("line").alias("repr"))
+        rows = few_joined(rows, paired, ["stem"], "left_semi").join(other, ["stem", "line_nr"])
     else:
-        other = _lines(text_files(spark, repr_dir), encoding, "repr")
-        rows = rows.join(other, ["stem", "line_nr"]).where("n_reading = n_repr")
+        other = _whole_files(spark, repr_dir, encoding, None).select("stem", "line_nr", F.col("line").alias("repr"), F.col("n_lines").alias("n_repr"))
+        rows = rows.join(other, ["stem", "line_nr"]).where("n_lines = n_repr")
     rows = rows.where(~tx.is_blank(F.col("reading")) & ~tx.is_blank(F.col("repr")))
     rows = rows.where(parsable(F.col("reading"), reading_format) & parsable(F.col("repr"), repr_format))
-    rows = rows.withColumns({"reading_syms": symbols_of(F.col("reading"), reading_format), "repr_syms": symbols_of(F.col("repr"), repr_format)})
-    rows = rows.where((F.size("reading_syms") > 0) & (F.size("repr_syms") > 0))
-    rows = with_dense_ids(rows.select("stem", "line_nr", "reading", "reading_syms", "repr", "repr_syms"), ["stem", "line_nr"])
-    paths = with_dense_ids(rows.select("stem").distinct(), ["stem"], "path_id").join(text_files(spark, reading_dir).select("stem", "path"), "stem")
-    rows = rows.join(paths.select("stem", "path_id"), "stem").select("utt_id", "path_id", "line_nr", "reading", "reading_syms", "repr", "repr_syms")
+    symbols = {"reading_syms": symbols_of(F.col("reading"), reading_format), "repr_syms": symbols_of(F.col("repr"), repr_format)}
+    rows = rows.where((F.size(symbols["reading_syms"]) > 0) & (F.size(symbols["repr_syms"]) > 0))
+    rows = with_dense_ids(rows.select("stem", "path", "line_nr", "reading", "repr"), ["stem", "line_nr"])
+    paths = saved(with_dense_ids(rows.select("stem", "path").distinct(), ["stem"], "path_id"))
+    rows = few_joined(rows, paths.select("stem", "path_id"), ["stem"]).withColumns(symbols)
+    rows = rows.select("utt_id", "path_id", "line_nr", "reading", "reading_syms", "repr", "repr_syms")
     return Corpus(rows, empty_selection(spark), paths.select("path_id", "path"), language, reading_format, repr_format)
 
 
