@@ -13,6 +13,7 @@ from lectern.operators.ids import with_dense_ids
 from lectern.operators.selection import ranked, tex_ids
 from lectern.plans.corpus import Corpus
 from lectern.saving import saved
+from lectern.sources.one_file import table_line, write_file
 
 SEED = 1111
 ORDERS = ("by_index", "by_selection", "symbol_count_asc", "random", "kld", "kld_parts")
@@ -28,7 +29,7 @@ def in_order(corpus: Corpus, order: str = "by_index", seed: int = SEED, ignore:
     elif order == "random":
         keys = selection.select("utt_id", F.md5(F.concat_ws(":", F.lit(seed), "utt_id").cast("binary")).alias("a"))
     elif order == "symbol_count_asc":
-        keys = corpus.selected().select("utt_id", (F.size("repr_syms") * F.lit(1 << 40).cast("long") + F.col("sel_rank")).alias("a"))
+        keys = corpus.selected().select("utt_id", (F.size("reading_syms") * F.lit(1 << 40).cast("long") + F.col("sel_rank")).alias("a"))
     elif order in ("kld", "kld_parts"):
         keys = kld_order(corpus.utterances, selection, set(ignore), parts if order == "kld_parts" else 1, take).select("utt_id", F.col("sel_rank").alias("a"))
     else:
@@ -59,47 +60,26 @@ def tex_item(use_hint: bool = True) -> Column:
     return F.concat(F.lit("  \\item "), hint, "Utterance", F.lit(" % "), F.col("Id").cast("string"))
 
 
-def _write(lines: Iterable[str], path: str) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        for line in lines:
-            f.write(line)
-
-
 #: The columns of a script's table, and the frame of its TeX file.
 COLUMNS = ["Id", "Nr", "Utterance", "Representation", "Path"]
 TEX_BEGIN, TEX_END = "\\begin{enumerate}[label={\\protect\\threedigits{\\theenumi}:}]", "\\end{enumerate}"
 
 
+def _ordered(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    return saved(rows.repartitionByRange("place").sortWithinPartitions("place").select("place", *columns))
+
+
 def write_scripts(rows: DataFrame, directory: str, name: str = "selected", only_txt: bool = False) -> None:
-    """NAME.txt and unless only_txt NAME.csv, _consecutive.txt, .tex and _paths.txt, as single files on the driver.
-
-    For scripts that people read aloud: rows stream once, a partition at a time. What is left of a large corpus is for
-    write_script_tables.
-    """
-    import contextlib
-    import csv
-    import os
-
-    os.makedirs(directory, exist_ok=True)
-    names = ["", *([] if only_txt else ["_consecutive", "_paths"])]
-    with contextlib.ExitStack() as stack:
-        txt, *others = (stack.enter_context(open(f"{directory}/{name}{x}.txt", "w", encoding="utf-8")) for x in names)
-        if not only_txt:
-            consecutive, paths = others
-            tex = stack.enter_context(open(f"{directory}/{name}.tex", "w", encoding="utf-8"))
-            tex.write(f"{TEX_BEGIN}\n")
-            table = csv.writer(stack.enter_context(open(f"{directory}/{name}.csv", "w", encoding="utf-8", newline="")), delimiter="\t", lineterminator="\n")
-            table.writerow(COLUMNS)
-        for i, r in enumerate(rows.orderBy("place").withColumns({"line": numbered_line(), "item": tex_item()}).toLocalIterator()):
-            first = i == 0
-            txt.write("\n" * (not first) + r["line"])
-            if not only_txt:
-                consecutive.write(" " * (not first) + r["Utterance"])
-                paths.write("\n" * (not first) + str(r["Path"]))
-                tex.write(r["item"] + "\n")
-                table.writerow([r[c] for c in COLUMNS])
-        if not only_txt:
-            tex.write(TEX_END)
+    """NAME.txt and unless only_txt NAME.csv, _consecutive.txt, .tex and _paths.txt, as single files whose parts executors write."""
+    kinds = {".txt": (numbered_line(), {"between": "\n"})}
+    if not only_txt:
+        kinds |= {
+            "_consecutive.txt": (F.col("Utterance"), {"between": " "}), "_paths.txt": (F.col("Path"), {"between": "\n"}),
+            ".tex": (tex_item(), {"head": f"{TEX_BEGIN}\n", "after": "\n", "foot": TEX_END}), ".csv": (table_line(COLUMNS), {"head": "\t".join(COLUMNS) + "\n", "after": "\n"}),
+        }
+    ordered = _ordered(rows, *COLUMNS)
+    for end, (line, how) in kinds.items():
+        write_file(ordered.select("place", line.alias("line")), f"{directory}/{name}{end}", ordered=True, **how)
 
 
 #: Rows in a part of a file.
@@ -152,16 +132,16 @@ def textgrid(corpus: Corpus, tex: DataFrame, column: str = "value", speed: float
 
 
 def write_textgrid(grid: DataFrame, path: str) -> None:
-    """The long text form of TextGrid files."""
-    rows = grid.orderBy("tier", "idx").toLocalIterator()
-    tiers: dict[str, list] = {GRAPHEME_TIER: [], PHONEME_TIER: []}
-    for r in rows:
-        tiers[r["tier"]].append(r)
-    end = max((r["max_t"] for rs in tiers.values() for r in rs), default=0.0)
-    out = ['File type = "ooTextFile"', 'Object class = "TextGrid"', "", "xmin = 0", f"xmax = {end}", "tiers? <exists>", f"size = {len(tiers)}", "item []:"]
-    for i, (name, rs) in enumerate(tiers.items(), 1):
-        out += [f"    item [{i}]:", '        class = "IntervalTier"', f'        name = "{name}"', "        xmin = 0", f"        xmax = {end}", f"        intervals: size = {len(rs)}"]
-        for j, r in enumerate(rs, 1):
-            mark = r["mark"].replace('"', '""')
-            out += [f"        intervals [{j}]:", f"            xmin = {r['min_t']}", f"            xmax = {r['max_t']}", f'            text = "{mark}"']
-    _write((x + "\n" for x in out), path)
+    """The long text form of TextGrid files: both tiers one after the other, each with its intervals. One file, whose parts executors write."""
+    names, far = (GRAPHEME_TIER, PHONEME_TIER), 1 << 40
+    grid = saved(grid)
+    known = {r["tier"]: r for r in grid.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.max("max_t").alias("end")).collect()}
+    end = max((r["end"] for r in known.values()), default=0.0)
+    number = F.pandas_udf(lambda x: x.map(repr), "string")  # as short as it can be
+    mark = F.replace("mark", F.lit('"'), F.lit('""'))
+    pad, j = " " * 12, (F.col("idx") + 1).cast("string")
+    line = F.concat(F.lit("        intervals ["), j, F.lit(f"]:\n{pad}xmin = "), number("min_t"), F.lit(f"\n{pad}xmax = "), number("max_t"), F.lit(f'\n{pad}text = "'), mark, F.lit('"'))
+    rows = grid.select((F.when(F.col("tier") == names[0], 0).otherwise(1) * F.lit(far) + F.col("idx") + 1).cast("long").alias("place"), line.alias("line"))
+    tops = [(i * far, f'    item [{i + 1}]:\n        class = "IntervalTier"\n        name = "{name}"\n        xmin = 0\n        xmax = {end}\n        intervals: size = {known[name]["n"] if name in known else 0}') for i, name in enumerate(names)]
+    head = ['File type = "ooTextFile"', 'Object class = "TextGrid"', "", "xmin = 0", f"xmax = {end}", "tiers? <exists>", f"size = {len(names)}", "item []:", ""]
+    write_file(rows.union(grid.sparkSession.createDataFrame(tops, "place long, line string")), path, head="\n".join(head), after="\n")

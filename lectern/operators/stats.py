@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators.grams import gram_counts, symbols_of_gram
+from lectern.operators.ids import with_dense_ids
 from lectern.saving import saved
+from lectern.sources.one_file import table_line, write_file
 
 
 def flagged(utterances: DataFrame, selection: DataFrame) -> DataFrame:
@@ -61,10 +63,10 @@ def durations_of(rows: DataFrame, ids: DataFrame, speed: float = tx.READING_SPEE
 
 
 def write_ngram_csv(rows: DataFrame, n: int, directory: str, column: str = "repr_syms") -> None:
-    """n_gram_stats.csv, parted by tabs, in the order of n-grams: a row for each kind, so one file. The column names are fixed values."""
-    table = ngram_stats(rows, n, column).orderBy("ngram").withColumn("ngram", F.array_join("ngram", ""))
+    """n_gram_stats.csv, parted by tabs, in the order of n-grams: one file, whose parts executors write. The column names are fixed values."""
     names = [f"{n}-gram", "Selected #", "Not selected #", "Total #", "Selected %", "Not selected %", "Total %"]
-    table.toDF(*names).coalesce(1).write.mode("overwrite").csv(f"{directory}/{n}_gram_stats.csv", sep="\t", header=True, quote='"', escape='"', quoteAll=False)
+    table = with_dense_ids(ngram_stats(rows, n, column), ["ngram"], "place").withColumn("ngram", F.array_join("ngram", ""))
+    write_file(table.select("place", table_line([c for c in table.columns if c != "place"]).alias("line")), f"{directory}/{n}_gram_stats.csv", head="\t".join(names) + "\n", after="\n")
 
 
 def removal_stats(before: DataFrame, after: DataFrame) -> DataFrame:

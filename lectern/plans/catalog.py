@@ -154,7 +154,7 @@ def _intervals(grid: DataFrame) -> DataFrame:
 def q_prep(spark, sf_dir):
     """The filters of the preparing pipeline, each on what the one before left."""
     r = F.col("reading")
-    rows = utterances(spark, sf_dir).where("lang = 'en'").where(~filters.has_acronym(r))
+    rows = utterances(spark, sf_dir).where(~filters.has_acronym(r))
     rows = filters.first_of_duplicates(rows, "reading")
     rows = filters.without_rare_words(rows, "reading", 2)
     return rows.where(~filters.has_undesired(r, UNDESIRED) & ~filters.word_count_outside(r, 3)).select("utt_id", "reading")
@@ -307,7 +307,7 @@ SELECT row_number() OVER (ORDER BY c, o) - 1 AS utt_id, reading, path, selected
     "tex_ids": (lambda s, d: selection.tex_ids(rendered(s, d), part="part"), f"WITH {UTT} SELECT utt_id, row_number() OVER (ORDER BY utt_id DESC) - 1 AS sel_rank FROM utts WHERE doc_id % 5 = 0"),
     "textgrid_intervals": (q_textgrid, f"""WITH {UTT}, s AS (SELECT *, row_number() OVER (ORDER BY utt_id DESC) - 1 AS idx, length(reading) AS n, sum(length(reading)) OVER (ORDER BY utt_id DESC) AS upto FROM utts WHERE doc_id % 5 = 0)
 SELECT tier, idx::BIGINT AS idx, round((upto - n)::DOUBLE / 13.7, 6) AS min_t, round(upto::DOUBLE / 13.7, 6) AS max_t, reading AS mark FROM s, (VALUES ('sentences (graphemes)'), ('sentences (phonemes)')) v(tier)"""),
-    "prep_pipeline": (q_prep, f"""WITH {UTT}, a AS (SELECT * FROM utts WHERE lang = 'en' AND NOT ({_ACRONYM})), b AS (SELECT min(utt_id) AS utt_id, reading FROM a GROUP BY reading), {_RARE.replace('BASE', 'b')}
+    "prep_pipeline": (q_prep, f"""WITH {UTT}, a AS (SELECT * FROM utts WHERE NOT ({_ACRONYM})), b AS (SELECT min(utt_id) AS utt_id, reading FROM a GROUP BY reading), {_RARE.replace('BASE', 'b')}
 SELECT utt_id, reading FROM b WHERE utt_id NOT IN (SELECT utt_id FROM bad) AND NOT ({_UNDESIRED}) AND len(string_split(reading, ' ')) >= 3"""),
     "kld_step_scores": (q_kld_step, f"""WITH {UTT}, g AS (SELECT utt_id, doc_id % 5 = 0 AS sel, s, count(*) AS n FROM (SELECT utt_id, doc_id, unnest(string_split(reading, '')) AS s FROM utts) GROUP BY ALL),
 h AS (SELECT s, sum(n)::DOUBLE AS x FROM g WHERE sel GROUP BY s), t AS (SELECT sum(x) AS nx, sum(x * ln(x)) AS sx FROM h), v AS (SELECT count(DISTINCT s) AS v FROM g),

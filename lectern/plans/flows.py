@@ -239,8 +239,8 @@ def q_scripts_in_files(spark, sf_dir):
 def q_ngram_csv(spark, sf_dir):
     at = folder(spark, "grams")
     stats.write_ngram_csv(base.stat_rows(spark, sf_dir), 2, at)
-    rows = spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').csv(f"{at}/2_gram_stats.csv")
-    return rows.select(F.col("Selected #").cast("long").alias("selected"), F.col("Not selected #").cast("long").alias("not_selected"), F.round(F.col("Total %").cast("double"), 6).alias("total_pct"))
+    rows = spark.read.option("sep", "\t").option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"').option("nullValue", "\x00").option("emptyValue", "").csv(f"{at}/2_gram_stats.csv")
+    return rows.select(F.col("2-gram").alias("ngram"), F.col("Selected #").cast("long").alias("selected"), F.col("Not selected #").cast("long").alias("not_selected"), F.round(F.col("Total %").cast("double"), 6).alias("total_pct"))
 
 
 # greedy orders, bands and the two pipelines
@@ -372,7 +372,7 @@ SELECT row_number() OVER (ORDER BY doc_id, line_nr) - 1 AS utt_id, reading, arra
     "scripts_in_files": (q_scripts_in_files, f"""{ORDERED}, n AS (SELECT *, count(*) OVER () AS n FROM s), l AS (SELECT *, lpad((rank + 1)::VARCHAR, length(n::VARCHAR)::INT, '0') AS nr FROM n)
 SELECT 'txt' AS file, rank AS place, nr || ': ' || reading AS line FROM l UNION ALL SELECT 'consecutive', row_number() OVER (ORDER BY rank, k) - 1, w FROM (SELECT rank, unnest(string_split(reading, ' ')) AS w, unnest(range(len(string_split(reading, ' ')))) AS k FROM l) UNION ALL SELECT 'paths', rank, source FROM l
 UNION ALL SELECT 'tex', rank, '  \\item ' || {_HINT} || reading || ' % ' || utt_id FROM l UNION ALL SELECT 'csv', rank, utt_id || chr(9) || nr || chr(9) || reading || chr(9) || reading || chr(9) || source FROM l"""),
-    "ngram_csv": (q_ngram_csv, f"SELECT selected, not_selected, total_pct FROM ({base._ngram_sql(2)})"),
+    "ngram_csv": (q_ngram_csv, f"SELECT ngram, selected, not_selected, total_pct FROM ({base._ngram_sql(2)})"),
     "order_kld": (q_kld_order(), _kld_order_sql()),
     "order_kld_parts": (q_kld_order(4, 2), _kld_order_sql(4, 2)),
     "select_bands": (q_bands, _bands_sql()),

@@ -110,14 +110,14 @@ class _Ranges(InputPartition):
 
 class _LinesReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.folder, self.encoding = options["path"].rstrip("/"), options.get("encoding", "utf-8")
+        self.folder, self.encoding, self.suffix = options["path"].rstrip("/"), options.get("encoding", "utf-8"), options.get("suffix", ".txt")
         self.split, self.limit = int(options.get("split", SPLIT)), int(options.get("limit", -1))
         self.counts, self.cut_only = (options.get(x, "false").lower() == "true" for x in ("counts", "cutonly"))
 
     def _all(self) -> Iterator[Range]:
         store, root = files.at(self.folder)
         root = store.normalize_path(root).rstrip("/")
-        found = sorted((f.path[len(root) + 1 : -len(".txt")], f.path, f.size) for f in files.listed(self.folder, ".txt"))
+        found = sorted((f.path[len(root) + 1 : -len(self.suffix)], f.path, f.size) for f in files.listed(self.folder, self.suffix))
         if self.limit >= 0:
             found = found[: self.limit]
         width = coding(self.encoding).width
@@ -171,9 +171,9 @@ class _LinesReader(DataSourceReader):
 
 
 class TextLines(DataSource):
-    """All .txt files below a folder: stem (path below the folder, without suffix), path, part (the range), nth (of the range's lines, from 0) and line.
+    """All files of a suffix below a folder: stem (path below the folder, without suffix), path, part (the range), nth (of the range's lines, from 0) and line.
 
-    Options: encoding; split (bytes of a range); limit (files, in the order of stems); counts (a row a range, nth the number of
+    Options: suffix (.txt); encoding; split (bytes of a range); limit (files, in the order of stems); counts (a row a range, nth the number of
     its lines); cutonly (only files of several ranges).
     """
 
@@ -188,10 +188,10 @@ class TextLines(DataSource):
         return _LinesReader(dict(self.options))
 
 
-def read_lines(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT) -> DataFrame:
+def read_lines(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT, suffix: str = ".txt") -> DataFrame:
     """stem, path, line_nr (from 0) and line of the text files below a folder. Lines are not shuffled; a table of the ranges of large files tells their first numbers."""
     spark.dataSource.register(TextLines)
-    options = {"encoding": encoding, "split": split} | ({} if limit is None else {"limit": limit})
+    options = {"encoding": encoding, "split": split, "suffix": suffix} | ({} if limit is None else {"limit": limit})
     read = lambda **more: spark.read.format("lectern_lines").options(**options, **more).load(folder)
     before = Window.partitionBy("stem").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = saved(read(counts=True, cutonly=True).select("stem", "part", F.coalesce(F.sum("nth").over(before), F.lit(0)).alias("first_")))

@@ -5,7 +5,8 @@ import random
 
 import pytest
 
-from lectern.sources import lines
+from lectern.operators import export
+from lectern.sources import lines, one_file
 from lectern.sources.text_files import ingest
 
 
@@ -85,3 +86,55 @@ def test_pairs_of_large_files(spark, tmp_path, encoding):
     rows = c.utterances.orderBy("utt_id").collect()
     assert [(r["line_nr"], r["reading"], r["repr"]) for r in rows] == [(i, f"w {i}", f"R {i}") for i in range(300) if i % 9]
     assert [r["utt_id"] for r in rows] == list(range(len(rows))) and [p["path"].endswith("/reading/a.txt") for p in c.paths.collect()] == [True]
+
+
+def naive_scripts(rows, grid):
+    """The files as one process writes them."""
+    import csv
+    import io
+
+    out, table = {}, io.StringIO()
+    out[".txt"] = "\n".join(f"{r['Nr']}: {r['Utterance']}" for r in rows)
+    out["_consecutive.txt"] = " ".join(r["Utterance"] for r in rows)
+    out["_paths.txt"] = "\n".join(r["Path"] or "" for r in rows)
+    hint = lambda u: f"{u[-1]} " if u[-1:] in ("!", "?") else ""
+    out[".tex"] = "\\begin{enumerate}[label={\\protect\\threedigits{\\theenumi}:}]\n" + "".join(f"  \\item {hint(r['Utterance'])}{r['Utterance']} % {r['Id']}\n" for r in rows) + "\\end{enumerate}"
+    w = csv.writer(table, delimiter="\t", lineterminator="\n")
+    w.writerow(["Id", "Nr", "Utterance", "Representation", "Path"])
+    w.writerows([r["Id"], r["Nr"], r["Utterance"], r["Representation"], r["Path"]] for r in rows)
+    out[".csv"] = table.getvalue()
+    end = max((r["max_t"] for r in grid), default=0.0)
+    lines = ['File type = "ooTextFile"', 'Object class = "TextGrid"', "", "xmin = 0", f"xmax = {end}", "tiers? <exists>", "size = 2", "item []:"]
+    for i, name in enumerate(("sentences (graphemes)", "sentences (phonemes)"), 1):
+        mine = [r for r in grid if r["tier"] == name]
+        lines += [f"    item [{i}]:", '        class = "IntervalTier"', f'        name = "{name}"', "        xmin = 0", f"        xmax = {end}", f"        intervals: size = {len(mine)}"]
+        for j, r in enumerate(mine, 1):
+            lines += [f"        intervals [{j}]:", f"            xmin = {r['min_t']}", f"            xmax = {r['max_t']}", '            text = "' + r["mark"].replace('"', '""') + '"']
+    return out, "".join(x + "\n" for x in lines)
+
+
+@pytest.mark.parametrize("n", [0, 1, 700])
+def test_files_equal_those_of_one_process(spark, tmp_path, n):
+    texts = ["Hi!", 'a "quoted" one?', "tab\there", "two\nlines", "é 😀", "cr\rx", " ", '"'] * 100
+    rows = [(i, i * 3, f"{i + 1:03}", texts[i % 800], texts[(i + 3) % 800], None if i % 5 == 0 else f"p/{i}") for i in range(n)]
+    frame = spark.createDataFrame(rows, "place long, Id long, Nr string, Utterance string, Representation string, Path string").repartition(7)
+    grid = [(t, i, i / 7, (i + 1) / 7 if i else 1e-5, x) for i, (_, _, _, x, _, _) in enumerate(rows) for t in ("sentences (graphemes)", "sentences (phonemes)")]
+    grid = spark.createDataFrame(grid, "tier string, idx long, min_t double, max_t double, mark string")
+    export.write_scripts(frame, str(tmp_path), "s")
+    export.write_textgrid(grid.repartition(5), str(tmp_path / "s.TextGrid"))
+    files, text = naive_scripts(frame.orderBy("place").collect(), grid.orderBy("tier", "idx").collect())
+    for end, want in files.items():
+        assert (tmp_path / f"s{end}").read_bytes() == want.encode(), end
+    assert (tmp_path / "s.TextGrid").read_bytes() == text.encode()
+    assert len(list(tmp_path.iterdir())) == 6  # no parts are left
+
+
+def test_a_file_is_replaced_at_once_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "x.txt")
+    rows = spark.createDataFrame([(i, f"{i}") for i in range(20)], "place long, line string")
+    one_file.write_file(rows, path, between=",")
+    with pytest.raises(Exception, match="overlap|order"):
+        one_file.write_file(rows.repartition(3, "line"), path, ordered=True)
+    assert (tmp_path / "x.txt").read_text() == ",".join(map(str, range(20))) and len(list(tmp_path.iterdir())) == 1
+    one_file.write_file(rows.where("place < 2"), path, head="<", foot=">", after=";")
+    assert (tmp_path / "x.txt").read_text() == "<0;1;>"
