@@ -310,3 +310,61 @@ def test_pages(spark, tmp_path):
     spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("clash")).write.parquet(f"{tmp_path}/pages.parquet")
     got = op9_main_text(spark, str(tmp_path)).toPandas()
     assert len(got) == 4 and got.n_chars.tolist() == got.text.str.len().tolist() and sorted(got.text.str[:1]) == ["", "", "T", "x"]
+
+
+NAMED = ["main-nav", "primary-menu", "related-articles", "share-this", "ad-slot-1", "site-header", "page-footer", "user-comments", "responses", "userComments", "commentSection"]
+
+
+@pytest.mark.parametrize("name", NAMED)
+@pytest.mark.parametrize("n", [1, 2, 5, 30])
+def test_named_parts_go_at_any_length(name, n):
+    """Inside of the article, beside it, and where no element names the article."""
+    piece = "".join(f"<div class='item'><article><h2>Reader {i}</h2><p>I think that this is number {i}, and I say why at some length.</p></article></div>" for i in range(n))
+    for attribute in ("class", "id"):
+        part, body = f"<div {attribute}='{name}'>{piece}</div>", "<h1>Title</h1><p>A short text of the page itself, with a few words.</p><p>Ok.</p>"
+        want = "Title\nA short text of the page itself, with a few words.\nOk."
+        for page in (f"<article>{body}{part}</article>", f"<article>{body}</article>{part}", f"{part}<main>{body}</main>", f"<main>{body}{part}</main>"):
+            assert main_text(f"<body>{page}</body>") == want, page
+        if "omment" in name or name == "responses":
+            assert main_text(f"<body><div class='post'>{body}</div>{part}</body>") == want
+
+
+def test_nothing_of_an_article_is_lost():
+    long = "<p>" + "Words that make a long paragraph, one after the other. " * 6 + "</p>"
+    sections = "".join(f"<section><h2>Section {k}</h2>{long * (9 if k == 'A' else 1)}</section>" for k in "ABC")
+    text = " ".join(["Words that make a long paragraph, one after the other."] * 6)
+    want = "\n".join(["Title", "Section A", *[text] * 9, "Section B", text, "Section C", text])
+    assert main_text(f"<body><article><h1>Title</h1>{sections}</article><div>other</div></body>") == want
+    assert main_text(f"<body><main><h1>Title</h1><article>{sections}</article></main><div>other</div></body>") == want
+    assert main_text(f"<body><div class='post'><h1>Title</h1>{sections}</div></body>") == want
+    mixed = f"<h1>T</h1><p>Short lead.</p><div>{long * 2}</div><ul><li>a<li>b</ul><table><tr><td>1<td>2</table><p>ok.</p>"
+    want = "\n".join(["T", "Short lead.", text, text, "a", "b", "1", "2", "ok."])
+    for start, end in (("<main>", "</main>"), ("<article>", "</article>"), ("<div id='story'>", "</div>")):
+        assert main_text(f"<body><nav><a href='/'>Home</a></nav>{start}{mixed}{end}<footer>f</footer></body>") == want
+
+
+def test_selection_by_brute_force():
+    """On pages without names: the subtree of the highest sum, found anew, is inside of what is chosen, and all of what is chosen is kept."""
+    rng = np.random.default_rng(8)
+
+    def make(depth):
+        tag = ["div", "section", "p", "ul", "article", "main", "h1"][int(rng.integers(0, 7))]
+        inner = "".join(make(depth - 1) for _ in range(rng.integers(1, 4))) if depth and tag != "p" else ""
+        return f"<{tag}>w{rng.integers(0, 10**6)} {'long text ' * int(rng.integers(0, 9))}{inner}</{tag}>"
+
+    for _ in range(150):
+        page = f"<body>{''.join(make(3) for _ in range(3))}</body>"
+        body, blocks = html_text._tree(page)
+        order = html_text._score(body)
+        chosen = html_text._chosen(body, order)
+        named = html_text._elements(body)
+        below = lambda n: [n, *(x for c in n.children for x in below(c))]
+        pool = below(named[0]) if len(named) == 1 else order
+        best = max(sum(c.density for c in n.children) for n in pool)
+        tops = [n for n in pool if sum(c.density for c in n.children) == best]
+        kept = {id(x) for n in order if id(n) in chosen for x in below(n)}
+        assert any(id(n) in kept for n in tops)
+        assert main_text(page).split("\n") == [t for n, t in blocks if id(n) in kept]
+        around = [x for x in html_text._up(tops[0]) if x.tag in ("article", "main")]
+        if around and len(tops) == 1:
+            assert {id(x) for x in below(around[0])} <= kept and len(chosen) == 1
