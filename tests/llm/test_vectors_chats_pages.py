@@ -139,12 +139,11 @@ def test_search_odd_tables(spark):
     assert vptree.nearest(frame.limit(0), lambda i: i % 20 == 0).count() == 0
 
 
-@pytest.mark.parametrize("reach", [1.0, embed_dedup.REACH])
-def test_links_like_brute_force(spark, monkeypatch, reach):
+def test_links_like_brute_force(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "CELL", 8)
     monkeypatch.setattr(embed_dedup, "BLOCK", 16)
     rows = vector_rows(500)
-    got = embed_dedup.linked(spark.createDataFrame([*rows, *ODD], VECTORS).withColumn("cell", F.lit(1)), reach=reach).toPandas().set_index("vec_id")
+    got = embed_dedup.linked(spark.createDataFrame([*rows, *ODD], VECTORS).withColumn("cell", F.lit(1))).toPandas().set_index("vec_id")
     x = np.stack([v / np.linalg.norm(v) for v in double(rows).values()])
     label = np.array([r[2] for r in rows])
     linked = (x @ x.T >= 0.98) & (label[:, None] == label)
@@ -177,6 +176,39 @@ def test_links_of_repeated_rows_and_none(spark):
     assert embed_dedup.linked(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def near_pairs(n, dim, seed):
+    """Random unit vectors, and one near each of them, just above the threshold."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dim))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    side = rng.normal(size=x.shape)
+    side -= (side * x).sum(1)[:, None] * x
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    return np.concatenate([x, 0.981 * x + math.sqrt(1 - 0.981**2) * side])
+
+
+@pytest.mark.parametrize("dim, most", [(8, 0.3), (16, 0.35), (64, 0.6)])
+def test_the_index_leaves_products_out_and_no_link(spark, monkeypatch, dim, most):
+    monkeypatch.setattr(embed_dedup, "CELL", 8)
+    both = near_pairs(1500, dim, 3)
+    frame = spark.createDataFrame([(i, v.tolist(), i % 2) for i, v in enumerate(both)], VECTORS)
+    share = embed_dedup.products_computed(frame)
+    assert 0 < share <= most
+    got = embed_dedup.linked(frame).toPandas().set_index("vec_id").sort_index()
+    same = (np.arange(3000)[:, None] - np.arange(3000)) % 2 == 0
+    want = ((both @ both.T / np.linalg.norm(both, axis=1)[:, None] / np.linalg.norm(both, axis=1) >= 0.98) & same).sum(1) - 1
+    assert got.n_links.tolist() == want.tolist() and want.min() >= 1
+
+
+def test_a_lower_target_recall_is_met_with_fewer_products(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "CELL", 8)
+    both = near_pairs(1500, 16, 4)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(both)], VECTORS)
+    found = embed_dedup.linked(frame, recall=0.9).agg(F.sum("n_links")).first()[0]
+    every = int(((both @ both.T >= 0.98).sum(1) - 1).sum())
+    assert 0.87 * every <= found < every and embed_dedup.products_computed(frame, recall=0.9) < embed_dedup.products_computed(frame)
+
+
 def test_traverse_visits_by_rising_bound():
     rng = np.random.default_rng(1)
     a, b = rng.random(12), rng.random(9)
