@@ -17,8 +17,9 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
-from lectern.operators import export, filters, greedy, pronounce, stats, transforms
+from lectern.operators import export, filters, greedy, pronounce, sentence_ends, stats, transforms
 from lectern.operators import selection as sel
+from lectern.operators.affixes import read_dictionary
 from lectern.operators.sentences import split_corpus
 from lectern.plans import pipelines
 from lectern.plans.corpus import Corpus
@@ -60,6 +61,11 @@ def _arpa(spark, c: Corpus, a) -> Corpus:
     return pipelines.to_arpa(c, lexicon, a.target, pronounce.learn(lexicon).phones if a.fallback == "learned" else ph.spelled_phones)
 
 
+def _unknown(spark, c: Corpus, a) -> Corpus:
+    lexicon, rules = read_dictionary(spark, a.lexicon, a.affixes) if a.affixes else (lexicon_of(spark, a.lexicon), None)
+    return pipelines.remove_unknown_words(c, lexicon, a.max_unknown_word_count, rules)
+
+
 def _order(p):
     p.add_argument("--sorting_mode", choices=export.ORDERS, default="by_index")
     p.add_argument("--seed", type=int, default=export.SEED)
@@ -83,7 +89,7 @@ n = {"type": int}
 #: verb: (options, change of a corpus)
 CHANGES: dict[str, tuple[Callable, Callable]] = {
     "load-selection": (_adds(("--dataset", {"required": True})), lambda s, c, a: steps.load_selection(c, s.read.parquet(a.dataset))),
-    "split-sentences": (_adds(("--strict", {"action": "store_true"})), lambda s, c, a: split_corpus(c, a.strict)),
+    "split-sentences": (_adds(("--strict", {"action": "store_true"}), ("--ends", {"choices": ("learned", "signs"), "default": "learned"})), lambda s, c, a: split_corpus(c, a.strict, sentence_ends.learn(c.utterances, "reading") if a.ends == "learned" else None)),
     "normalize": (_target, lambda s, c, a: c.map(a.target, transforms.normalize)),
     "replace": (lambda p: (_target(p), p.add_argument("--replace_target", required=True), p.add_argument("--replace_with", default="")), lambda s, c, a: c.map(a.target, lambda t: transforms.replace(t, a.replace_target, a.replace_with))),
     "change-text": (lambda p: (_target(p), p.add_argument("--remove_space_around_punctuation", action="store_true")), lambda s, c, a: c.map(a.target, transforms.tighten_punctuation if a.remove_space_around_punctuation else lambda t: t)),
@@ -100,7 +106,7 @@ CHANGES: dict[str, tuple[Callable, Callable]] = {
     "remove-proper-names": (_adds(), lambda s, c, a: c.remove(filters.has_proper_name(r(), c.language))),
     "remove-acronyms": (_adds(("--min_acronym_len", n | {"default": 3})), lambda s, c, a: c.remove(filters.has_acronym(r(), a.min_acronym_len))),
     "remove-word-counts": (_adds(("--min_count", n), ("--max_count", n)), lambda s, c, a: c.remove(filters.word_count_outside(r(), a.min_count, a.max_count))),
-    "remove-unknown-words": (_adds(("--max_unknown_word_count", n | {"required": True}), ("--lexicon", {"required": True})), lambda s, c, a: pipelines.remove_unknown_words(c, lexicon_of(s, a.lexicon), a.max_unknown_word_count)),
+    "remove-unknown-words": (_adds(("--max_unknown_word_count", n | {"required": True}), ("--lexicon", {"required": True}), ("--affixes", {"help": "the lexicon is a .dic file, and this its .aff file"})), _unknown),
     "remove-rare-words": (_adds(("--min_occurrence_count", n | {"required": True})), lambda s, c, a: pipelines.remove_rare_words(c, a.min_occurrence_count)),
     "select-from-tex": (_adds(("--tex", {"required": True})), lambda s, c, a: sel.select_from_tex(c, read_tex(s, a.tex))),
     "select-greedy-duration": (_band, _greedy("coverage")),

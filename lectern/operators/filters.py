@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
+from lectern.operators.affixes import accepted
+from lectern.saving import saved
 
 
 def has_acronym(text: Column, min_length: int = 3) -> Column:
@@ -56,21 +58,49 @@ def first_of_duplicates(df: DataFrame, column: str, order: str = "utt_id") -> Da
     return df.withColumn("rank_", rank).where("rank_ = 1").drop("rank_")
 
 
-def unknown_word_counts(df: DataFrame, column: str, lexicon: DataFrame, key: str = "utt_id") -> DataFrame:
-    """key and n_unknown: words, with repeats, that the lexicon has neither as written nor in lower case. lexicon: word."""
+#: Words that every task may hold when rows' words are looked up.
+IN_PLACE = 200_000
+
+
+def occurrences(df: DataFrame, words: Column, sought: DataFrame, key: str = "utt_id", in_place: int = IN_PLACE) -> DataFrame:
+    """key and word of each occurrence of a sought word. sought: word, distinct.
+
+    Few sought words (by a count) are looked up where the rows lie. Of many, the most frequent words of all rows are answered
+    there, be they sought or not; only the others are dealt by word, and none of them is frequent.
+    """
+    every = df.select(key, F.explode(words).alias("word"))
+    sought = saved(sought.select("word"))
+    if sought.count() <= in_place:
+        return every.join(F.broadcast(sought), "word", "left_semi").select(key, "word")
+    frequent = every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(in_place).select("word")
+    known = saved(frequent.join(sought.withColumn("sought_", F.lit(True)), "word", "left").select("word", F.coalesce("sought_", F.lit(False)).alias("sought_")))
+    marked = every.join(F.broadcast(known), "word", "left")
+    rest = marked.where(F.col("sought_").isNull()).join(sought, "word", "left_semi")
+    return marked.where("sought_").select(key, "word").union(rest.select(key, "word"))
+
+
+def unknown_words(df: DataFrame, column: str, lexicon: DataFrame, rules: list | None = None) -> DataFrame:
+    """The corpus's distinct words that the lexicon has neither as written nor in lower case; with rules (affixes.Rule), those that it doesn't accept. lexicon: word, with rules also flags."""
+    words = df.select(F.explode(tx.stripped_words(F.col(column))).alias("word")).distinct()
+    if rules is not None:
+        words = saved(words)
+        return words.join(accepted(words, lexicon, rules), "word", "left_anti")
     known = lexicon.select(F.col("word").alias("known")).distinct()
-    words = df.select(key, F.explode(tx.stripped_words(F.col(column))).alias("word"))
-    counted = words.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    as_written = counted.join(known, counted["word"] == known["known"], "left_anti")
-    missing = as_written.join(known, F.lower("word") == F.col("known"), "left_anti")
-    return missing.groupBy(key).agg(F.sum("n").alias("n_unknown"))
+    missing = words.join(known, words["word"] == known["known"], "left_anti")
+    return missing.join(known, F.lower("word") == F.col("known"), "left_anti")
+
+
+def unknown_word_counts(df: DataFrame, column: str, lexicon: DataFrame, key: str = "utt_id", rules: list | None = None, in_place: int = IN_PLACE) -> DataFrame:
+    """key and n_unknown: words, with repeats, that the lexicon lacks. Only distinct words meet the lexicon."""
+    found = occurrences(df, tx.stripped_words(F.col(column)), unknown_words(df, column, lexicon, rules), key, in_place)
+    return found.groupBy(key).agg(F.count(F.lit(1)).alias("n_unknown"))
 
 
-def without_unknown_words(df: DataFrame, column: str, lexicon: DataFrame, most: int, language: str = "eng", key: str = "utt_id") -> DataFrame:
+def without_unknown_words(df: DataFrame, column: str, lexicon: DataFrame, most: int, language: str = "eng", key: str = "utt_id", rules: list | None = None) -> DataFrame:
     """Rows with at most so many unknown words stay. English only."""
     if language != "eng":
         raise ValueError("unknown words are found in English texts only")
-    bad = unknown_word_counts(df, column, lexicon, key).where(F.col("n_unknown") > most).select(key)
+    bad = unknown_word_counts(df, column, lexicon, key, rules).where(F.col("n_unknown") > most).select(key)
     return df.join(bad, key, "left_anti")
 
 
@@ -84,8 +114,8 @@ def word_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.select(F.explode(frequency_words(F.col(column))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("frequency"))
 
 
-def without_rare_words(df: DataFrame, column: str, least: int, key: str = "utt_id") -> DataFrame:
-    """Rows whose every word occurs so often in the corpus stay. Only rows' words meet the rare words, not all frequencies."""
+def without_rare_words(df: DataFrame, column: str, least: int, key: str = "utt_id", in_place: int = IN_PLACE) -> DataFrame:
+    """Rows whose every word occurs so often in the corpus stay. Frequent words are never dealt by word."""
     rare = word_frequencies(df, column).where(F.col("frequency") < least).select("word")
-    words = df.select(key, F.explode(F.array_distinct(frequency_words(F.col(column)))).alias("word"))
-    return df.join(words.join(rare, "word", "left_semi").select(key).distinct(), key, "left_anti")
+    found = occurrences(df, F.array_distinct(frequency_words(F.col(column))), rare, key, in_place)
+    return df.join(found.select(key).distinct(), key, "left_anti")

@@ -8,18 +8,21 @@ from lectern.functions import text as tx
 from lectern.operators.filters import is_sentence
 from lectern.operators.ids import with_dense_ids
 from lectern.operators.selection import ranked
+from lectern.operators.sentence_ends import Ends, split
 from lectern.operators.transforms import split_sentences
 from lectern.plans.corpus import Corpus
+from lectern.saving import saved
 
 
-def split_corpus(corpus: Corpus, strict: bool = False) -> Corpus:
+def split_corpus(corpus: Corpus, strict: bool = False, ends: Ends | None = None) -> Corpus:
     """A row for each sentence of the reading, with new ids; path and being selected are inherited, the representation is the reading anew.
 
-    strict leaves out what is no sentence.
+    strict leaves out what is no sentence. ends: where sentences end, as learned from a corpus; else behind every . ! and ?.
     """
     marks = corpus.selection.select("utt_id", F.lit(True).alias("selected_"))
     rows = corpus.utterances.join(marks, "utt_id", "left")
-    rows = rows.select(F.col("utt_id").alias("old_"), "path_id", "line_nr", "selected_", F.posexplode(split_sentences(F.col("reading"))).alias("at_", "reading"))
+    rows = saved(split(rows, "reading", ends, "sentences_").select("utt_id", "path_id", "line_nr", "selected_", "sentences_")) if ends else rows.withColumn("sentences_", split_sentences(F.col("reading")))
+    rows = rows.select(F.col("utt_id").alias("old_"), "path_id", "line_nr", "selected_", F.posexplode("sentences_").alias("at_", "reading"))
     rows = rows.where(~tx.is_blank(F.col("reading")))
     if strict:
         rows = rows.where(is_sentence(F.col("reading"), corpus.language, corpus.reading_format))

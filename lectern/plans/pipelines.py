@@ -25,8 +25,8 @@ def remove_rare_words(corpus: Corpus, least: int) -> Corpus:
     return corpus.keep(filters.without_rare_words(corpus.utterances, "repr", least))
 
 
-def remove_unknown_words(corpus: Corpus, lexicon: DataFrame, most: int) -> Corpus:
-    return corpus.keep(filters.without_unknown_words(corpus.utterances, "repr", lexicon, most, corpus.language))
+def remove_unknown_words(corpus: Corpus, lexicon: DataFrame, most: int, rules: list | None = None) -> Corpus:
+    return corpus.keep(filters.without_unknown_words(corpus.utterances, "repr", lexicon, most, corpus.language, rules=rules))
 
 
 def to_arpa(corpus: Corpus, lexicon: DataFrame, target: str = "repr", spelled=spelled_phones) -> Corpus:
