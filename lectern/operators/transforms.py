@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -57,8 +58,12 @@ def to_symbols(text: Column, symbols: str = "graphemes") -> Column:
 
 #: Distinct words whose phones every task may hold; of more, the most frequent ones.
 IN_PLACE = 200_000
-#: Before a word among the symbols.
-_WORD = "\0"
+#: Before a word among the symbols; around words in a text (a code that stands for no character).
+_WORD, _MARK = "\0", "\uffff"
+#: Letters, marks and digits with apostrophes, at least one of them none.
+_TOKEN = r"(?<!')'*+[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}']*+"
+#: Signs that are a symbol each; apostrophes side by side are one.
+_SIGNS = re.compile("'+|[^']", re.S)
 
 
 def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: str = "utt_id", spelled=ph.spelled_phones, in_place: int = IN_PLACE) -> DataFrame:
@@ -66,27 +71,34 @@ def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: s
 
     Only distinct words meet the lexicon and what spells; their phones are then looked up where the rows lie, in a table of a
     counted size, so no text and no occurrence of a frequent word is shuffled. Where there are more distinct words than that,
-    rare ones come by a join. Words part at spaces and hyphens and lose the signs around them, which stay as symbols of their own; a
+    rare ones come by a join. U+FFFF, which is no character, goes. Words part at spaces and hyphens and lose the signs around them, which stay as symbols of their own; a
     space stands between words.
     """
-    tokens = F.regexp_extract_all(F.col(column), F.lit(r"([\p{L}\p{M}\p{N}']+|[^\p{L}\p{M}\p{N}'])"), F.lit(1))
-    marked = F.transform(tokens, lambda t: F.when(F.rlike(t, F.lit(r"[\p{L}\p{M}\p{N}]")), F.concat(F.lit(_WORD), F.lower(t))).otherwise(t))
     is_word = lambda t: F.startswith(t, F.lit(_WORD)) & (F.length(t) > 1)
-    words = df.select(F.explode(F.filter(marked, is_word)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    words = words.select(F.substring("word", F.lit(2), F.length("word")).alias("word"), "n")
-    known = lexicon.select("word", F.col("phones").alias("known")).dropDuplicates(["word"])
-    other = spelled(F.when(F.col("known").isNull(), F.col("word")))
-    said = saved(words.join(known, "word", "left").select("word", "n", F.coalesce("known", other).alias("said")))
+    words = df.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(_TOKEN), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    known = lexicon.select(F.col("word").alias("listed"), F.col("phones").alias("known")).dropDuplicates(["listed"])
+    other = spelled(F.when(F.col("known").isNull(), F.lower("word")))
+    said = saved(words.join(known, F.lower("word") == F.col("listed"), "left").select("word", "n", F.coalesce("known", other).alias("said")))
     beyond = said.count() > in_place
     table = {r["word"]: r["said"] for r in (said.orderBy(F.desc("n"), "word").limit(in_place) if beyond else said).collect()}
     held = df.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("array<string>")
     def looked_up(rows: pd.Series) -> pd.Series:
-        phones, none = held.value, []
-        found = lambda t: phones.get(t[1:], (t,)) if t[0] == _WORD and len(t) > 1 else (t,)
-        return rows.map(lambda ts: none if ts is None else [p for t in ts for p in found(t)])
+        phones = held.value
 
+        def symbols(text: str | None) -> list[str]:
+            out = []
+            for k, piece in enumerate(text.split(_MARK) if text else ()):
+                if k % 2:
+                    out += phones.get(piece) or ((_WORD + piece,) if piece not in phones else ())
+                elif piece:
+                    out += _SIGNS.findall(piece) if "''" in piece else piece
+            return out
+
+        return rows.map(symbols)
+
+    marked = F.regexp_replace(F.translate(F.col(column), _MARK, ""), _TOKEN, f"{_MARK}$0{_MARK}")
     spoken = df.withColumn(out, looked_up(marked))
     if not beyond:
         return spoken
