@@ -5,10 +5,13 @@ sum N and V kinds of n-grams, the divergence is ln V - ln N + (sum of x ln x) /
 counts. Coverage: the candidate with most n-grams not yet covered; when no candidate adds one, all count as uncovered
 again. Ties go to the smallest id; the loop ends when the best candidate does not fit the budget any more.
 
-Candidates are rows of (id, symbols, n-grams as 64-bit numbers, counts), made without a shuffle and saved once. Each step
-scores them where they lie, and a partition answers with its best row only; the driver keeps the counts of the n-grams that
-are selected, which grow with the selection and not with the corpus. Where all candidates fit one task (ONE_TASK n-gram
-numbers, a checked size), the whole loop runs in it.
+Candidates are rows of (id, symbols, n-grams as 64-bit numbers, counts), made without a shuffle and saved once. A pass scores
+them where they lie; a partition answers with its best rows and with what the others can reach at best. The driver picks
+among the answers, with exact new scores after each pick, as long as the best one beats what any other row may have become:
+n-grams that are covered stay so, and with the counts of what is selected the sum that a row adds to x ln x only
+grows, so its least value for each number of n-grams bounds the divergence from below. So a pass yields many picks, and only where rows come too
+close a new one is needed. The driver keeps POOL rows and the counts of the n-grams that are selected, which grow with the selection
+and not with the corpus. Where all candidates fit one task (ONE_TASK n-gram numbers, a checked size), the whole loop runs in it.
 """
 
 from __future__ import annotations
@@ -25,23 +28,30 @@ from lectern.operators.grams import gram_rows
 from lectern.saving import saved
 
 ONE_TASK = 5_000_000
+#: Rows that all partitions answer with in a pass, and of one partition at least.
+POOL, LEAST = 4096, 8
+#: What rounding may change in a score.
+CLOSE = 1e-11
 
 
-def kld_scores(grams: np.ndarray, counts: np.ndarray, rows: np.ndarray, size: int, have: np.ndarray) -> np.ndarray:
-    """The divergence, less ln V, after adding each row. grams, counts: of all rows; rows: the row of each."""
+def gains(kind: str, grams: np.ndarray, counts: np.ndarray, rows: np.ndarray, size: int, have: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What each row adds to the sum of x ln x (coverage: minus its new n-grams), and its number of n-grams. grams, counts: of all rows; rows: the row of each."""
     x = have[grams]
-    gain = np.bincount(rows, (x + counts) * np.log(x + counts) - np.where(x > 0, x * np.log(np.maximum(x, 1)), 0), size)
-    base = float((have[have > 0] * np.log(have[have > 0])).sum())
-    total = have.sum() + np.bincount(rows, counts, size)
-    return (base + gain) / total - np.log(total)
+    if kind == "coverage":
+        return -np.bincount(rows, x == 0, size), np.bincount(rows, counts, size)
+    return np.bincount(rows, (x + counts) * np.log(x + counts) - np.where(x > 0, x * np.log(np.maximum(x, 1)), 0), size), np.bincount(rows, counts, size)
 
 
-def coverage_scores(grams: np.ndarray, counts: np.ndarray, rows: np.ndarray, size: int, have: np.ndarray) -> np.ndarray:
-    """Less is better: minus the number of new n-grams."""
-    return -np.bincount(rows, have[grams] == 0, size)
+def scores(kind: str, gain: np.ndarray, n: np.ndarray, have: np.ndarray) -> np.ndarray:
+    """Less is better: the divergence, less ln V, after adding a row; or minus the number of its new n-grams."""
+    if kind == "coverage":
+        return gain
+    base, total = float((have[have > 0] * np.log(have[have > 0])).sum()), have.sum() + n
+    return (base + gain) / total - np.log(total)
 
 
-SCORES = {"kld": kld_scores, "coverage": coverage_scores}
+def _scored(kind: str, grams, counts, rows, size: int, have: np.ndarray) -> np.ndarray:
+    return np.round(scores(kind, *gains(kind, grams, counts, rows, size, have), have), 12)
 
 
 def _flat(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -56,16 +66,61 @@ def _known(names: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return np.where(names[at] == grams, at, len(names)) if len(names) else np.zeros(len(grams), dtype=np.int64)
 
 
-def _best(pdf: pd.DataFrame, names: np.ndarray, have: np.ndarray, taken: np.ndarray, kind: str) -> tuple[float, int] | None:
-    """Score and place of the best row that isn't taken. have: counts of names."""
-    if not len(pdf):
-        return None
-    grams, counts, rows = _flat(pdf)
-    score = np.round(SCORES[kind](_known(names, grams), counts, rows, len(pdf), np.append(have, 0)), 12)
-    ids = pdf["utt_id"].to_numpy(np.int64)
-    score = np.where(np.isin(ids, taken), np.inf, score)
-    at = int(np.lexsort((ids, score))[0])
-    return None if np.isinf(score[at]) else (float(score[at]), at)
+def _offers(parts, state, kind: str, many: int):
+    """A partition's best rows, with their n-grams, and a row without id for the others by their number of n-grams: their least gain, and the least id that has it."""
+    names, have, taken = state
+    have = np.append(have, 0)
+    top, others = None, {}
+    for pdf in parts:
+        pdf = pdf[~np.isin(pdf["utt_id"].to_numpy(np.int64), taken)].reset_index(drop=True)
+        if not len(pdf):
+            continue
+        grams, counts, rows = _flat(pdf)
+        gain, n = gains(kind, _known(names, grams), counts, rows, len(pdf), have)
+        pdf = pdf.assign(gain=gain.astype(float), n=n.astype(np.int64), score=np.round(scores(kind, gain, n, have), 12))
+        top = (pdf if top is None else pd.concat([top, pdf])).sort_values(["score", "utt_id"], ignore_index=True)
+        for g, m, i in top.loc[top.index >= many, ["gain", "n", "utt_id"]].itertuples(index=False):
+            key = 0 if kind == "coverage" else m
+            others[key] = min(others.get(key, (g, i)), (g, i))
+        top = top.iloc[:many]
+    if top is not None:
+        yield top[["utt_id", "symbols", "grams", "counts", "gain", "n"]].assign(least=0)
+        if others:
+            bound = pd.DataFrame([(g, m, i) for m, (g, i) in others.items()], columns=["gain", "n", "least"])
+            yield bound.assign(utt_id=None, symbols=0, grams=None, counts=None)[["utt_id", "symbols", "grams", "counts", "gain", "n", "least"]].astype({"utt_id": "Int64"})
+
+
+def _picks(offers: list, loop: _Loop) -> bool:
+    """Picks among a pass's answers while no other row can be better. Whether another pass may find more."""
+    rows = sorted((r for r in offers if r["utt_id"] is not None), key=lambda r: r["utt_id"])
+    if not rows:
+        return False
+    others = [r for r in offers if r["utt_id"] is None]
+    flat = np.array([g for r in rows for g in r["grams"]], dtype=np.int64)
+    counts = np.array([c for r in rows for c in r["counts"]], dtype=np.int64)
+    owner = np.repeat(np.arange(len(rows)), [len(r["grams"]) for r in rows])
+    names, place = np.unique(np.concatenate([flat, np.array(list(loop.have), dtype=np.int64)]), return_inverse=True)
+    grams, have = place[: len(flat)], np.array([loop.have.get(g, 0) for g in names.tolist()], dtype=np.int64)
+    starts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(rows)))])
+    far, far_n = np.array([r["gain"] for r in others]), np.array([r["n"] for r in others], dtype=np.int64)
+    best_other = min(((r["gain"], r["least"]) for r in others), default=None)
+    open_, first = np.ones(len(rows), dtype=bool), True
+    while open_.any():
+        score = np.where(open_, _scored(loop.kind, grams, counts, owner, len(rows), have), np.inf)
+        at = int(np.argmin(score))  # the smallest id of the best
+        if not first and others:
+            if loop.kind == "coverage":
+                if (score[at] == 0 and best_other[0] < 0) or (score[at] < 0 and (score[at], rows[at]["utt_id"]) > best_other):
+                    return True
+            elif score[at] >= scores("kld", far, far_n, have).min() - CLOSE:
+                return True
+        if loop.restart(score[at]):
+            return True
+        if not loop.take(rows[at]):
+            return False
+        np.add.at(have, grams[starts[at] : starts[at + 1]], counts[starts[at] : starts[at + 1]])
+        open_[at], first = False, False
+    return bool(others)
 
 
 class _Loop:
@@ -79,11 +134,11 @@ class _Loop:
         return names, np.array([self.have[g] for g in names.tolist()], dtype=np.int64)
 
     def take(self, row) -> bool:
-        if (row.symbols / self.speed) > self.left + 1e-9:
+        if (row["symbols"] / self.speed) > self.left + 1e-9:
             return False
-        self.left -= row.symbols / self.speed
-        self.taken.append(int(row.utt_id))
-        for g, c in zip(row.grams, row.counts, strict=True):
+        self.left -= row["symbols"] / self.speed
+        self.taken.append(int(row["utt_id"]))
+        for g, c in zip(row["grams"], row["counts"], strict=True):
             self.have[g] = self.have.get(g, 0) + c
         return True
 
@@ -124,7 +179,7 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
             starts = np.concatenate([[0], np.cumsum(np.bincount(r, minlength=len(pdf)))])
             open_, left, taken = np.ones(len(pdf), dtype=bool), seconds, []
             while open_.any():
-                score = np.where(open_, np.round(SCORES[kind](g, c, r, len(pdf), counts), 12), np.inf)
+                score = np.where(open_, _scored(kind, g, c, r, len(pdf), counts), np.inf)
                 at = int(np.argmin(score))
                 if kind == "coverage" and score[at] == 0 and counts.any():
                     counts[:] = 0
@@ -139,24 +194,13 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
 
         return rows.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(lambda pdf: alone(pdf.drop(columns="one")), "utt_id long, sel_rank long")
 
-    loop = _Loop(have, kind, seconds, speed)
-    while True:
+    loop, many = _Loop(have, kind, seconds, speed), max(LEAST, -(-POOL // max(rows.rdd.getNumPartitions(), 1)))
+    more = True
+    while more:
         state = spark.sparkContext.broadcast((*loop.arrays(), np.array(loop.taken, dtype=np.int64)))
-
-        def best(parts):
-            top = None
-            for pdf in parts:
-                if hit := _best(pdf, *state.value, kind):
-                    row = pdf.iloc[[hit[1]]].assign(score=hit[0])
-                    key = (hit[0], int(row["utt_id"].iloc[0]))
-                    top = (key, row) if top is None or key < top[0] else top
-            if top is not None:
-                yield top[1]
-
-        found = sorted(rows.mapInPandas(best, "utt_id long, symbols long, grams array<long>, counts array<long>, score double").collect(), key=lambda r: (r["score"], r["utt_id"]))
+        asked = rows.mapInPandas(lambda parts: _offers(parts, state.value, kind, many), "utt_id long, symbols long, grams array<long>, counts array<long>, gain double, n long, least long")  # noqa: B023
+        more = _picks(asked.collect(), loop)
         state.destroy()
-        if not found or not (loop.restart(found[0]["score"]) or loop.take(found[0])):
-            break
     return spark.createDataFrame([(u, i) for i, u in enumerate(loop.taken)], "utt_id long, sel_rank long")
 
 

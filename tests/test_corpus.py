@@ -179,3 +179,23 @@ def test_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(r["text"] for r in spark.table("rows").collect()) == ["One two.", "Three."]
+
+
+@pytest.mark.parametrize("kind, n", [("kld", 1), ("coverage", 1), ("coverage", 2), ("kld", 2)])
+@pytest.mark.parametrize("pool", [8, 160])
+def test_many_picks_a_pass_are_the_same_picks(spark, monkeypatch, kind, n, pool):
+    """Ties, repeated rows and restarts of the coverage, in passes over 8 partitions."""
+    import random
+
+    monkeypatch.setattr(greedy, "POOL", pool)
+    monkeypatch.setattr(greedy, "LEAST", 1)
+    rng = random.Random(n)
+    texts = ["".join(rng.choices("abcdefghij klmno", weights=range(16, 0, -1), k=rng.randint(1, 14))) for _ in range(240)]
+    c = made(spark, texts + texts[:20], [3, 9])
+    want = ids(greedy.greedy(c.utterances, c.selection, kind, n, 500.0, speed=1.0), "sel_rank")
+    passes, picks = [], greedy._picks
+    monkeypatch.setattr(greedy, "_picks", lambda *a: (passes.append(1), picks(*a))[1])
+    rows = c.utterances.repartition(8)
+    assert ids(greedy.greedy(rows, c.selection, kind, n, 500.0, speed=1.0, one_task=0), "sel_rank") == want and len(want) > 40
+    if pool > 8:  # coverage of few kinds starts anew every pick or two, and a new start needs a pass
+        assert len(passes) < len(want) * (1 if (kind, n) == ("coverage", 1) else 0.5), (len(passes), len(want))
