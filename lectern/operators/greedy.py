@@ -11,7 +11,7 @@ among the answers, with exact new scores after each pick, as long as the best on
 n-grams that are covered stay so, and with the counts of what is selected the sum that a row adds to x ln x only
 grows, so its least value for each number of n-grams bounds the divergence from below. So a pass yields many picks, and only where rows come too
 close a new one is needed. The driver keeps POOL rows and the counts of the n-grams that are selected, which grow with the selection
-and not with the corpus. Where all candidates fit one task (ONE_TASK n-gram numbers, a checked size), the whole loop runs in it.
+and not with the corpus. No task or group holds all candidates; callers may have few of them (one_task, a checked size) run through in one.
 """
 
 from __future__ import annotations
@@ -27,7 +27,8 @@ from lectern.functions import text as tx
 from lectern.operators.grams import gram_rows
 from lectern.saving import saved
 
-ONE_TASK = 5_000_000
+#: n-gram numbers up to which one task may run the whole loop; 0: passes at every size.
+ONE_TASK = 0
 #: Rows that all partitions answer with in a pass, and of one partition at least.
 POOL, LEAST = 4096, 8
 #: What rounding may change in a score.

@@ -77,7 +77,7 @@ def test_greedy_takes_what_is_new(spark):
 @pytest.mark.parametrize("kind", ["kld", "coverage"])
 def test_greedy_alone_and_distributed_agree(spark, kind):
     c = made(spark, ["abab", "abc", "ccc", "xyz", "aaa", "", "yx", "bcbc"], [4])
-    alone = greedy.greedy(c.utterances, c.selection, kind, 1, 12.0, {"z"}, speed=1.0)
+    alone = greedy.greedy(c.utterances, c.selection, kind, 1, 12.0, {"z"}, speed=1.0, one_task=10**6)
     spread = greedy.greedy(c.utterances, c.selection, kind, 1, 12.0, {"z"}, speed=1.0, one_task=0)
     got = ids(alone, "sel_rank")
     assert got == ids(spread, "sel_rank") and got and 4 not in got and 5 not in got
@@ -192,7 +192,7 @@ def test_many_picks_a_pass_are_the_same_picks(spark, monkeypatch, kind, n, pool)
     rng = random.Random(n)
     texts = ["".join(rng.choices("abcdefghij klmno", weights=range(16, 0, -1), k=rng.randint(1, 14))) for _ in range(240)]
     c = made(spark, texts + texts[:20], [3, 9])
-    want = ids(greedy.greedy(c.utterances, c.selection, kind, n, 500.0, speed=1.0), "sel_rank")
+    want = ids(greedy.greedy(c.utterances, c.selection, kind, n, 500.0, speed=1.0, one_task=10**6), "sel_rank")
     passes, picks = [], greedy._picks
     monkeypatch.setattr(greedy, "_picks", lambda *a: (passes.append(1), picks(*a))[1])
     rows = c.utterances.repartition(8)
