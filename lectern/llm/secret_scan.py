@@ -11,7 +11,8 @@ path is decoded up to words that are outside in every best path: those whose sco
 no change of neighbouring tags makes up for it.
 
 The field is trained here, from sentences made by a seeded generator: keys of many forms, of letters only too, and
-passwords of any length behind words that announce them, beside prose, addresses, numbers, dates, paths, names and code of the same length.
+passwords of any length behind words that announce them, beside prose, addresses, numbers, dates, paths, names and code of the same length, and beside markup, data and logs. Leads are English, German,
+French, Spanish, Portuguese and Italian words.
 It needs no table and gives the same model in each run. Phrases of several plain words are not among the secrets.
 
 Cases: null and empty texts have no spans; spans are in code points, end exclusive; punctuation at a word's ends does not
@@ -56,6 +57,7 @@ _WORD = re.compile(r"\S+")
 _SAME = re.compile(r"(.)\1+", re.S)
 _CONSONANTS = re.compile(r"[^aeiouyAEIOUY\W\d_]+")
 _PARTS = re.compile(r"[^A-Za-z0-9]+")
+_CREDENTIALS = re.compile(r"://[^/@:]*:[^/@]+@")
 _HEX, _BASE64 = re.compile(r"[0-9a-fA-F]+"), re.compile(r"[A-Za-z0-9+/_=-]+")
 
 
@@ -119,6 +121,7 @@ def word_features(word: str) -> tuple[list[int], list[int], list[int], list[int]
             f"v{int(8 * vowels / letters)}|{min(n // 8, 4)}", f"r{int(10 * changes / n)}|{min(n // 8, 4)}", f"p{own[:4]}", f"q{kinds[:3]}", f"u{int(upper / n * 6)}|{min(n // 8, 4)}",
             f"y{min(max(map(len, _CONSONANTS.findall(own)), default=0), 10)}|{bool(digits)}", f"h{bool(_HEX.fullmatch(own))}|{min(n // 8, 5)}", f"w{bool(_BASE64.fullmatch(own))}|{min(n // 8, 5)}",
             f"g{min(max(map(len, _PARTS.split(own))) // 6, 8)}", f"e{int(_entropy(own) * 2)}", f"m{min(changes // 2, 8)}|{min(n // 8, 4)}",
+            f"t{'<' in own or '>' in own}|{'://' in own}|{'@' in own}|{'=' in own}", f"j{bool(_CREDENTIALS.search(own))}", f"i{own.count(chr(34))}|{own.count('&') > 0}|{own.count(';') > 0}",
         ]
     # whether a password may follow is said by these together with the word's own shape
     shape = min(changes, 3) + 4 * (n > 5) + 8 * bool(digits)
@@ -132,26 +135,32 @@ def _entropy(word: str) -> float:
 
 
 #: Words that announce a secret; the pair of whether one stands before, and a word's shape, is a feature.
-LEADS = frozenset("password passwd pass pwd passphrase pin secret token key apikey api_key auth authorization bearer credential credentials private access login".split())
+LEADS = frozenset("password passwd pass pwd passphrase pin secret token key apikey api_key auth authorization bearer credential credentials private access login passwort kennwort schl\u00fcssel geheimnis zugang passe clef clave contrase\u00f1a senha parola".split())
 SHAPES = 7 * 16
 NEIGHBOURS = LEADS | frozenset("api is was are as my your the a use uses using with set export header value = : => -> || |".split())
 _ENDS = ":=\"'"
 
 
+#: Leads that the generator uses by name.
+_NAMED = "pass pwd passphrase pin key auth bearer credential credentials login passwort kennwort zugang passe clave contrase\u00f1a senha".split()
+
+
 def lead_of(word: str) -> bool:
     return core(word).lower().rstrip("=:") in LEADS
 
 
-def file_features(words: int, odd: int, found: int, named: bool) -> list[str]:
+def file_features(words: int, odd: int, found: int, named: bool) -> tuple[str, ...]:
     """words of a text, those with many changes, patterns found, and whether it speaks of keys."""
-    return [f"F{min(int(1000 * odd / max(words, 1)), 40) // 10}", f"G{bool(found)}", f"H{named}"]
+    return f"F{min(int(1000 * odd / max(words, 1)), 40) // 10}", f"G{bool(found)}", f"H{named}"
 
 
-def _cross(file: list[str]) -> np.ndarray:
+@lru_cache(maxsize=64)
+def _cross(file: tuple[str, ...]) -> np.ndarray:
     """Features of the file with each class of changes: SHAPES rows."""
     return np.array([_crc([*(f"{x}|c{k % 7}" for x in file), *file]) for k in range(SHAPES)])
 
 
+@lru_cache(maxsize=1)
 def _led() -> np.ndarray:
     """Features of shapes without and with an announcing word within two words before."""
     return np.array([[_crc([f"L{k}|{c // 7}"])[0] for c in range(SHAPES)] for k in range(3)])
@@ -277,7 +286,7 @@ def sentences(n: int, seed: int = 9) -> list[tuple[list[str], list[int], int]]:
     syllables = "an the ti on er ou re st la do ch ver en sch ung keit lich heit au eux \u00e9r \u00e8le tion ment ci\u00f3n ado ue mente boca \u00f1a os que ie pf \u00e4 \u00f6 ing nd wh sh ly ka mi so zu po ba lo ri te na".split()
     word = lambda: "".join(syllables[int(i)] for i in rng.integers(len(syllables), size=size(1, 6)))
     small = lambda: "".join(any_of("an", "the", "ti", "on", "er", "re", "st", "la", "do", "en") for _ in range(size(1, 4)))
-    host = lambda: f"{small()}{size(1, 99)}.{small()}.com"
+    host = lambda: any_of(f"{small()}{size(1, 99)}.{small()}.com", f"{small()}.{small()}", f"{small()}-{size(0, 9)}", f"{size(10, 256)}.{size(0, 256)}.{size(0, 256)}.{size(1, 256)}")
 
     def prose() -> str:
         w, kind = word(), rng.random()
@@ -287,11 +296,13 @@ def sentences(n: int, seed: int = 9) -> list[tuple[list[str], list[int], int]]:
 
     mixed = low + up + dig
     long_secrets = [
-        lambda: [pick(mixed, size(20, 64))], lambda: ["ghp_" + pick(mixed, 36)], lambda: ["sk-" + pick(mixed, size(28, 48))], lambda: ["xoxb-" + pick(dig, 11) + "-" + pick(mixed, 24)], lambda: ["glpat-" + pick(mixed, 20)],
+        lambda: [pick(mixed, size(20, 64))], lambda: ["ghp_" + pick(mixed, 36)], lambda: ["sk-" + pick(mixed, size(28, 48))], lambda: [small() + any_of("-", "_") + pick(dig, size(9, 14)) + "-" + pick(any_of(mixed, low), size(10, 28))], lambda: ["glpat-" + pick(mixed, 20)],
         lambda: [pick(mixed + "+/", size(30, 88)) + any_of("", "=", "==")], lambda: ["eyJ" + pick(mixed, 18) + "." + pick(mixed + "_-", 40) + "." + pick(mixed + "_-", 24)], lambda: ["AIza" + pick(mixed + "_-", 35)],
-        lambda: [pick(up + dig, size(13, 16)) for _ in range(size(2, 4))], lambda: [pick(dig + "abcdef", 40)], lambda: [f"https://{small()}:{pick(mixed, 14)}@{host()}/"], lambda: [pick(low + up, size(20, 48))], lambda: [pick(low + up, size(24, 40))],
+        lambda: [pick(up + dig, size(13, 16)) for _ in range(size(2, 4))], lambda: [pick(dig + "abcdef", 40)], lambda: [pick(low + up, size(20, 48))], lambda: [pick(low + up, size(24, 40))],
         lambda: [any_of("password", "token", "secret", "api_key", "key", small()) + any_of("=", ":") + pick(mixed + "!$%", size(12, 30)) + any_of("", "!", "7")],
     ]
+    address = lambda: [f"{any_of('https', 'http', 'ftp', 'mysql', 'amqp', 'ldap', f'{small()}+{small()}')}://{any_of(small(), '')}:{any_of(pick(mixed, size(6, 16)), word() + pick(dig, size(1, 4)), pick(mixed + '!$%*-_', size(6, 14)))}@{host()}{any_of('', f':{size(80, 65536)}')}{any_of('', '/', f'/{small()}')}"]
+    long_secrets += [address] * 4
     led_secrets = [
         lambda: [pick(low, size(20, 40))], lambda: [pick(up, size(20, 40))], lambda: ["".join(small().capitalize() + word().capitalize() for _ in range(size(2, 4)))], lambda: [pick(mixed + "!$%&*-_+", size(6, 16)) + any_of("!", "7", "$", "9x")],
         lambda: [word().capitalize() + pick(dig, size(1, 5)) + any_of("", "!", "$", "#1")], lambda: [word() + pick(dig, size(1, 5))], lambda: ["-".join(word() for _ in range(size(3, 6))) + any_of("", str(size(1, 99)))], lambda: [pick(mixed, size(8, 20))],
@@ -302,19 +313,33 @@ def sentences(n: int, seed: int = 9) -> list[tuple[list[str], list[int], int]]:
         lambda: f"{word()}{word()}{word()}{size(1, 99)}", lambda: f"{word().upper()}{word().upper()}-{size(100, 9999)}", lambda: f"{size(1, 99)},{pick(dig, 3)},{pick(dig, 3)}.{pick(dig, 2)}", lambda: f"DE{pick(dig, 20)}", lambda: f"978-{size(0, 9)}-{pick(dig, 4)}-{pick(dig, 4)}-{size(0, 9)}", lambda: f"v{size(0, 20)}.{size(0, 20)}.{size(0, 99)}-beta.{size(1, 9)}",
         lambda: f"{small()}{small()}!!{small()}{size(1, 99)}{small()}", lambda: f"{pick(dig + 'abcdef', 8)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 4)}-{pick(dig + 'abcdef', 12)}", lambda: "".join(word() for _ in range(size(4, 9))), lambda: "".join(small().capitalize() for _ in range(size(2, 6))) + "()", lambda: f"self.{small()}_{small()}[{size(0, 99)}]",
         lambda: f"#{pick(dig + 'abcdef', 6)}", lambda: f"{size(1, 2000)}{any_of('px', 'kg', 'm2', 'GB', 'th', '%')}", lambda: f"[{size(1, 99)}]", lambda: f"$${small()}^{size(1, 9)}$$", lambda: "".join(any_of("!", "?", ".", "*", "$", "#") for _ in range(size(3, 12))), lambda: f"{small().capitalize()}{pick(up, 1)}.{small()}{pick(dig, 2)}", lambda: f"{word()}/{word()}", lambda: f"{small()}{small()}123",
+        lambda: f"https://{host()}{any_of('', f':{size(80, 65536)}')}/{any_of('', small() + '/')}{small()}@{any_of('2x', small())}{any_of('', '.png')}", lambda: f"http://{host()}:{size(80, 65536)}/{small()}?{small()}={size(1, 99)}",
         lambda: f"{small()}={small()}", lambda: f"{small()}:{size(1, 99)}", lambda: f'{small()}="{small()}-{small()}"',
     ]
-    leads = "pass pwd passphrase pin key auth bearer credential credentials login".split()
+    tag = lambda: any_of("p", "b", "i", "h1", "h2", "div", "td", "tr", "li", "ul", "body", "html", "head", "span", "footer", "nav", "br/", "title", small())
+    pair = lambda: f"{any_of('class', 'id', 'lang', 'charset', 'name', 'type', 'rel', 'content', small())}={any_of(chr(34), chr(39))}{any_of(small(), f'{small()}-{small()}', f'{small()}-{size(0, 99)}', str(size(0, 5000)), 'utf-8', f'{small()}/{small()}', f'#{small()}')}"
+    closing = lambda: "".join(f"</{tag()}>" for _ in range(size(1, 4)))
+    markup = [
+        lambda: f"<{tag()}>{prose()}", lambda: f"{prose()}{closing()}", lambda: f"{prose()}{closing()}<{tag()}>{prose()}", lambda: f"<{tag()}>{prose()}{closing()}", lambda: f"<{tag()}", lambda: f'{pair()}"', lambda: f'{pair()}">', lambda: f'{pair()}"><{tag()}>{prose()}', lambda: f'{pair()}">{prose()}{closing()}',
+        lambda: f'href="{any_of("", "https://" + host())}/{small()}/{small()}-{size(0, 999)}{any_of("", ".html")}">{prose()}{any_of("", closing())}', lambda: f'style="{small()}:#{pick(dig + "abcdef", any_of(3, 6))};{small()}-{small()}:{size(0, 99)}{any_of("px", "em", "%")}{any_of("", ";")}"', lambda: f'xmlns:{small()}="http://{host()}/{small()}/{size(1990, 2030)}"', lambda: f"<!--{small()}-->",
+        lambda: f"<{tag()}>" * size(1, 4), lambda: closing() + any_of("", prose()), lambda: f"&{any_of('nbsp', 'amp', 'quot', f'#{size(30, 9999)}')};{prose()}", lambda: f'{{"{small()}":{size(0, 999)},"{small()}":"{word()}"}}', lambda: f'"{small()}_{small()}":{any_of(str(size(0, 99999)), "true", "null", "[]")},', lambda: f'"{small()}":"{word()}",', lambda: f"{small()}_{small()}={any_of(str(size(0, 9999)), small())}{any_of('', 'ms', ',', ';')}",
+        lambda: f"[{small()}-{size(0, 99)}]", lambda: f"{small()}.{small()}.{small().capitalize()}:{size(1, 999)}", lambda: f"{small()}={pick(dig + 'abcdef', size(4, 9))}", lambda: any_of("INFO", "WARN", "DEBUG", "ERROR", "GET", "POST", "HTTP/1.1", "200", "{", "}", "},", "[", "]"), lambda: f"{small()}.{small()}({small()},{size(0, 99)});", lambda: f"{small()}:{size(0, 99)}px;", lambda: f"var(--{small()}-{small()})",
+    ]
+    leads = _NAMED
     named = lambda w: any_of(f"{w}:", f"{w} :", f"{w}", f"{w} =", f"{w.capitalize()}:", f"{w} is", f"{w}=").split()
     out = []
     for _ in range(n):
-        words, tags, kind = [prose() for _ in range(size(2, 14))], [], rng.random()
+        marked = rng.random() < 0.3  # a text of markup, data or logs
+        plain = lambda: any_of(*markup)() if marked and rng.random() < 0.6 else prose()  # noqa: B023, E731
+        words, tags, kind = [plain() for _ in range(size(2, 14))], [], rng.random()
         tags = [OUT] * len(words)
         if kind < 0.3:
             lead, secret = named(any_of("key", "auth", "bearer", "credential", "private key", "access key", "using", "Authorization: Bearer", small())), any_of(*long_secrets)()
         elif kind < 0.5:
             lead, secret = named(any_of(*leads)), any_of(*led_secrets)()
-        elif kind < 0.6:
+        elif kind < 0.54:
+            lead, secret = any_of(f"{any_of('pin', 'PIN')}:", f"{any_of('pin', 'PIN')} =", "PIN :").split(), [pick(dig, size(4, 9))]
+        elif kind < 0.63:
             lead, secret = named(any_of(*leads)), []  # the word alone announces nothing
         else:
             lead, secret = [], []
@@ -323,7 +348,7 @@ def sentences(n: int, seed: int = 9) -> list[tuple[list[str], list[int], int]]:
         if secret and rng.random() < 0.3:
             words[-1] += any_of(".", ",", '"', ")")
         for _ in range(size(1, 14)):
-            words.append(any_of(*others)() if rng.random() < 0.25 else prose())
+            words.append(any_of(*others)() if rng.random() < 0.25 else plain())
             tags.append(OUT)
         out.append((words, tags, int(rng.random() < 0.3)))
     return out
@@ -402,9 +427,9 @@ class Scanner:
                 self._learn(new[at : at + 10_000])
         place = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
         shape, lead = self.shapes[place], self.leads[place]
-        file = tuple(file_features(len(words), int((shape % 7 > 0).sum()), found, bool(lead.any())))
+        file = file_features(len(words), int((shape % 7 > 0).sum()), found, bool(lead.any()))
         if file not in self.cross:
-            self.cross[file] = self.field.weights[_cross(list(file)), 1:].sum(1)
+            self.cross[file] = self.field.weights[_cross(file), 1:].sum(1)
         out = np.zeros((len(words), 3))
         says = self.scores[place]
         out[:, 1:] = says[:, 0] + self.cross[file][shape]
