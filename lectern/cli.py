@@ -3,14 +3,14 @@
     python -m lectern.cli VERB BASE_DIR CORPUS STEP [OUT_STEP] [options]
 
 A step is a folder BASE_DIR/CORPUS/STEP of Parquet tables. Without an out step, filters, changes and selections replace
-the step that they read (by way of a folder beside it).
+the step that they read, at once, when all of the new one is written.
 """
 
 from __future__ import annotations
 
 import argparse
 import math
-import uuid
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
@@ -167,17 +167,6 @@ def parser() -> argparse.ArgumentParser:
     return out
 
 
-def replace_step(spark, corpus: Corpus, directory: str) -> None:
-    """Writes beside the step and then puts the new one in its place: the old one is being read until then."""
-    path = lambda d: spark._jvm.org.apache.hadoop.fs.Path(d)
-    fresh = f"{directory}.{uuid.uuid4().hex}"
-    steps.write_step(corpus, fresh)
-    fs = path(directory).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(path(directory), True)
-    if not fs.rename(path(fresh), path(directory)):
-        raise OSError(f"{fresh} could not be renamed to {directory}")
-
-
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     a = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("lectern").getOrCreate()
@@ -189,11 +178,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif a.verb in OUTPUTS:
         OUTPUTS[a.verb][1](spark, steps.read_step(spark, at), a)
     else:
+        before = steps.step_counts(spark, at)
         changed = CHANGES[a.verb][1](spark, steps.read_step(spark, at), a)
-        if a.out_step and a.out_step != a.step:
-            steps.write_step(changed, f"{a.base_dir}/{a.corpus}/{a.out_step}", a.overwrite)
-        else:
-            replace_step(spark, changed, at)
+        other = a.out_step and a.out_step != a.step
+        after = steps.write_step(changed, f"{a.base_dir}/{a.corpus}/{a.out_step}" if other else at, a.overwrite or not other)
+        print("removed {removed} rows ({removed_pct} %), kept {kept}".format(**steps.removed_between(before, after)), f"of {after['seconds']:.1f} s, {after['selected']} selected", file=sys.stderr)
 
 
 if __name__ == "__main__":

@@ -229,6 +229,16 @@ def q_steps(spark, sf_dir):
     return rows.select("utt_id", "sel_rank", "reading", "alone", "path", F.size("repr_syms").cast("long").alias("symbols"))
 
 
+def q_step_counts(spark, sf_dir):
+    """What a filter removes from a step that it replaces, counted as the rows are written."""
+    at = folder(spark, "counts")
+    before = steps.write_step(ranked_corpus(spark, sf_dir), at)
+    steps.write_step(steps.read_step(spark, at).remove(filters.has_acronym(F.col("repr"), 3)), at, overwrite=True)
+    after = steps.step_counts(spark, at)
+    row = {**steps.removed_between(before, after), "selected_before": before["selected"], "selected": after["selected"], "seconds": round(after["seconds"], 6)}
+    return spark.createDataFrame([tuple(row.values())], "removed long, kept long, removed_pct double, selected_before long, selected long, seconds double")
+
+
 def q_scripts_in_files(spark, sf_dir):
     """Every file of the script of the selection, as lines with their places."""
     c, at = ranked_corpus(spark, sf_dir), folder(spark, "script")
@@ -369,6 +379,8 @@ SELECT utt_id, row_number() OVER (ORDER BY p, o) - 1 AS sel_rank, (SELECT count(
     "ingest_pairs": (q_ingest_pairs, f"""WITH {ONE_LINE}, p AS (SELECT *, list_filter(string_split(regexp_replace(reading, '[aeiou]', '', 'g'), ' '), lambda s: s <> '') AS l, regexp_replace(reading, '[aeiou]', '', 'g') AS repr FROM ol)
 SELECT row_number() OVER (ORDER BY doc_id, line_nr) - 1 AS utt_id, reading, array_to_string(l, '|') AS symbols FROM p WHERE NOT regexp_full_match(repr, '\\s*') AND NOT (starts_with(repr, ' ') OR ends_with(repr, ' ') OR contains(repr, '  '))"""),
     "step_round_trip": (q_steps, f"{ORDERED} SELECT utt_id, rank AS sel_rank, reading, reading AS alone, source AS path, length(reading)::BIGINT AS symbols FROM s"),
+    "step_counts": (q_step_counts, f"""WITH {UTT}, a AS (SELECT *, {base._ACRONYM} AS gone, doc_id % 5 = 0 AS sel FROM utts) SELECT (count(*) FILTER (gone))::BIGINT AS removed, (count(*) FILTER (NOT gone))::BIGINT AS kept,
+round(100 * (count(*) FILTER (gone)) / count(*), 6)::DOUBLE AS removed_pct, (count(*) FILTER (sel))::BIGINT AS selected_before, (count(*) FILTER (sel AND NOT gone))::BIGINT AS selected, round(coalesce(sum(length(reading)) FILTER (NOT gone), 0) / {tx.READING_SPEED}, 6)::DOUBLE AS seconds FROM a"""),
     "scripts_in_files": (q_scripts_in_files, f"""{ORDERED}, n AS (SELECT *, count(*) OVER () AS n FROM s), l AS (SELECT *, lpad((rank + 1)::VARCHAR, length(n::VARCHAR)::INT, '0') AS nr FROM n)
 SELECT 'txt' AS file, rank AS place, nr || ': ' || reading AS line FROM l UNION ALL SELECT 'consecutive', row_number() OVER (ORDER BY rank, k) - 1, w FROM (SELECT rank, unnest(string_split(reading, ' ')) AS w, unnest(range(len(string_split(reading, ' ')))) AS k FROM l) UNION ALL SELECT 'paths', rank, source FROM l
 UNION ALL SELECT 'tex', rank, '  \\item ' || {_HINT} || reading || ' % ' || utt_id FROM l UNION ALL SELECT 'csv', rank, utt_id || chr(9) || nr || chr(9) || reading || chr(9) || reading || chr(9) || source FROM l"""),

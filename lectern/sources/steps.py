@@ -1,37 +1,119 @@
-"""Steps of a corpus as Parquet tables, and the exchange with other selectors."""
+"""Steps of a corpus as Parquet tables, and the exchange with other selectors.
+
+A step is a folder. Each write puts the tables in a new folder inside it, and then moves a small file, which names that
+folder, to its place at once. So a step that is read or replaced while it is being read is whole at any time: a writer that is
+lost before the move leaves the step as it was. The tables that were replaced last stay for those who still read them; those
+before go. (On a store whose renames aren't atomic, the move is a delete and a rename.)
+
+The file also holds what the step counts: rows, selected rows and seconds of reading, observed as the rows were written,
+so what an operator removed is known without another pass over the rows before and after it.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from lectern.functions import text as tx
 from lectern.operators.selection import is_known, select
 from lectern.plans.corpus import Corpus
 
-TABLES = ("utterances", "selection", "paths", "meta")
 SUBSETS = ("Available", "Ignored", "Selected")
+#: The file of a step that names its tables.
+CURRENT = "current.json"
+
+
+class _Store:
+    """Small files of the store that Spark writes a folder to."""
+
+    def __init__(self, spark, directory: str) -> None:
+        self.jvm, self.gateway, self.directory = spark._jvm, spark.sparkContext._gateway, directory
+        self.fs = self.path("").getFileSystem(spark._jsc.hadoopConfiguration())
+        self.conf = spark._jsc.hadoopConfiguration()
+
+    def path(self, name: str):
+        return self.jvm.org.apache.hadoop.fs.Path(f"{self.directory}/{name}" if name else self.directory)
+
+    def read(self) -> dict | None:
+        if not self.fs.exists(self.path(CURRENT)):
+            return None
+        data = self.fs.open(self.path(CURRENT))
+        try:
+            return json.loads(bytes(data.readAllBytes()))
+        finally:
+            data.close()
 
+    def replace(self, facts: dict) -> None:
+        fresh = self.path(f".{uuid.uuid4().hex}")
+        out = self.fs.create(fresh)
+        out.write(bytearray(json.dumps(facts).encode()))
+        out.close()
+        kind = getattr(self.jvm, "org.apache.hadoop.fs.Options$Rename")
+        how = self.gateway.new_array(kind, 1)
+        how[0] = kind.OVERWRITE
+        at = self.fs.makeQualified(self.path(CURRENT))
+        self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), self.conf).rename(self.fs.makeQualified(fresh), at, how)
 
-def write_step(corpus: Corpus, directory: str, overwrite: bool = False) -> None:
-    """All tables of a step; an existing one is an error unless overwrite."""
-    mode = "overwrite" if overwrite else "errorifexists"
-    spark = corpus.utterances.sparkSession
-    corpus.utterances.write.mode(mode).parquet(f"{directory}/utterances")
-    corpus.selection.write.mode(mode).parquet(f"{directory}/selection")
-    corpus.paths.write.mode(mode).parquet(f"{directory}/paths")
-    meta = spark.createDataFrame([(corpus.language, corpus.reading_format, corpus.repr_format)], "language string, reading_format string, repr_format string")
-    meta.write.mode(mode).parquet(f"{directory}/meta")
+    def delete(self, name: str) -> None:
+        self.fs.delete(self.path(name), True)
+
+
+def write_step(corpus: Corpus, directory: str, overwrite: bool = False) -> dict:
+    """All tables of a step, and what they count: rows, selected, seconds. An existing step is an error unless overwrite, and is whole until the new one is."""
+    store = _Store(corpus.utterances.sparkSession, directory)
+    old = store.read()
+    if old and not overwrite:
+        raise FileExistsError(f"{directory} is a step already")
+    tables = f"tables-{uuid.uuid4().hex}"
+    rows, chosen = Observation(), Observation()
+    one = F.count(F.lit(1)).alias("n")
+    observed = {
+        "utterances": corpus.utterances.observe(rows, one, F.sum(F.size("reading_syms")).alias("symbols")),
+        "selection": corpus.selection.observe(chosen, one),
+        "paths": corpus.paths,
+    }
+    for name, table in observed.items():
+        table.write.parquet(f"{directory}/{tables}/{name}")
+    facts = {"rows": rows.get["n"], "selected": chosen.get["n"], "seconds": (rows.get["symbols"] or 0) / tx.READING_SPEED}
+    formats = {"language": corpus.language, "reading_format": corpus.reading_format, "repr_format": corpus.repr_format}
+    store.replace({"tables": tables, "replaced": old and old["tables"], **formats, **facts})
+    if old and old["replaced"]:
+        store.delete(old["replaced"])
+    return facts
+
+
+def _current(spark, directory: str) -> dict:
+    found = _Store(spark, directory).read()
+    if found is None:
+        raise FileNotFoundError(f"{directory} is no step")
+    return found
 
 
 def read_step(spark, directory: str) -> Corpus:
-    meta = spark.read.parquet(f"{directory}/meta").first()
-    tables = [spark.read.parquet(f"{directory}/{t}") for t in TABLES[:3]]
-    return Corpus(*tables, meta["language"], meta["reading_format"], meta["repr_format"])
+    """The step as it is now: what replaces it later changes nothing here."""
+    now = _current(spark, directory)
+    tables = [spark.read.parquet(f"{directory}/{now['tables']}/{t}") for t in ("utterances", "selection", "paths")]
+    return Corpus(*tables, now["language"], now["reading_format"], now["repr_format"])
 
 
 def read_columns(spark, directory: str, *columns: str) -> DataFrame:
     """Some columns of a step's utterances; no others are read."""
-    return spark.read.parquet(f"{directory}/utterances").select(*columns)
+    return spark.read.parquet(f"{directory}/{_current(spark, directory)['tables']}/utterances").select(*columns)
+
+
+def step_counts(spark, directory: str) -> dict:
+    """rows, selected and seconds of a step, without a read of its tables."""
+    now = _current(spark, directory)
+    return {k: now[k] for k in ("rows", "selected", "seconds")}
+
+
+def removed_between(before: dict, after: dict) -> dict:
+    """removed, kept and removed_pct of what lies between two steps' counts, as removal_stats has them."""
+    removed = before["rows"] - after["rows"]
+    return {"removed": removed, "kept": after["rows"], "removed_pct": round(100 * removed / before["rows"], 6) if before["rows"] else 0.0}
 
 
 def selection_dataset(corpus: Corpus) -> DataFrame:

@@ -145,6 +145,43 @@ def test_ingest_and_commands(spark, tmp_path):
     assert ids(steps.read_step(spark, f"{base}/c/s2").selection) == [1, 2]
 
 
+def test_step_is_whole_at_any_time(spark, tmp_path, monkeypatch):
+    at = str(tmp_path / "s")
+    c = made(spark, ["a b", "c", "NASA d"])
+    counts = steps.write_step(c, at)
+    assert counts["rows"] == 3 and counts["selected"] == c.selection.count() and abs(counts["seconds"] - 10 / 13.7) < 1e-9
+    with pytest.raises(FileExistsError):
+        steps.write_step(c, at)
+    with pytest.raises(FileNotFoundError):
+        steps.read_step(spark, str(tmp_path / "none"))
+
+    def lost(*_):
+        raise KeyboardInterrupt  # killed when all tables are written and the step does not name them yet
+
+    old = steps.read_step(spark, at)
+    fewer = old.with_(utterances=old.utterances.where("utt_id = 1"))
+    with monkeypatch.context() as m, pytest.raises(KeyboardInterrupt):
+        m.setattr(steps._Store, "replace", lost)
+        steps.write_step(fewer, at, overwrite=True)
+    assert ids(steps.read_step(spark, at).utterances) == [0, 1, 2]
+    steps.write_step(fewer, at, overwrite=True)
+    assert ids(old.utterances) == [0, 1, 2], "who read the old step still can"
+    now = steps.read_step(spark, at)
+    assert ids(now.utterances) == [1] and steps.step_counts(spark, at)["rows"] == 1
+    assert steps.removed_between(counts, steps.step_counts(spark, at)) == {"removed": 2, "kept": 1, "removed_pct": 66.666667}
+    steps.write_step(now, at, overwrite=True)
+    assert sorted(p.name[:6] for p in (tmp_path / "s").iterdir() if p.name[0] != ".").count("tables") == 3, "the new one, the one before, and the lost writer's"
+
+
+def test_counts_of_an_empty_step(spark, tmp_path):
+    c = made(spark, ["a b", "c"])
+    empty = c.keep(c.utterances.where("utt_id < 0").distinct())
+    for k, e in enumerate((empty, c.keep(c.utterances.limit(0)))):
+        assert steps.write_step(e, str(tmp_path / f"s{k}")) == {"rows": 0, "selected": 0, "seconds": 0.0}
+        assert steps.read_step(spark, str(tmp_path / f"s{k}")).utterances.count() == 0
+    assert steps.removed_between({"rows": 0}, {"rows": 0})["removed_pct"] == 0.0
+
+
 def test_files_of_different_length_are_left_out(spark, tmp_path):
     for d, lines in (("r", {"a": "x\ny", "b": "z"}), ("p", {"a": "1\n2", "b": "3\n4"})):
         (tmp_path / d).mkdir()
