@@ -585,5 +585,28 @@ def test_best_fit_takes_the_fullest_bin():
     assert sum(used) == sum(lengths) and sum(used) / sum(size) > 0.98
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_best_fit_like_a_scan_of_all_bins(seed):
+    """Pieces from the longest on; each goes to the bin with the least room that holds it, found by a look at every bin; of equal ones, to that which changed last. Without one, the cheapest capacity is opened."""
+    rng, capacities = random.Random(seed), (32, 100, 256)
+    lengths = [rng.choice((rng.randint(1, 256), rng.randint(1, 20))) for _ in range(400)]
+    bins, where, left = [], [None] * len(lengths), sum(lengths)
+    for turn, i in enumerate(sorted(range(len(lengths)), key=lambda i: -lengths[i])):
+        n = lengths[i]
+        fit = [(b["size"] - b["used"], -b["changed"], k) for k, b in enumerate(bins) if b["size"] - b["used"] >= n]
+        if fit:
+            k = min(fit)[2]
+        else:
+            costs = [((packing.OVERHEAD + c + c * c / packing.QUADRATIC) / min(c, left), c) for c in capacities if c >= n]
+            k = len(bins)
+            bins.append({"size": min(costs)[1], "used": 0})
+        where[i] = (k, bins[k]["used"])
+        bins[k] |= {"used": bins[k]["used"] + n, "changed": turn}
+        left -= n
+    bin_of, offset, size, used = packing.best_fit(lengths, capacities)
+    assert list(zip(bin_of, offset, strict=True)) == where
+    assert used == [b["used"] for b in bins] and size == [min(c for c in capacities if c >= b["used"]) for b in bins]
+
+
 def test_packing_nothing(spark):
     assert packing.pack(spark.createDataFrame([], DOCS)).count() == 0
