@@ -39,9 +39,20 @@ def is_upper(word: Column) -> Column:
     return word.rlike(r"\p{IsUppercase}") & ~word.rlike(r"[\p{IsLowercase}\p{Lt}]")
 
 
+#: Characters whose capital form is several characters, and the one character that stands for it where there is one.
+_WIDE = "".join(chr(c) for c in range(0xDF, 0xFB18) if not 0xD800 <= c < 0xE000 and len(chr(c).upper()) > 1)
+_WIDE_UPPER = "".join({"ß": "ẞ"}.get(c, c.title() if len(c.title()) == 1 else c) for c in _WIDE)
+_PLACES = "".join(chr(0x10FE00 + i) for i in range(len(_WIDE)))
+
+
+def upper_signs(text: Column) -> Column:
+    """Capital letters character by character: none becomes several, as ß does in upper()."""
+    return F.when(F.octet_length(text) == F.length(text), F.upper(text)).otherwise(F.translate(F.upper(F.translate(text, _WIDE, _PLACES)), _PLACES, _WIDE_UPPER))
+
+
 def graphemes(text: Column) -> Column:
     """Every character a symbol; an empty text has none."""
-    return F.filter(F.split(text, ""), lambda s: s != "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ""))
 
 
 def phones(text: Column) -> Column:

@@ -29,12 +29,13 @@ def in_order(corpus: Corpus, order: str = "by_index", seed: int = SEED, ignore:
     elif order == "random":
         keys = selection.select("utt_id", F.md5(F.concat_ws(":", F.lit(seed), "utt_id").cast("binary")).alias("a"))
     elif order == "symbol_count_asc":
-        keys = corpus.selected().select("utt_id", (F.size("reading_syms") * F.lit(1 << 40).cast("long") + F.col("sel_rank")).alias("a"))
+        lengths = corpus.utterances.select("utt_id", F.size("reading_syms").alias("a"))  # before the join: symbols aren't shuffled
+        keys = lengths.join(selection, "utt_id").select("utt_id", "a", F.col("sel_rank").alias("b"))
     elif order in ("kld", "kld_parts"):
         keys = kld_order(corpus.utterances, selection, set(ignore), parts if order == "kld_parts" else 1, take).select("utt_id", F.col("sel_rank").alias("a"))
     else:
         raise ValueError(f"no such order: {order}")
-    return ranked(keys, ["a", "utt_id"]).withColumnRenamed("sel_rank", "place")
+    return ranked(keys, [*keys.columns[1:], "utt_id"]).withColumnRenamed("sel_rank", "place")
 
 
 def script(corpus: Corpus, order: DataFrame) -> DataFrame:
@@ -99,8 +100,9 @@ def read_script_tables(spark, directory: str) -> DataFrame:
     texts = None
     for file in ("txt", "consecutive", "paths", "tex"):
         end = " " if file == "consecutive" else "\n"
-        whole = spark.read.text(f"{directory}/{file}", wholetext=True).select(F.col("_metadata.file_name").alias("part"), F.expr("substring(value, 1, length(value) - 1)").alias("value"))
-        placed = with_dense_ids(whole.select("part", F.posexplode(F.split("value", end)).alias("at", "line")), ["part", "at"], "place")
+        lines = spark.read.text(f"{directory}/{file}", lineSep=end)  # in the order of parts, of the blocks that a part is read by, and of a block's lines
+        lines = lines.select(F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+        placed = with_dense_ids(lines, ["part", "block", "at"], "place")
         placed = placed.select(F.lit(file).alias("file"), "place", "line")
         texts = placed if texts is None else texts.union(placed)
     table = spark.read.csv(f"{directory}/csv", sep="\t", header=True, quote='"', escape='"', multiLine=True, schema="Id string, Nr string, Utterance string, Representation string, Path string")

@@ -62,6 +62,18 @@ def first_of_duplicates(df: DataFrame, column: str, order: str = "utt_id") -> Da
 IN_PLACE = 200_000
 
 
+def most_frequent(counted: DataFrame, most: int) -> DataFrame:
+    """Of rows with a number n, those of the largest n, at most so many. Rows with one n stay or go together, so nothing is sorted: how often each n is there tells the least that fits."""
+    spread = counted.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()
+    least, rows = None, 0
+    for r in sorted(spread, key=lambda r: -r["n"]):
+        rows += r["rows"]
+        if rows > most:
+            break
+        least = r["n"]
+    return counted.where(F.col("n") >= least) if least is not None else counted.limit(0)
+
+
 def occurrences(df: DataFrame, words: Column, sought: DataFrame, key: str = "utt_id", in_place: int = IN_PLACE) -> DataFrame:
     """key and word of each occurrence of a sought word. sought: word, distinct.
 
@@ -72,7 +84,7 @@ def occurrences(df: DataFrame, words: Column, sought: DataFrame, key: str = "utt
     sought = saved(sought.select("word"))
     if sought.count() <= in_place:
         return every.join(F.broadcast(sought), "word", "left_semi").select(key, "word")
-    frequent = every.groupBy("word").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(in_place).select("word")
+    frequent = most_frequent(saved(every.groupBy("word").agg(F.count(F.lit(1)).alias("n"))), in_place).select("word")
     known = saved(frequent.join(sought.withColumn("sought_", F.lit(True)), "word", "left").select("word", F.coalesce("sought_", F.lit(False)).alias("sought_")))
     marked = every.join(F.broadcast(known), "word", "left")
     rest = marked.where(F.col("sought_").isNull()).join(sought, "word", "left_semi")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,7 +19,7 @@ _LONG = 0x110000
 
 def joined_symbols(symbols: Column) -> list[Column]:
     """A row's symbols as one string, and whether each is one character (then nothing is between them)."""
-    single = F.forall(symbols, lambda s: F.length(s) == 1)
+    single = (F.length(F.array_join(symbols, "")) == F.size(symbols)) & ~F.array_contains(symbols, "")
     return [F.when(single, F.array_join(symbols, "")).otherwise(F.array_join(symbols, SEPARATOR)).alias("text_"), single.alias("single_")]
 
 
@@ -89,8 +90,19 @@ def _hashed(batch: Batch, first: np.ndarray, n: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def gram_texts(utterances: DataFrame, ignore: Iterable[str], column: str = "repr_syms") -> DataFrame:
+    """What n-grams are counted in, as short as texts: utt_id, symbols (of the reading), and the row's symbols without ignored ones as one string. To be made before rows are shuffled."""
+    symbols = reduce(F.array_remove, sorted(ignore), F.col(column))
+    return utterances.select("utt_id", F.size("reading_syms").cast("long").alias("symbols"), *joined_symbols(symbols))
+
+
 def gram_rows(utterances: DataFrame, n: int, ignore: Iterable[str], column: str = "repr_syms") -> DataFrame:
     """utt_id, symbols (of the reading), and the row's kinds of n-grams without ignored symbols: grams (64-bit numbers, rising) and counts. No shuffle."""
+    return counted_grams(gram_texts(utterances, ignore, column), n)
+
+
+def counted_grams(texts: DataFrame, n: int) -> DataFrame:
+    """gram_rows of gram_texts."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
@@ -103,6 +115,4 @@ def gram_rows(utterances: DataFrame, n: int, ignore: Iterable[str], column: str
             grams = np.split(names[pairs % max(len(names), 1)], cuts) if batch.rows else []
             yield pd.DataFrame({"utt_id": pdf["utt_id"], "symbols": pdf["symbols"], "grams": grams, "counts": np.split(counts.astype(np.int64), cuts) if batch.rows else []})
 
-    symbols = F.filter(F.col(column), lambda s: ~s.isin(*sorted(ignore))) if ignore else F.col(column)
-    slim = utterances.select("utt_id", F.size("reading_syms").cast("long").alias("symbols"), *joined_symbols(symbols))
-    return slim.mapInPandas(run, "utt_id long, symbols long, grams array<long>, counts array<long>")
+    return texts.mapInPandas(run, "utt_id long, symbols long, grams array<long>, counts array<long>")

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
-from lectern.operators.grams import gram_rows
-from lectern.saving import saved
+from lectern.operators.grams import counted_grams, gram_texts
+from lectern.saving import saved_table
 
 #: n-gram numbers up to which one task may run the whole loop; 0: passes at every size.
 ONE_TASK = 0
@@ -158,12 +158,13 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
     candidates. Budgets hold for what is newly selected.
     """
     spark = utterances.sparkSession
-    seconds_of = F.size("reading_syms") / F.lit(speed)
+    seconds_of = F.col("symbols") / F.lit(speed)
     fits = (seconds_of >= band[0]) & (seconds_of < band[1]) if band[1] != math.inf else seconds_of >= band[0]
-    rest = utterances.join(selection.select("utt_id"), "utt_id", "left_anti").where(fits)
-    chosen = utterances.join(selection.select("utt_id"), "utt_id", "left_semi")
-    rows = saved(gram_rows(rest, n, set(ignore)).where(F.size("grams") > 0))
-    before = gram_rows(chosen, n, set(ignore)).select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.counts").alias("have"))
+    texts = gram_texts(utterances, set(ignore))
+    rest = texts.where(fits).join(selection.select("utt_id"), "utt_id", "left_anti")
+    chosen = texts.join(selection.select("utt_id"), "utt_id", "left_semi")
+    rows = saved_table(counted_grams(rest, n).where(F.size("grams") > 0))
+    before = counted_grams(chosen, n).select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.counts").alias("have"))
     have = {r["grams"]: r["have"] for r in before.collect()}  # kinds of n-grams of the selection
     load = rows.agg(F.sum(F.size("grams")).alias("s")).first()["s"] or 0
     if not load:

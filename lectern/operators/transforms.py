@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
 from lectern.functions import text as tx
+from lectern.operators.filters import most_frequent
 from lectern.saving import saved
 
 #: A text without any of these is in normal form C: marks, Hangul vowels and finals, and blocks with characters that have another form.
@@ -58,8 +59,8 @@ def to_symbols(text: Column, symbols: str = "graphemes") -> Column:
 
 #: Distinct words whose phones every task may hold; of more, the most frequent ones.
 IN_PLACE = 200_000
-#: Before a word among the symbols; around words in a text (a code that stands for no character).
-_WORD, _MARK = "\0", "\uffff"
+#: Around words in a text, and between symbols of a text of symbols (a code that stands for no character).
+_MARK = "\uffff"
 #: Letters, marks and digits with apostrophes, at least one of them none.
 _TOKEN = r"(?<!')'*+[\p{L}\p{M}\p{N}][\p{L}\p{M}\p{N}']*+"
 #: Signs that are a symbol each; apostrophes side by side are one.
@@ -70,43 +71,44 @@ def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: s
     """df with the phones of an English text; none for a null one. lexicon: word (lower case), phones. spelled: a column of words to phones, for words that it lacks.
 
     Only distinct words meet the lexicon and what spells; their phones are then looked up where the rows lie, in a table of a
-    counted size, so no text and no occurrence of a frequent word is shuffled. Where there are more distinct words than that,
-    rare ones come by a join. U+FFFF, which is no character, goes. Words part at spaces and hyphens and lose the signs around them, which stay as symbols of their own; a
-    space stands between words.
+    counted size, so no occurrence of a frequent word is shuffled. Where there are more distinct words than that, rare ones
+    and their phones come to their rows by a join. Symbols go to Python and back as one text a row. U+FFFF, which is no character, goes.
+    Words part at spaces and hyphens and lose the signs around them, which stay as symbols of their own; a space stands between words.
     """
-    is_word = lambda t: F.startswith(t, F.lit(_WORD)) & (F.length(t) > 1)
-    words = df.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(_TOKEN), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    text = F.translate(F.col(column), _MARK, "")
+    found = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    words = df.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     known = lexicon.select(F.col("word").alias("listed"), F.col("phones").alias("known")).dropDuplicates(["listed"])
     other = spelled(F.when(F.col("known").isNull(), F.lower("word")))
-    said = saved(words.join(known, F.lower("word") == F.col("listed"), "left").select("word", "n", F.coalesce("known", other).alias("said")))
-    beyond = said.count() > in_place
-    table = {r["word"]: r["said"] for r in (said.orderBy(F.desc("n"), "word").limit(in_place) if beyond else said).collect()}
-    held = df.sparkSession.sparkContext.broadcast(table)
+    joined = words.join(known, F.lower("word") == F.col("listed"), "left").select("word", "n", F.coalesce("known", other).alias("said"))
+    said = saved(joined.select("word", "n", F.coalesce(F.array_join("said", _MARK), F.lit("")).alias("said")))
+    rows, common, rare_of = df, said, F.lit(None).cast("array<string>")
+    if said.count() > in_place:
+        common, rare_of = saved(most_frequent(said, in_place)), F.col("rare_")
+        rare = df.select(key, F.explode(F.array_distinct(found)).alias("word")).join(F.broadcast(common.select("word")), "word", "left_anti").join(said, "word")
+        rows = df.join(rare.groupBy(key).agg(F.collect_list(F.concat("word", F.lit(_MARK), "said")).alias("rare_")), key, "left")
+    held = df.sparkSession.sparkContext.broadcast({r["word"]: r["said"] for r in common.select("word", "said").toLocalIterator()})
 
-    @F.pandas_udf("array<string>")
-    def looked_up(rows: pd.Series) -> pd.Series:
+    @F.pandas_udf("string")
+    def looked_up(texts: pd.Series, rare: pd.Series) -> pd.Series:
         phones = held.value
 
-        def symbols(text: str | None) -> list[str]:
-            out = []
+        def symbols(text: str | None, own) -> str:
+            own, out = dict(x.split(_MARK, 1) for x in own) if own is not None else {}, []
             for k, piece in enumerate(text.split(_MARK) if text else ()):
                 if k % 2:
-                    out += phones.get(piece) or ((_WORD + piece,) if piece not in phones else ())
+                    piece = own[piece] if piece in own else phones[piece]
                 elif piece:
-                    out += _SIGNS.findall(piece) if "''" in piece else piece
-            return out
-
-        return rows.map(symbols)
-
-    marked = F.regexp_replace(F.translate(F.col(column), _MARK, ""), _TOKEN, f"{_MARK}$0{_MARK}")
-    spoken = df.withColumn(out, looked_up(marked))
-    if not beyond:
-        return spoken
-    spoken = saved(spoken)
-    rare = spoken.select(key, F.explode(F.array_distinct(F.filter(out, is_word))).alias("symbol")).withColumn("word", F.substring("symbol", F.lit(2), F.length("symbol")))
-    rare = rare.join(said.select("word", "said"), "word").groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("symbol", "said"))).alias("rare_"))
-    filled = F.flatten(F.transform(out, lambda s: F.coalesce(F.element_at("rare_", s), F.array(s))))
-    return spoken.join(rare, key, "left").withColumn(out, F.when(F.col("rare_").isNull(), F.col(out)).otherwise(filled)).drop("rare_")
+                    piece = _MARK.join(_SIGNS.findall(piece) if "''" in piece else piece)
+                if piece:
+                    out.append(piece)
+            return _MARK.join(out)
+
+        return pd.Series([symbols(*x) for x in zip(texts, rare, strict=True)], dtype=object)
+
+    marked = F.regexp_replace(text, _TOKEN, f"{_MARK}$0{_MARK}")
+    spoken = rows.withColumn(out, looked_up(marked, rare_of)).drop("rare_")
+    return spoken.withColumn(out, F.when(F.col(out) == "", F.array().cast("array<string>")).otherwise(F.split(out, _MARK)))
 
 
 def split_sentences(text: Column) -> Column:

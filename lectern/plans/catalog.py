@@ -14,7 +14,7 @@ from lectern.operators import export, filters, grams, greedy, selection, stats,
 from lectern.operators.ids import with_dense_ids
 from lectern.operators.sentences import split_corpus
 from lectern.plans.corpus import Corpus
-from lectern.saving import saved
+from lectern.saving import few_joined, saved, saved_table
 from lectern.sources.steps import selection_dataset
 
 #: Ids of a document's lines.
@@ -53,7 +53,7 @@ def corpus(spark, sf_dir: str) -> Corpus:
 
 def stat_rows(spark, sf_dir: str) -> DataFrame:
     rows = utterances(spark, sf_dir)
-    return stats.flagged(with_symbols(rows), seed_ids(rows))
+    return with_symbols(stats.flagged(rows, seed_ids(rows)))  # symbols behind the join, so that it shuffles texts
 
 
 def lexicon(spark, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def q_sentences(spark, sf_dir):
 
 def q_arpa(spark, sf_dir):
     words = lexicon(spark, sf_dir).select("word", F.array(F.concat(F.lit("L"), F.lower("word"))).alias("phones"))
-    rows = transforms.eng_to_arpa(utterances(spark, sf_dir).where("lang = 'en'"), "reading", words, "phones", spelled=lambda w: F.array(F.upper(w)))
+    rows = transforms.eng_to_arpa(utterances(spark, sf_dir).where("lang = 'en'"), "reading", words, "phones", spelled=lambda w: F.array(tx.upper_signs(w)))
     return rows.select("utt_id", F.array_join("phones", "|").alias("phones"))
 
 
@@ -155,7 +155,7 @@ def q_prep(spark, sf_dir):
     """The filters of the preparing pipeline, each on what the one before left."""
     r = F.col("reading")
     rows = utterances(spark, sf_dir).where(~filters.has_acronym(r))
-    rows = filters.first_of_duplicates(rows, "reading")
+    rows = saved_table(filters.first_of_duplicates(rows, "reading").select("utt_id", "reading"))  # read several times
     rows = filters.without_rare_words(rows, "reading", 2)
     return rows.where(~filters.has_undesired(r, UNDESIRED) & ~filters.word_count_outside(r, 3)).select("utt_id", "reading")
 
@@ -163,13 +163,12 @@ def q_prep(spark, sf_dir):
 def q_kld_step(spark, sf_dir):
     """The divergence that each candidate would lead to: one step of the greedy selection, after a fifth is selected."""
     rows = with_symbols(utterances(spark, sf_dir))
-    counts = grams.gram_rows(rows, 1, ()).select("utt_id", F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("counts").alias("n"))).alias("x")).select("utt_id", "x.gram", "x.n")
-    counts = saved(counts)  # used three times
-    marked = counts.join(seed_ids(rows).select("utt_id", F.lit(True).alias("sel")), "utt_id", "left")
-    have = marked.where("sel").groupBy("gram").agg(F.sum("n").alias("x"))
-    kinds = counts.agg(F.count_distinct("gram").alias("v"))
+    counted = saved_table(grams.gram_rows(rows, 1, ()).join(seed_ids(rows).select("utt_id", F.lit(True).alias("sel")), "utt_id", "left"))  # used three times
+    marked = counted.select("utt_id", "sel", F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("counts").alias("n"))).alias("x")).select("utt_id", "sel", "x.gram", "x.n")
+    have = saved(marked.where("sel").groupBy("gram").agg(F.sum("n").alias("x")))
+    kinds = marked.agg(F.count_distinct("gram").alias("v"))
     total = have.agg(F.sum("x").alias("nx"), F.sum(F.col("x") * F.log("x")).alias("sx"))
-    c = marked.where("sel is null").join(have, "gram", "left").withColumn("x", F.coalesce("x", F.lit(0)))
+    c = few_joined(marked.where("sel is null"), have, ["gram"], "left").withColumn("x", F.coalesce("x", F.lit(0)))  # a few kinds are in nearly every row, so rows aren't dealt by kind
     y = F.col("x") + F.col("n")
     each = c.groupBy("utt_id").agg(F.sum("n").alias("n"), F.sum(y * F.log(y) - F.when(F.col("x") > 0, F.col("x") * F.log("x")).otherwise(0.0)).alias("gain"))
     size = F.col("nx") + F.col("n")

@@ -9,6 +9,7 @@ from lectern.functions.phonetics import spelled_phones
 from lectern.operators import filters, greedy, transforms
 from lectern.operators.selection import remove_deselected
 from lectern.plans.corpus import Corpus
+from lectern.saving import saved_table
 
 #: What the first pass finds undesired.
 UNDESIRED = ("/", "\\", "-", ":", "@", ";", "*", "%", '"', "(", ")", "[", "]", "{", "}", "quote", "oswald", "ye", "hath", "pp.")
@@ -32,7 +33,7 @@ def remove_unknown_words(corpus: Corpus, lexicon: DataFrame, most: int, rules: l
 def to_arpa(corpus: Corpus, lexicon: DataFrame, target: str = "repr", spelled=spelled_phones) -> Corpus:
     rows = transforms.eng_to_arpa(corpus.utterances.drop(f"{target}_syms"), target, lexicon, f"{target}_syms", spelled=spelled)
     rows = rows.withColumn(target, F.array_join(f"{target}_syms", " "))
-    return corpus.with_(utterances=rows.select(*corpus.utterances.columns), **{f"{target}_format": "arpa"})
+    return corpus.changed(rows.select(*corpus.utterances.columns), **{f"{target}_format": "arpa"})
 
 
 def to_ipa(corpus: Corpus, target: str = "repr") -> Corpus:
@@ -44,18 +45,25 @@ def to_ipa(corpus: Corpus, target: str = "repr") -> Corpus:
 def prepare(corpus: Corpus, lexicon: DataFrame, pronunciations: DataFrame) -> Corpus:
     """Acronyms go, texts are normalised, then duplicates, rare words, names, undesired texts, short and unknown ones go; the rest is made phones.
 
-    The order matters: frequencies are those of the corpus that is left.
+    The order matters: frequencies are those of the corpus that is left. After normalisation symbols are those of the texts, so rows
+    go without them until they are phones. Steps that read their rows several times find them saved.
     """
     r = F.col("repr")
+    stored = lambda c: c.changed(saved_table(c.utterances))
     return corpus.then(
         lambda c: c.remove(filters.has_acronym(r, 3)),
         lambda c: c.map("both", transforms.normalize),
+        Corpus.without_symbols,
         remove_duplicates,
+        stored,
         lambda c: remove_rare_words(c, 2),
         lambda c: c.remove(filters.has_proper_name(r, c.language)),
         lambda c: c.remove(filters.has_undesired(r, UNDESIRED)),
         lambda c: c.remove(filters.word_count_outside(r, 3)),
+        stored,
         lambda c: remove_unknown_words(c, lexicon, 0),
+        stored,
+        Corpus.with_symbols,
         lambda c: to_arpa(c, pronunciations),
         lambda c: c.remove(filters.has_undesired(r, ("'",))),
         to_ipa,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql.functions import broadcast
@@ -31,6 +32,13 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def saved_table(df: DataFrame) -> DataFrame:
+    """The rows, written as a Parquet table to the checkpoint folder: smaller than a checkpoint where values repeat. Neither order nor partitions stay."""
+    at = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 #: Rows of a side that is broadcast, at most.
 FEW = 200_000
 
