@@ -25,6 +25,8 @@ from lectern.sources import files
 
 #: Bytes of a range, of one read, and that opening a file is worth when small files are put together.
 SPLIT, READ, OPEN = 128 << 20, 8 << 20, 4 << 20
+#: Bytes of the first read behind a range's end, where its last line goes on; tasks that the ranges of a folder are dealt to, if that takes no more than SPLIT bytes a task.
+BEHIND, TASKS = 4096, 64
 #: Encodings in which a byte of 10 needn't be a line's end.
 STATEFUL = ("utf-7", "hz", "iso2022")
 MARKS = {"utf-16": {b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}, "utf-32": {b"\xff\xfe\0\0": "utf-32-le", b"\0\0\xfe\xff": "utf-32-be"}, "utf-8-sig": {b"\xef\xbb\xbf": "utf-8"}}
@@ -68,7 +70,7 @@ def blocks(file, size: int, start: int, end: int, how: Coding) -> Iterator[tuple
     place = start - w if start > how.mark else how.mark
     skip, data, read = start > how.mark, b"", place
     while True:
-        piece = file.read_at(min(READ, size - read), read) if read < size else b""
+        piece = file.read_at(min(READ, size - read, max(end + w - read, BEHIND, len(data))), read) if read < size else b""
         read += len(piece)
         data += piece
         last = read >= size
@@ -77,7 +79,7 @@ def blocks(file, size: int, start: int, end: int, how: Coding) -> Iterator[tuple
         mine = int(np.searchsorted(starts[:-1] + place, end))  # whole lines that begin before end
         if mine > first:
             yield mine - first, data[starts[first] : starts[mine]], True
-        done = mine < len(starts) - 1
+        done = starts[-1] + place >= end
         if not done and last:
             if len(starts) > first and starts[-1] + place < end:
                 yield 1, data[starts[-1] :], False
@@ -130,14 +132,16 @@ class _LinesReader(DataSourceReader):
                 yield Range(path, stem, size, k, cuts[k], cuts[k + 1])
 
     def partitions(self) -> list[_Ranges]:
-        out, load = [[]], 0
-        for r in self._all():
-            cost = r.end - r.start + OPEN
-            if out[-1] and load + cost > self.split + OPEN:
+        """Small files, and ranges of files that are cut very often, are put together, so that the number of tasks doesn't grow with that of ranges."""
+        every, out, load = list(self._all()), [[]], 0
+        most = max(self.split, min(SPLIT, sum(r.end - r.start for r in every) // TASKS)) + OPEN
+        for r in every:
+            cost = r.end - r.start
+            if out[-1] and (load + cost > most if out[-1][-1].path == r.path else load + cost + OPEN > most):
                 out.append([])
                 load = 0
+            load += cost if out[-1] and out[-1][-1].path == r.path else cost + OPEN
             out[-1].append(r)
-            load += cost
         return [_Ranges(r) for r in out]
 
     def read(self, partition: _Ranges) -> Iterator[pa.RecordBatch]:

@@ -84,10 +84,10 @@ def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str =
         other = _whole_files(spark, repr_dir, encoding, None).select("stem", "line_nr", F.col("line").alias("repr"), F.col("n_lines").alias("n_repr"))
         rows = rows.join(other, ["stem", "line_nr"]).where("n_lines = n_repr")
     rows = rows.where(~tx.is_blank(F.col("reading")) & ~tx.is_blank(F.col("repr")))
-    rows = rows.where(parsable(F.col("reading"), reading_format) & parsable(F.col("repr"), repr_format))
+    rows = rows.where(parsable(F.col("reading"), reading_format) & parsable(F.col("repr"), repr_format))  # what isn't blank has symbols
     symbols = {"reading_syms": symbols_of(F.col("reading"), reading_format), "repr_syms": symbols_of(F.col("repr"), repr_format)}
-    rows = rows.where((F.size(symbols["reading_syms"]) > 0) & (F.size(symbols["repr_syms"]) > 0))
-    rows = with_dense_ids(rows.select("stem", "path", "line_nr", "reading", "repr"), ["stem", "line_nr"])
+    rows = with_dense_ids(rows.select("stem", "path", "line_nr", "reading", *([] if alone else ["repr"])), ["stem", "line_nr"])
+    rows = rows.withColumn("repr", F.col("reading")) if alone else rows
     paths = saved(with_dense_ids(rows.select("stem", "path").distinct(), ["stem"], "path_id"))
     rows = few_joined(rows, paths.select("stem", "path_id"), ["stem"]).withColumns(symbols)
     rows = rows.select("utt_id", "path_id", "line_nr", "reading", "reading_syms", "repr", "repr_syms")
