@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,20 +54,41 @@ def spelled_phones(word: Column) -> Column:
     return F.flatten(F.transform(parts, lambda p: F.split(F.element_at(table, p), " ")))
 
 
+#: Between the symbols of a row that is one text, and what goes from there where n-thongs are built.
+_PART = "\uffff"
+_BUILT = re.compile("|".join(f"(?<={d[0]}){_PART}(?={d[1]})" for d in DIPHTHONGS))
+
+
+class _Changes(dict):
+    """What becomes of a symbol: symbols parted by _PART. Each is found once."""
+
+    def __init__(self, drop: str, breaks: bool, arcs: bool, builds: bool) -> None:
+        self.drop, self.breaks, self.arcs, self.builds = str.maketrans("", "", drop), breaks, str.maketrans("", "", ARCS * arcs), builds
+
+    def __missing__(self, symbol: str) -> str:
+        made = [symbol.translate(self.drop)]
+        if self.breaks:
+            parts = re.split(f"[{ARCS}\u0001]", made[0])
+            made = [x for p in parts for x in ((p[:-1], p[-1]) if re.sub("[ˈˌ]", "", p) in DIPHTHONGS else (p,))]
+        if self.builds:
+            made = made[0].split("\u0001")
+        self[symbol] = found = _PART.join(x.translate(self.arcs) for x in made)
+        return found
+
+    def of(self, text: str) -> str:
+        out = _PART.join([self[s] for s in text.split(_PART)])
+        return _BUILT.sub("", out) if self.builds else out
+
+
 def change_ipa(symbols: Column, ignore_tones: bool = False, ignore_arcs: bool = False, ignore_stress: bool = False, break_n_thongs: bool = False, build_n_thongs: bool = False) -> Column:
-    """The five changes in this order; symbols that become empty go."""
+    """The five changes in this order; symbols that become empty go. A row's symbols are one text on their way to Python and back; where n-thongs are broken or built, U+0001 parts symbols too."""
     if break_n_thongs and build_n_thongs:
         raise ValueError("n-thongs can be broken or built, not both")
     drop = TONES * ignore_tones + "ˈˌ" * ignore_stress
-    if drop:
-        symbols = F.transform(symbols, lambda s: F.regexp_replace(s, f"[{drop}]", ""))
-    if break_n_thongs:
-        pairs = "|".join(DIPHTHONGS)
-        symbols = F.flatten(F.transform(symbols, lambda s: F.split(F.regexp_replace(F.regexp_replace(s, f"[{ARCS}]", "\u0001"), f"({pairs})", "$1").cast("string"), "\u0001")))
-        symbols = F.flatten(F.transform(symbols, lambda s: F.when(F.regexp_replace(s, "[ˈˌ]", "").isin(*DIPHTHONGS), F.array(F.substring(s, 1, F.length(s) - 1), F.substring(s, F.length(s), F.lit(1)))).otherwise(F.array(s))))
-    if ignore_arcs:
-        symbols = F.transform(symbols, lambda s: F.regexp_replace(s, f"[{ARCS}]", ""))
-    if build_n_thongs:
-        joined = F.regexp_replace(F.array_join(symbols, "\u0001"), "(?<=a)\u0001(?=[ʊɪ])|(?<=e)\u0001(?=ɪ)|(?<=o)\u0001(?=ʊ)|(?<=ɔ)\u0001(?=ɪ)|(?<=t)\u0001(?=ʃ)|(?<=d)\u0001(?=ʒ)", "")
-        symbols = F.split(joined, "\u0001")
-    return F.filter(symbols, lambda s: s != "")
+
+    @F.pandas_udf("string")
+    def changed(texts: pd.Series) -> pd.Series:
+        changes = _Changes(drop, break_n_thongs, ignore_arcs, build_n_thongs)
+        return texts.map(lambda t: None if t is None else changes.of(t))
+
+    return F.array_remove(F.split(changed(F.array_join(symbols, _PART)), _PART), "")
