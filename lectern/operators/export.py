@@ -13,6 +13,7 @@ from lectern.operators.ids import with_dense_ids
 from lectern.operators.selection import ranked, tex_ids
 from lectern.plans.corpus import Corpus
 from lectern.saving import saved
+from lectern.sources.lines import SPLIT, read_lines
 from lectern.sources.one_file import table_line, write_file
 
 SEED = 1111
@@ -83,6 +84,14 @@ def write_scripts(rows: DataFrame, directory: str, name: str = "selected", only_
         write_file(ordered.select("place", line.alias("line")), f"{directory}/{name}{end}", ordered=True, **how)
 
 
+def read_table(spark, directory: str, name: str = "selected", split: int = SPLIT) -> DataFrame:
+    """The rows of NAME.csv. A line with an odd number of quotes ends inside a value; without one the file is read by ranges, else as a whole."""
+    lines = read_lines(spark, directory, split=split, suffix=f"{name}.csv", sign="\n")
+    across = not lines.where(F.length(F.regexp_replace("line", '[^"]', "")) % 2 == 1).isEmpty()
+    how = {"multiLine": True} if across else {"lineSep": "\n"}
+    return spark.read.csv(f"{directory}/{name}.csv", sep="\t", header=True, quote='"', escape='"', schema=", ".join(f"{c} string" for c in COLUMNS), **how)
+
+
 #: Rows in a part of a file.
 PART = 100_000
 

@@ -48,14 +48,16 @@ def _written(spark, sf_dir: str) -> str:
 def q_script_files(spark, sf_dir):
     """The five files of a script, read again."""
     at = _written(spark, sf_dir)
-    texts = read_lines(spark, at, split=SPLIT)
-    of = lambda stem, file: texts.where(F.col("stem") == stem).select(F.lit(file).alias("file"), F.col("line_nr").cast("long").alias("place"), "line")
-    words = texts.where("stem = 'selected_consecutive'").select(F.lit("consecutive").alias("file"), F.posexplode(F.split("line", " ")).alias("place", "line"))
+
+    def of(end: str, file: str, sign: str = "") -> DataFrame:
+        return read_lines(spark, at, split=SPLIT, suffix=end, sign=sign).select(F.lit(file).alias("file"), F.col("line_nr").cast("long").alias("place"), "line")
+
+    words = of("_consecutive.txt", "consecutive", " ")
     items = read_lines(spark, at, split=SPLIT, suffix=".tex").where(~F.col("line").isin(export.TEX_BEGIN, export.TEX_END))
     items = items.select(F.lit("tex").alias("file"), (F.col("line_nr") - 1).cast("long").alias("place"), "line")
-    table = spark.read.csv(f"{at}/selected.csv", sep="\t", header=True, quote='"', escape='"', multiLine=True, schema="Id string, Nr string, Utterance string, Representation string, Path string")
+    table = export.read_table(spark, at, "selected")
     table = table.select(F.lit("csv").alias("file"), (F.col("Nr").cast("long") - 1).alias("place"), F.concat_ws("\t", *export.COLUMNS).alias("line"))
-    return of("selected", "txt").union(words.select("file", F.col("place").cast("long"), "line")).union(of("selected_paths", "paths")).union(items).union(table)
+    return of("selected.txt", "txt").union(words).union(of("_paths.txt", "paths")).union(items).union(table)
 
 
 def read_textgrid(spark, folder: str, split: int = SPLIT) -> DataFrame:

@@ -27,6 +27,8 @@ from lectern.sources import files
 SPLIT, READ, OPEN = 128 << 20, 8 << 20, 4 << 20
 #: Bytes of the first read behind a range's end, where its last line goes on; tasks that the ranges of a folder are dealt to, if that takes no more than SPLIT bytes a task.
 BEHIND, TASKS = 4096, 64
+#: Ranges of a file, if that takes no more than SPLIT bytes a range; rows of a batch.
+RANGES, ROWS = 4096, 16_384
 #: Encodings in which a byte of 10 needn't be a line's end.
 STATEFUL = ("utf-7", "hz", "iso2022")
 MARKS = {"utf-16": {b"\xff\xfe": "utf-16-le", b"\xfe\xff": "utf-16-be"}, "utf-32": {b"\xff\xfe\0\0": "utf-32-le", b"\0\0\xfe\xff": "utf-32-be"}, "utf-8-sig": {b"\xef\xbb\xbf": "utf-8"}}
@@ -55,8 +57,10 @@ def coding(encoding: str, head: bytes = b"") -> Coding:
     return Coding(name, 1 if plain else 0, "u1", len(mark))
 
 
-def _ends(signs: np.ndarray, last: bool) -> np.ndarray:
-    """Where lines begin behind an end of line; without last, an \\r at the very end may still become \\r\\n."""
+def _ends(signs: np.ndarray, last: bool, sign: str = "") -> np.ndarray:
+    """Where lines begin behind an end of line, or behind a sign; without last, an \\r at the very end may still become \\r\\n."""
+    if sign:
+        return np.flatnonzero(signs == ord(sign)) + 1
     feeds, returns = np.flatnonzero(signs == 10), np.flatnonzero(signs == 13)
     if not last:
         returns = returns[returns + 1 < len(signs)]
@@ -64,8 +68,8 @@ def _ends(signs: np.ndarray, last: bool) -> np.ndarray:
     return np.sort(np.concatenate([feeds, alone])) + 1
 
 
-def blocks(file, size: int, start: int, end: int, how: Coding) -> Iterator[tuple[int, bytes, bool]]:
-    """Lines whose first byte is from start to before end, several at once: their number, their bytes, whether the last of them has an end. file: read_at(bytes, offset)."""
+def blocks(file, size: int, start: int, end: int, how: Coding, sign: str = "") -> Iterator[tuple[int, bytes, bool]]:
+    """Lines whose first byte is from start to before end, several at once: their number, their bytes, whether the last of them has an end. file: read_at(bytes, offset); sign: what ends a line instead."""
     w = how.width
     place = start - w if start > how.mark else how.mark
     skip, data, read = start > how.mark, b"", place
@@ -74,7 +78,7 @@ def blocks(file, size: int, start: int, end: int, how: Coding) -> Iterator[tuple
         read += len(piece)
         data += piece
         last = read >= size
-        starts = np.concatenate([[0], _ends(np.frombuffer(data, how.kind, len(data) // w), last)]) * w
+        starts = np.concatenate([[0], _ends(np.frombuffer(data, how.kind, len(data) // w), last, sign)]) * w
         first = 1 if skip else 0  # lines from here on
         mine = int(np.searchsorted(starts[:-1] + place, end))  # whole lines that begin before end
         if mine > first:
@@ -84,14 +88,15 @@ def blocks(file, size: int, start: int, end: int, how: Coding) -> Iterator[tuple
             if len(starts) > first and starts[-1] + place < end:
                 yield 1, data[starts[-1] :], False
             return
-        if done:
+        if done or (skip and len(starts) == 1 and place + len(data) >= end):  # no line begins in a range that one line covers
             return
         skip = skip and len(starts) == 1
         data, place = data[starts[-1] :], place + int(starts[-1])
 
 
-def texts_of(data: bytes, ended: bool, how: Coding) -> list[str]:
-    lines = data.decode(how.name).replace("\r\n", "\n").replace("\r", "\n").split("\n")
+def texts_of(data: bytes, ended: bool, how: Coding, sign: str = "") -> list[str]:
+    text = data.decode(how.name)
+    lines = text.split(sign) if sign else text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
     return lines[:-1] if ended else lines
 
 
@@ -114,6 +119,7 @@ class _LinesReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
         self.folder, self.encoding, self.suffix = options["path"].rstrip("/"), options.get("encoding", "utf-8"), options.get("suffix", ".txt")
         self.split, self.limit = int(options.get("split", SPLIT)), int(options.get("limit", -1))
+        self.sign = options.get("sign", "")
         self.counts, self.cut_only = (options.get(x, "false").lower() == "true" for x in ("counts", "cutonly"))
 
     def _all(self) -> Iterator[Range]:
@@ -124,7 +130,7 @@ class _LinesReader(DataSourceReader):
             found = found[: self.limit]
         width = coding(self.encoding).width
         for stem, path, size in found:
-            parts = max(-(-size // self.split), 1) if width else 1
+            parts = max(-(-size // max(self.split, min(SPLIT, size // RANGES))), 1) if width else 1
             if self.cut_only and parts == 1:
                 continue
             cuts = [size * k // parts // max(width, 1) * max(width, 1) for k in range(parts)] + [size + 1]
@@ -155,14 +161,15 @@ class _LinesReader(DataSourceReader):
                     data = file.read_at(r.size, 0)
                     found = iter([(1, data, False)])
                 else:
-                    found = blocks(file, r.size, r.start, r.end, how)
+                    found = blocks(file, r.size, r.start, r.end, how, self.sign)
                 for n, data, ended in found:
                     if self.counts and how.width:
                         nth += n
                         continue
-                    lines = texts_of(data, ended, how)
+                    lines = texts_of(data, ended, how, self.sign)
                     if not self.counts:
-                        yield self._batch(r, lines, nth)
+                        for at in range(0, len(lines), ROWS):
+                            yield self._batch(r, lines[at : at + ROWS], nth + at)
                     nth += len(lines)
             if self.counts:
                 yield self._batch(r, [None], nth)
@@ -170,7 +177,8 @@ class _LinesReader(DataSourceReader):
     def _batch(self, r: Range | None, lines: list, nth: int) -> pa.RecordBatch:
         n = len(lines)
         numbers = pa.array([nth] if self.counts and n else range(nth, nth + n), pa.int64())
-        columns = [pa.array([r and r.stem] * n, pa.string()), pa.array([r and r.path] * n, pa.string()), pa.array([r.part if r else 0] * n, pa.int32()), numbers, pa.array(lines, pa.string())]
+        same = lambda x, kind: pa.repeat(pa.scalar(x, kind), n)
+        columns = [same(r and r.stem, pa.string()), same(r and r.path, pa.string()), same(r.part if r else 0, pa.int32()), numbers, pa.array(lines, pa.string())]
         return pa.RecordBatch.from_arrays(columns, names=["stem", "path", "part", "nth", "line"])
 
 
@@ -178,7 +186,7 @@ class TextLines(DataSource):
     """All files of a suffix below a folder: stem (path below the folder, without suffix), path, part (the range), nth (of the range's lines, from 0) and line.
 
     Options: suffix (.txt); encoding; split (bytes of a range); limit (files, in the order of stems); counts (a row a range, nth the number of
-    its lines); cutonly (only files of several ranges).
+    its lines); sign (one of ASCII that ends a line instead of line ends); cutonly (only files of several ranges).
     """
 
     @classmethod
@@ -192,10 +200,10 @@ class TextLines(DataSource):
         return _LinesReader(dict(self.options))
 
 
-def read_lines(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT, suffix: str = ".txt") -> DataFrame:
-    """stem, path, line_nr (from 0) and line of the text files below a folder. Lines are not shuffled; a table of the ranges of large files tells their first numbers."""
+def read_lines(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT, suffix: str = ".txt", sign: str = "") -> DataFrame:
+    """stem, path, line_nr (from 0) and line of the text files below a folder. sign: what ends a line instead of line ends. Lines are not shuffled; a table of the ranges of large files tells their first numbers."""
     spark.dataSource.register(TextLines)
-    options = {"encoding": encoding, "split": split, "suffix": suffix} | ({} if limit is None else {"limit": limit})
+    options = {"encoding": encoding, "split": split, "suffix": suffix} | ({"sign": sign} if sign else {}) | ({} if limit is None else {"limit": limit})
     read = lambda **more: spark.read.format("lectern_lines").options(**options, **more).load(folder)
     before = Window.partitionBy("stem").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = saved(read(counts=True, cutonly=True).select("stem", "part", F.coalesce(F.sum("nth").over(before), F.lit(0)).alias("first_")))
