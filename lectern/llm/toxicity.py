@@ -33,6 +33,7 @@ learned from; a column that has the result's name is replaced; an empty table gi
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from dataclasses import dataclass
 from itertools import combinations
@@ -42,6 +43,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lectern.shipping import ship
+
 from .common import small_batches, table
 from .minhash import band_keys, signatures
 from .words import shingle_hashes, word_hashes
@@ -557,11 +560,15 @@ def learn(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC, clean: int = C
     order = [F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id"]
     short = docs.where(F.length("text") <= longest).select("doc_id", "text")
     chosen = known.where("toxic = 1").orderBy(*order).limit(toxic).union(known.where("toxic <> 1").orderBy(*order).limit(clean))
-    rows = short.join(F.broadcast(chosen), "doc_id").toPandas()  # at most toxic + clean ids are broadcast
-    rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
-    texts, marks = rows["text"].tolist(), (rows["toxic"] == 1).tolist()
-    del rows
-    return fit(texts, marks)
+    rows = short.join(F.broadcast(chosen), "doc_id")  # at most toxic + clean ids are broadcast
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+        return pd.DataFrame({"model": [pickle.dumps(fit(rows["text"].tolist(), (rows["toxic"] == 1).tolist()))]})
+
+    ship(docs.sparkSession)
+    found = rows.groupBy(F.lit(1).alias("one")).applyInPandas(run, "model binary").first()  # in a task: the fit holds hundreds of MB, which the driver would keep
+    return pickle.loads(bytes(found["model"])) if found else None
 
 
 def scored(docs: DataFrame, model: Model | None, text: str = "text", out: str = "score") -> DataFrame:
