@@ -12,7 +12,7 @@ from lectern.operators.greedy import kld_order
 from lectern.operators.ids import with_dense_ids
 from lectern.operators.selection import ranked, tex_ids
 from lectern.plans.corpus import Corpus
-from lectern.saving import saved
+from lectern.saving import few_joined, saved
 from lectern.sources.lines import SPLIT, read_lines
 from lectern.sources.one_file import table_line, write_file
 
@@ -41,7 +41,7 @@ def in_order(corpus: Corpus, order: str = "by_index", seed: int = SEED, ignore:
 
 def script(corpus: Corpus, order: DataFrame) -> DataFrame:
     """place, Id, Nr, Utterance, Representation, Path of the ordered ids. Nr counts from 1, with zeros as the largest needs."""
-    rows = corpus.utterances.join(order, "utt_id").join(corpus.paths, "path_id", "left")
+    rows = few_joined(corpus.utterances.join(order, "utt_id"), corpus.paths, ["path_id"], "left")
     most = order.agg(F.count(F.lit(1)).alias("n"))
     return rows.crossJoin(F.broadcast(most)).select("place", F.col("utt_id").alias("Id"), tx.zero_filled(F.col("place") + 1, F.col("n")).alias("Nr"), F.col("reading").alias("Utterance"), F.col("repr").alias("Representation"), F.col("path").alias("Path"))
 
