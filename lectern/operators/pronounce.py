@@ -97,11 +97,19 @@ class Pronouncer:
             self.of.setdefault(letters, []).append(number)
         self.longest = max(map(len, self.of), default=0)
         self._known: dict[tuple[int, ...], int] = {}
+        self._lower: dict[tuple[int, ...], float] = {}
+        self._names: list[tuple[int, ...]] = []
+        self._numbers: dict[tuple[int, ...], int] = {}
+        self._moves: dict[str, dict[int, list]] = {}
 
     def share(self, history: tuple[int, ...], unit: int) -> float:
         if not history:
             return self.grams.get((unit,), 0) / self.sums[()][0]
-        lower = self.share(history[1:], unit)
+        if (key := (*history[1:], unit)) not in self._lower:  # many histories share it
+            if len(self._lower) > 1_000_000:
+                self._lower.clear()
+            self._lower[key] = self.share(history[1:], unit)
+        lower = self._lower[key]
         total, kinds = self.sums.get(history, (0, 0))
         return (self.grams.get((*history, unit), 0) + kinds * lower) / (total + kinds) if total else lower
 
@@ -119,33 +127,63 @@ class Pronouncer:
     def after(self, history: tuple[int, ...], unit: int) -> tuple[int, ...]:
         return (*history, unit)[1:] if self.order > 1 else ()
 
+    def moves(self, history: int, letters: str) -> list[tuple[int, int, int]]:
+        """Where units with these letters lead: the next history, the cost, the unit. Histories by number."""
+        held, name = self._moves.setdefault(letters, {}), self._names[history]
+        held[history] = [(self._number(self.after(name, u)), self.cost(name, u), u) for u in self.of.get(letters, ())]
+        return held[history]
+
+    def _number(self, history: tuple[int, ...]) -> int:
+        if history not in self._numbers:
+            self._numbers[history] = len(self._names)
+            self._names.append(history)
+        return self._numbers[history]
+
     def decode(self, word: str) -> list[str]:
         """Phones of a word in small letters."""
+        return self.decode_all([word])[0]
+
+    def decode_all(self, words: list[str | None]) -> list[list[str] | None]:
+        """Phones of words in small letters. They are gone through by the alphabet, so that what words begin with in common is decoded once."""
+        out: list[list[str] | None] = [None if w is None else [] for w in words]
         if not self.units:
-            return []
-        ends: list[dict[tuple[int, ...], tuple[int, tuple]]] = [{} for _ in range(len(word) + 1)]
-        ends[0][self.start()] = (0, ())
-        for i in range(len(word)):
-            for history, (cost, path) in ends[i].items():
-                found = False
-                for a in range(1, min(self.longest, len(word) - i) + 1):
-                    for unit in self.of.get(word[i : i + a], ()):
-                        found = True
-                        self._offer(ends[i + a], self.after(history, unit), (cost + self.cost(history, unit), (*path, unit)))
-                if not found:
-                    self._offer(ends[i + 1], history, (cost + SKIP, path))
-            ends[i] = {}
-        _, path = min((cost + self.cost(history, END), path) for history, (cost, path) in ends[-1].items())
-        return [p for unit in path for p in self.units[unit][1]]
-
-    @staticmethod
-    def _offer(states: dict, state: tuple[int, ...], here: tuple[int, tuple]) -> None:
-        if state not in states or here < states[state]:
-            states[state] = here
+            return out
+        if len(self._names) > 200_000:
+            self._names, self._numbers, self._moves = [], {}, {}
+        ends: list[dict[int, tuple[int, tuple]]] = [{self._number(self.start()): (0, ())}]  # by history: cost and units of the cheapest way
+        last = ""
+        for w in sorted((k for k, x in enumerate(words) if x is not None), key=words.__getitem__):
+            word, same = words[w], 0
+            for a, b in zip(word, last, strict=False):
+                if a != b:
+                    break
+                same += 1
+            done = max(same - self.longest + 1, 0)  # a letter is skipped by what the next ones are, so the states behind it hang on those
+            del ends[done + 1 :]
+            ends += [{} for _ in range(len(word) - done)]
+            for i in range(max(done - self.longest + 1, 0), len(word)):
+                pieces = [p for p in (word[i : i + a] for a in range(1, min(self.longest, len(word) - i) + 1)) if p in self.of]
+                for piece in pieces:
+                    if i + len(piece) > done:
+                        states, known = ends[i + len(piece)], self._moves.setdefault(piece, {})
+                        for history, (cost, path) in ends[i].items():
+                            for state, more, unit in known.get(history) or self.moves(history, piece):
+                                old, c = states.get(state), cost + more
+                                if old is None or c < old[0] or (c == old[0] and (*path, unit) < old[1]):
+                                    states[state] = (c, (*path, unit))
+                if not pieces and i + 1 > done:
+                    states = ends[i + 1]
+                    for history, (cost, path) in ends[i].items():
+                        here = (cost + SKIP, path)
+                        if history not in states or here < states[history]:
+                            states[history] = here
+            _, path = min((cost + self.cost(self._names[history], END), path) for history, (cost, path) in ends[-1].items())
+            out[w], last = [p for unit in path for p in self.units[unit][1]], word
+        return out
 
     def phones(self, word: Column) -> Column:
-        """Of words in small letters, in Arrow batches; null for null."""
-        return F.pandas_udf(lambda words: words.map(lambda w: None if w is None else self.decode(w)), "array<string>")(word)
+        """Of words in small letters, in Arrow batches; null for null. Rows in the words' order are decoded in a part of the time."""
+        return F.pandas_udf(lambda words: pd.Series(self.decode_all(words.tolist()), dtype=object), "array<string>")(word)
 
 
 def _numbered(lexicon: DataFrame) -> DataFrame:

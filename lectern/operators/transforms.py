@@ -80,7 +80,8 @@ def eng_to_arpa(df: DataFrame, column: str, lexicon: DataFrame, out: str, key: s
     words = df.select(F.explode(found).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     known = lexicon.select(F.col("word").alias("listed"), F.col("phones").alias("known")).dropDuplicates(["listed"])
     other = spelled(F.when(F.col("known").isNull(), F.lower("word")))
-    joined = words.join(known, F.lower("word") == F.col("listed"), "left").select("word", "n", F.coalesce("known", other).alias("said"))
+    met = words.join(known, F.lower("word") == F.col("listed"), "left").sortWithinPartitions(F.lower("word"))  # words that begin alike are spelled one after the other
+    joined = met.select("word", "n", F.coalesce("known", other).alias("said"))
     said = saved(joined.select("word", "n", F.coalesce(F.array_join("said", _MARK), F.lit("")).alias("said")))
     rows, common, rare_of = df, said, F.lit(None).cast("array<string>")
     if said.count() > in_place:
