@@ -33,7 +33,7 @@ def model(spark, sf_dir: str) -> pronounce.Pronouncer:
 
 
 def q_learned_words(spark, sf_dir):
-    words = base.utterances(spark, sf_dir).select(F.explode(F.regexp_extract_all(F.lower("reading"), F.lit("[a-z]+"), F.lit(0))).alias("word")).distinct()
+    words = base.utterances(spark, sf_dir).select(F.explode(F.regexp_extract_all(F.lower("reading"), F.lit("[a-z]+"), F.lit(0))).alias("word")).distinct().sortWithinPartitions("word")
     return words.select("word", F.array_join(model(spark, sf_dir).phones(F.col("word")), "|").alias("phones"))
 
 
