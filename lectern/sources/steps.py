@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators.selection import is_known, select
-from lectern.plans.corpus import Corpus
+from lectern.plans.corpus import TARGETS, Corpus
 
 SUBSETS = ("Available", "Ignored", "Selected")
 #: The file of a step that names its tables.
@@ -61,6 +61,24 @@ class _Store:
         self.fs.delete(self.path(name), True)
 
 
+def _slim(utterances: DataFrame) -> DataFrame:
+    """Symbols that are just the characters of their text aren't written, as they take many times its place; NAME_plain says so."""
+    for target in TARGETS:
+        name = f"{target}_syms"
+        if name in utterances.columns and target in utterances.columns:
+            symbols, text = F.col(name), F.col(target)
+            plain = (F.size(name) == F.length(text)) & (F.array_join(name, "") == text) & ~F.array_contains(name, "")
+            utterances = utterances.withColumn(f"{name}_plain", F.coalesce(plain, F.lit(False)))
+            utterances = utterances.withColumn(name, F.when(~F.col(f"{name}_plain"), symbols))
+    return utterances
+
+
+def _full(utterances: DataFrame) -> DataFrame:
+    """With all symbols, and the columns as they were given."""
+    plain = {f"{t}_syms": f"{t}_syms_plain" for t in TARGETS if f"{t}_syms_plain" in utterances.columns}
+    return utterances.withColumns({name: F.when(F.col(mark), tx.graphemes(F.col(name.removesuffix("_syms")))).otherwise(F.col(name)) for name, mark in plain.items()}).drop(*plain.values())
+
+
 def write_step(corpus: Corpus, directory: str, overwrite: bool = False) -> dict:
     """All tables of a step, and what they count: rows, selected, seconds. An existing step is an error unless overwrite, and is whole until the new one is."""
     store = _Store(corpus.utterances.sparkSession, directory)
@@ -71,7 +89,7 @@ def write_step(corpus: Corpus, directory: str, overwrite: bool = False) -> dict:
     rows, chosen = Observation(), Observation()
     one = F.count(F.lit(1)).alias("n")
     observed = {
-        "utterances": corpus.utterances.observe(rows, one, F.sum(F.size("reading_syms")).alias("symbols")),
+        "utterances": _slim(corpus.utterances.observe(rows, one, F.sum(F.size("reading_syms")).alias("symbols"))),
         "selection": corpus.selection.observe(chosen, one),
         "paths": corpus.paths,
     }
@@ -96,12 +114,12 @@ def read_step(spark, directory: str) -> Corpus:
     """The step as it is now: what replaces it later changes nothing here."""
     now = _current(spark, directory)
     tables = [spark.read.parquet(f"{directory}/{now['tables']}/{t}") for t in ("utterances", "selection", "paths")]
-    return Corpus(*tables, now["language"], now["reading_format"], now["repr_format"])
+    return Corpus(_full(tables[0]), *tables[1:], now["language"], now["reading_format"], now["repr_format"])
 
 
 def read_columns(spark, directory: str, *columns: str) -> DataFrame:
     """Some columns of a step's utterances; no others are read."""
-    return spark.read.parquet(f"{directory}/{_current(spark, directory)['tables']}/utterances").select(*columns)
+    return _full(spark.read.parquet(f"{directory}/{_current(spark, directory)['tables']}/utterances")).select(*columns)
 
 
 def step_counts(spark, directory: str) -> dict:
