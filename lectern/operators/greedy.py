@@ -206,6 +206,26 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
     return spark.createDataFrame([(u, i) for i, u in enumerate(loop.taken)], "utt_id long, sel_rank long")
 
 
+def kld_scores(utterances: DataFrame, selection: DataFrame, n: int, ignore: set[str] = frozenset()) -> DataFrame:
+    """utt_id and kld: the divergence that each row would lead to that isn't selected; rows without n-grams are left out, and null where nothing is selected. Scored where the rows lie; the driver holds the kinds of n-grams with their counts."""
+    spark = utterances.sparkSession
+    marks = selection.select("utt_id", F.lit(True).alias("sel_"))
+    rows = saved_table(counted_grams(gram_texts(utterances, set(ignore)), n).join(marks, "utt_id", "left"))
+    every = rows.select("sel_", F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.coalesce(F.sum(F.when(F.col("sel_"), F.col("x.counts"))), F.lit(0)).alias("have"))
+    names, have = np.array(sorted((r["grams"], r["have"]) for r in every.collect()), dtype=np.int64).reshape(-1, 2).T
+    state = spark.sparkContext.broadcast((names, np.append(have, 0), math.log(max(len(names), 1))))
+
+    def scored(parts):
+        names, have, kinds = state.value
+        for pdf in parts:
+            grams, counts, at = _flat(pdf)
+            gain, size = gains("kld", _known(names, grams), counts, at, len(pdf), have)
+            yield pd.DataFrame({"utt_id": pdf["utt_id"], "kld": kinds + scores("kld", gain, size, have) if have.any() else np.nan})
+
+    rest = rows.where(F.col("sel_").isNull() & (F.size("grams") > 0)).select("utt_id", "grams", "counts")
+    return rest.mapInPandas(scored, "utt_id long, kld double")
+
+
 def select_greedy(corpus, kind: str, n: int, minutes: float, **options):
     """The corpus with the newly selected ids after those it had."""
     from lectern.operators.selection import add

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from lectern.functions import phonetics as ph
 from lectern.functions import text as tx
-from lectern.operators import export, filters, grams, greedy, selection, stats, transforms
+from lectern.operators import export, filters, greedy, selection, stats, transforms
 from lectern.operators.ids import with_dense_ids
 from lectern.operators.sentences import split_corpus
 from lectern.plans.corpus import Corpus
-from lectern.saving import few_joined, saved, saved_table
+from lectern.saving import saved_table
 from lectern.sources.steps import selection_dataset
 
 #: Ids of a document's lines.
@@ -28,8 +28,11 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def utterances(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("line_nr", "reading"))
+def utterances(spark, sf_dir: str, ordered: bool = False) -> DataFrame:
+    """ordered: dealt by ranges of doc_id and in the order of doc_id and line, as documents are sorted before they are cut."""
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "lang", "source", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id") if ordered else docs
+    docs = docs.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("line_nr", "reading"))
     return docs.where(~tx.is_blank(F.col("reading"))).select((F.col("doc_id") * LINES + F.col("line_nr")).alias("utt_id"), "doc_id", "lang", "source", "line_nr", "reading")
 
 
@@ -163,16 +166,8 @@ def q_prep(spark, sf_dir):
 def q_kld_step(spark, sf_dir):
     """The divergence that each candidate would lead to: one step of the greedy selection, after a fifth is selected."""
     rows = with_symbols(utterances(spark, sf_dir))
-    counted = saved_table(grams.gram_rows(rows, 1, ()).join(seed_ids(rows).select("utt_id", F.lit(True).alias("sel")), "utt_id", "left"))  # used three times
-    marked = counted.select("utt_id", "sel", F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("counts").alias("n"))).alias("x")).select("utt_id", "sel", "x.gram", "x.n")
-    have = saved(marked.where("sel").groupBy("gram").agg(F.sum("n").alias("x")))
-    kinds = marked.agg(F.count_distinct("gram").alias("v"))
-    total = have.agg(F.sum("x").alias("nx"), F.sum(F.col("x") * F.log("x")).alias("sx"))
-    c = few_joined(marked.where("sel is null"), have, ["gram"], "left").withColumn("x", F.coalesce("x", F.lit(0)))  # a few kinds are in nearly every row, so rows aren't dealt by kind
-    y = F.col("x") + F.col("n")
-    each = c.groupBy("utt_id").agg(F.sum("n").alias("n"), F.sum(y * F.log(y) - F.when(F.col("x") > 0, F.col("x") * F.log("x")).otherwise(0.0)).alias("gain"))
-    size = F.col("nx") + F.col("n")
-    return each.crossJoin(F.broadcast(total)).crossJoin(F.broadcast(kinds)).select("utt_id", F.round(F.log("v") - F.log(size) + (F.col("sx") + F.col("gain")) / size, 6).alias("kld"))
+    each = greedy.kld_scores(rows, seed_ids(rows), 1)
+    return each.select("utt_id", F.round("kld", 6).alias("kld"))
 
 
 def q_greedy(kind):
