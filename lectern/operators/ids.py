@@ -16,7 +16,12 @@ def with_dense_ids(df: DataFrame, order: list[str], out: str = "utt_id") -> Data
     One range shuffle sorts the rows, which are saved; ids are then a row's place in its partition after the sizes of the
     partitions before it. The driver sees one count a partition.
     """
-    ranged = saved(df.repartitionByRange(*order).sortWithinPartitions(*order))
+    return in_place_ids(df.repartitionByRange(*order).sortWithinPartitions(*order), out)
+
+
+def in_place_ids(df: DataFrame, out: str = "utt_id") -> DataFrame:
+    """The same for rows that are in their order already, from partition to partition: they are saved, not shuffled."""
+    ranged = saved(df)
     row = F.monotonically_increasing_id()
     counts = {r["part"]: r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("part")).count().collect()}
     parts = range(max(counts, default=0) + 1)

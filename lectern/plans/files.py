@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators import export
-from lectern.operators.ids import with_dense_ids
+from lectern.operators.ids import in_place_ids
 from lectern.plans import catalog as base
 from lectern.plans import flows
 from lectern.sources.lines import read_lines
@@ -20,8 +20,8 @@ SPLIT = 16_384
 
 def q_large_pairs(spark, sf_dir):
     """Two pairs of single large files, read by ranges. The second pair's files differ by a line, so it is left out."""
-    at, rows = flows.folder(spark, "large"), flows.one_line(base.utterances(spark, sf_dir))
-    placed = with_dense_ids(rows.select("doc_id", "line_nr", "reading"), ["doc_id", "line_nr"], "place")
+    at, rows = flows.folder(spark, "large"), flows.one_line(base.utterances(spark, sf_dir, ordered=True))
+    placed = in_place_ids(rows.select("doc_id", "line_nr", "reading"), "place")
     for side, line in (("reading", F.col("reading")), ("repr", F.concat(F.lit("="), F.translate("reading", "aeiou", "AEIOU")))):
         for name, odd, foot in (("a", 0, ""), ("b", 1, "\nmore" if side == "repr" else "")):
             write_file(placed.where(F.col("doc_id") % 2 == odd).select("place", line.alias("line")), f"{at}/{side}/{name}.txt", between="\n", foot=foot, ordered=True)
@@ -31,8 +31,8 @@ def q_large_pairs(spark, sf_dir):
 
 def q_wide(spark, sf_dir):
     """Files in UTF-16, by ranges."""
-    at, rows = flows.folder(spark, "wide"), flows.one_line(base.utterances(spark, sf_dir))
-    placed = with_dense_ids(rows.select("doc_id", "line_nr", "reading"), ["doc_id", "line_nr"], "place")
+    at, rows = flows.folder(spark, "wide"), flows.one_line(base.utterances(spark, sf_dir, ordered=True))
+    placed = in_place_ids(rows.select("doc_id", "line_nr", "reading"), "place")
     for name, part in (("a", F.col("doc_id") < 100), ("b", F.col("doc_id") >= 100)):
         write_file(placed.where(part).select("place", F.col("reading").alias("line")), f"{at}/{name}.txt", between="\r\n", ordered=True, encoding="utf-16-be")
     c = ingest(spark, at, encoding="utf-16-be", split=SPLIT)

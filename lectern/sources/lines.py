@@ -13,6 +13,7 @@ from __future__ import annotations
 import codecs
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from lectern.saving import few_joined, saved
+from lectern.saving import FEW, saved
 from lectern.sources import files
 
 #: Bytes of a range, of one read, and that opening a file is worth when small files are put together.
@@ -154,25 +155,27 @@ class _LinesReader(DataSourceReader):
         store, _ = files.at(self.folder)
         if not partition.ranges:
             yield self._batch(None, [], 0)
-        for r in partition.ranges:
-            with store.open_input_file(r.path) as file:
-                how, nth = coding(self.encoding, file.read_at(min(4, r.size), 0)), 0
-                if not how.width:
-                    data = file.read_at(r.size, 0)
-                    found = iter([(1, data, False)])
-                else:
-                    found = blocks(file, r.size, r.start, r.end, how, self.sign)
-                for n, data, ended in found:
-                    if self.counts and how.width:
-                        nth += n
-                        continue
-                    lines = texts_of(data, ended, how, self.sign)
-                    if not self.counts:
-                        for at in range(0, len(lines), ROWS):
-                            yield self._batch(r, lines[at : at + ROWS], nth + at)
-                    nth += len(lines)
-            if self.counts:
-                yield self._batch(r, [None], nth)
+        for path, ranges in groupby(partition.ranges, key=lambda r: r.path):  # a file is opened once
+            with store.open_input_file(path) as file:
+                how = None
+                for r in ranges:
+                    how, nth = how or coding(self.encoding, file.read_at(min(4, r.size), 0)), 0
+                    if not how.width:
+                        data = file.read_at(r.size, 0)
+                        found = iter([(1, data, False)])
+                    else:
+                        found = blocks(file, r.size, r.start, r.end, how, self.sign)
+                    for n, data, ended in found:
+                        if self.counts and how.width:
+                            nth += n
+                            continue
+                        lines = texts_of(data, ended, how, self.sign)
+                        if not self.counts:
+                            for at in range(0, len(lines), ROWS):
+                                yield self._batch(r, lines[at : at + ROWS], nth + at)
+                        nth += len(lines)
+                    if self.counts:
+                        yield self._batch(r, [None], nth)
 
     def _batch(self, r: Range | None, lines: list, nth: int) -> pa.RecordBatch:
         n = len(lines)
@@ -202,13 +205,19 @@ class TextLines(DataSource):
 
 def read_lines(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT, suffix: str = ".txt", sign: str = "") -> DataFrame:
     """stem, path, line_nr (from 0) and line of the text files below a folder. sign: what ends a line instead of line ends. Lines are not shuffled; a table of the ranges of large files tells their first numbers."""
+    return ordered_lines(spark, folder, encoding, limit, split, suffix, sign)[0]
+
+
+def ordered_lines(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT, suffix: str = ".txt", sign: str = "") -> tuple[DataFrame, bool]:
+    """read_lines, and whether its rows are in the order of stems and lines: they are read so, and stay so where the table of ranges is broadcast."""
     spark.dataSource.register(TextLines)
     options = {"encoding": encoding, "split": split, "suffix": suffix} | ({"sign": sign} if sign else {}) | ({} if limit is None else {"limit": limit})
     read = lambda **more: spark.read.format("lectern_lines").options(**options, **more).load(folder)
     before = Window.partitionBy("stem").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     firsts = saved(read(counts=True, cutonly=True).select("stem", "part", F.coalesce(F.sum("nth").over(before), F.lit(0)).alias("first_")))
-    rows = few_joined(read(), firsts, ["stem", "part"], "left")
-    return rows.select("stem", "path", (F.coalesce("first_", F.lit(0)) + F.col("nth")).cast("int").alias("line_nr"), "line")
+    few = firsts.count() <= FEW
+    rows = read().join(F.broadcast(firsts) if few else firsts, ["stem", "part"], "left")
+    return rows.select("stem", "path", (F.coalesce("first_", F.lit(0)) + F.col("nth")).cast("int").alias("line_nr"), "line"), few
 
 
 def line_counts(spark, folder: str, encoding: str = "utf-8", limit: int | None = None, split: int = SPLIT) -> DataFrame:

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
-from lectern.operators.ids import with_dense_ids
+from lectern.operators.ids import in_place_ids, with_dense_ids
 from lectern.plans.corpus import Corpus, empty_selection
 from lectern.saving import few_joined, saved
 from lectern.sources.files import known
-from lectern.sources.lines import SPLIT, line_counts, read_lines
+from lectern.sources.lines import SPLIT, line_counts, ordered_lines, read_lines
 
 #: Encodings that Spark reads itself; others go through Python.
 NATIVE = ("utf-8", "utf-16", "utf-16be", "utf-16le", "utf-32", "us-ascii", "iso-8859-1")
@@ -63,15 +63,15 @@ def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str =
 
     limit counts files. A pair of files with different numbers of lines is left out whole; a pair of lines is left out if
     either is blank or, in a format of symbols, has none. Paths are of the reading's files that give a row. Files are read by
-    ranges of split bytes; ids need one shuffle of the texts, symbols are made behind it.
+    ranges of split bytes, in their order, so ids need a shuffle of the texts only for pairs; symbols are made behind it.
     """
     repr_format = repr_format or reading_format
     alone = repr_dir is None or repr_dir == reading_dir
     by_range = all(known(d) for d in (reading_dir, repr_dir or reading_dir))
     if by_range:
-        rows = read_lines(spark, reading_dir, encoding, limit, split)
+        rows, in_order = ordered_lines(spark, reading_dir, encoding, limit, split)
     else:
-        rows = _whole_files(spark, reading_dir, encoding, limit)
+        rows, in_order = _whole_files(spark, reading_dir, encoding, limit), False
     rows = rows.withColumnRenamed("line", "reading")
     if alone:
         rows = rows.withColumn("repr", F.col("reading"))
@@ -86,7 +86,8 @@ def ingest(spark, reading_dir: str, repr_dir: str | None = None, language: str =
     rows = rows.where(~tx.is_blank(F.col("reading")) & ~tx.is_blank(F.col("repr")))
     rows = rows.where(parsable(F.col("reading"), reading_format) & parsable(F.col("repr"), repr_format))  # what isn't blank has symbols
     symbols = {"reading_syms": symbols_of(F.col("reading"), reading_format), "repr_syms": symbols_of(F.col("repr"), repr_format)}
-    rows = with_dense_ids(rows.select("stem", "path", "line_nr", "reading", *([] if alone else ["repr"])), ["stem", "line_nr"])
+    rows = rows.select("stem", "path", "line_nr", "reading", *([] if alone else ["repr"]))
+    rows = in_place_ids(rows) if alone and in_order else with_dense_ids(rows, ["stem", "line_nr"])
     rows = rows.withColumn("repr", F.col("reading")) if alone else rows
     paths = saved(with_dense_ids(rows.select("stem", "path").distinct(), ["stem"], "path_id"))
     rows = few_joined(rows, paths.select("stem", "path_id"), ["stem"]).withColumns(symbols)
