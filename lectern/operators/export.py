@@ -145,13 +145,13 @@ def textgrid(corpus: Corpus, tex: DataFrame, column: str = "value", speed: float
 def write_textgrid(grid: DataFrame, path: str) -> None:
     """The long text form of TextGrid files: both tiers one after the other, each with its intervals. One file, whose parts executors write."""
     names, far = (GRAPHEME_TIER, PHONEME_TIER), 1 << 40
-    grid = saved(grid)
+    number = F.pandas_udf(lambda x: x.map(repr), "string")  # as short as it can be
+    grid = saved(grid.withColumns({"from_": number("min_t"), "to_": number("max_t")}))  # before rows are dealt by place: that reads them twice
     known = {r["tier"]: r for r in grid.groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.max("max_t").alias("end")).collect()}
     end = max((r["end"] for r in known.values()), default=0.0)
-    number = F.pandas_udf(lambda x: x.map(repr), "string")  # as short as it can be
     mark = F.replace("mark", F.lit('"'), F.lit('""'))
     pad, j = " " * 12, (F.col("idx") + 1).cast("string")
-    line = F.concat(F.lit("        intervals ["), j, F.lit(f"]:\n{pad}xmin = "), number("min_t"), F.lit(f"\n{pad}xmax = "), number("max_t"), F.lit(f'\n{pad}text = "'), mark, F.lit('"'))
+    line = F.concat(F.lit("        intervals ["), j, F.lit(f"]:\n{pad}xmin = "), F.col("from_"), F.lit(f"\n{pad}xmax = "), F.col("to_"), F.lit(f'\n{pad}text = "'), mark, F.lit('"'))
     rows = grid.select((F.when(F.col("tier") == names[0], 0).otherwise(1) * F.lit(far) + F.col("idx") + 1).cast("long").alias("place"), line.alias("line"))
     tops = [(i * far, f'    item [{i + 1}]:\n        class = "IntervalTier"\n        name = "{name}"\n        xmin = 0\n        xmax = {end}\n        intervals: size = {known[name]["n"] if name in known else 0}') for i, name in enumerate(names)]
     head = ['File type = "ooTextFile"', 'Object class = "TextGrid"', "", "xmin = 0", f"xmax = {end}", "tiers? <exists>", f"size = {len(names)}", "item []:", ""]
