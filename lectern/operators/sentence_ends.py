@@ -37,7 +37,10 @@ _CUT, _IN = "\u0001", "\u0002"
 
 def kind_of(token: Column) -> Column:
     """The word of a token: in small letters, without signs at its ends; numbers are all one."""
-    bare = tx.strip_punctuation(token)
+    return _kind(tx.strip_punctuation(token))
+
+
+def _kind(bare: Column) -> Column:
     return F.when(bare.rlike("^[0-9]+$"), F.lit(NUMBER)).otherwise(F.lower(bare))
 
 
@@ -53,10 +56,9 @@ def token_counts(texts: Column, df: DataFrame) -> DataFrame:
     """kind, stop, small (written with a small first letter), next (kind behind a stop, else null), capital (of that one), n. Only counts are shuffled."""
     tokens = F.regexp_extract_all(texts, F.lit(f"[^{WHITE}]+"), F.lit(0))
     rows = df.select(tokens.alias("t")).select(F.explode(F.arrays_zip("t", F.concat(F.slice("t", 2, F.greatest(F.size("t"), F.lit(1))), F.array(F.lit(None).cast("string"))).alias("u"))).alias("x"))
-    stop = has_stop(F.col("x.t"))
-    follows = F.when(stop, F.col("x.u"))
-    rows = rows.select(kind_of(F.col("x.t")).alias("kind"), stop.alias("stop"), tx.strip_punctuation(F.col("x.t")).rlike(r"^\p{Ll}").alias("small"), kind_of(follows).alias("next"), has_capital(follows).alias("capital"))
-    return rows.groupBy("kind", "stop", "small", "next", "capital").agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.select(F.col("x.t").alias("t"), F.when(has_stop(F.col("x.t")), F.col("x.u")).alias("u")).groupBy("t", "u").agg(F.count(F.lit(1)).alias("n"))  # what a token is, is found once for each that differs
+    kinds = rows.select(kind_of(F.col("t")).alias("kind"), has_stop(F.col("t")).alias("stop"), tx.strip_punctuation(F.col("t")).rlike(r"^\p{Ll}").alias("small"), kind_of(F.col("u")).alias("next"), has_capital(F.col("u")).alias("capital"), "n")
+    return kinds.groupBy("kind", "stop", "small", "next", "capital").agg(F.sum("n").alias("n"))
 
 
 def abbreviation_score(with_stop: Column, without: Column, kind: Column, tokens: Column, stops: Column) -> Column:
@@ -84,7 +86,9 @@ class Ends:
 
 
 def pair(token: Column, follower: Column) -> Column:
-    return F.concat(kind_of(token), F.lit(_IN), kind_of(follower), F.lit(_IN), F.when(has_capital(follower), "A").otherwise("a"))
+    bare = F.transform(F.array(token, follower), tx.strip_punctuation)  # bound, so that each is stripped once
+    made = F.transform(F.array(bare), lambda b: F.concat(_kind(b[0]), F.lit(_IN), _kind(b[1]), F.lit(_IN), F.when(b[1].rlike(r"^\p{Lu}"), "A").otherwise("a")))
+    return made[0]
 
 
 def learn(df: DataFrame, column: str) -> Ends:
@@ -121,10 +125,10 @@ def _cut(parts: list, pairs: list, held) -> list[str]:
 
 def split(df: DataFrame, column: str, ends: Ends, out: str = "sentences", key: str = "utt_id", in_place: int = IN_PLACE) -> DataFrame:
     """df with the array of a text's sentences. Held pairs of a counted number are looked up where the rows lie; more of them come by a join on the pairs that rows have, and key tells rows apart then."""
-    marked = F.regexp_replace(F.col(column), f"([.!?])([{WHITE}]+)", f"$1{_CUT}$2{_CUT}")
-    parts = F.split(marked, _CUT)
-    met = rf"(?<![^{WHITE}])([^{WHITE}]++)(?<=[.!?])[{WHITE}]+(?=([^{WHITE}]*))"  # words before and behind each place where a text may be cut
-    last, first = (F.regexp_extract_all(F.col(column), F.lit(met), F.lit(k)) for k in (1, 2))
+    met = rf"(?<![^{WHITE}])([^{WHITE}]++)(?<=[.!?])([{WHITE}]+)(?=([^{WHITE}]*))"  # words before and behind each place where a text may be cut
+    marked = F.split(F.regexp_replace(F.col(column), met, f"$1{_CUT}$2{_CUT}$1{_CUT}$3{_CUT}"), _CUT)  # in turn a part, the white space behind it, its last word and the next one
+    parts = F.filter(marked, lambda x, i: i % 4 < 2)
+    last, first = (F.filter(marked, lambda x, i: i % 4 == k) for k in (2, 3))  # noqa: B023
     pairs = F.transform(F.arrays_zip(last.alias("t"), first.alias("u")), lambda x: F.when(has_stop(x["t"]), pair(x["t"], x["u"])))
     if ends.held.count() <= in_place:
         held = df.sparkSession.sparkContext.broadcast({r["pair"] for r in ends.held.collect()})
