@@ -5,7 +5,8 @@ sum N and V kinds of n-grams, the divergence is ln V - ln N + (sum of x ln x) /
 counts. Coverage: the candidate with most n-grams not yet covered; when no candidate adds one, all count as uncovered
 again. Ties go to the smallest id; the loop ends when the best candidate does not fit the budget any more.
 
-Candidates are rows of (id, symbols, n-grams as 64-bit numbers, counts), made without a shuffle and saved once. A pass scores
+Candidates are rows of (id, symbols, n-grams as 64-bit numbers, counts), made without a shuffle and saved once; which rows are selected
+already is found where they lie (members.py). A pass scores
 them where they lie; a partition answers with its best rows and with what the others can reach at best. The driver picks
 among the answers, with exact new scores after each pick, as long as the best one beats what any other row may have become:
 n-grams that are covered stay so, and with the counts of what is selected the sum that a row adds to x ln x only
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators.grams import counted_grams, gram_texts
+from lectern.operators.members import marked
 from lectern.saving import saved_table
 
 #: n-gram numbers up to which one task may run the whole loop; 0: passes at every size.
@@ -160,9 +162,8 @@ def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, secon
     spark = utterances.sparkSession
     seconds_of = F.col("symbols") / F.lit(speed)
     fits = (seconds_of >= band[0]) & (seconds_of < band[1]) if band[1] != math.inf else seconds_of >= band[0]
-    texts = gram_texts(utterances, set(ignore))
-    rest = texts.where(fits).join(selection.select("utt_id"), "utt_id", "left_anti")
-    chosen = texts.join(selection.select("utt_id"), "utt_id", "left_semi")
+    texts = marked(gram_texts(utterances, set(ignore)), selection)
+    rest, chosen = texts.where(fits & ~F.col("member_")).drop("member_"), texts.where("member_").drop("member_")
     rows = saved_table(counted_grams(rest, n).where(F.size("grams") > 0))
     before = counted_grams(chosen, n).select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.counts").alias("have"))
     have = {r["grams"]: r["have"] for r in before.collect()}  # kinds of n-grams of the selection
