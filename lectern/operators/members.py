@@ -65,7 +65,7 @@ def marked(rows: DataFrame, members: DataFrame, out: str = "member_", few: int =
         bits = state.value
         return pd.Series(((bits[at, a >> 3] >> (a & 7)) & (bits[at, b >> 3] >> (b & 7)) & 1).astype(bool))
 
-    wrong = saved_table(rows.select("utt_id").where(passes(_hash())).join(ids, "utt_id", "left_anti").distinct())
+    wrong = saved_table(rows.select("utt_id").where(passes(_hash())).join(ids.hint("merge"), "utt_id", "left_anti").distinct())  # no executor holds all ids
     wrongly = wrong.withColumn("wrong_", F.lit(True))
     passed = rows.withColumn(out, passes(_hash()) & F.col("utt_id").isNotNull())
     if wrong.count() <= few:
