@@ -237,7 +237,7 @@ def select_greedy(corpus, kind: str, n: int, minutes: float, **options):
 
 def kld_order(utterances: DataFrame, selection: DataFrame, ignore: set[str], parts: int = 1, take: int = 1) -> DataFrame:
     """The selection in greedy order of its 1-grams; with parts, that order is cut into equal runs, dealt in turns of take."""
-    chosen = utterances.join(selection, "utt_id", "left_semi")
+    chosen = marked(utterances, selection).where("member_").drop("member_")
     none = selection.limit(0)
     order = greedy(chosen, none, "kld", 1, ignore=ignore)
     silent = selection.join(order, "utt_id", "left_anti").select("utt_id", (F.col("sel_rank") + (1 << 40)).alias("sel_rank"))
