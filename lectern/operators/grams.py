@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -101,11 +101,14 @@ def gram_rows(utterances: DataFrame, n: int, ignore: Iterable[str], column: str
     return counted_grams(gram_texts(utterances, ignore, column), n)
 
 
-def counted_grams(texts: DataFrame, n: int) -> DataFrame:
-    """gram_rows of gram_texts."""
+def counted_grams(texts: DataFrame, n: int, passes: Callable[[pd.Series], np.ndarray] | None = None, only: bool = False) -> DataFrame:
+    """gram_rows of gram_texts. passes: what is asked of their hash_ in the same batch, answered as passed; only: no other rows."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
+            if passes:
+                pdf = pdf.assign(passed=passes(pdf["hash_"]))
+                pdf = pdf[pdf["passed"]].reset_index(drop=True) if only else pdf
             batch = Batch(pdf["text_"], pdf["single_"])
             row, kind, first = batch.grams(n)
             names, place = np.unique(_hashed(batch, first, n), return_inverse=True)
@@ -113,6 +116,7 @@ def counted_grams(texts: DataFrame, n: int) -> DataFrame:
             owner = pairs // max(len(names), 1)
             cuts = np.searchsorted(owner, np.arange(1, batch.rows))
             grams = np.split(names[pairs % max(len(names), 1)], cuts) if batch.rows else []
-            yield pd.DataFrame({"utt_id": pdf["utt_id"], "symbols": pdf["symbols"], "grams": grams, "counts": np.split(counts.astype(np.int64), cuts) if batch.rows else []})
+            out = pd.DataFrame({"utt_id": pdf["utt_id"], "symbols": pdf["symbols"], "grams": grams, "counts": np.split(counts.astype(np.int64), cuts) if batch.rows else []})
+            yield out.assign(passed=pdf["passed"]) if passes else out
 
-    return texts.mapInPandas(run, "utt_id long, symbols long, grams array<long>, counts array<long>")
+    return texts.mapInPandas(run, "utt_id long, symbols long, grams array<long>, counts array<long>" + (", passed boolean" if passes else ""))

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as tx
 from lectern.operators.grams import counted_grams, gram_texts
-from lectern.operators.members import marked
+from lectern.operators.members import Members, hashed
 from lectern.saving import saved_table
 
 #: n-gram numbers up to which one task may run the whole loop; 0: passes at every size.
@@ -153,19 +153,26 @@ class _Loop:
         return False
 
 
-def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, seconds: float = math.inf, ignore: set[str] = frozenset(), band: tuple[float, float] = (0.0, math.inf), speed: float = tx.READING_SPEED, one_task: int = ONE_TASK) -> DataFrame:
+def _counted(texts: DataFrame, n: int, members: Members, inside: bool) -> DataFrame:
+    """The counted n-grams of members, or of the other rows; a batch is asked and counted at once."""
+    if members.passes is None:
+        return counted_grams(texts.limit(0) if inside else texts, n)
+    return members.kept(counted_grams(hashed(texts), n, members.passes, inside), inside)
+
+
+def greedy(utterances: DataFrame, selection: DataFrame, kind: str, n: int, seconds: float = math.inf, ignore: set[str] = frozenset(), band: tuple[float, float] = (0.0, math.inf), speed: float = tx.READING_SPEED, one_task: int = ONE_TASK, within: DataFrame | None = None) -> DataFrame:
     """utt_id and sel_rank (0-based) of the newly selected utterances, in the order they were taken.
 
     Durations are those of the reading passage, n-grams those of the representation. Utterances without n-grams are no
-    candidates. Budgets hold for what is newly selected.
+    candidates. Budgets hold for what is newly selected. within: ids that alone are candidates.
     """
     spark = utterances.sparkSession
     seconds_of = F.col("symbols") / F.lit(speed)
     fits = (seconds_of >= band[0]) & (seconds_of < band[1]) if band[1] != math.inf else seconds_of >= band[0]
-    texts = marked(gram_texts(utterances, set(ignore)), selection)
-    rest, chosen = texts.where(fits & ~F.col("member_")).drop("member_"), texts.where("member_").drop("member_")
-    rows = saved_table(counted_grams(rest, n).where(F.size("grams") > 0))
-    before = counted_grams(chosen, n).select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.counts").alias("have"))
+    texts, selected = gram_texts(utterances, set(ignore)), Members(utterances, selection)
+    rest = _counted(texts.where(fits), n, selected, False) if within is None else _counted(texts.where(fits), n, Members(utterances, within.join(selection, "utt_id", "left_anti")), True)
+    rows = saved_table(rest.where(F.size("grams") > 0))
+    before = _counted(texts, n, selected, True).select(F.explode(F.arrays_zip("grams", "counts")).alias("x")).groupBy("x.grams").agg(F.sum("x.counts").alias("have"))
     have = {r["grams"]: r["have"] for r in before.collect()}  # kinds of n-grams of the selection
     load = rows.agg(F.sum(F.size("grams")).alias("s")).first()["s"] or 0
     if not load:
@@ -237,9 +244,8 @@ def select_greedy(corpus, kind: str, n: int, minutes: float, **options):
 
 def kld_order(utterances: DataFrame, selection: DataFrame, ignore: set[str], parts: int = 1, take: int = 1) -> DataFrame:
     """The selection in greedy order of its 1-grams; with parts, that order is cut into equal runs, dealt in turns of take."""
-    chosen = marked(utterances, selection).where("member_").drop("member_")
     none = selection.limit(0)
-    order = greedy(chosen, none, "kld", 1, ignore=ignore)
+    order = greedy(utterances, none, "kld", 1, ignore=ignore, within=selection)
     silent = selection.join(order, "utt_id", "left_anti").select("utt_id", (F.col("sel_rank") + (1 << 40)).alias("sel_rank"))
     from lectern.operators.selection import ranked
 

@@ -24,6 +24,11 @@ def _hash() -> Column:
     return F.xxhash64(F.col("utt_id").cast("long"))
 
 
+def hashed(rows: DataFrame) -> DataFrame:
+    """rows and what Members.passes asks for: hash_."""
+    return rows.withColumn("hash_", _hash())
+
+
 def _filter(ids: DataFrame, slices: int, power: int) -> np.ndarray:
     """A Bloom filter of the ids, a row of bytes for each slice. A slice is made in one task; the driver gets the finished ones."""
 
@@ -45,31 +50,41 @@ def _filter(ids: DataFrame, slices: int, power: int) -> np.ndarray:
     return out
 
 
-def marked(rows: DataFrame, members: DataFrame, out: str = "member_", few: int = FEW) -> DataFrame:
-    """rows and whether their utt_id is one of members: out.
+class Members:
+    """Tells rows with an id of members from the others, where the rows lie.
 
-    A Bloom filter, of at most 16 MB at any number of members, tells most others from them where the rows lie. Ids that pass it wrongly
-    are found by a join of ids; they are few as a rule (4 in 1,000 of the others up to 4 million members) and are looked up in place too.
-    Where they aren't, the rows that pass meet them by a shuffle, and the others stay.
+    A Bloom filter, of at most 16 MB at any number of members, lets members pass and few others. Ids that pass it wrongly are found by a
+    join of ids; they are few as a rule (4 in 1,000 of the others up to 4 million members) and are looked up in place too. Where they
+    aren't, the rows that pass meet them by a shuffle, and the others stay. rows: utt_id of all rows that are asked for.
     """
-    ids = saved_table(members.select(F.col("utt_id").cast("long").alias("utt_id")))
-    n = ids.count()
-    if not n:
-        return rows.withColumn(out, F.lit(False))
-    power, slices = SLICE, min(max(-(-n * EACH >> SLICE), 1), MOST)
-    state = rows.sparkSession.sparkContext.broadcast(_filter(ids, slices, power))
-
-    @F.pandas_udf("boolean")
-    def passes(hashes: pd.Series) -> pd.Series:
-        at, a, b = _bits(hashes.to_numpy(), slices, power)
-        bits = state.value
-        return pd.Series(((bits[at, a >> 3] >> (a & 7)) & (bits[at, b >> 3] >> (b & 7)) & 1).astype(bool))
-
-    wrong = saved_table(rows.select("utt_id").where(passes(_hash())).join(ids.hint("merge"), "utt_id", "left_anti").distinct())  # no executor holds all ids
-    wrongly = wrong.withColumn("wrong_", F.lit(True))
-    passed = rows.withColumn(out, passes(_hash()) & F.col("utt_id").isNotNull())
-    if wrong.count() <= few:
-        met = passed.join(F.broadcast(wrongly), "utt_id", "left")
-    else:
-        met = passed.where(out).join(wrongly, "utt_id", "left").unionByName(passed.where(~F.col(out)).withColumn("wrong_", F.lit(None).cast("boolean")))
-    return met.select(*rows.columns, (F.col(out) & F.col("wrong_").isNull()).alias(out))
+
+    def __init__(self, rows: DataFrame, members: DataFrame, few: int = FEW) -> None:
+        ids = saved_table(members.select(F.col("utt_id").cast("long").alias("utt_id")).where("utt_id IS NOT NULL"))
+        n = ids.count()
+        self.passes, self.wrong, self.few = None, None, True
+        if not n:
+            return
+        power, slices = SLICE, min(max(-(-n * EACH >> SLICE), 1), MOST)
+        state = rows.sparkSession.sparkContext.broadcast(_filter(ids, slices, power))
+
+        def passes(hashes: pd.Series) -> np.ndarray:
+            at, a, b = _bits(hashes.to_numpy(), slices, power)
+            bits = state.value
+            return ((bits[at, a >> 3] >> (a & 7)) & (bits[at, b >> 3] >> (b & 7)) & 1).astype(bool)
+
+        def passing(parts):
+            for pdf in parts:
+                yield pdf.loc[passes(pdf["hash_"]), ["utt_id"]]
+
+        passed = hashed(rows.select("utt_id").where("utt_id IS NOT NULL")).mapInPandas(passing, "utt_id long")
+        wrong = saved_table(passed.join(ids.hint("merge"), "utt_id", "left_anti").distinct())  # no executor holds all ids
+        self.passes, self.wrong, self.few = passes, wrong, wrong.count() <= few
+
+    def kept(self, rows: DataFrame, inside: bool) -> DataFrame:
+        """Of rows with passed, which says what passes gave of their hash_: the members (inside), or the others."""
+        passed, wrong = F.col("passed") & F.col("utt_id").isNotNull(), F.broadcast(self.wrong) if self.few else self.wrong
+        if inside:
+            return rows.where(passed).join(wrong, "utt_id", "left_anti").drop("passed")
+        if self.few:
+            return rows.join(wrong.withColumn("wrong_", F.lit(True)), "utt_id", "left").where(~passed | F.col("wrong_").isNotNull()).drop("passed", "wrong_")
+        return rows.where(~passed).unionByName(rows.where(passed).join(wrong, "utt_id", "left_semi")).drop("passed")
