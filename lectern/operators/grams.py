@@ -109,6 +109,8 @@ def counted_grams(texts: DataFrame, n: int, passes: Callable[[pd.Series], np.nda
             if passes:
                 pdf = pdf.assign(passed=passes(pdf["hash_"]))
                 pdf = pdf[pdf["passed"]].reset_index(drop=True) if only else pdf
+            if not len(pdf):
+                continue
             batch = Batch(pdf["text_"], pdf["single_"])
             row, kind, first = batch.grams(n)
             names, place = np.unique(_hashed(batch, first, n), return_inverse=True)
