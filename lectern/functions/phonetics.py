@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -79,16 +81,25 @@ class _Changes(dict):
         out = _PART.join([self[s] for s in text.split(_PART)])
         return _BUILT.sub("", out) if self.builds else out
 
+    def shown(self, text: str, between: str) -> str:
+        """As of(), without empty symbols and with a sign between the others."""
+        return between.join(filter(None, self.of(text).split(_PART)))
 
-def change_ipa(symbols: Column, ignore_tones: bool = False, ignore_arcs: bool = False, ignore_stress: bool = False, break_n_thongs: bool = False, build_n_thongs: bool = False) -> Column:
-    """The five changes in this order; symbols that become empty go. A row's symbols are one text on their way to Python and back; where n-thongs are broken or built, U+0001 parts symbols too."""
+
+def changes_ipa(ignore_tones: bool = False, ignore_arcs: bool = False, ignore_stress: bool = False, break_n_thongs: bool = False, build_n_thongs: bool = False) -> Callable[[], _Changes]:
+    """What makes the five changes in a Python worker."""
     if break_n_thongs and build_n_thongs:
         raise ValueError("n-thongs can be broken or built, not both")
-    drop = TONES * ignore_tones + "ˈˌ" * ignore_stress
+    return functools.partial(_Changes, TONES * ignore_tones + "ˈˌ" * ignore_stress, break_n_thongs, ignore_arcs, build_n_thongs)
+
+
+def change_ipa(symbols: Column, ignore_tones: bool = False, ignore_arcs: bool = False, ignore_stress: bool = False, break_n_thongs: bool = False, build_n_thongs: bool = False) -> Column:
+    """The five changes in this order; symbols that become empty go. A row's symbols are one text on their way to Python and back; where n-thongs are broken or built, U+0001 parts symbols too."""
+    made = changes_ipa(ignore_tones, ignore_arcs, ignore_stress, break_n_thongs, build_n_thongs)
 
     @F.pandas_udf("string")
     def changed(texts: pd.Series) -> pd.Series:
-        changes = _Changes(drop, break_n_thongs, ignore_arcs, build_n_thongs)
+        changes = made()
         return texts.map(lambda t: None if t is None else changes.of(t))
 
     return F.array_remove(F.split(changed(F.array_join(symbols, _PART)), _PART), "")

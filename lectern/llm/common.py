@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.saving import saved
+from lectern.shipping import small_batches
 
 __all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_band", "small_batches", "table", "with_facts", "word_count"]
 
@@ -15,17 +16,6 @@ __all__ = ["WORD", "any_of", "fresh", "positions", "salt_of", "saved", "size_ban
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-#: Rows and bytes of a batch on its way to Python.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
-
-
-def small_batches(spark) -> None:
-    """Operators on whole texts need small batches, or two workers of an executor hold hundreds of MB each. Sets the session's limits where they are Spark's defaults."""
-    for key, (default, small) in BATCH.items():
-        if spark.conf.get(key, default) == default:
-            spark.conf.set(key, small)
-
-
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,4 +1,4 @@
-"""The package on its way to executors."""
+"""The package and batches of rows on their way to Python workers."""
 
 from __future__ import annotations
 
@@ -22,3 +22,14 @@ def ship(spark) -> None:
                 z.write(f, Path(root.name) / f.relative_to(root))
         sc.addPyFile(str(archive))
     setattr(sc, _SHIPPED, True)
+
+
+#: Rows and bytes of a batch on its way to Python.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8388608b")}
+
+
+def small_batches(spark) -> None:
+    """Operators on whole texts need small batches, or two workers of an executor hold hundreds of MB each. Sets the session's limits where they are Spark's defaults."""
+    for key, (default, small) in BATCH.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, small)
